@@ -112,27 +112,32 @@ def rollup_rows(df: DataFrame, key: str, mins: Sequence[str], maxs: Sequence[str
 
 
 def key_batches(df: DataFrame, key: str, size: int = 30, label: str = "grupo",
-                out: str = "claves", sep: str = ",") -> DataFrame:
+                out: str = "claves", sep: str = ",", keep_array: bool = False) -> DataFrame:
     """Distinct keys in ascending order, numbered, cut into groups of ``size``.
 
     Returns (``label`` = batch number from 0, ``out`` = the keys of the batch joined by
     ``sep`` in order, ``n_keys``). The global order is a range-partitioned sort (no
-    single-partition window): each key's position is its offset inside its sorted
-    partition plus the number of keys in earlier partitions; the per-partition counts are
-    one row per partition. Each group holds at most ``size`` keys.
+    single-partition window over the keys). The sorted keys are checkpointed to the shared
+    checkpoint folder, so the per-partition counts and the numbering read one materialised
+    copy (computed once, identical in both passes, and safe if an executor is lost). A key's
+    position is its offset inside its sorted partition plus the number of keys in earlier
+    partitions; the running offsets are computed over one row per partition. Each group holds
+    at most ``size`` keys, so the final ``collect_list`` is bounded.
     """
-    keys = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct()
-            .repartitionByRange("k").sortWithinPartitions("k")
-            .withColumn("__p", F.spark_partition_id())
+    from tidewater.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct()
+               .repartitionByRange("k").sortWithinPartitions("k")).checkpoint(eager=True)
+    keys = (ordered.withColumn("__p", F.spark_partition_id())
             .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33)))
     counts = keys.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__p", (F.sum("__n").over(
-        _unbounded_before("__p")) - F.col("__n")).alias("__off"))
+    offsets = counts.select("__p", (F.sum("__n").over(_unbounded_before("__p")) - F.col("__n")).alias("__off"))
     indexed = keys.join(offsets, "__p").withColumn("__i", F.col("__off") + F.col("__local"))
     batches = indexed.groupBy(F.floor(F.col("__i") / size).alias(label)).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("k")), lambda x: x.cast("string")), sep).alias(out),
-        F.count(F.lit(1)).alias("n_keys"))
-    return batches
+        F.array_sort(F.collect_list("k")).alias("keys"), F.count(F.lit(1)).alias("n_keys"))
+    batches = batches.withColumn(out, F.array_join(F.transform("keys", lambda x: x.cast("string")), sep))
+    return batches.select(label, out, "n_keys", *(["keys"] if keep_array else []))
 
 
 def _unbounded_before(order_col: str):

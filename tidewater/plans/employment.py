@@ -125,3 +125,165 @@ def activity_by_month(spark: SparkSession, downloads: DataFrame, invitations: Da
     out = out.withColumn("is_activo", F.when(active, True)).where(F.col("id_usuario").isNotNull())
     out = out.join(user_company.select("id_usuario", "rut_empresa").distinct(), "id_usuario", "left")
     return out.where(F.col("is_activo").eqNullSafe(True))
+
+
+def _company_users(users: DataFrame, ubicac: DataFrame, relac: DataFrame, empresario: DataFrame,
+                   sectores: DataFrame, sector_id: int) -> DataFrame:
+    """Users of companies in one sector: the inner-join chain shared by B13 and B16."""
+    u = users.select(F.col("ID").alias("id_usuario"), "NOM_USUARIO")
+    b = ubicac.select("ID_EMPRESARIO_USUARIOS", "ID_UBIC_REL")
+    c = relac.select(F.col("ID").alias("__rel"), "ID_EMPRESARIO")
+    d = empresario.select(F.col("ID").alias("__emp"), "RUT", "ID_COMUNA", "ID_REGION")
+    e = sectores.where(F.col("ID_SECTOR") == sector_id).select(F.col("ID_EMPRESARIO").alias("__sec_emp"))
+    return (u.join(b, F.col("id_usuario") == F.col("ID_EMPRESARIO_USUARIOS"))
+            .join(c, F.col("ID_UBIC_REL") == F.col("__rel"))
+            .join(d, F.col("ID_EMPRESARIO") == F.col("__emp"))
+            .join(e, F.col("__emp") == F.col("__sec_emp"))
+            .select("id_usuario", "NOM_USUARIO", "RUT", "ID_COMUNA", "ID_REGION"))
+
+
+def downloads_by_day_place(users: DataFrame, ubicac: DataFrame, relac: DataFrame, empresario: DataFrame,
+                           sectores: DataFrame, downloads: DataFrame, comunas: DataFrame, regiones: DataFrame,
+                           details: DataFrame, personas: DataFrame, per_ocupaciones: DataFrame,
+                           ocupaciones: DataFrame, sector_id: int = 1) -> DataFrame:
+    """B13 (J18, A4, A11, T12): CV downloads counted by day (``yyyy-MM-dd`` text, then a date),
+    municipality, region and occupation over the 5 inner + 6 left join chain."""
+    from tidewater.functions.dates import style_120
+    cu = _company_users(users, ubicac, relac, empresario, sectores, sector_id)
+    f = downloads.select(F.col("ID").alias("__dl"), F.col("ID_EMP_USUARIO"), "FEC_ALTA")
+    x = (cu.join(f, F.col("id_usuario") == F.col("ID_EMP_USUARIO"))
+         .join(comunas.select(F.col("ID").alias("__c"), F.col("NOMBRE").alias("comuna")), F.col("ID_COMUNA") == F.col("__c"), "left")
+         .join(regiones.select(F.col("ID").alias("__r"), F.col("NOMBRE").alias("region")), F.col("ID_REGION") == F.col("__r"), "left")
+         .join(details.select("ID_DESCARGA_CV", "ID_PERSONA"), F.col("__dl") == F.col("ID_DESCARGA_CV"), "left")
+         .join(personas.select(F.col("ID").alias("__p")), F.col("ID_PERSONA") == F.col("__p"), "left")
+         .join(per_ocupaciones.select(F.col("ID_PERSONA").alias("__pp"), "ID_OCUPACION"), F.col("__p") == F.col("__pp"), "left")
+         .join(ocupaciones.select(F.col("ID").alias("__o"), F.col("DESCRIPCION").alias("ocupacion")),
+               F.col("ID_OCUPACION") == F.col("__o"), "left"))
+    out = x.groupBy(style_120("FEC_ALTA").alias("fecha_alta"), "comuna", "region", "ocupacion").agg(
+        F.count(F.lit(1)).alias("total"))
+    return out.withColumn("fecha_alta", F.to_date("fecha_alta"))
+
+
+# Region names of the person records mapped to the geography's names.
+REGION_NAMES = {
+    "Los Lagos": "Los Lagos",
+    "Valparaíso": "Valparaíso",
+    "Metropolitana": "Metropolitana de Santiago",
+    "O'Higgins": "Libertador General Bernardo O'Higgins",
+    "Antofagasta": "Antofagasta",
+    "Maule": "Maule",
+    "La Araucanía": "La Araucanía",
+    "Coquimbo": "Coquimbo",
+    "Bío Bío": "Biobío",
+    "Atacama": "Atacama",
+    "Los Ríos": "Los Ríos",
+    "Arica y Parinacota": "Arica y Parinacota",
+    "Tarapacá": "Tarapacá",
+    "Magallanes y Antártica Chilena": "Magallanes y de la Antártica Chilena",
+    "Ñuble": "Ñuble",
+    "Aysén": "Aysén del General Carlos Ibáñez del Campo",
+}
+
+
+def education_levels(personas: DataFrame, media: DataFrame, cursos: DataFrame, superior: DataFrame,
+                     regiones: DataFrame, comunas: DataFrame, geography: DataFrame, fan_out: bool = False) -> DataFrame:
+    """B14 (J16, A10, C6, U5, J14, J19).
+
+    Per person: counts of secondary-education, course and higher-education rows (each branch
+    counted on its own; ``fan_out=True`` gives the chained-join numbers), grouped by
+    ``rut = CONCAT(number, check digit)`` (null parts as empty), region and municipality names,
+    kept when any count is positive, with ``tiene_*`` flags. Rows without municipality (and a
+    region other than ``MIGRACION``) get their region name mapped through a fixed table; rows with
+    a municipality take the region of the geography row with the same accent-folded municipality.
+    """
+    from tidewater.functions.nested import map_lookup
+    from tidewater.functions.rules import not_equal_keep_null
+    from tidewater.operators.relational import branch_counts, folded_join
+    from tidewater.operators.sets import split_union
+
+    p = personas.select(F.col("ID").alias("per_id"), concat_null_empty("NUM_DOCUMENTO", "DIGITO_VERIFICADOR").alias("rut"),
+                        "ID_REGION", "ID_COMUNA")
+    counted = branch_counts(p, "per_id", {"ed_media": (media, "ID_PERSONA"), "cursos": (cursos, "ID_PERSONA"),
+                                          "ed_superior": (superior, "ID_PERSONA")}, keep_any=False, fan_out=fan_out)
+    named = (counted.join(regiones.select(F.col("ID").alias("__r"), F.col("NOMBRE").alias("region")),
+                          F.col("ID_REGION") == F.col("__r"), "left")
+             .join(comunas.select(F.col("ID").alias("__c"), F.col("NOMBRE").alias("comuna")),
+                   F.col("ID_COMUNA") == F.col("__c"), "left"))
+    grouped = named.groupBy("rut", "region", "comuna").agg(
+        *[F.sum(c).alias(c) for c in ["ed_media", "cursos", "ed_superior"]])
+    grouped = grouped.where((F.col("ed_media") > 0) | (F.col("cursos") > 0) | (F.col("ed_superior") > 0))
+    flagged = grouped.withColumns({"tiene_ed_media": F.col("ed_media") > 0, "tiene_cursos": F.col("cursos") > 0,
+                                   "tiene_ed_superior": F.col("ed_superior") > 0})
+    geo = geography.select("comuna", F.col("region").alias("__geo_region"))
+
+    def without_comuna(df):
+        return df.where(not_equal_keep_null("region", "MIGRACION")).withColumn("region", map_lookup("region", REGION_NAMES))
+
+    def with_comuna(df):
+        return folded_join(df.drop("region"), geo, "comuna", "comuna", select=["__geo_region"]) \
+            .withColumnRenamed("__geo_region", "region")
+
+    out = split_union(flagged, F.col("comuna").isNull(), without_comuna, with_comuna)
+    return out.drop("ed_media", "cursos", "ed_superior")
+
+
+def evaluations_count(evaluations: DataFrame) -> DataFrame:
+    """B15 (A4): rows per evaluation value."""
+    return evaluations.groupBy("EVALUACION").agg(F.count(F.lit(1)).alias("CONTEO"))
+
+
+def company_user_activity(users: DataFrame, ubicac: DataFrame, relac: DataFrame, empresario: DataFrame,
+                          sectores: DataFrame, downloads: DataFrame, empresas: DataFrame, excluded: DataFrame,
+                          sector_id: int = 1) -> DataFrame:
+    """B16 (J18, A1, J3, J9, T11, M4): per company user, day and list: views (rows) and downloaded
+    CVs; the day's first of month; active companies' state looked up; excluded companies removed;
+    where there is no list the downloads are views minus CVs."""
+    from tidewater.functions.dates import first_of_month, style_105
+    from tidewater.functions.numbers import difference_where_null
+    from tidewater.functions.text import split_part  # noqa: F401
+    cu = _company_users(users, ubicac, relac, empresario, sectores, sector_id)
+    f = downloads.select("ID_EMP_USUARIO", "FEC_ALTA", "ID_LISTA", "NUM_CV")
+    x = cu.join(f, F.col("id_usuario") == F.col("ID_EMP_USUARIO"))
+    g = x.groupBy("RUT", "id_usuario", F.col("NOM_USUARIO").alias("nom_usuario"),
+                  style_105("FEC_ALTA").alias("FECHA_ALTA"), "ID_LISTA").agg(
+        F.count(F.lit(1)).alias("TOTAL"), F.sum("NUM_CV").alias("DESCARGA_CV"))
+    g = g.withColumn("FECHA_ALTA", F.to_date("FECHA_ALTA", "dd-MM-yyyy"))
+    g = g.withColumn("FECHA_ALTA_MES", first_of_month("FECHA_ALTA"))
+    active = empresas.where(F.col("ESTADO") == 1).select("RUT", "ESTADO")
+    g = g.join(active, "RUT", "left")
+    g = exists_flag(g, excluded.select(F.col("rut").alias("RUT")), "RUT", "ignorar").where(~F.col("ignorar"))
+    g = g.withColumn("DESCARGA_CV", difference_where_null("ID_LISTA", "TOTAL", "DESCARGA_CV"))
+    return g.select("RUT", "id_usuario", "nom_usuario", "FECHA_ALTA", "FECHA_ALTA_MES", "ID_LISTA",
+                    F.col("TOTAL").alias("VISTAS_CV"), "DESCARGA_CV")
+
+
+def list_usage(lists: DataFrame, users: DataFrame, ubicac: DataFrame, relac: DataFrame, empresario: DataFrame,
+               sectores: DataFrame, downloads: DataFrame, invitations: DataFrame) -> DataFrame:
+    """B18 (J17, A12): per list, its user and company, downloaded CVs summed with null as 0, and
+    the invitation count from a pre-aggregated subquery (null when the list has none).
+
+    Downloads are summed per list before the join (one row per list), which is the same result
+    as joining rows and grouping by list, user and company."""
+    from tidewater.functions.nested import map_lookup  # noqa: F401
+    aa = lists.select(F.col("ID").alias("lista"), F.col("ID_EMP_USUARIO"))
+    u = users.select(F.col("ID").alias("id_usuario"), "NOM_USUARIO")
+    cu = (u.join(ubicac.select("ID_EMPRESARIO_USUARIOS", "ID_UBIC_REL"), F.col("id_usuario") == F.col("ID_EMPRESARIO_USUARIOS"))
+          .join(relac.select(F.col("ID").alias("__rel"), "ID_EMPRESARIO"), F.col("ID_UBIC_REL") == F.col("__rel"))
+          .join(empresario.select(F.col("ID").alias("__emp"), "RUT"), F.col("ID_EMPRESARIO") == F.col("__emp"))
+          .join(sectores.select(F.col("ID_EMPRESARIO").alias("__sec")), F.col("__emp") == F.col("__sec"))
+          .select("id_usuario", "NOM_USUARIO", "RUT"))
+    cv = downloads.groupBy(F.col("ID_LISTA").alias("__l")).agg(F.sum(F.coalesce("NUM_CV", F.lit(0))).alias("__cv"))
+    inv = invitations.groupBy(F.col("ID_LISTA").alias("__li")).agg(F.count(F.lit(1)).alias("persona_lista"))
+    x = (aa.join(cu, F.col("ID_EMP_USUARIO") == F.col("id_usuario"))
+         .join(cv, F.col("lista") == F.col("__l"), "left")
+         .join(inv, F.col("lista") == F.col("__li"), "left"))
+    return x.groupBy("RUT", "lista", "persona_lista", "NOM_USUARIO", "id_usuario").agg(
+        F.coalesce(F.sum(F.coalesce("__cv", F.lit(0))), F.lit(0)).alias("numero_cv_descargados"))
+
+
+def downloads_reconciliation(views: DataFrame, empresas: DataFrame, excluded: DataFrame) -> DataFrame:
+    """B42 (J3, J9, A9): viewed CVs of active, not-excluded companies: total views and row count."""
+    active = empresas.where(F.col("ESTADO") == 1).select("RUT", "ESTADO")
+    x = views.join(active, "RUT", "left")
+    x = exists_flag(x, excluded.select(F.col("rut").alias("RUT")), "RUT", "ignorar").where(~F.col("ignorar"))
+    return x.agg(F.sum("TOTAL").alias("total_vistas"), F.count(F.lit(1)).alias("filas"))

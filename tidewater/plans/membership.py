@@ -131,6 +131,46 @@ def attendance(df: DataFrame) -> DataFrame:
     })
 
 
+def attendance_rolling(df: DataFrame, as_of, months: int = 12, full_load: bool = False) -> DataFrame:
+    """B35 (T18, F8, C5): the daily attendance report: only (year, month) partitions from
+    ``as_of`` minus ``months`` on (pruned at the scan), cancelled-word flag, attendance text."""
+    from tidewater.functions.dates import partitions_since
+    df = df.where(partitions_since(as_of, months=months, full_load=full_load))
+    return df.withColumns({
+        "str_asistencia": F.when(F.col("asiasis").cast("int") == 1, "SI").otherwise("NO"),
+        "is_nombre_valido": F.when(contains_any("reunom", CANCELLED_WORDS), False).otherwise(True),
+    })
+
+
+def roles_staging(df: DataFrame) -> DataFrame:
+    """B29 (X13, P8, T6): hashed id, nullable integer ids, relation date truncated to a date."""
+    df = lower_names(df).withColumn("rut_hash", sha256_text("rut"))
+    df = cast_columns(df, {"bigint": ["numero_socio", "id_relacion"]})
+    return df.withColumn("fecha_relacion", F.to_date("fecha_relacion"))
+
+
+def requests_staging(df: DataFrame) -> DataFrame:
+    """B36 (T6, P8): request dates as dates, member number as a nullable integer."""
+    df = lower_names(df).withColumns({"fecha": F.to_date("fecha"), "fecha_resolucion": F.to_date("fecha_resolucion")})
+    return cast_columns(df, {"bigint": ["numero_socio"]})
+
+
+def positions(positions_df: DataFrame, senior: DataFrame) -> DataFrame:
+    """B33 (S6, K10, F5, J8): positions flagged when their id is listed as a senior position
+    (rows of the ``;`` export whose ``Cargo_Directivo`` is not null)."""
+    from tidewater.functions.names import clean_names
+    listed = senior.where(F.col("Cargo_Directivo").isNotNull()).select(F.col("IdCargo").try_cast("bigint").alias("idcargo"))
+    df = clean_names(positions_df)
+    flagged = listed.distinct().withColumn("es_alto_cargo", F.lit(True))
+    return df.join(flagged, "idcargo", "left")
+
+
+def pass_through(df: DataFrame, renames: dict[str, str] | None = None, lower: bool = True) -> DataFrame:
+    """B21 (S1, P2, P3, K1): tables copied with lowercased and renamed columns only."""
+    out = lower_names(df) if lower else df
+    return rename(out, renames or {})
+
+
 def group_names(df: DataFrame, max_len: int = 90) -> DataFrame:
     """B30 (F11, X9): groups whose description is shorter than ``max_len``, with its length."""
     return df.where(F.length("descripcion") < max_len).withColumn("largo", F.length("descripcion"))
