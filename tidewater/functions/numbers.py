@@ -18,9 +18,10 @@ def local_number(c: ColumnOrName) -> Column:
 
     Dots are removed literally (N13), then the comma becomes the decimal point.
     """
+    from tidewater.functions.names import guarded_cast
     x = F.replace(_c(c), F.lit("."), F.lit(""))
     x = F.replace(x, F.lit(","), F.lit("."))
-    return x.try_cast("double")
+    return guarded_cast(x, "double")
 
 
 def tax_inclusive(net: ColumnOrName, tax_code: ColumnOrName, exempt_code: str = "IVA_EXE",

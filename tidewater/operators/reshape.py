@@ -52,7 +52,7 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     The grid is generated, not joined: one global aggregate collects each dimension's
     distinct values (bounded by the dimension's domain, not by the row count; partial
     sets are merged map-side) and the year range; the grid rows are then produced by
-    ``explode`` and spread over the cluster before the second dimension is expanded.
+    ``explode`` and spread round-robin over the cluster before the years are expanded.
     The data side is aggregated by the same keys, and the two meet in one equi-join.
     """
     measures = _as_list(measures)
@@ -64,9 +64,12 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     domains = df.agg(*[F.array_sort(F.collect_set(d)).alias(d) for d in dims],
                      F.min(year_col).alias("__y0"), F.max(year_col).alias("__y1"))
     grid = domains.select(F.explode(dims[0]).alias(dims[0]), *dims[1:], "__y0", "__y1")
-    grid = grid.repartition(dims[0])
     for d in dims[1:]:
         grid = grid.withColumn(d, F.explode(d))
+    # spread the dimension combinations evenly (round robin) before the year expansion, so the
+    # grid is generated by every task rather than by the single task holding the domains row
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    grid = grid.repartition(parts)
     grid = grid.withColumn(year_col, F.explode(F.sequence("__y0", "__y1"))).drop("__y0", "__y1")
     out = grid.join(summed, keys, "left")
     return out.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
