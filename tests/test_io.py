@@ -70,3 +70,20 @@ def test_audit_and_marks(spark):
     empty = audit_row(df.where("false"), "t", "staging", "2023-03-01").first()
     assert empty["status"] == "ERROR" and "no rows" in empty["error"]
     assert high_water_mark(df, "d", "t").first()["mark"] == dt.date(2023, 2, 1)
+
+
+def test_available_now_file_run(spark, tmp_dir):
+    from tidewater.streaming.incremental import run_available_files
+    src, out, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "out", "ckpt"))
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string").write.parquet(os.path.join(src, "batch=1"))
+    seen = []
+
+    def sink(batch_df, epoch_id):
+        seen.append(epoch_id)
+        batch_df.write.mode("append").parquet(out)
+
+    run_available_files(spark, src, "id int, s string, batch int", lambda d: d.where("id > 1"), sink, ckpt)
+    assert rows(spark.read.parquet(out), "id") == [(2,)]
+    spark.createDataFrame([(3, "c")], "id int, s string").write.parquet(os.path.join(src, "batch=2"))
+    run_available_files(spark, src, "id int, s string, batch int", lambda d: d.where("id > 1"), sink, ckpt)
+    assert rows(spark.read.parquet(out), "id") == [(2,), (3,)]  # the first file is not read again

@@ -108,7 +108,7 @@ def audit_counts(spark, d):
 
 
 @register("period_counts", """
-SELECT year(o_orderdate) * 1000 + month(o_orderdate) AS periodo, o_orderpriority,
+SELECT CAST(year(o_orderdate) * 1000 + month(o_orderdate) AS INTEGER) AS periodo, o_orderpriority,
        CAST(count(*) AS BIGINT) AS n_pedidos, round(sum(o_totalprice), 2) AS monto
 FROM orders GROUP BY 1, 2
 """)

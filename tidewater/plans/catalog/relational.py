@@ -392,7 +392,7 @@ def chain_count(spark, d):
     """
     from tidewater.functions.dates import style_120
     t = Tables(spark, d)
-    li = (t.lineitem.groupBy("l_orderkey", "l_suppkey", style_120("l_shipdate").alias("dia"))
+    li = (t.lineitem.groupBy("l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("dia"))
           .agg(F.count(F.lit(1)).alias("n")))
     o = t.orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
     s = t.supplier.where(F.col("s_acctbal") > 0).select("s_suppkey")
@@ -402,7 +402,9 @@ def chain_count(spark, d):
              .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
              .join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
              .join(t.region.select("r_regionkey", F.col("r_name").alias("region")), F.col("n_regionkey") == F.col("r_regionkey")))
-    return chain.groupBy("dia", "region").agg(F.sum("n").alias("descargas"))
+    # the day is formatted as text (style 120) only after the last aggregation
+    out = chain.groupBy("dia", "region").agg(F.sum("n").alias("descargas"))
+    return out.select(style_120("dia").alias("dia"), "region", "descargas")
 
 
 @register("nested_agg", """
