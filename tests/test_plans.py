@@ -333,10 +333,11 @@ def test_project_jobs(spark):
     new = mk([("r2", "b", "07/11/2022")], "rut string, rol string, fecha_publicacion string")
     reg = mk([("r2", "Dos", "M", "C", "S", True, "ACTIVO", 1)],
              "rut string, razon_social string, tamano_de_empresa string, rubro_economico string, "
-             "subrubro_economico string, socio_cchc boolean, estado string, orden int")
-    merged = {r["rut"]: r for r in projects.insolvency_merge(hist, new, reg, "2022-11-07").collect()}
+             "subrubro_economico string, socio boolean, estado string, orden int")
+    cols = projects.REGISTRY_COLS + ("socio",)
+    merged = {r["rut"]: r for r in projects.insolvency_merge(hist, new, reg, "2022-11-07", registry_cols=cols).collect()}
     assert merged["r1"]["proceso_finalizado"] is True and merged["r2"]["fecha_publicacion"] == D(2022, 11, 7)
-    assert merged["r2"]["razon_social"] == "Dos"
+    assert merged["r2"]["razon_social"] == "Dos" and merged["r2"]["socio"] is True
     ins = mk([("r1", 1), ("r1", 2), ("r2", 1)], "rut string, n int")
     regs = mk([("r1", "ACTIVO"), ("r2", "INACTIVO")], "rut string, estado string")
     assert rows(projects.active_insolvencies(ins, regs, "n"), "rut", "n") == [("r1", 2)]

@@ -59,6 +59,7 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
     return df.where(~F.col("ignorado")).drop("ignorado")
 
 
+# Age bracket labels and experience ranges, in bracket order.
 AGE_LABELS = ["Menor a 30", "Entre 31 y 40", "Entre 41 y 50", "Entre 51 y 60", "Mayor a 60"]
 EXPERIENCE_ORDER = ["Sin experiencia", "De 0 a 1 año", "De 1 a 2 años", "De 2 a 5 años", "Más de 5 años"]
 

@@ -36,18 +36,22 @@ def project_milestones(milestones: DataFrame, order_by: str = "id_hito", keep_ou
                        cleared=["nombre_lider_hito", "gerencia_hito", "id_hito"], order_by=order_by)
 
 
+REGISTRY_COLS = ("razon_social", "tamano_de_empresa", "rubro_economico", "subrubro_economico", "estado")
+
+
 def insolvency_merge(history: DataFrame, new: DataFrame, registry: DataFrame, as_of,
-                     finished_by: str = "id", open_only: bool = False) -> DataFrame:
+                     finished_by: str = "id", open_only: bool = False,
+                     registry_cols: Sequence[str] = REGISTRY_COLS) -> DataFrame:
     """B22 (T1, X16, J10, J11, U2, D3, J3): today's insolvency list merged into the history.
 
     Publication dates of the new list are parsed from ``dd/MM/yyyy``; registry attributes
-    (active rows only, last row per id by ``orden``) are attached to the newly added ids.
+    (active rows only, last row per id by ``orden``; ``registry_cols``, e.g. a member flag column)
+    are attached to the newly added ids.
     The caller writes the result to a new path and switches, because history is also an input.
     """
     new = new.withColumn("fecha_publicacion", parse_date("fecha_publicacion", "dd/MM/yyyy"))
     return snapshot_merge(history, new, as_of, finished_by=finished_by, open_only=open_only, registry=registry,
-                          registry_cols=["razon_social", "tamano_de_empresa", "rubro_economico", "subrubro_economico",
-                                         "socio_cchc", "estado"],
+                          registry_cols=list(registry_cols),
                           registry_filter=F.col("estado") == "ACTIVO", registry_order="orden")
 
 
