@@ -35,3 +35,13 @@ def rows(df, *cols):
     """Sorted list of tuples (None-safe) for comparisons."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def plan_text(df):
+    """The physical plan as printed by ``explain()``."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

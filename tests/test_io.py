@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 from tidewater.sources.readers import file_prefixes, read_partitions, read_table, typed_ingest, with_path_columns
 from tidewater.sources.sinks import audit_row, high_water_mark, write_table
 from tidewater.functions.dates import partitions_since
@@ -30,7 +30,7 @@ def test_partition_pruned_read_and_path_columns(spark, tmp_dir):
     write_table(df, path, partition_by=["year", "month"], compression="gzip")
     got = read_partitions(spark, path, partitions_since("2023-03-20"))
     assert rows(got, "v") == [(2,)]
-    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(got)
     assert "PartitionFilters" in plan
     back = with_path_columns(spark.read.parquet(path), {"m": -2}, strip_prefix={"m": "month="})
     assert sorted(r["m"] for r in back.collect()) == ["1", "2", "3", "4"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 from tidewater.operators.aggregates import group_agg, profile_table
 from tidewater.operators.history import snapshot_merge
 from tidewater.operators.relational import (branch_counts, exclude, exists_flag, folded_join, hop, keep_only,
@@ -30,7 +30,7 @@ def test_latest_by_matches_row_number_window(spark):
 
 def test_hot_key_selection_is_reduced_before_the_shuffle(spark):
     df = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("t"))
-    plan = latest_by(df, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(latest_by(df, ["k"], "t"))
     partial = plan.index("Partial")
     assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
     assert rows(latest_by(df, ["k"], "t")) == [(0, 2999), (1, 2997)]

@@ -6,7 +6,7 @@ a side smaller than ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is
 broadcast, anything bigger stays a sort-merge join, and a skewed partition is
 split (``spark.sql.adaptive.skewJoin.enabled``). That is the size check.
 Literal tables built in code (month names, labels) are the only ones whose size
-is fixed; they are small enough that Spark broadcasts them by itself.
+is fixed by construction; ``sources.literal_table`` marks them for broadcast.
 """
 
 from __future__ import annotations

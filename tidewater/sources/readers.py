@@ -87,9 +87,17 @@ def file_prefixes(df: DataFrame, depth_from_end: int = 2, out: str = "prefix") -
     return df.select(F.element_at(segs, -depth_from_end).alias(out)).distinct()
 
 
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal table (labels, month names, groups)."""
-    return spark.createDataFrame(list(rows), schema)
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str, max_rows: int = 10_000) -> DataFrame:
+    """A small literal table (labels, month names, groups), marked for broadcast.
+
+    Its size is fixed by the rows written in code (checked against ``max_rows``), which is the
+    proven bound that makes broadcasting it safe at any data scale; a list built from data
+    does not belong here.
+    """
+    rows = list(rows)
+    if len(rows) > max_rows:
+        raise ValueError(f"literal table of {len(rows)} rows exceeds {max_rows}; read it as a table instead")
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
