@@ -87,3 +87,13 @@ def test_available_now_file_run(spark, tmp_dir):
     spark.createDataFrame([(3, "c")], "id int, s string").write.parquet(os.path.join(src, "batch=2"))
     run_available_files(spark, src, "id int, s string, batch int", lambda d: d.where("id > 1"), sink, ckpt)
     assert rows(spark.read.parquet(out), "id") == [(2,), (3,)]  # the first file is not read again
+
+
+def test_schema_evolution_on_append(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "evo")
+    write_table(spark.createDataFrame([(1, 2023)], "a int, year int"), path, partition_by=["year"])
+    write_table(spark.createDataFrame([(2, "x", 2024)], "a int, b string, year int"), path, mode="append",
+                partition_by=["year"])
+    back = read_table(spark, path, merge_schema=True)
+    assert sorted(back.columns) == ["a", "b", "year"]
+    assert rows(back, "a", "b", "year") == [(1, None, 2023), (2, "x", 2024)]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins at runtime from measured
 # shuffle sizes (a proven bound for broadcasting), coalesces small partitions
@@ -75,3 +76,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def temp_views(spark: SparkSession, frames: dict[str, "DataFrame"]):
+    """Register frames as temp views under unique names for one ``spark.sql`` call.
+
+    Yields ``{name: unique_view_name}``; the views are dropped on exit (``spark.sql`` resolves
+    them when the statement is analysed, so the returned DataFrame keeps working). Unique names
+    keep concurrent jobs in one session from replacing each other's views.
+    """
+    suffix = uuid.uuid4().hex[:8]
+    names = {k: f"{k}_{suffix}" for k in frames}
+    for k, df in frames.items():
+        df.createOrReplaceTempView(names[k])
+    try:
+        yield names
+    finally:
+        for v in names.values():
+            spark.catalog.dropTempView(v)
