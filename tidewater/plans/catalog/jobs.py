@@ -115,3 +115,162 @@ def tenders_staging_q(spark, d):
         F.col("o_orderpriority").alias("LIC_NOMBRE"),
         F.concat(F.lit("LICITACION "), F.col("o_orderstatus")).alias("LIC_DESCRIP"))
     return finance.tenders_staging(raw)
+
+
+from tidewater.plans import energy, membership, projects  # noqa: E402
+
+MILESTONE_SQL = f"""
+WITH m AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS id_proyecto, '-' || substr(o_orderpriority, 1, 1) AS id_tablero,
+         CAST(o_orderkey AS VARCHAR) AS id_hito,
+         CASE o_orderpriority WHEN '5-LOW' THEN 'Cabecera' WHEN '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END
+           AS nombre_hito,
+         'lider-' || o_orderstatus AS nombre_lider_hito, o_orderstatus AS gerencia_hito,
+         CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS is_finalizado,
+         CAST(o_orderdate AS DATE) AS fecha_planificada_inicio, CAST(o_orderdate AS DATE) + 30 AS fecha_planificada_fin,
+         CAST(o_orderdate AS DATE) + 1 AS fecha_real_inicio,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 45 END AS fecha_real_fin
+  FROM orders),
+f AS (SELECT * REPLACE (id_proyecto || id_tablero AS id_proyecto) FROM m
+      WHERE nombre_hito IS NULL OR nombre_hito NOT IN ({', '.join("'" + k + "'" for k in projects.KEEP_OUT)}))
+SELECT id_proyecto, id_tablero, id_hito, nombre_hito, nombre_lider_hito, gerencia_hito, is_finalizado,
+       fecha_planificada_inicio, fecha_planificada_fin, fecha_real_inicio, fecha_real_fin FROM f
+UNION ALL
+SELECT id_proyecto, arg_min(id_tablero, id_hito), CAST(NULL AS VARCHAR), '{projects.SUMMARY_LABEL}', CAST(NULL AS VARCHAR),
+       CAST(NULL AS VARCHAR), NOT bool_or(coalesce(is_finalizado = false, false)), min(fecha_planificada_inicio),
+       max(fecha_planificada_fin), min(fecha_real_inicio), max(fecha_real_fin)
+FROM f WHERE id_proyecto IS NOT NULL GROUP BY id_proyecto
+"""
+
+
+@register("project_milestones", MILESTONE_SQL)
+def project_milestones_q(spark, d):
+    """B37 through ``plans.projects.project_milestones``: orders as milestones of (customer, board)
+    projects; 'Cabecera' milestones dropped (null names kept); one summary row per project."""
+    o = Tables(spark, d).orders
+    day = F.to_date("o_orderdate")
+    ms = o.select(
+        F.col("o_custkey").cast("string").alias("id_proyecto"),
+        F.concat(F.lit("-"), F.substring("o_orderpriority", 1, 1)).alias("id_tablero"),
+        F.col("o_orderkey").cast("string").alias("id_hito"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "Cabecera").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", None)
+        .otherwise(F.col("o_orderpriority")).alias("nombre_hito"),
+        F.concat(F.lit("lider-"), F.col("o_orderstatus")).alias("nombre_lider_hito"),
+        F.col("o_orderstatus").alias("gerencia_hito"),
+        F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False).alias("is_finalizado"),
+        day.alias("fecha_planificada_inicio"), F.date_add(day, 30).alias("fecha_planificada_fin"),
+        F.date_add(day, 1).alias("fecha_real_inicio"),
+        F.when(F.col("o_orderstatus") == "F", F.date_add(day, 45)).alias("fecha_real_fin"))
+    return projects.project_milestones(ms)
+
+
+@register("attendance", """
+WITH a AS (
+  SELECT event_id, user_id AS reuid, CAST(ts AS DATE) AS reufecini,
+         CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS asiasis,
+         event_type || CASE WHEN value > 45 THEN ' SUSPENDIDA' ELSE ' ok' END AS reunom,
+         CASE WHEN value > 25 THEN 1 ELSE 2 END AS sexo,
+         CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+  FROM events),
+d AS (SELECT reuid, min(reufecini) AS d0 FROM a WHERE reufecini IS NOT NULL GROUP BY reuid HAVING min(reufecini) < max(reufecini))
+SELECT event_id, reuid, reufecini, asiasis, reunom, sexo, year, month,
+       CASE WHEN asiasis = 1 THEN 'SI' ELSE 'NO' END AS str_asistencia,
+       CAST(year AS VARCHAR) || CAST(month AS VARCHAR) AS periodo,
+       CASE WHEN regexp_matches(lower(reunom), 'cancelada|eliminada|pospuesta|reagendada|suspendida|postergada|cancelado|eliminado|pospuesto|reagendado|suspendido|postergado')
+            THEN false ELSE true END AS is_nombre_valido
+FROM a WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.reuid = a.reuid AND d.d0 = a.reufecini)
+""")
+def attendance_q(spark, d):
+    """B34 through ``plans.membership.attendance``: events as meeting attendance (user = meeting,
+    day = meeting date); earliest date of meetings held on several dates dropped; cancelled-word
+    flag; attendance text; period text."""
+    ev = Tables(spark, d).events
+    a = ev.select("event_id", F.col("user_id").alias("reuid"), F.to_date("ts").alias("reufecini"),
+                  F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("asiasis"),
+                  F.concat(F.col("event_type"), F.when(F.col("value") > 45, " SUSPENDIDA").otherwise(" ok")).alias("reunom"),
+                  F.when(F.col("value") > 25, 1).otherwise(2).alias("sexo"),
+                  F.year("ts").alias("year"), F.month("ts").alias("month"))
+    return membership.attendance(a)
+
+
+@register("meter_batches", """
+WITH k AS (SELECT DISTINCT 'M' || lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS k FROM lineitem
+           WHERE l_linenumber <> 1 AND l_returnflag = 'N'),
+i AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM k),
+g AS (SELECT CAST(floor(i / 30) AS BIGINT) AS grupo, CAST(count(*) AS BIGINT) AS n_keys,
+             string_agg('''' || k || '''', ', ' ORDER BY k) AS items FROM i GROUP BY 1)
+SELECT grupo, n_keys, '(' || items || ');grupo' || CAST(grupo AS VARCHAR) AS linea FROM g
+""")
+def meter_batches_q(spark, d):
+    """B9 through ``plans.energy.meter_batches``: line items as meter readings (part as meter,
+    line number as interval count, flag N as active); groups of 30 meters as text lines."""
+    li = Tables(spark, d).lineitem
+    readings = li.select(F.concat(F.lit("M"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("NOINS"),
+                         F.col("l_linenumber").alias("NOINTERVALS"),
+                         F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("IS_ACTIVE"))
+    return energy.meter_batches(readings)
+
+
+from tidewater.plans.catalog import AS_OF_ORDERS  # noqa: E402
+
+PROJECT_CODE_SQL = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'FRN' WHEN '2-HIGH' THEN 'FR' WHEN '3-MEDIUM' THEN 'FN' "
+                    "ELSE 'X' END || CAST(o_orderkey AS VARCHAR)")
+
+
+@register("financial_summary", f"""
+WITH l AS (
+  SELECT 'C' || substr(o_orderpriority, 1, 1) AS codigo_sap, o_orderstatus AS accountcode, {PROJECT_CODE_SQL} AS projectcode,
+         o_orderdate AS postingdate, o_totalprice AS debit_lc, CAST(0 AS DOUBLE) AS credit_lc, CAST(0 AS DOUBLE) AS debit_sc,
+         CAST(0 AS DOUBLE) AS credit_sc, CAST(year(o_orderdate) AS INTEGER) AS year
+  FROM orders),
+codes AS (SELECT upper(r_name) AS camara, 'C' || CAST(r_regionkey AS VARCHAR) AS code FROM region),
+tim AS (SELECT DISTINCT CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS BIGINT) AS id,
+               CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority <> '5-LOW'),
+acc AS (SELECT DISTINCT o_orderstatus AS codigo FROM orders WHERE o_orderstatus <> 'P'),
+ch AS (SELECT r_regionkey AS id, upper(r_name) AS descripcion FROM region),
+cur AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS fecha FROM lineitem),
+com AS (SELECT n_nationkey AS id, 'C' || CAST(n_nationkey AS VARCHAR) AS codigo_sap FROM nation)
+SELECT l.accountcode AS id, t.id AS id_fecha, coalesce(ch.id, 99999999) AS id_camara,
+       coalesce(acc.codigo, '99999999') AS id_cuenta_sap, coalesce(com.id, 99999999) AS id_comite,
+       l.debit_lc, l.credit_lc, l.credit_sc, l.debit_sc,
+       0 AS debit_lc_uf, 0 AS credit_lc_uf, 0 AS credit_sc_uf, 0 AS debit_sc_uf,
+       0 AS debit_lc_usd, 0 AS credit_lc_usd, 0 AS debit_sc_usd, 0 AS credit_sc_usd,
+       TIMESTAMP '{AS_OF_ORDERS} 00:00:00' AS fecha_creacion, TIMESTAMP '{AS_OF_ORDERS} 00:00:00' AS fecha_actualizacion,
+       CASE WHEN starts_with(l.projectcode, 'FRN') THEN 'Fondo Regional/Proyecto impacto'
+            WHEN starts_with(l.projectcode, 'FN') THEN 'Proyecto impacto'
+            WHEN starts_with(l.projectcode, 'FR') THEN 'Fondo Regional' END AS is_project,
+       l.year
+FROM l LEFT JOIN codes c ON c.code = l.codigo_sap
+LEFT JOIN tim t ON t.d = CAST(l.postingdate AS DATE)
+LEFT JOIN acc ON acc.codigo = l.accountcode
+LEFT JOIN ch ON ch.descripcion = c.camara
+LEFT JOIN cur ON cur.fecha = CAST(l.postingdate AS DATE)
+LEFT JOIN com ON com.codigo_sap = l.codigo_sap
+""")
+def financial_summary_q(spark, d):
+    """B26 through ``plans.finance.financial_summary``: orders as ledger lines (priority as chamber
+    code, status as account, priority-based project codes); regions as chambers (one code without a
+    chamber), order dates as the time dimension (low-priority-only dates missing), ship dates as
+    currency dates, nations as committees; unknown members become 99999999."""
+    t = Tables(spark, d)
+    o = t.orders
+    pc = F.concat(F.when(F.col("o_orderpriority") == "1-URGENT", "FRN").when(F.col("o_orderpriority") == "2-HIGH", "FR")
+                  .when(F.col("o_orderpriority") == "3-MEDIUM", "FN").otherwise("X"), F.col("o_orderkey").cast("string"))
+    ledger = o.select(F.concat(F.lit("C"), F.substring("o_orderpriority", 1, 1)).alias("distributionrulecode1"),
+                      F.col("o_orderstatus").alias("accountcode"), pc.alias("projectcode"),
+                      F.col("o_orderdate").alias("postingdate"), F.col("o_totalprice").alias("debit_lc"),
+                      F.lit(0.0).alias("credit_lc"), F.lit(0.0).alias("debit_sc"), F.lit(0.0).alias("credit_sc"),
+                      F.year("o_orderdate").alias("year"))
+    accounts = o.where(F.col("o_orderstatus") != "P").select(F.col("o_orderstatus").alias("codigo")).distinct()
+    chambers = t.region.select(F.col("r_regionkey").alias("id"), F.upper("r_name").alias("descripcion"))
+    day = F.to_date("o_orderdate")
+    time = (o.where(F.col("o_orderpriority") != "5-LOW")
+            .select((F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint").alias("id"),
+                    day.alias("date")).distinct())
+    currency = t.lineitem.select(F.to_date("l_shipdate").alias("fecha")).distinct().select(
+        "fecha", F.lit(1.0).alias("uf"), F.lit(2.0).alias("dolar"))
+    committees = t.nation.select(F.col("n_nationkey").alias("id"),
+                                 F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("codigo_sap"))
+    codes = t.region.select(F.col("r_name").alias("camara"),
+                            F.concat(F.lit("C"), F.col("r_regionkey").cast("string")).alias("id_camara_sap"))
+    return finance.financial_summary(ledger, accounts, chambers, time, currency, committees, codes, AS_OF_ORDERS)

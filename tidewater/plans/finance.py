@@ -95,7 +95,7 @@ def financial_summary(ledger: DataFrame, accounts: DataFrame, chambers: DataFram
                          "id_cuenta_sap": F.coalesce(F.col("id_cuenta_sap").cast("string"), F.lit(str(UNKNOWN_KEY)))})
     pc = F.col("projectcode")
     df = df.withColumn("is_project", later_wins([(pc.startswith(p), label) for p, label in PROJECT_RULES], None))
-    stamp = as_date(as_of).cast("timestamp")
+    stamp = as_date(as_of).cast("timestamp_ntz")
     df = df.withColumns({**{c: F.lit(0) for c in CONVERTED}, "fecha_creacion": stamp, "fecha_actualizacion": stamp})
     df = df.withColumnRenamed("accountcode", "id")
     return df.select("id", "id_fecha", "id_camara", "id_cuenta_sap", "id_comite", "debit_lc", "credit_lc",
