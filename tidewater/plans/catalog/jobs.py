@@ -274,3 +274,173 @@ def financial_summary_q(spark, d):
     codes = t.region.select(F.col("r_name").alias("camara"),
                             F.concat(F.lit("C"), F.col("r_regionkey").cast("string")).alias("id_camara_sap"))
     return finance.financial_summary(ledger, accounts, chambers, time, currency, committees, codes, AS_OF_ORDERS)
+
+
+from tidewater.plans import employment, sport  # noqa: E402
+from tidewater.plans.employment import AGE_LABELS, EXPERIENCE_ORDER, REGION_NAMES  # noqa: E402
+
+
+def _sql_case(col: str, pairs, default: str = "NULL") -> str:
+    def q(v):
+        return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    return "CASE " + " ".join(f"WHEN {col} = {q(k)} THEN {q(v)}" for k, v in pairs) + f" ELSE {default} END"
+
+
+_AGE_CASE = ("CASE WHEN edad <= 30 THEN 'Menor a 30' WHEN edad > 30 AND edad <= 40 THEN 'Entre 31 y 40' "
+             "WHEN edad > 40 AND edad <= 50 THEN 'Entre 41 y 50' WHEN edad > 50 AND edad <= 60 THEN 'Entre 51 y 60' "
+             "ELSE 'Mayor a 60' END")
+
+
+@register("workers", f"""
+WITH t AS (
+  SELECT o.o_orderkey AS id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS fecha_registro,
+         CAST(o.o_custkey AS VARCHAR) AS num_documento, lower(substr(c.c_mktsegment, 1, 1)) AS digito_verificador,
+         o.o_orderpriority AS ocupacion,
+         {_sql_case('o.o_orderstatus', [('F', EXPERIENCE_ORDER[0]), ('O', EXPERIENCE_ORDER[3])])} AS rango_experiencia,
+         n.n_name AS region, c.c_name AS comuna,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(floor(c.c_acctbal / 100) AS INTEGER) END AS edad,
+         substr(c.c_mktsegment, 1, 1) AS sexo
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+ofi AS (SELECT DISTINCT o_orderpriority AS oficio FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+esp AS (SELECT DISTINCT o_orderpriority AS ocupacion, 'Esp ' || o_orderpriority AS especialidad FROM orders
+        WHERE o_orderpriority <> '5-LOW'),
+ces AS (SELECT CAST(c_custkey AS VARCHAR) || upper(substr(c_mktsegment, 1, 1)) AS rut, 'Si' AS fundacion_social
+        FROM customer WHERE c_acctbal < 0),
+j AS (
+  SELECT t.*, t.num_documento || t.digito_verificador AS rut, ofi.oficio,
+         coalesce(esp.especialidad, 'Sin Información') AS especialidad, coalesce(ces.fundacion_social, 'No') AS fundacion_social,
+         {_sql_case('t.rango_experiencia', [(lab, i + 1) for i, lab in enumerate(EXPERIENCE_ORDER)])} AS OrdenRangoExperiencia,
+         {_AGE_CASE} AS tramo_de_edad,
+         CASE WHEN sexo = 'M' THEN 'Mujeres' WHEN sexo = 'H' THEN 'Hombres' ELSE 'Sin Información' END AS genero
+  FROM t LEFT JOIN ofi ON ofi.oficio = t.ocupacion LEFT JOIN esp ON esp.ocupacion = t.ocupacion
+  LEFT JOIN ces ON ces.rut = t.num_documento || upper(t.digito_verificador)),
+k AS (
+  SELECT * REPLACE (CAST(fecha_registro AS DATE) AS fecha_registro),
+         {_sql_case('tramo_de_edad', [(lab, i + 1) for i, lab in enumerate(AGE_LABELS)])} AS OrdenTramoEdad,
+         concat_ws('', rut, ocupacion) AS clave_combinada, concat_ws('', rut, rango_experiencia) AS experiencia_combinada,
+         concat_ws('', rut, oficio) AS oficio_combinada, concat_ws('', rut, especialidad) AS especialidades_combinada,
+         row_number() OVER (PARTITION BY rut, ocupacion ORDER BY CAST(fecha_registro AS DATE), id) AS rn
+  FROM j)
+SELECT * EXCLUDE (rn) FROM k WHERE rn = 1
+""")
+def workers_q(spark, d):
+    """B20 through ``plans.employment.workers``: orders as worker registrations (customer as person,
+    priority as occupation, status as experience); trade and speciality lookups, unemployed list on an
+    expression key, brackets, ordinals, composite keys, first registration per (rut, occupation)."""
+    t = Tables(spark, d)
+    o, c = t.orders, t.customer
+    exp = F.when(F.col("o_orderstatus") == "F", EXPERIENCE_ORDER[0]).when(F.col("o_orderstatus") == "O", EXPERIENCE_ORDER[3])
+    trab = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").cast("string").alias("fecha_registro"),
+                    F.col("o_custkey").cast("string").alias("num_documento"),
+                    F.lower(F.substring("c_mktsegment", 1, 1)).alias("digito_verificador"),
+                    F.col("o_orderpriority").alias("ocupacion"), exp.alias("rango_experiencia"),
+                    F.col("n_name").alias("region"), F.col("c_name").alias("comuna"),
+                    F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.floor(F.col("c_acctbal") / 100).cast("int")).alias("edad"),
+                    F.substring("c_mktsegment", 1, 1).alias("sexo")))
+    oficios = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.col("o_orderpriority").alias("oficio")).distinct()
+    esp = o.where(F.col("o_orderpriority") != "5-LOW").select(
+        F.col("o_orderpriority").alias("ocupacion"), F.concat(F.lit("Esp "), F.col("o_orderpriority")).alias("especialidad")).distinct()
+    ces = c.where(F.col("c_acctbal") < 0).select(
+        F.concat(F.col("c_custkey").cast("string"), F.upper(F.substring("c_mktsegment", 1, 1))).alias("rut"),
+        F.lit("Si").alias("fundacion_social"))
+    return employment.workers(trab, oficios, esp, ces, tie_break="id")
+
+
+@register("first_version_cost", """
+WITH p AS (
+  SELECT l.l_orderkey AS id, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS date, l.l_suppkey AS key_id,
+         l.l_extendedprice AS value, l.l_linenumber AS reported_time_id, l.l_partkey AS audit_id, l.l_quantity AS q
+  FROM lineitem l),
+k AS (SELECT s_suppkey AS key_id, s_name AS barra FROM supplier WHERE CASE WHEN s_acctbal > 0 THEN 92 ELSE 1 END = 92),
+j AS (SELECT p.*, k.barra, row_number() OVER (PARTITION BY k.barra, p.reported_time_id
+                                               ORDER BY p.audit_id, p.id, p.value, p.q, p.date) AS rn
+      FROM p JOIN k ON p.key_id = k.key_id
+      WHERE p.audit_id IS NOT NULL AND k.barra IS NOT NULL AND p.reported_time_id IS NOT NULL)
+SELECT barra, reported_time_id, audit_id, id, value AS costo_marginal, date,
+       CAST(year(CAST(date AS DATE)) AS INTEGER) AS year, CAST(month(CAST(date AS DATE)) AS INTEGER) AS month,
+       CAST(day(CAST(date AS DATE)) AS INTEGER) AS day
+FROM j WHERE rn = 1
+""")
+def first_version_cost_q(spark, d):
+    """B3 through ``plans.energy.programmed_marginal_cost``: line items as programmed values (supplier
+    as key, line number as reported time, part key as audit id), keys of one type (suppliers with a
+    positive balance), the smallest audit per (key name, time)."""
+    t = Tables(spark, d)
+    prog = t.lineitem.select(F.col("l_orderkey").alias("id"), F.to_date("l_shipdate").cast("string").alias("date"),
+                             F.col("l_suppkey").alias("key_id"), F.col("l_extendedprice").alias("value"),
+                             F.col("l_linenumber").alias("reported_time_id"), F.col("l_partkey").alias("audit_id"),
+                             F.col("l_quantity").alias("q"))
+    keys = t.supplier.select(F.col("s_suppkey").alias("id"),
+                             F.when(F.col("s_acctbal") > 0, 92).otherwise(1).alias("key_type_id"),
+                             F.col("s_name").alias("name"))
+    out = energy.programmed_marginal_cost(prog, keys, tie_break=["id", "value", "q", "date"])
+    return out.select("barra", "reported_time_id", "audit_id", "id", "costo_marginal", "date", "year", "month", "day")
+
+
+@register("penalty_scorers", """
+SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS scorer, CAST(count(*) AS BIGINT) AS goles
+FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 ORDER BY goles DESC, scorer LIMIT 10
+""")
+def penalty_scorers_q(spark, d):
+    """B40 through ``plans.sport.penalty_scorers``: returned lines as penalty goals per supplier;
+    the ten most (ties by name) — the limit is the report."""
+    li = Tables(spark, d).lineitem
+    goals = li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("scorer"),
+                      (F.col("l_returnflag") == "R").alias("penalty"))
+    return sport.penalty_scorers(goals, top=10)
+
+
+_REGION_NAME_SQL = "CASE r_regionkey WHEN 0 THEN 'MIGRACION' WHEN 1 THEN 'Bío Bío' WHEN 2 THEN 'Maule' WHEN 3 THEN 'Ñuble' ELSE r_name END"
+_FOLD_SQL = "regexp_replace(strip_accents(lower({0})), '[^\\x00-\\x7F]', '', 'g')"
+
+
+@register("education_levels", f"""
+WITH per AS (
+  SELECT c.c_custkey AS id, concat_ws('', CAST(c.c_custkey AS VARCHAR), nullif(substr(c.c_mktsegment, 1, 1), 'H')) AS rut,
+         n.n_regionkey AS id_region, CASE WHEN c.c_acctbal > 0 THEN c.c_nationkey END AS id_comuna
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+m AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+cu AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+su AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1),
+reg AS (SELECT r_regionkey AS id, {_REGION_NAME_SQL} AS nombre FROM region),
+com AS (SELECT n_nationkey AS id, n_name || ' Sur' AS nombre FROM nation),
+g AS (
+  SELECT p.rut, reg.nombre AS region, com.nombre AS comuna, sum(coalesce(m.n, 0)) AS ed_media,
+         sum(coalesce(cu.n, 0)) AS cursos, sum(coalesce(su.n, 0)) AS ed_superior
+  FROM per p LEFT JOIN m ON m.k = p.id LEFT JOIN cu ON cu.k = p.id LEFT JOIN su ON su.k = p.id
+  LEFT JOIN reg ON reg.id = p.id_region LEFT JOIN com ON com.id = p.id_comuna
+  GROUP BY 1, 2, 3
+  HAVING sum(coalesce(m.n, 0)) > 0 OR sum(coalesce(cu.n, 0)) > 0 OR sum(coalesce(su.n, 0)) > 0),
+geo AS (SELECT upper(n.n_name) || ' SUR' AS comuna, r.r_name AS region
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey <> 7)
+SELECT rut, {_sql_case('region', list(REGION_NAMES.items()))} AS region, comuna,
+       ed_media > 0 AS tiene_ed_media, cursos > 0 AS tiene_cursos, ed_superior > 0 AS tiene_ed_superior
+FROM g WHERE comuna IS NULL AND (region IS NULL OR region <> 'MIGRACION')
+UNION ALL
+SELECT g.rut, geo.region, g.comuna, g.ed_media > 0, g.cursos > 0, g.ed_superior > 0
+FROM g LEFT JOIN geo ON {_FOLD_SQL.format('geo.comuna')} = {_FOLD_SQL.format('g.comuna')}
+WHERE g.comuna IS NOT NULL
+""")
+def education_levels_q(spark, d):
+    """B14 through ``plans.employment.education_levels``: customers as people (check letter missing for
+    one segment, no municipality when the balance is not positive), urgent orders, finished orders and
+    events as the three education branches, regions with names from the fixed map (one region
+    'MIGRACION'), nations as municipalities matched accent- and case-insensitively to a geography."""
+    t = Tables(spark, d)
+    per = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("ID"), F.col("c_custkey").cast("string").alias("NUM_DOCUMENTO"),
+        F.nullif(F.substring("c_mktsegment", 1, 1), F.lit("H")).alias("DIGITO_VERIFICADOR"),
+        F.col("n_regionkey").alias("ID_REGION"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_nationkey")).alias("ID_COMUNA"))
+    media = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("ID_PERSONA"))
+    cursos = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("ID_PERSONA"))
+    superior = t.events.select(F.col("user_id").alias("ID_PERSONA"))
+    rk = F.col("r_regionkey")
+    regiones = t.region.select(rk.alias("ID"), F.when(rk == 0, "MIGRACION").when(rk == 1, "Bío Bío").when(rk == 2, "Maule")
+                               .when(rk == 3, "Ñuble").otherwise(F.col("r_name")).alias("NOMBRE"))
+    comunas = t.nation.select(F.col("n_nationkey").alias("ID"), F.concat(F.col("n_name"), F.lit(" Sur")).alias("NOMBRE"))
+    geo = (t.nation.where(F.col("n_nationkey") != 7).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+           .select(F.concat(F.upper("n_name"), F.lit(" SUR")).alias("comuna"), F.col("r_name").alias("region")))
+    out = employment.education_levels(per, media, cursos, superior, regiones, comunas, geo)
+    return out.select("rut", "region", "comuna", "tiene_ed_media", "tiene_cursos", "tiene_ed_superior")

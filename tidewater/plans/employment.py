@@ -78,7 +78,7 @@ def ordinal(c, labels) -> F.Column:
 
 
 def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFrame, cesantes: DataFrame,
-            order_by: str = "fecha_registro") -> DataFrame:
+            order_by: str = "fecha_registro", tie_break="clave_combinada") -> DataFrame:
     """B20 (J12, C1, X8, D2): workers with trade and speciality lookups, unemployed flag on an
     expression key, brackets and ordinals, composite keys, one row per (rut, occupation) by
     ``order_by`` (an explicit tie-break replaces the unordered drop-duplicates, N8)."""
@@ -102,7 +102,7 @@ def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFra
         "especialidades_combinada": concat_null_empty("rut", "especialidad"),
         "fecha_registro": F.col("fecha_registro").cast("date"),
     })
-    return first_by(t, ["rut", "ocupacion"], order_by=order_by, tie_break="clave_combinada")
+    return first_by(t, ["rut", "ocupacion"], order_by=order_by, tie_break=tie_break)
 
 
 def activity_by_month(spark: SparkSession, downloads: DataFrame, invitations: DataFrame, lists_created: DataFrame,
