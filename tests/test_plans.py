@@ -250,14 +250,14 @@ def test_attendance_jobs(spark):
     assert membership.pass_through(mk([(1,)], "ID_X long"), {"id_x": "id"}).columns == ["id"]
 
 
-def test_member_registry(spark):
+def test_member_totals(spark):
     mk = spark.createDataFrame
     soc = mk([("ABC", 1, 1, "S1")], "rut string, c_custkey long, c_nationkey int, c_mktsegment string")
     emp = mk([("Def", 2)], "rut string, c_nationkey int")
     reg = mk([(1, "uno")], "c_nationkey int, nacion string")
     ins = mk([("def",)], "rut string")
     orders = mk([("abc", 1.5), ("ABC", 2.0)], "rut string, o_totalprice double")
-    out = {r["rut"]: r for r in membership.member_registry(soc, emp, reg, ins, orders).collect()}
+    out = {r["rut"]: r for r in membership.member_totals(soc, emp, reg, ins, orders).collect()}
     assert out["abc"]["n_pedidos"] == 2 and out["abc"]["monto"] == 3.5 and out["abc"]["nacion"] == "uno"
     assert out["def"]["insolvente"] is True and out["def"]["segmento"] == "Sin Información"
 
@@ -358,3 +358,52 @@ def test_sport_jobs(spark):
     assert tab["B"]["draws"] == 1  # away draws are counted (corrected order)
     goals = mk([("x", True), ("x", True), ("y", True), ("z", False)], "scorer string, penalty boolean")
     assert rows(sport.penalty_scorers(goals, top=2)) == [("x", 2), ("y", 1)]
+
+
+def test_member_registry_job(spark):
+    mk = spark.createDataFrame
+    members = mk([("R1",), ("R2",), ("R3",)], "rut string")
+    registry = mk([("r1", "Uno SA", "CONSTRUCCION", "CONSTRUCCION DE EDIFICIOS", "PJ", None, "Mediana", "T1", 3),
+                   ("r2", "Dos SA", None, "OTRO", "PJ", "Tramo 2", "Chica", None, None)],
+                  "rut string, razon_social string, rubro_economico string, subrubro_economico string, "
+                  "tipo_de_contribuyente string, tramo_de_facturacion_txt string, tamano_de_empresa string, "
+                  "tramo_trabajadores string, tramo_capital_propio_positivo int")
+    manual = mk([("R3", "Tres Ltda")], "rut string, razon_social string")
+    ins = mk([("r2",), ("R2",)], "rut string")
+    comp = mk([("R1", "ACTIVO", "SANTIAGO")], "rut string, estado string, camara_casa_matriz string")
+    out = {r["rut"]: r for r in membership.member_registry(members, registry, manual, ins, comp, 2021).collect()}
+    assert set(out) == {"r1", "r2", "r3"}
+    assert out["r1"]["grupo_caenes"] == "CONSTRUCCIÓN DE EDIFICIOS" and out["r1"]["socio"] is True
+    assert out["r1"]["tramo_capital_propio_txt"] == "3. 25 < y <= 50UF" and out["r1"]["tramo_de_facturacion_txt"] == "No Informado"
+    assert out["r2"]["insolvente"] is True and out["r2"]["rubro_economico"] == "Valor por Defecto"
+    assert out["r2"]["tramo_capital_propio_txt"] == "Sin Información" and out["r2"]["socio"] is False
+    assert out["r3"]["razon_social"] == "Tres Ltda" and out["r3"]["commercial_year"] == 2021
+
+
+def test_company_dimension_geography_and_registry(spark):
+    mk = spark.createDataFrame
+    emp = mk([("1k", 1, "Metropolitana", "Ñuñoa"), ("2", 1, "Maule", "Migración")],
+             "rut string, estado int, nom_region string, nom_comuna string")
+    empty_rut = mk([], "rut string")
+    act = mk([], "rut string, persona_lista long")
+    usr = mk([], "rut string, vistas_cv long, descarga_cv long, fecha_alta date")
+    geo = mk([(13, "Nunoa"), (13, "ÑUÑOA")], "idconecta long, comuna string")
+    reg = mk([("1-K", "Grande")], "rut string, tamano_de_empresa string")
+    out = {r["rut"]: r for r in employment.company_dimension(emp, empty_rut, act, usr, empty_rut, "2023-01-01",
+                                                             geography=geo, registry=reg).collect()}
+    assert out["1K"]["id_camara"] == 13 and out["1K"]["tamano_de_empresa"] == "Grande"
+    assert out["2"]["nom_comuna"] == "Sin Información" and out["2"]["id_camara"] is None
+
+
+def test_workers_geography(spark):
+    mk = spark.createDataFrame
+    t = mk([("2023-01-01", "1", "k", "A", None, "R", "Ñuñoa", 20, "M"), ("2023-01-01", "2", "k", "A", None, "R", "Talca", 20, "M"),
+            ("2023-01-01", "3", "k", "A", None, "R", "Nada", 20, "M")],
+           "fecha_registro string, num_documento string, digito_verificador string, ocupacion string, "
+           "rango_experiencia string, region string, comuna string, edad int, sexo string")
+    none = mk([], "oficio string")
+    esp = mk([], "ocupacion string, especialidad string")
+    ces = mk([], "rut string, fundacion_social string")
+    geo = mk([("1", "Nunoa"), ("7", "TALCA")], "idconecta string, comuna string")
+    out = {r["rut"]: r["santiago_region"] for r in employment.workers(t, none, esp, ces, geography=geo).collect()}
+    assert out == {"1k": "Santiago", "2k": "Regiones", "3k": "Sin información"}

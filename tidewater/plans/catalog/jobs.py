@@ -444,3 +444,87 @@ def education_levels_q(spark, d):
            .select(F.concat(F.upper("n_name"), F.lit(" SUR")).alias("comuna"), F.col("r_name").alias("region")))
     out = employment.education_levels(per, media, cursos, superior, regiones, comunas, geo)
     return out.select("rut", "region", "comuna", "tiene_ed_media", "tiene_cursos", "tiene_ed_superior")
+
+
+from tidewater.plans.membership import CAPITAL_BRACKETS, CONSTRUCTION_GROUPS  # noqa: E402
+
+_BRACKET_EDGES = [10, 25, 50, 100, 250, 500, 1000, 2000, 10000]
+
+
+def _bracket_sql(col: str) -> str:
+    parts, low = [], 0
+    for i, e in enumerate(_BRACKET_EDGES, start=1):
+        parts.append(f"WHEN {col} > {low} AND {col} <= {e} THEN {i}")
+        low = e
+    return "CASE " + " ".join(parts) + f" WHEN {col} > {low} THEN {len(_BRACKET_EDGES) + 1} END"
+
+
+def _values_sql(rows, cols, alias):
+    body = ", ".join("(" + ", ".join(("'" + v.replace("'", "''") + "'") if isinstance(v, str) else str(v) for v in r) + ")"
+                     for r in rows)
+    return f"(VALUES {body}) AS {alias}({', '.join(cols)})"
+
+
+_SUBSECTOR_SQL = ("CASE c.c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCCION DE EDIFICIOS' "
+                  "WHEN 'MACHINERY' THEN 'DEMOLICION Y PREPARACION DEL TERRENO' ELSE c.c_mktsegment END")
+
+
+@register("registry_members", f"""
+WITH members AS (SELECT lower(c_name) AS rut FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+                 UNION ALL SELECT lower(s_name) FROM supplier WHERE s_acctbal > 5000),
+reg AS (
+  SELECT lower(s_name) AS rut, s_name || ' Manual' AS razon_social FROM supplier
+  UNION ALL BY NAME
+  SELECT lower(c.c_name) AS rut, c.c_name || ' SA' AS razon_social,
+         CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c.c_mktsegment END AS rubro_economico,
+         {_SUBSECTOR_SQL} AS subrubro_economico, 'PJ' AS tipo_de_contribuyente,
+         CASE WHEN c.c_acctbal > 5000 THEN 'Grande' END AS tramo_de_facturacion_txt, n.n_name AS tamano_de_empresa,
+         CASE WHEN c.c_acctbal > 0 THEN 'T' || CAST(c.c_nationkey AS VARCHAR) END AS tramo_trabajadores,
+         {_bracket_sql('c.c_acctbal')} AS tramo_capital_propio_positivo
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_nationkey <> 5),
+ins AS (SELECT DISTINCT lower(c.c_name) AS rut FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        WHERE o.o_orderstatus = 'P' AND o.o_totalprice > 300000),
+comp AS (SELECT lower(c.c_name) AS rut, 'ACTIVO' AS estado, n.n_name AS camara_casa_matriz, true AS socio
+         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_acctbal > 0)
+SELECT m.rut, r.razon_social, g.grupo_caenes, coalesce(r.rubro_economico, 'Valor por Defecto') AS rubro_economico,
+       coalesce(r.subrubro_economico, 'Valor por Defecto') AS subrubro_economico, r.tipo_de_contribuyente,
+       coalesce(r.tramo_de_facturacion_txt, 'No Informado') AS tramo_de_facturacion_txt, r.tamano_de_empresa,
+       coalesce(r.tramo_trabajadores, 'Sin Información') AS tramo_trabajadores,
+       coalesce(b.txt, 'Sin Información') AS tramo_capital_propio_txt, coalesce(cp.socio, false) AS socio,
+       cp.estado, cp.camara_casa_matriz, i.rut IS NOT NULL AS insolvente, CAST(2021 AS INTEGER) AS commercial_year
+FROM members m LEFT JOIN reg r ON r.rut = m.rut LEFT JOIN ins i ON i.rut = m.rut LEFT JOIN comp cp ON cp.rut = m.rut
+LEFT JOIN {_values_sql([(k, v) for k, vs in CONSTRUCTION_GROUPS.items() for v in vs], ['grupo_caenes', 'sub'], 'g')}
+  ON g.sub = r.subrubro_economico
+LEFT JOIN {_values_sql(CAPITAL_BRACKETS, ['n', 'txt'], 'b')} ON b.n = r.tramo_capital_propio_positivo
+""")
+def registry_members_q(spark, d):
+    """B23 through ``plans.membership.member_registry``: customers of two segments and well-funded
+    suppliers as members; customers (one nation missing) as the yearly registry plus suppliers as
+    manual rows; large pending orders as insolvencies; customers with a positive balance as companies."""
+    t = Tables(spark, d)
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    members = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(F.col("c_name").alias("rut")) \
+        .unionByName(t.supplier.where(F.col("s_acctbal") > 5000).select(F.col("s_name").alias("rut")))
+    bal = F.col("c_acctbal")
+    rules, low = [], 0
+    for i, e in enumerate(_BRACKET_EDGES, start=1):
+        rules.append(((bal > low) & (bal <= e), i))
+        low = e
+    rules.append((bal > low, len(_BRACKET_EDGES) + 1))
+    from tidewater.functions.rules import first_rule
+    seg = F.col("c_mktsegment")
+    registry = c.where(F.col("c_nationkey") != 5).select(
+        F.col("c_name").alias("rut"), F.concat(F.col("c_name"), F.lit(" SA")).alias("razon_social"),
+        F.when(seg == "HOUSEHOLD", F.lit(None)).otherwise(seg).alias("rubro_economico"),
+        F.when(seg == "BUILDING", "CONSTRUCCION DE EDIFICIOS").when(seg == "MACHINERY", "DEMOLICION Y PREPARACION DEL TERRENO")
+        .otherwise(seg).alias("subrubro_economico"),
+        F.lit("PJ").alias("tipo_de_contribuyente"),
+        F.when(bal > 5000, "Grande").alias("tramo_de_facturacion_txt"), F.col("n_name").alias("tamano_de_empresa"),
+        F.when(bal > 0, F.concat(F.lit("T"), F.col("c_nationkey").cast("string"))).alias("tramo_trabajadores"),
+        first_rule(rules, F.lit(None).cast("int")).alias("tramo_capital_propio_positivo"))
+    manual = t.supplier.select(F.col("s_name").alias("rut"), F.concat(F.col("s_name"), F.lit(" Manual")).alias("razon_social"))
+    ins = (t.orders.where((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 300000))
+           .join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_name").alias("rut")))
+    comp = c.where(bal > 0).select(F.col("c_name").alias("rut"), F.lit("ACTIVO").alias("estado"),
+                                   F.col("n_name").alias("camara_casa_matriz"))
+    return membership.member_registry(members, registry, manual, ins, comp, 2021)

@@ -195,7 +195,7 @@ LEFT JOIN insolvent i ON m.rut = i.rut LEFT JOIN totals t ON m.rut = t.rut
 def member_registry(spark, d):
     """Members from two sources with different columns (U2), lowercased keys (X1), registry lookup (J3),
     insolvency flag (J8), pre-aggregated totals (A1, A4), per-column fills (C5)."""
-    from tidewater.plans.membership import member_registry as job
+    from tidewater.plans.membership import member_totals as job
     t = Tables(spark, d)
     socios = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
         F.col("c_name").alias("rut"), "c_custkey", "c_nationkey", "c_mktsegment")
@@ -258,7 +258,7 @@ def company_dim(spark, d):
                                F.to_date("o_orderdate").alias("fecha_alta"))
     socios = t.customer.where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_custkey").cast("string").alias("rut"))
-    return company_dimension(empresas, ignorar, actividad, usuarios, socios, AS_OF_ORDERS)
+    return company_dimension(empresas, ignorar, actividad, usuarios, socios, AS_OF_ORDERS, capital_region="NATION_0")
 
 
 SNAPSHOT_BASE = """

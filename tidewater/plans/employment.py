@@ -14,7 +14,8 @@ from tidewater.operators.versions import first_by
 
 
 def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFrame, usuarios: DataFrame,
-                      socios: DataFrame, as_of, region_col: str = "nom_region", capital_region: str = "NATION_0") -> DataFrame:
+                      socios: DataFrame, as_of, region_col: str = "nom_region", capital_region: str = "Metropolitana",
+                      geography: DataFrame | None = None, registry: DataFrame | None = None) -> DataFrame:
     """B19. Inputs, all keyed by ``rut``:
 
     - ``empresas``: rut, estado, ``region_col`` and optionally ``fechaalta`` (date);
@@ -26,6 +27,11 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
     Activity status comes from the days since the last activity at ``as_of`` (T7, C1); ``uso``
     needs activity, ``estado = 1`` and no exclusion (C7); ``f_365`` marks sign-ups within a year
     (T19). Excluded companies are dropped at the end (J9).
+
+    With ``geography`` (idconecta, comuna) the chamber id is looked up by accent-folded
+    municipality (J14; municipality ``migracion`` becomes 'Sin Información'); with ``registry``
+    (rut with ``-``, size and sector columns) the tax-registry attributes are joined on the
+    normalised id (dash removed, upper case).
     """
     d = as_date(as_of)
     cvs = actividad.groupBy("rut").agg(F.sum("persona_lista").alias("persona_lista"))
@@ -55,8 +61,19 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
         "fechaalta",
         within_last_year("fechaalta", as_of).alias("f_365"),
         F.when(F.col(region_col) == capital_region, "Santiago").otherwise("Regiones").alias("santiago_region"),
-        "ignorado")
-    return df.where(~F.col("ignorado")).drop("ignorado")
+        "ignorado", *[c for c in ("nom_comuna",) if c in df.columns])
+    df = df.where(~F.col("ignorado")).drop("ignorado")
+    if geography is not None:
+        from tidewater.functions.text import fold
+        geo = geography.select(F.col("idconecta").alias("id_camara"), fold("comuna").alias("__c")).distinct()
+        df = df.withColumn("__c", fold("nom_comuna")).join(geo, "__c", "left")
+        df = df.withColumn("nom_comuna", F.when(F.col("__c") == "migracion", "Sin Información")
+                           .otherwise(F.col("nom_comuna"))).drop("__c")
+    if registry is not None:
+        from tidewater.functions.text import strip_dash_upper
+        reg = registry.select(strip_dash_upper("rut").alias("rut"), *[c for c in registry.columns if c != "rut"])
+        df = df.withColumn("rut", F.upper("rut")).join(reg, "rut", "left")
+    return df
 
 
 # Age bracket labels and experience ranges, in bracket order.
@@ -78,7 +95,8 @@ def ordinal(c, labels) -> F.Column:
 
 
 def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFrame, cesantes: DataFrame,
-            order_by: str = "fecha_registro", tie_break="clave_combinada") -> DataFrame:
+            order_by: str = "fecha_registro", tie_break="clave_combinada",
+            geography: DataFrame | None = None) -> DataFrame:
     """B20 (J12, C1, X8, D2): workers with trade and speciality lookups, unemployed flag on an
     expression key, brackets and ordinals, composite keys, one row per (rut, occupation) by
     ``order_by`` (an explicit tie-break replaces the unordered drop-duplicates, N8)."""
@@ -102,6 +120,16 @@ def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFra
         "especialidades_combinada": concat_null_empty("rut", "especialidad"),
         "fecha_registro": F.col("fecha_registro").cast("date"),
     })
+    if geography is not None:
+        # regional chamber by accent-folded municipality, then the Santiago / regions label
+        from tidewater.functions.text import fold
+        geo = geography.select(F.col("idconecta").cast("bigint").alias("id_camara_regional"),
+                               fold("comuna").alias("__c")).distinct()
+        t = t.withColumn("__c", fold("comuna")).join(geo, "__c", "left").drop("__c")
+        t = t.withColumn("santiago_region", first_rule([
+            (F.col("id_camara_regional") == 1, "Santiago"),
+            (F.col("id_camara_regional").isNotNull() & (F.col("id_camara_regional") != 1), "Regiones")],
+            "Sin información"))
     return first_by(t, ["rut", "ocupacion"], order_by=order_by, tie_break=tie_break)
 
 

@@ -17,9 +17,9 @@ from tidewater.operators.sets import union_all
 from tidewater.operators.versions import drop_earliest_dup, first_by
 
 
-def member_registry(socios: DataFrame, empresas: DataFrame, registry: DataFrame, insolvencies: DataFrame,
-                    orders: DataFrame) -> DataFrame:
-    """Members from two sources with different columns appended (U2), keys lowercased (X1),
+def member_totals(socios: DataFrame, empresas: DataFrame, registry: DataFrame, insolvencies: DataFrame,
+                  orders: DataFrame) -> DataFrame:
+    """Members from two sources with different columns appended (U2), keys lowercased (X1),
     registry attributes looked up (J3), insolvency flag (J8), per-member totals pre-aggregated
     and joined one-to-one (A1, A4), fills per column (C5)."""
     members = union_all([socios.withColumn("rut", F.lower("rut")), empresas.withColumn("rut", F.lower("rut"))],
@@ -35,6 +35,58 @@ def member_registry(socios: DataFrame, empresas: DataFrame, registry: DataFrame,
                       F.coalesce("monto", F.lit(0.0)).alias("monto"))
 
 
+# Construction sub-sectors grouped into sector groups.
+CONSTRUCTION_GROUPS = {
+    "ACTIVIDADES ESPECIALIZADAS DE CONSTRUCCIÓN": [
+        "DEMOLICION Y PREPARACION DEL TERRENO",
+        "INSTALACIONES ELECTRICAS, DE GASFITERIA Y OTRAS INSTALACIONES PARA OBRAS DE CONSTRUCCION",
+        "OTRAS ACTIVIDADES ESPECIALIZADAS DE CONSTRUCCION",
+        "TERMINACION Y ACABADO DE EDIFICIOS",
+    ],
+    "CONSTRUCCIÓN DE EDIFICIOS": ["CONSTRUCCION DE EDIFICIOS"],
+    "OBRAS DE INGENIERÍA CIVIL": [
+        "CONSTRUCCION DE CARRETERAS Y LINEAS DE FERROCARRIL",
+        "CONSTRUCCION DE OTRAS OBRAS DE INGENIERIA CIVIL",
+        "CONSTRUCCION DE PROYECTOS DE SERVICIO PUBLICO",
+    ],
+}
+
+REGISTRY_OUTPUT = ["rut", "razon_social", "grupo_caenes", "rubro_economico", "subrubro_economico",
+                   "tipo_de_contribuyente", "tramo_de_facturacion_txt", "tamano_de_empresa", "tramo_trabajadores",
+                   "tramo_capital_propio_txt", "socio", "estado", "camara_casa_matriz", "insolvente", "commercial_year"]
+
+
+def member_registry(members: DataFrame, registry: DataFrame, manual_rows: DataFrame, insolvencies: DataFrame,
+                    companies: DataFrame, commercial_year: int) -> DataFrame:
+    """B23 (U2, X1, J3, J8, S10, G5, C5): members enriched with the tax registry.
+
+    The registry is the yearly registry plus manually added rows (different columns, appended by
+    name); every key is lowercased; members are left-joined to the registry (a repeated registry
+    id repeats the member, as a plain merge does), flagged as insolvent from the distinct insolvency
+    ids, joined to the companies table (state, head-office chamber, ``socio`` = listed there),
+    grouped by construction sub-sector (literal map of lists) and given the equity bracket label
+    (literal table); then the per-column fills.
+    """
+    from tidewater.functions.nested import explode_groups
+    from tidewater.sources.readers import literal_table
+    spark = members.sparkSession
+    reg = union_all([manual_rows.withColumn("commercial_year", F.lit(str(commercial_year))), registry],
+                    allow_missing=True).withColumn("rut", F.lower("rut"))
+    df = members.select(F.lower("rut").alias("rut")).join(reg.drop("commercial_year"), "rut", "left")
+    df = exists_flag(df, insolvencies.select(F.lower("rut").alias("rut")), "rut", "insolvente")
+    comp = companies.select(F.lower("rut").alias("rut"), "estado", "camara_casa_matriz", F.lit(True).alias("socio"))
+    df = df.join(comp, "rut", "left")
+    groups = explode_groups(spark, CONSTRUCTION_GROUPS, "grupo_caenes", "subrubro_economico")
+    df = df.join(groups, "subrubro_economico", "left")
+    labels = literal_table(spark, CAPITAL_BRACKETS, "tramo_capital_propio_positivo int, tramo_capital_propio_txt string")
+    df = df.join(labels, "tramo_capital_propio_positivo", "left")
+    df = df.fillna({"socio": False, "tramo_capital_propio_txt": "Sin Información",
+                    "tramo_trabajadores": "Sin Información", "tramo_de_facturacion_txt": "No Informado",
+                    "rubro_economico": "Valor por Defecto", "subrubro_economico": "Valor por Defecto"})
+    df = df.withColumn("commercial_year", F.lit(int(commercial_year)).cast("int"))
+    return df.select(*REGISTRY_OUTPUT)
+
+
 # Chamber-to-zone groups of the member staging job.
 ZONES = {
     "Zona Norte": ["ARICA", "ANTOFAGASTA", "CALAMA", "IQUIQUE"],
