@@ -407,3 +407,46 @@ def test_workers_geography(spark):
     geo = mk([("1", "Nunoa"), ("7", "TALCA")], "idconecta string, comuna string")
     out = {r["rut"]: r["santiago_region"] for r in employment.workers(t, none, esp, ces, geography=geo).collect()}
     assert out == {"1k": "Santiago", "2k": "Regiones", "3k": "Sin información"}
+
+
+def _sheet_tables(spark, entity_key):
+    mk = spark.createDataFrame
+    inst = mk([(100, 5, 1), (101, 5, 2), (102, 9, 1), (200, 10, 1)], f"id_instalacion long, id_instalaciontipo int, {entity_key} long")
+    applied = mk([(1000, 100), (1001, 101), (1002, 102), (2000, 200)], "id_ftaplicada long, id_instalacion long")
+    adata = mk([("50 MW", 1, 1000), ("220 kV", 2, 1000), ("60 MW", 1, 1001), ("x", 1, 1002), ("61 MW", 1, 1001),
+                ("S1", 1, 2000), ("S2", 1, 2000)], "fta_datovalortexto string, id_fte_dato long, id_ftaplicada long")
+    std = mk([(1, 10), (2, 20)], "id_fte_dato long, id_datotecnico long")
+    tech = mk([(10, 791), (20, 792)], "id_datotecnico long, id_concepto long")
+    conc = mk([(791, "Potencia"), (792, "Tension")], "id_concepto long, conceptonombre string")
+    comp = mk([(7, "CC Norte"), (8, "Dueño SA")], "id_empresa long, empresanombre string")
+    groups = mk([(9, "Grupo Uno")], "id_grupo long, gruponombre string")
+    return inst, applied, adata, std, tech, conc, comp, groups
+
+
+def test_unit_configurations(spark):
+    mk = spark.createDataFrame
+    configs = mk([(1, 50, "U1", "1", "NEM1", "d1"), (2, 50, "U2", "2", "NEM2", "d2"), (3, 51, "U3", "3", None, None)],
+                 "id_configuracion long, id_central long, configuracionnombre string, configuracionnumero string, "
+                 "configuracionnemotecnico string, configuraciondescripcion string")
+    plants = mk([(50, 8, 9, 7, "Central A")], "id_central long, id_propietario long, id_coordinado long, "
+                                              "id_centrocontrol long, centralnombre string")
+    sheet, dupes = energy.unit_configurations(configs, plants, *_sheet_tables(spark, "id_configuracion"),
+                                              concept_ids=[791, 792], attributes=["Potencia", "Tension", "Otro"])
+    got = {r["id"]: r for r in sheet.collect()}
+    assert sheet.count() == 3
+    assert (got[1]["Potencia"], got[1]["Tension"], got[1]["nombre centro control"], got[1]["nombre coordinado"]) == (
+        "50 MW", "220 kV", "CC Norte", "Grupo Uno")
+    assert got[2]["Potencia"] == "61 MW" and got[3]["Potencia"] is None and got[3]["nombre central"] is None
+    assert rows(dupes, "configuracionnombre", "conceptonombre", "n") == [("U2", "Potencia", 2)]
+
+
+def test_substations(spark):
+    mk = spark.createDataFrame
+    subs = mk([(1, 7, 8, None, "SE1", "1", "N1", "d", "C1")],
+              "id_subestacion long, id_centrocontrol long, id_propietario long, id_coordinado long, "
+              "subestacionnombre string, subestacionnumero string, subestacionnemotecnico string, "
+              "subestaciondescripcion string, subestacioncodigo string")
+    t = _sheet_tables(spark, "id_subestacion")
+    sheet, dupes = energy.substations(subs, *t, concept_ids=[791], attributes=["Potencia"], order_by="fta_datovalortexto")
+    r = sheet.collect()
+    assert len(r) == 1 and r[0]["Potencia"] == "S1" and r[0]["id_coordinado"] == "" and r[0]["nombre propietario"] == "Dueño SA"
