@@ -528,3 +528,144 @@ def registry_members_q(spark, d):
     comp = c.where(bal > 0).select(F.col("c_name").alias("rut"), F.lit("ACTIVO").alias("estado"),
                                    F.col("n_name").alias("camara_casa_matriz"))
     return membership.member_registry(members, registry, manual, ins, comp, 2021)
+
+
+# The employment exchange's user -> location -> company -> sector chain, mapped onto the driver
+# tables: customers are users (and their location is their nation), nations relate to companies
+# (regions), regions belong to sector 1 or 2, orders are CV downloads (priority digit as list id,
+# none for pending orders), line items are download details (part as the person), parts carry an
+# occupation (size), regions are the companies' state and exclusion lists.
+_CHAIN_SQL = """
+users AS (SELECT c_custkey AS id_usuario, c_name AS nom_usuario, c_nationkey AS id_ubic_rel FROM customer),
+relac AS (SELECT n_nationkey AS id, n_regionkey AS id_empresario FROM nation),
+emp AS (SELECT r_regionkey AS id, r_name AS rut, CASE WHEN r_regionkey <> 1 THEN r_regionkey END AS id_comuna,
+               r_regionkey AS id_region FROM region),
+sec AS (SELECT r_regionkey AS id_empresario, CASE WHEN r_regionkey < 3 THEN 1 ELSE 2 END AS id_sector FROM region),
+cu AS (SELECT u.id_usuario, u.nom_usuario, e.rut, e.id_comuna, e.id_region
+       FROM users u JOIN relac c ON c.id = u.id_ubic_rel JOIN emp e ON e.id = c.id_empresario
+       JOIN sec s ON s.id_empresario = e.id WHERE s.id_sector = 1),
+dl AS (SELECT o_orderkey AS id, o_custkey AS id_emp_usuario,
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) END AS id_lista,
+              CAST(floor(o_totalprice / 100000) AS INTEGER) AS num_cv, o_orderdate AS fec_alta FROM orders)
+"""
+
+
+def _bne_tables(t):
+    c, n, r, o = t.customer, t.nation, t.region, t.orders
+    rk = F.col("r_regionkey")
+    return dict(
+        users=c.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("NOM_USUARIO"), F.col("c_name").alias("RUT")),
+        ubicac=c.select(F.col("c_custkey").alias("ID_EMPRESARIO_USUARIOS"), F.col("c_nationkey").cast("bigint").alias("ID_UBIC_REL")),
+        relac=n.select(F.col("n_nationkey").cast("bigint").alias("ID"), F.col("n_regionkey").cast("bigint").alias("ID_EMPRESARIO")),
+        empresario=r.select(rk.cast("bigint").alias("ID"), F.col("r_name").alias("RUT"),
+                            F.when(rk != 1, rk).cast("bigint").alias("ID_COMUNA"), rk.cast("bigint").alias("ID_REGION")),
+        sectores=r.select(rk.cast("bigint").alias("ID_EMPRESARIO"), F.when(rk < 3, 1).otherwise(2).alias("ID_SECTOR")),
+        downloads=o.select(F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("ID_EMP_USUARIO"),
+                           F.when(F.col("o_orderstatus") == "P", F.lit(None))
+                           .otherwise(F.substring("o_orderpriority", 1, 1).cast("bigint")).alias("ID_LISTA"),
+                           F.floor(F.col("o_totalprice") / 100000).cast("int").alias("NUM_CV"),
+                           F.col("o_orderdate").alias("FEC_ALTA")),
+    )
+
+
+@register("downloads_by_day_place", f"""
+WITH {_CHAIN_SQL},
+com AS (SELECT r_regionkey AS id, 'Comuna ' || r_name AS nombre FROM region),
+reg AS (SELECT r_regionkey AS id, r_name AS nombre FROM region),
+det AS (SELECT l_orderkey AS id_descarga_cv, l_partkey AS id_persona FROM lineitem WHERE l_returnflag = 'R'),
+per AS (SELECT p_partkey AS id FROM part WHERE p_size <= 45),
+po AS (SELECT p_partkey AS id_persona, CAST(p_size AS BIGINT) AS id_ocupacion FROM part WHERE p_type <> 'SMALL'),
+oc AS (SELECT DISTINCT CAST(p_size AS BIGINT) AS id, 'Oficio ' || CAST(p_size AS VARCHAR) AS descripcion FROM part
+       WHERE p_size <= 40)
+SELECT CAST(strftime(f.fec_alta, '%Y-%m-%d') AS DATE) AS fecha_alta, com.nombre AS comuna, reg.nombre AS region,
+       oc.descripcion AS ocupacion, CAST(count(*) AS BIGINT) AS total
+FROM cu JOIN dl f ON f.id_emp_usuario = cu.id_usuario
+LEFT JOIN com ON com.id = cu.id_comuna LEFT JOIN reg ON reg.id = cu.id_region
+LEFT JOIN det ON det.id_descarga_cv = f.id LEFT JOIN per ON per.id = det.id_persona
+LEFT JOIN po ON po.id_persona = per.id LEFT JOIN oc ON oc.id = po.id_ocupacion
+GROUP BY 1, 2, 3, 4
+""")
+def downloads_by_day_place_q(spark, d):
+    """B13 through ``plans.employment.downloads_by_day_place``: downloads of sector-1 company users by
+    day, municipality, region and the occupation of the downloaded people (returned lines as details)."""
+    t = Tables(spark, d)
+    b = _bne_tables(t)
+    r, p = t.region, t.part
+    comunas = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.concat(F.lit("Comuna "), F.col("r_name")).alias("NOMBRE"))
+    regiones = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.col("r_name").alias("NOMBRE"))
+    det = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("ID_DESCARGA_CV"),
+                                                                 F.col("l_partkey").alias("ID_PERSONA"))
+    per = p.where(F.col("p_size") <= 45).select(F.col("p_partkey").alias("ID"))
+    po = p.where(F.col("p_type") != "SMALL").select(F.col("p_partkey").alias("ID_PERSONA"),
+                                                    F.col("p_size").cast("bigint").alias("ID_OCUPACION"))
+    oc = p.where(F.col("p_size") <= 40).select(F.col("p_size").cast("bigint").alias("ID"),
+                                               F.concat(F.lit("Oficio "), F.col("p_size").cast("string")).alias("DESCRIPCION")).distinct()
+    return employment.downloads_by_day_place(b["users"], b["ubicac"], b["relac"], b["empresario"], b["sectores"],
+                                             b["downloads"], comunas, regiones, det, per, po, oc)
+
+
+@register("company_user_activity", f"""
+WITH {_CHAIN_SQL},
+g AS (SELECT cu.rut AS "RUT", cu.id_usuario, cu.nom_usuario, CAST(strptime(strftime(f.fec_alta, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS "FECHA_ALTA",
+             f.id_lista AS "ID_LISTA", CAST(count(*) AS BIGINT) AS total, CAST(sum(f.num_cv) AS BIGINT) AS descarga
+      FROM cu JOIN dl f ON f.id_emp_usuario = cu.id_usuario
+      GROUP BY 1, 2, 3, 4, 5),
+exc AS (SELECT r_name AS rut FROM region WHERE r_regionkey = 2)
+SELECT g."RUT", g.id_usuario, g.nom_usuario, g."FECHA_ALTA", CAST(date_trunc('month', g."FECHA_ALTA") AS DATE) AS "FECHA_ALTA_MES",
+       g."ID_LISTA", g.total AS "VISTAS_CV", CASE WHEN g."ID_LISTA" IS NULL THEN g.total - g.descarga ELSE g.descarga END AS "DESCARGA_CV"
+FROM g WHERE g."RUT" NOT IN (SELECT rut FROM exc)
+""")
+def company_user_activity_q(spark, d):
+    """B16 through ``plans.employment.company_user_activity``: views and downloaded CVs per company
+    user, day and list; one company excluded; where there is no list, downloads = views - CVs."""
+    t = Tables(spark, d)
+    b = _bne_tables(t)
+    rk = F.col("r_regionkey")
+    empresas = t.region.select(F.col("r_name").alias("RUT"), F.when(rk != 0, 1).otherwise(0).alias("ESTADO"))
+    excluded = t.region.where(rk == 2).select(F.col("r_name").alias("rut"))
+    out = employment.company_user_activity(b["users"], b["ubicac"], b["relac"], b["empresario"], b["sectores"],
+                                           b["downloads"], empresas, excluded)
+    return out.withColumn("DESCARGA_CV", F.col("DESCARGA_CV").cast("bigint"))
+
+
+@register("list_usage", f"""
+WITH {_CHAIN_SQL.replace("WHERE s.id_sector = 1", "")},
+lists AS (SELECT o_orderkey AS id, o_custkey AS id_emp_usuario FROM orders WHERE o_orderstatus = 'F'),
+f AS (SELECT l_orderkey AS id_lista, CAST(l_quantity AS INTEGER) AS num_cv FROM lineitem),
+inv AS (SELECT l_orderkey AS id_lista FROM lineitem WHERE l_returnflag = 'R')
+SELECT cu.rut AS "RUT", aa.id AS lista, g.numero AS persona_lista, cu.nom_usuario AS "NOM_USUARIO", cu.id_usuario,
+       CAST(COALESCE(SUM(COALESCE(f.num_cv, 0)), 0) AS BIGINT) AS numero_cv_descargados
+FROM lists aa JOIN cu ON aa.id_emp_usuario = cu.id_usuario
+LEFT JOIN f ON f.id_lista = aa.id
+LEFT JOIN (SELECT id_lista, CAST(count(*) AS BIGINT) AS numero FROM inv GROUP BY id_lista) g ON g.id_lista = aa.id
+GROUP BY cu.rut, aa.id, g.numero, cu.nom_usuario, cu.id_usuario
+""")
+def list_usage_q(spark, d):
+    """B18 through ``plans.employment.list_usage``: finished orders as CV lists of their customer,
+    line quantities as downloaded CVs, returned lines as invitations. The oracle joins rows and
+    groups (the source form); the job sums downloads per list before joining."""
+    t = Tables(spark, d)
+    b = _bne_tables(t)
+    lists = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("ID"),
+                                                                 F.col("o_custkey").alias("ID_EMP_USUARIO"))
+    dl = t.lineitem.select(F.col("l_orderkey").alias("ID_LISTA"), F.col("l_quantity").cast("int").alias("NUM_CV"))
+    inv = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("ID_LISTA"))
+    return employment.list_usage(lists, b["users"], b["ubicac"], b["relac"], b["empresario"], b["sectores"], dl, inv)
+
+
+@register("downloads_reconciliation", """
+SELECT CAST(sum(v.total) AS BIGINT) AS total_vistas, CAST(count(*) AS BIGINT) AS filas
+FROM (SELECT n.n_name AS rut, CAST(floor(c.c_acctbal) AS BIGINT) AS total
+      FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) v
+LEFT JOIN (SELECT n_name AS rut FROM nation WHERE n_regionkey <> 0) e ON e.rut = v.rut
+WHERE v.rut NOT IN (SELECT n_name FROM nation WHERE n_regionkey = 2)
+""")
+def downloads_reconciliation_q(spark, d):
+    """B42 through ``plans.employment.downloads_reconciliation``: customers' balances as viewed CVs of
+    their nation (the company); one region's companies excluded; total and row count."""
+    t = Tables(spark, d)
+    views = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("RUT"), F.floor("c_acctbal").cast("bigint").alias("TOTAL"))
+    empresas = t.nation.select(F.col("n_name").alias("RUT"), F.when(F.col("n_regionkey") != 0, 1).otherwise(0).alias("ESTADO"))
+    excluded = t.nation.where(F.col("n_regionkey") == 2).select(F.col("n_name").alias("rut"))
+    return employment.downloads_reconciliation(views, empresas, excluded)
