@@ -82,3 +82,37 @@ def csv_roundtrip(spark, d):
     write_table(o, path, fmt="csv", sep="\t", compression="gzip")
     return typed_ingest(spark, path, "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, fecha DATE",
                         sep="\t", clean=False)
+
+
+MTD_AS_OF = "2024-01-20"
+
+
+@register("month_to_date", f"""
+SELECT event_id, value, CAST(ts AS DATE) AS fecha FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '{MTD_AS_OF}'
+""")
+def month_to_date(spark, d):
+    """B2 (S4, U1, K8) through ``plans.energy.month_to_date_export``: events written as daily
+    ``fecha=yyyy-MM-dd`` partitions, the days of the month through as_of read back (pruned by the
+    partition predicate) and exported as tab-separated text."""
+    from tidewater.plans.energy import month_to_date_export
+    base = shared_dir(spark, "events_by_day")
+    ev = Tables(spark, d).events.select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("fecha"))
+    write_table(ev, base, partition_by=["fecha"])
+    out = month_to_date_export(spark, base, MTD_AS_OF, tsv_path=shared_dir(spark, "events_mtd_tsv"))
+    return out.select("event_id", "value", F.col("fecha").cast("date").alias("fecha"))
+
+
+@register("layer_completeness", """
+SELECT DISTINCT 'lang=' || lang || '/source=' || source AS carpeta FROM documents WHERE lang = 'de'
+""")
+def layer_completeness_q(spark, d):
+    """B10 (S12, U4) through ``plans.energy.layer_completeness``: documents written as a raw layer
+    partitioned by language and source, and as a staging layer without one language; the folders
+    missing from staging come from the two file listings (no file content is read)."""
+    from tidewater.plans.energy import layer_completeness
+    raw, staging = shared_dir(spark, "docs_raw"), shared_dir(spark, "docs_staging")
+    docs = Tables(spark, d).documents.select("doc_id", "text", "lang", "source")
+    write_table(docs, raw, partition_by=["lang", "source"])
+    write_table(docs.where(F.col("lang") != "de"), staging, partition_by=["lang", "source"])
+    return layer_completeness(spark, raw, staging)

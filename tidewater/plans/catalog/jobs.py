@@ -669,3 +669,123 @@ def downloads_reconciliation_q(spark, d):
     empresas = t.nation.select(F.col("n_name").alias("RUT"), F.when(F.col("n_regionkey") != 0, 1).otherwise(0).alias("ESTADO"))
     excluded = t.nation.where(F.col("n_regionkey") == 2).select(F.col("n_name").alias("rut"))
     return employment.downloads_reconciliation(views, empresas, excluded)
+
+
+@register("insolvency_merge", f"""
+WITH src AS (
+  SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS rut,
+         CAST(o_orderkey AS VARCHAR) AS rol, o_orderdate, o_orderstatus FROM orders),
+h AS (SELECT rut, rol, CAST(o_orderdate AS DATE) AS fecha_publicacion, CAST(NULL AS VARCHAR) AS fecha_ejecucion,
+             CASE WHEN o_orderstatus = 'F' THEN true END AS proceso_finalizado, coalesce(rut, 'CORRECCION:' || rol) AS k
+      FROM src WHERE CAST(o_orderdate AS DATE) < DATE '1998-01-01'),
+s AS (SELECT rut, rol,
+             CAST(try_strptime(CASE WHEN o_orderstatus = 'P' THEN '31/02/' || CAST(year(o_orderdate) AS VARCHAR)
+                                    ELSE strftime(o_orderdate, '%d/%m/%Y') END, '%d/%m/%Y') AS DATE) AS fecha_publicacion,
+             coalesce(rut, 'CORRECCION:' || rol) AS k
+      FROM src WHERE CAST(o_orderdate AS DATE) >= DATE '1997-01-01'),
+open_k AS (SELECT DISTINCT k FROM h WHERE proceso_finalizado IS NULL),
+fin AS (SELECT k FROM open_k WHERE k NOT IN (SELECT k FROM s)),
+hu AS (SELECT rut, rol, fecha_publicacion,
+              CASE WHEN rut IN (SELECT k FROM fin) THEN '{AS_OF_ORDERS}' ELSE fecha_ejecucion END AS fecha_ejecucion,
+              CASE WHEN rut IN (SELECT k FROM fin) THEN true ELSE proceso_finalizado END AS proceso_finalizado FROM h),
+added AS (SELECT rut, rol, fecha_publicacion, k FROM s WHERE k NOT IN (SELECT k FROM open_k)),
+merged AS (SELECT rut, rol, fecha_publicacion, fecha_ejecucion, proceso_finalizado FROM hu
+           UNION ALL SELECT rut, rol, fecha_publicacion, CAST(NULL AS VARCHAR), CAST(NULL AS BOOLEAN) FROM added),
+reg AS (SELECT CAST(c_custkey AS VARCHAR) AS rut, c_name AS razon_social,
+               CASE WHEN c_acctbal > 5000 THEN 'Grande' ELSE 'Pyme' END AS tamano_de_empresa,
+               c_mktsegment AS rubro_economico, 'Sub ' || c_mktsegment AS subrubro_economico, 'ACTIVO' AS estado
+        FROM customer WHERE c_acctbal > 0 AND CAST(c_custkey AS VARCHAR) IN (SELECT k FROM added))
+SELECT m.*, r.razon_social, r.tamano_de_empresa, r.rubro_economico, r.subrubro_economico, r.estado
+FROM merged m LEFT JOIN reg r ON m.rut = r.rut
+""")
+def insolvency_merge_q(spark, d):
+    """B22 through ``plans.projects.insolvency_merge``: orders before 1998 as the stored history,
+    orders from 1997 as today's list with ``dd/MM/yyyy`` publication texts (pending orders carry an
+    impossible date); registry attributes of active customers attached to the added ids."""
+    t = Tables(spark, d)
+    o = t.orders
+    rut = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_custkey").cast("string"))
+    day = F.to_date("o_orderdate")
+    history = o.where(day < F.lit("1998-01-01").cast("date")).select(
+        rut.alias("rut"), F.col("o_orderkey").cast("string").alias("rol"), day.alias("fecha_publicacion"),
+        F.lit(None).cast("string").alias("fecha_ejecucion"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(True)).alias("proceso_finalizado"))
+    text = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("31/02/"), F.year(day).cast("string"))) \
+        .otherwise(F.date_format(day, "dd/MM/yyyy"))
+    new = o.where(day >= F.lit("1997-01-01").cast("date")).select(
+        rut.alias("rut"), F.col("o_orderkey").cast("string").alias("rol"), text.alias("fecha_publicacion"))
+    bal = F.col("c_acctbal")
+    registry = t.customer.select(
+        F.col("c_custkey").cast("string").alias("rut"), F.col("c_name").alias("razon_social"),
+        F.when(bal > 5000, "Grande").otherwise("Pyme").alias("tamano_de_empresa"),
+        F.col("c_mktsegment").alias("rubro_economico"), F.concat(F.lit("Sub "), F.col("c_mktsegment")).alias("subrubro_economico"),
+        F.when(bal > 0, "ACTIVO").otherwise("INACTIVO").alias("estado"), F.col("c_custkey").alias("orden"))
+    return projects.insolvency_merge(history, new, registry, AS_OF_ORDERS)
+
+
+@register("active_insolvencies", """
+SELECT x.rut, x.rol, x.fecha, c.c_name AS razon_social, 'ACTIVO' AS estado FROM (
+  SELECT CAST(o_custkey AS VARCHAR) AS rut, CAST(o_orderkey AS VARCHAR) AS rol, CAST(o_orderdate AS DATE) AS fecha,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders WHERE o_orderstatus = 'P') x
+JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = x.rut
+WHERE x.rn = 1 AND c.c_acctbal > 0
+""")
+def active_insolvencies_q(spark, d):
+    """B41 through ``plans.projects.active_insolvencies``: pending orders as insolvency rows, the last per
+    customer (by date, ties on order key), registry attributes, active customers only."""
+    t = Tables(spark, d)
+    ins = t.orders.where(F.col("o_orderstatus") == "P").select(
+        F.col("o_custkey").cast("string").alias("rut"), F.col("o_orderkey").cast("string").alias("rol"),
+        F.to_date("o_orderdate").alias("fecha"), F.col("o_orderkey").alias("__k"))
+    registry = t.customer.select(F.col("c_custkey").cast("string").alias("rut"), F.col("c_name").alias("razon_social"),
+                                 F.when(F.col("c_acctbal") > 0, "ACTIVO").otherwise("INACTIVO").alias("estado"))
+    out = projects.active_insolvencies(ins, registry, ["fecha", "__k"])
+    return out.select("rut", "rol", "fecha", "razon_social", "estado")
+
+
+from tidewater.functions.dates import MONTHS_ES  # noqa: E402
+
+PO_NAMES = ["proyecto_pedido", "total_neto", "glosa", "fecha_cont_em", "codigo_impuesto", "cantidad"]
+
+
+@register("purchase_orders", f"""
+WITH li AS (
+  SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS proyecto_pedido,
+         CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS total_neto_t,
+         CASE WHEN l_linestatus = 'F' THEN 'nan' ELSE 'Glosa ' || l_linestatus END AS glosa_t,
+         CASE WHEN l_returnflag = 'A' THEN '2023-02-30' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS fecha_t,
+         CASE WHEN l_tax = 0 THEN 'IVA_EXE' WHEN l_tax > 0.05 THEN 'IVA' END AS codigo_impuesto,
+         CAST(l_linenumber AS VARCHAR) AS cantidad_t
+  FROM lineitem),
+x AS (SELECT proyecto_pedido, TRY_CAST(total_neto_t AS DOUBLE) AS total_neto, nullif(glosa_t, 'nan') AS glosa,
+             CAST(try_strptime(fecha_t, '%Y-%m-%d') AS DATE) AS fecha_cont_em, codigo_impuesto,
+             TRY_CAST(cantidad_t AS INTEGER) AS cantidad FROM li)
+SELECT x.*,
+       round(CASE WHEN coalesce(codigo_impuesto, '_') = 'IVA_EXE' THEN total_neto ELSE total_neto * CAST(1.19 AS DOUBLE) END, 6)
+         AS total_con_impuesto,
+       CAST(year(fecha_cont_em) AS INTEGER) AS fecha_cont_em_year, CAST(month(fecha_cont_em) AS INTEGER) AS fecha_cont_em_month,
+       m.mes AS fecha_cont_em_mes_spa, p.proyecto
+FROM x LEFT JOIN {_values_sql([(i + 1, n) for i, n in enumerate(MONTHS_ES)], ['n', 'mes'], 'm')}
+  ON m.n = month(x.fecha_cont_em)
+LEFT JOIN (SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS pp, s_name AS proyecto FROM supplier WHERE s_acctbal > 0) p
+  ON p.pp = x.proyecto_pedido
+""")
+def purchase_orders_q(spark, d):
+    """B25 through ``plans.finance.purchase_orders_staging``: line items as purchase-order rows with
+    unnamed text columns renamed by position, amounts and counts cast (some not numbers), 'nan'
+    texts, dates (some impossible), tax codes, Spanish month names, supplier projects looked up."""
+    t = Tables(spark, d)
+    li = t.lineitem
+    raw = li.select(
+        F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("c0"),
+        F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("c1"),
+        F.when(F.col("l_linestatus") == "F", "nan").otherwise(F.concat(F.lit("Glosa "), F.col("l_linestatus"))).alias("c2"),
+        F.when(F.col("l_returnflag") == "A", "2023-02-30").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("c3"),
+        F.when(F.col("l_tax") == 0, "IVA_EXE").when(F.col("l_tax") > 0.05, "IVA").alias("c4"),
+        F.col("l_linenumber").cast("string").alias("c5"))
+    projects_df = t.supplier.where(F.col("s_acctbal") > 0).select(
+        F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("proyecto_pedido"), F.col("s_name").alias("proyecto"))
+    out = finance.purchase_orders_staging(spark, raw, PO_NAMES, {"double": ["total_neto"], "int": ["cantidad"]},
+                                          ["fecha_cont_em"], projects_df)
+    return out.withColumn("total_con_impuesto", F.round("total_con_impuesto", 6))
