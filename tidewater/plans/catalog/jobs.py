@@ -789,3 +789,73 @@ def purchase_orders_q(spark, d):
     out = finance.purchase_orders_staging(spark, raw, PO_NAMES, {"double": ["total_neto"], "int": ["cantidad"]},
                                           ["fecha_cont_em"], projects_df)
     return out.withColumn("total_con_impuesto", F.round("total_con_impuesto", 6))
+
+
+SHEET_CONCEPTS = [1001, 1002, 1003]
+SHEET_ATTRIBUTES = ["Concepto 1", "Concepto 2", "Concepto 3", "Concepto 9"]
+_WIDE_COLS = ", ".join("max(CASE WHEN conceptonombre = '%s' THEN fta_datovalortexto END) AS \"%s\"" % (a, a)
+                       for a in SHEET_ATTRIBUTES)
+_WIDE_SELECT = ", ".join('w."%s"' % a for a in SHEET_ATTRIBUTES)
+
+
+@register("unit_configurations", f"""
+WITH cfg AS (SELECT p_partkey AS id_configuracion, CAST(p_size AS BIGINT) AS id_central,
+                    p_name || ' #' || CAST(p_partkey AS VARCHAR) AS configuracionnombre, p_brand AS configuracionnumero,
+                    p_type AS configuracionnemotecnico, p_name AS configuraciondescripcion FROM part),
+pl AS (SELECT s.s_suppkey AS id_central, s.s_name AS centralnombre, CAST(s.s_nationkey AS BIGINT) AS id_propietario,
+              CAST(n.n_regionkey AS BIGINT) AS id_coordinado, CAST(s.s_nationkey AS BIGINT) AS id_centrocontrol
+       FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+ents AS (SELECT c.*, pl.centralnombre, pl.id_propietario, pl.id_coordinado, pl.id_centrocontrol
+         FROM cfg c LEFT JOIN pl ON pl.id_central = c.id_central),
+base AS (SELECT DISTINCT e.id_configuracion, e.configuracionnombre, e.configuracionnumero, e.centralnombre, e.id_central,
+                g.r_name AS gruponombre, e.id_coordinado, cc.n_name AS empresanombre, e.id_centrocontrol,
+                e.configuracionnemotecnico, e.configuraciondescripcion
+         FROM ents e LEFT JOIN nation cc ON cc.n_nationkey = e.id_centrocontrol
+         LEFT JOIN region g ON g.r_regionkey = e.id_coordinado),
+inst AS (SELECT o_orderkey AS id_instalacion, o_custkey AS id_configuracion FROM orders WHERE o_orderstatus = 'F'),
+val AS (SELECT c.configuracionnombre, 'Concepto ' || CAST(l.l_linenumber AS VARCHAR) AS conceptonombre,
+               CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS fta_datovalortexto
+        FROM cfg c JOIN inst i ON i.id_configuracion = c.id_configuracion
+        JOIN lineitem l ON l.l_orderkey = i.id_instalacion
+        WHERE 1000 + l.l_linenumber IN ({', '.join(str(x) for x in SHEET_CONCEPTS)})),
+wide AS (SELECT configuracionnombre,
+                {_WIDE_COLS}
+         FROM val GROUP BY configuracionnombre)
+SELECT DISTINCT b.id_configuracion AS "id", b.configuracionnombre AS "nombre", b.configuracionnumero AS "numero",
+       b.centralnombre AS "nombre central", b.id_central AS "id central", b.gruponombre AS "nombre coordinado",
+       b.id_coordinado AS "id coordinado", b.empresanombre AS "nombre centro control",
+       b.id_centrocontrol AS "id centro control", b.configuracionnemotecnico AS "nemotecnico",
+       b.configuraciondescripcion AS "descripcion", {_WIDE_SELECT}
+FROM base b LEFT JOIN wide w ON w.configuracionnombre = b.configuracionnombre
+""")
+def unit_configurations_q(spark, d):
+    """B7 through ``plans.energy.unit_configurations``: parts as unit configurations of the supplier
+    with the part's size as plant; finished orders as installations of the customer-numbered
+    configuration; order lines as the sheet data (line number as datum and concept, quantity as the
+    text); nations as companies in two roles, regions as coordinated groups."""
+    t = Tables(spark, d)
+    p, s, n, o, li = t.part, t.supplier, t.nation, t.orders, t.lineitem
+    configs = p.select(F.col("p_partkey").alias("id_configuracion"), F.col("p_size").cast("bigint").alias("id_central"),
+                       F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("configuracionnombre"),
+                       F.col("p_brand").alias("configuracionnumero"), F.col("p_type").alias("configuracionnemotecnico"),
+                       F.col("p_name").alias("configuraciondescripcion"))
+    plants = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("id_central"), F.col("s_name").alias("centralnombre"),
+        F.col("s_nationkey").cast("bigint").alias("id_propietario"), F.col("n_regionkey").cast("bigint").alias("id_coordinado"),
+        F.col("s_nationkey").cast("bigint").alias("id_centrocontrol"))
+    installations = o.select(F.col("o_orderkey").alias("id_instalacion"),
+                             F.when(F.col("o_orderstatus") == "F", 5).otherwise(9).alias("id_instalaciontipo"),
+                             F.col("o_custkey").alias("id_configuracion"))
+    applied = o.select(F.col("o_orderkey").alias("id_ftaplicada"), F.col("o_orderkey").alias("id_instalacion"))
+    applied_data = li.select(F.col("l_quantity").cast("bigint").cast("string").alias("fta_datovalortexto"),
+                             F.col("l_linenumber").cast("bigint").alias("id_fte_dato"), F.col("l_orderkey").alias("id_ftaplicada"))
+    numbers = li.select(F.col("l_linenumber").cast("bigint").alias("k")).distinct()
+    standard = numbers.select(F.col("k").alias("id_fte_dato"), F.col("k").alias("id_datotecnico"))
+    tech = numbers.select(F.col("k").alias("id_datotecnico"), (F.col("k") + 1000).alias("id_concepto"))
+    concepts = numbers.select((F.col("k") + 1000).alias("id_concepto"),
+                              F.concat(F.lit("Concepto "), F.col("k").cast("string")).alias("conceptonombre"))
+    companies = n.select(F.col("n_nationkey").cast("bigint").alias("id_empresa"), F.col("n_name").alias("empresanombre"))
+    groups = t.region.select(F.col("r_regionkey").cast("bigint").alias("id_grupo"), F.col("r_name").alias("gruponombre"))
+    sheet, _dupes = energy.unit_configurations(configs, plants, installations, applied, applied_data, standard, tech,
+                                               concepts, companies, groups, SHEET_CONCEPTS, SHEET_ATTRIBUTES)
+    return sheet
