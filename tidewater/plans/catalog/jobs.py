@@ -859,3 +859,66 @@ def unit_configurations_q(spark, d):
     sheet, _dupes = energy.unit_configurations(configs, plants, installations, applied, applied_data, standard, tech,
                                                concepts, companies, groups, SHEET_CONCEPTS, SHEET_ATTRIBUTES)
     return sheet
+
+
+_WIDE_MIN = ", ".join("min(CASE WHEN conceptonombre = '%s' THEN fta_datovalortexto END) AS \"%s\"" % (a, a)
+                      for a in SHEET_ATTRIBUTES)
+
+
+@register("substations", f"""
+WITH sub AS (
+  SELECT p.p_partkey AS id_subestacion, CAST(s.s_nationkey AS BIGINT) AS id_centrocontrol,
+         CAST(s.s_nationkey AS BIGINT) AS id_propietario,
+         CASE WHEN p.p_size > 45 THEN NULL ELSE CAST(n.n_regionkey AS BIGINT) END AS id_coordinado,
+         p.p_name || ' #' || CAST(p.p_partkey AS VARCHAR) AS subestacionnombre, p.p_brand AS subestacionnumero,
+         p.p_type AS subestacionnemotecnico, p.p_name AS subestaciondescripcion, 'SE' || CAST(p.p_partkey AS VARCHAR) AS subestacioncodigo
+  FROM part p LEFT JOIN supplier s ON s.s_suppkey = p.p_size LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey),
+base AS (SELECT DISTINCT x.id_subestacion, x.subestacionnombre, cc.n_name AS empresanombre, ow.n_name AS empresanombre2,
+                g.r_name AS gruponombre, x.subestacionnumero, x.subestacionnemotecnico, x.subestaciondescripcion,
+                x.subestacioncodigo, x.id_centrocontrol, x.id_propietario, x.id_coordinado
+         FROM sub x LEFT JOIN nation cc ON cc.n_nationkey = x.id_centrocontrol
+         LEFT JOIN nation ow ON ow.n_nationkey = x.id_propietario LEFT JOIN region g ON g.r_regionkey = x.id_coordinado),
+inst AS (SELECT o_orderkey AS id_instalacion, o_custkey AS id_subestacion FROM orders WHERE o_orderstatus = 'O'),
+val AS (SELECT x.subestacionnombre, 'Concepto ' || CAST(l.l_linenumber AS VARCHAR) AS conceptonombre,
+               CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS fta_datovalortexto
+        FROM sub x JOIN inst i ON i.id_subestacion = x.id_subestacion JOIN lineitem l ON l.l_orderkey = i.id_instalacion
+        WHERE 1000 + l.l_linenumber IN ({', '.join(str(x) for x in SHEET_CONCEPTS)})),
+wide AS (SELECT subestacionnombre, {_WIDE_MIN} FROM val GROUP BY subestacionnombre)
+SELECT DISTINCT b.id_subestacion AS "id", b.subestacionnombre AS "nombre", b.empresanombre AS "nombre centro control",
+       b.empresanombre2 AS "nombre propietario", b.gruponombre AS "empresa coordinada", b.subestacionnumero AS "numero",
+       b.subestacionnemotecnico AS "nemotecnico", b.subestaciondescripcion AS "descripcion",
+       b.subestacioncodigo AS "codigo_subestacion", b.id_centrocontrol, b.id_propietario,
+       coalesce(CAST(b.id_coordinado AS VARCHAR), '') AS id_coordinado, {_WIDE_SELECT}
+FROM base b LEFT JOIN wide w ON w.subestacionnombre = b.subestacionnombre
+""")
+def substations_q(spark, d):
+    """B8 through ``plans.energy.substations``: parts as substations (company ids from the supplier
+    numbered by the part's size; large parts without a coordinated company), open orders as their
+    installations, order lines as sheet data; the first (smallest) text per (substation, concept)."""
+    t = Tables(spark, d)
+    p, s, n, o, li = t.part, t.supplier, t.nation, t.orders, t.lineitem
+    sn = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_nationkey", "n_regionkey")
+    subs = p.join(sn, F.col("p_size") == F.col("s_suppkey"), "left").select(
+        F.col("p_partkey").alias("id_subestacion"), F.col("s_nationkey").cast("bigint").alias("id_centrocontrol"),
+        F.col("s_nationkey").cast("bigint").alias("id_propietario"),
+        F.when(F.col("p_size") > 45, F.lit(None)).otherwise(F.col("n_regionkey")).cast("bigint").alias("id_coordinado"),
+        F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("subestacionnombre"),
+        F.col("p_brand").alias("subestacionnumero"), F.col("p_type").alias("subestacionnemotecnico"),
+        F.col("p_name").alias("subestaciondescripcion"),
+        F.concat(F.lit("SE"), F.col("p_partkey").cast("string")).alias("subestacioncodigo"))
+    installations = o.select(F.col("o_orderkey").alias("id_instalacion"),
+                             F.when(F.col("o_orderstatus") == "O", 10).otherwise(9).alias("id_instalaciontipo"),
+                             F.col("o_custkey").alias("id_subestacion"))
+    applied = o.select(F.col("o_orderkey").alias("id_ftaplicada"), F.col("o_orderkey").alias("id_instalacion"))
+    applied_data = li.select(F.col("l_quantity").cast("bigint").cast("string").alias("fta_datovalortexto"),
+                             F.col("l_linenumber").cast("bigint").alias("id_fte_dato"), F.col("l_orderkey").alias("id_ftaplicada"))
+    numbers = li.select(F.col("l_linenumber").cast("bigint").alias("k")).distinct()
+    standard = numbers.select(F.col("k").alias("id_fte_dato"), F.col("k").alias("id_datotecnico"))
+    tech = numbers.select(F.col("k").alias("id_datotecnico"), (F.col("k") + 1000).alias("id_concepto"))
+    concepts = numbers.select((F.col("k") + 1000).alias("id_concepto"),
+                              F.concat(F.lit("Concepto "), F.col("k").cast("string")).alias("conceptonombre"))
+    companies = n.select(F.col("n_nationkey").cast("bigint").alias("id_empresa"), F.col("n_name").alias("empresanombre"))
+    groups = t.region.select(F.col("r_regionkey").cast("bigint").alias("id_grupo"), F.col("r_name").alias("gruponombre"))
+    sheet, _dupes = energy.substations(subs, installations, applied, applied_data, standard, tech, concepts, companies,
+                                       groups, SHEET_CONCEPTS, SHEET_ATTRIBUTES, order_by="fta_datovalortexto")
+    return sheet
