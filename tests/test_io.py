@@ -97,3 +97,20 @@ def test_schema_evolution_on_append(spark, tmp_dir):
     back = read_table(spark, path, merge_schema=True)
     assert sorted(back.columns) == ["a", "b", "year"]
     assert rows(back, "a", "b", "year") == [(1, None, 2023), (2, "x", 2024)]
+
+
+def test_incremental_load_with_audit_and_marks(spark, tmp_dir):
+    import datetime as dt
+    from tidewater.streaming.incremental import incremental_load
+    src, tgt, audit, marks, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "tgt", "audit", "marks", "ckpt"))
+    schema = "id int, d date, month int"
+    spark.createDataFrame([(1, dt.date(2023, 1, 5)), (2, dt.date(2023, 2, 1))], "id int, d date").write \
+        .parquet(os.path.join(src, "month=1"))
+    args = dict(target=tgt, table="t", stage="staging", as_of="2023-03-01", checkpoint=ckpt, audit_path=audit,
+                marks_path=marks, mark_col="d", partition_by=["month"])
+    incremental_load(spark, src, schema, lambda d: d.where("id > 0"), **args)
+    spark.createDataFrame([(3, dt.date(2023, 3, 9))], "id int, d date").write.parquet(os.path.join(src, "month=3"))
+    incremental_load(spark, src, schema, lambda d: d.where("id > 0"), **args)
+    assert rows(spark.read.parquet(tgt), "id") == [(1,), (2,), (3,)]
+    assert sorted(r["n_rows"] for r in spark.read.parquet(audit).collect()) == [1, 2]
+    assert max(r["mark"] for r in spark.read.parquet(marks).collect()) == dt.date(2023, 3, 9)

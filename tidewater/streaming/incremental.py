@@ -55,3 +55,33 @@ def run_available_files(spark: SparkSession, source_dir: str, schema, transform:
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def incremental_load(spark: SparkSession, source_dir: str, schema, transform: Callable[[DataFrame], DataFrame],
+                     target: str, table: str, stage: str, as_of, checkpoint: str, audit_path: str,
+                     marks_path: str | None = None, mark_col: str | None = None,
+                     partition_by: list[str] | None = None, fmt: str = "parquet"):
+    """Raw -> staging for files not loaded before, with the write bookkeeping of the batch jobs.
+
+    Every micro-batch of new files (``Trigger.AvailableNow``) is transformed, written to ``target``
+    (only the partitions present in the batch are replaced when ``partition_by`` is given, K2),
+    and its audit row (row count, OK/ERROR, K13) and, with ``mark_col``, the batch's high-water
+    mark (K14) are appended. The streaming checkpoint records consumed files, so a rerun after a
+    failure neither skips nor repeats input; an empty batch writes an ERROR audit row, as a write of
+    zero rows does in the batch jobs.
+    """
+    from tidewater.sources.sinks import audit_row, high_water_mark, write_table
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        out = batch.persist()
+        try:
+            write_table(out, target, mode="overwrite_partitions" if partition_by else "append",
+                        partition_by=partition_by or ())
+            audit = audit_row(out, table, stage, as_of).withColumn("epoch", F.lit(epoch_id))
+            audit.write.mode("append").parquet(audit_path)
+            if marks_path and mark_col:
+                high_water_mark(out, mark_col, table).write.mode("append").parquet(marks_path)
+        finally:
+            out.unpersist()
+
+    return run_available_files(spark, source_dir, schema, transform, sink, checkpoint, fmt=fmt)
