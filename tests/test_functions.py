@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidewater.functions.dates import (month_name, partitions_since, period_label, style_105, style_120,
+from tidewater.functions.dates import (month_name, parse_date, partitions_since, period_label, style_105, style_120,
                                        within_last_year, years_between)
 from tidewater.functions.names import cast_columns, clean_name, clean_names, rename_positional
 from tidewater.functions.nested import explode_groups, inner_names, json_text, map_lookup
@@ -132,3 +132,18 @@ def test_maps_and_groups(spark):
     assert [r[0] for r in df.select(map_lookup("s", {"F": "Fin"})).collect()] == ["Fin", None, None]
     g = explode_groups(spark, {"A": ["x", "y"], "B": ["z"]}, "grupo", "v")
     assert rows(g) == [("A", "x"), ("A", "y"), ("B", "z")]
+
+
+def test_parse_date_guard_matches_plain_parse(spark):
+    import random
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(400):
+        y, m, d = rnd.randint(0, 2100), rnd.randint(0, 14), rnd.randint(0, 33)
+        texts += [f"{y:04d}-{m:02d}-{d:02d}", f"{d:02d}-{m:02d}-{y:04d}", f"{d:02d}/{m:02d}/{y:04d}"]
+    texts += ["2024-02-29", "2023-02-29", "29-02-2000", "29/02/1900", "1-1-2020", "2020-1-01", " 2020-01-01",
+              "2020-01-01 ", "x", "", None, "10000-01-01", "2020/01/01", "31-04-2021", "30-04-2021"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for fmt in ["yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy"]:
+        got = df.select(parse_date("t", fmt).alias("a"), F.to_date(F.try_to_timestamp("t", F.lit(fmt))).alias("b")).collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got], fmt
