@@ -82,3 +82,56 @@ def test_branch_counts_fan_out_equals_chained_left_joins(spark, a, b):
         # COUNT(a.id), COUNT(b.id) over parent LEFT JOIN a LEFT JOIN b
         expected.append((k, na * max(nb, 1), nb * max(na, 1)))
     assert got == sorted(expected, key=repr)
+
+
+from tidewater.operators.history import snapshot_merge  # noqa: E402
+from tidewater.operators.reshape import rollup_rows  # noqa: E402
+
+ids = st.sampled_from(["r1", "r2", "r3", None])
+rols = st.sampled_from(["a", "b", "c"])
+
+
+def _brute_merge(hist, snap, as_of):
+    key = lambda rut, rol: rut if rut is not None else "CORRECCION:" + rol
+    open_keys = {key(r, o) for r, o, done in hist if done is None}
+    snap_keys = {key(r, o) for r, o in snap}
+    finished = open_keys - snap_keys
+    out = []
+    for r, o, done in hist:
+        hit = r is not None and r in finished
+        out.append((r, o, as_of if hit else None, True if hit else done))
+    for r, o in snap:
+        if key(r, o) not in open_keys:
+            out.append((r, o, None, None))
+    return sorted(out, key=repr)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(ids, rols, st.sampled_from([None, True])), max_size=8),
+       st.lists(st.tuples(ids, rols), max_size=8))
+def test_snapshot_merge_matches_brute_force(spark, hist, snap):
+    h = spark.createDataFrame([(r, o, None, d) for r, o, d in hist],
+                              "rut string, rol string, fecha_ejecucion string, proceso_finalizado boolean")
+    s = spark.createDataFrame(snap, "rut string, rol string")
+    got = rows(snapshot_merge(h, s, "2022-11-07"), "rut", "rol", "fecha_ejecucion", "proceso_finalizado")
+    assert got == _brute_merge(hist, snap, "2022-11-07")
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["p", "q", None]), st.integers(1, 9), st.sampled_from([True, False, None]),
+                          st.integers(0, 5)), min_size=1, max_size=12))
+def test_rollup_rows_matches_brute_force(spark, data):
+    df = spark.createDataFrame([(k, f"h{i}", "x", done, start, start + extra)
+                                for i, (k, start, done, extra) in enumerate(data)],
+                               "k string, id_hito string, nombre string, fin boolean, ini int, fn int")
+    out = rollup_rows(df, "k", mins=["ini"], maxs=["fn"], done_col="fin", label_col="nombre", label="H0",
+                      cleared=["id_hito"], order_by="ini", tie_break="id_hito")
+    got = rows(out.where("nombre = 'H0'"), "k", "fin", "ini", "fn")
+    groups = {}
+    for i, (k, start, done, extra) in enumerate(data):
+        if k is not None:
+            groups.setdefault(k, []).append((start, start + extra, done))
+    expected = sorted(((k, not any(dn is False for _, _, dn in g), min(a for a, _, _ in g), max(b for _, b, _ in g))
+                       for k, g in groups.items()), key=repr)
+    assert got == expected
+    assert out.count() == len(data) + len(groups)
