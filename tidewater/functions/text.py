@@ -15,28 +15,60 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ascii_fold(ch: str) -> str:
+    return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
+
+
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
     """Translate table for accent folding, built by rule from Unicode.
 
-    Every Latin letter in U+00C0-U+024F and U+1E00-U+1EFF whose NFKD form is one
-    ASCII letter followed only by combining marks maps to that ASCII letter.
+    Every Basic Multilingual Plane character whose NFKD form keeps exactly one ASCII character
+    (accented letters, fullwidth forms, superscripts, ...) maps to that character.
     """
     src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
-        ch = chr(cp)
-        decomposed = unicodedata.normalize("NFKD", ch)
-        base, marks = decomposed[:1], decomposed[1:]
-        if base.isascii() and base.isalpha() and marks and all(unicodedata.combining(m) for m in marks):
-            src.append(ch)
-            dst.append(base)
+    for cp in range(0x80, 0x10000):
+        if 0xD800 <= cp <= 0xDFFF:
+            continue
+        t = _ascii_fold(chr(cp))
+        if len(t) == 1:
+            src.append(chr(cp))
+            dst.append(t)
     return "".join(src), "".join(dst)
 
 
-def fold(c: ColumnOrName) -> Column:
-    """X11: fold to ASCII lowercase (NFKD, marks dropped, other non-ASCII dropped); null stays null."""
+@lru_cache(maxsize=1)
+def _letter_expansions() -> tuple[tuple[str, str], ...]:
+    """Letter ligatures that NFKD expands to several ASCII letters (Latin Extended and the
+    alphabetic presentation forms), built by rule. Other multi-character expansions (fractions,
+    symbols such as the trade mark sign) are not applied: they are dropped like any other
+    non-ASCII character."""
+    out = []
+    for cp in list(range(0x0100, 0x0250)) + list(range(0x1E00, 0x1F00)) + list(range(0xFB00, 0xFB07)):
+        t = _ascii_fold(chr(cp))
+        if len(t) > 1 and t.isalpha():
+            out.append((chr(cp), t))
+    return tuple(out)
+
+
+def fold(c: ColumnOrName, ligatures: bool = False) -> Column:
+    """X11: fold to ASCII lowercase as ``NFKD -> drop non-ASCII -> lower``; null stays null.
+
+    One-to-one foldings use a rule-built ``translate`` table (cost independent of its size).
+    With ``ligatures=True`` letter ligatures (``ĳ``, ``ǆ``, ``ﬁ`` ...) expand as NFKD does, on rows
+    that contain one; that check costs about as much as the fold itself on long texts (measured
+    2x on whole documents), so by default ligatures are dropped like other non-ASCII characters.
+    """
+    x = _c(c)
+    lig = _letter_expansions() if ligatures else ()
+    if lig:
+        expanded = x
+        for src_ch, dst_s in lig:
+            expanded = F.replace(expanded, F.lit(src_ch), F.lit(dst_s))
+        chars = "".join(ch for ch, _ in lig)
+        x = F.when(F.length(F.translate(x, chars, "")) != F.length(x), expanded).otherwise(x)
     src, dst = _accent_table()
-    return F.regexp_replace(F.lower(F.translate(_c(c), src, dst)), r"[^\x00-\x7F]", "")
+    return F.regexp_replace(F.lower(F.translate(x, src, dst)), r"[^\x00-\x7F]", "")
 
 
 def capitalize_first(c: ColumnOrName) -> Column:
