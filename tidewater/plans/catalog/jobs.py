@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.plans import finance, monitor
-from tidewater.plans.catalog import Tables, register
+from tidewater.functions.dates import MONTHS_ES
+from tidewater.functions.rules import first_rule
+from tidewater.plans import employment, energy, finance, membership, monitor, projects, sport
+from tidewater.plans.catalog import AS_OF_ORDERS, Tables, register
+from tidewater.plans.employment import AGE_LABELS, EXPERIENCE_ORDER, REGION_NAMES
+from tidewater.plans.membership import CAPITAL_BRACKETS, CONSTRUCTION_GROUPS
 
 RUN_STATE_SQL = ("CASE event_type WHEN 'signup' THEN 'RUNNING' WHEN 'purchase' THEN 'SUCCEEDED' "
                  "WHEN 'error' THEN 'FAILED' WHEN 'click' THEN 'TIMED_OUT' ELSE 'ABORTED' END")
@@ -117,8 +121,6 @@ def tenders_staging_q(spark, d):
     return finance.tenders_staging(raw)
 
 
-from tidewater.plans import energy, membership, projects  # noqa: E402
-
 MILESTONE_SQL = f"""
 WITH m AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id_proyecto, '-' || substr(o_orderpriority, 1, 1) AS id_tablero,
@@ -211,8 +213,6 @@ def meter_batches_q(spark, d):
     return energy.meter_batches(readings)
 
 
-from tidewater.plans.catalog import AS_OF_ORDERS  # noqa: E402
-
 PROJECT_CODE_SQL = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'FRN' WHEN '2-HIGH' THEN 'FR' WHEN '3-MEDIUM' THEN 'FN' "
                     "ELSE 'X' END || CAST(o_orderkey AS VARCHAR)")
 
@@ -276,10 +276,6 @@ def financial_summary_q(spark, d):
     return finance.financial_summary(ledger, accounts, chambers, time, currency, committees, codes, AS_OF_ORDERS)
 
 
-from tidewater.plans import employment, sport  # noqa: E402
-from tidewater.plans.employment import AGE_LABELS, EXPERIENCE_ORDER, REGION_NAMES  # noqa: E402
-
-
 def _sql_case(col: str, pairs, default: str = "NULL") -> str:
     def q(v):
         return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
@@ -446,8 +442,6 @@ def education_levels_q(spark, d):
     return out.select("rut", "region", "comuna", "tiene_ed_media", "tiene_cursos", "tiene_ed_superior")
 
 
-from tidewater.plans.membership import CAPITAL_BRACKETS, CONSTRUCTION_GROUPS  # noqa: E402
-
 _BRACKET_EDGES = [10, 25, 50, 100, 250, 500, 1000, 2000, 10000]
 
 
@@ -511,7 +505,6 @@ def registry_members_q(spark, d):
         rules.append(((bal > low) & (bal <= e), i))
         low = e
     rules.append((bal > low, len(_BRACKET_EDGES) + 1))
-    from tidewater.functions.rules import first_rule
     seg = F.col("c_mktsegment")
     registry = c.where(F.col("c_nationkey") != 5).select(
         F.col("c_name").alias("rut"), F.concat(F.col("c_name"), F.lit(" SA")).alias("razon_social"),
@@ -744,8 +737,6 @@ def active_insolvencies_q(spark, d):
     return out.select("rut", "rol", "fecha", "razon_social", "estado")
 
 
-from tidewater.functions.dates import MONTHS_ES  # noqa: E402
-
 PO_NAMES = ["proyecto_pedido", "total_neto", "glosa", "fecha_cont_em", "codigo_impuesto", "cantidad"]
 
 
