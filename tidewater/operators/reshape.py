@@ -49,32 +49,67 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     """Every combination of the distinct dimension values x every year in [min, max];
     gaps get 0; measures summed (pandas ``groupby().sum()``: null keys dropped).
 
-    The grid is generated, not joined: one global aggregate collects each dimension's
-    distinct values (bounded by the dimension's domain, not by the row count; partial
-    sets are merged map-side) and the year range; the grid rows are then produced by
-    ``explode`` and spread round-robin over the cluster before the years are expanded.
-    The data side is aggregated by the same keys, and the two meet in one equi-join.
+    The grid is generated in parallel, without a cross join and without gathering any domain in
+    one place: each dimension's distinct values are numbered 0..n-1 by a range-partitioned sort
+    (``index_values``), the grid is ``spark.range(n1 * n2 * ... * years)`` with every grid number
+    decoded into one index per dimension by integer arithmetic, and the values come back through
+    equi-joins on those indices. The data side is aggregated by the same keys and met with the grid
+    in one equi-join. Only the sizes (one number per dimension) and the year range reach the driver.
     """
     measures = _as_list(measures)
     keys = list(dims) + [year_col]
+    spark = df.sparkSession
     clean = df
     for k in keys:
         clean = clean.where(F.col(k).isNotNull())
     summed = clean.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-    domains = df.agg(*[F.array_sort(F.collect_set(d)).alias(d) for d in dims],
-                     F.min(year_col).alias("__y0"), F.max(year_col).alias("__y1"))
-    grid = domains.select(F.explode(dims[0]).alias(dims[0]), *dims[1:], "__y0", "__y1")
-    for d in dims[1:]:
-        grid = grid.withColumn(d, F.explode(d))
-    # spread the dimension combinations evenly (round robin) before the year expansion, so the
-    # grid is generated by every task rather than by the single task holding the domains row
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    grid = grid.repartition(parts)
-    grid = grid.withColumn(year_col, F.explode(F.sequence("__y0", "__y1"))).drop("__y0", "__y1")
+    indexed = {d: index_values(df, d) for d in dims}
+    sizes = {d: indexed[d].count() for d in dims}
+    span = df.agg(F.min(year_col).alias("y0"), F.max(year_col).alias("y1")).first()
+    if span["y0"] is None or any(n == 0 for n in sizes.values()):
+        empty = summed.limit(0)
+        return empty.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
+    years = int(span["y1"]) - int(span["y0"]) + 1
+    total = years
+    for d in dims:
+        total *= sizes[d]
+    grid = spark.range(total)
+    rest = F.col("id")
+    cols = {}
+    for d in reversed(list(dims)):
+        cols[f"__i_{d}"] = (rest % F.lit(sizes[d])).cast("long")
+        rest = F.floor(rest / F.lit(sizes[d]))
+    cols["__iy"] = rest.cast("long")
+    grid = grid.select(*[v.alias(k) for k, v in cols.items()])
+    year_type = dict(df.dtypes)[year_col]
+    grid = grid.withColumn(year_col, (F.lit(int(span["y0"])) + F.col("__iy")).cast(year_type)).drop("__iy")
+    for d in dims:
+        grid = grid.join(indexed[d].withColumnRenamed("__idx", f"__i_{d}"), f"__i_{d}").drop(f"__i_{d}")
     out = grid.join(summed, keys, "left")
     return out.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
 
 
+def index_values(df: DataFrame, col: str) -> DataFrame:
+    """The distinct non-null values of ``col`` with their 0-based position in ascending order
+    (``col``, ``__idx``), computed without a single-partition sort.
+
+    The values are range-partitioned and sorted within partitions, then checkpointed to the shared
+    checkpoint folder so every later pass reads the same materialised order (and survives a lost
+    executor). A value's position is its offset inside its partition plus the number of values in
+    earlier partitions; the running offsets are computed over one row per partition.
+    """
+    from tidewater.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = (df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+               .repartitionByRange("__v").sortWithinPartitions("__v")).checkpoint(eager=True)
+    numbered = (ordered.withColumn("__p", F.spark_partition_id())
+                .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33)))
+    counts = numbered.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__p", (F.sum("__n").over(_unbounded_before("__p")) - F.col("__n")).alias("__off"))
+    return numbered.join(offsets, "__p").select(F.col("__v").alias(col), (F.col("__off") + F.col("__local")).alias("__idx"))
+
+
 def rollup_rows(df: DataFrame, key: str, mins: Sequence[str], maxs: Sequence[str], done_col: str,
                 label_col: str, label: str, cleared: Sequence[str], order_by, tie_break=None) -> DataFrame:
     """Append one summary row per key to the rows themselves.
@@ -119,24 +154,11 @@ def key_batches(df: DataFrame, key: str, size: int = 30, label: str = "grupo",
     """Distinct keys in ascending order, numbered, cut into groups of ``size``.
 
     Returns (``label`` = batch number from 0, ``out`` = the keys of the batch joined by
-    ``sep`` in order, ``n_keys``). The global order is a range-partitioned sort (no
-    single-partition window over the keys). The sorted keys are checkpointed to the shared
-    checkpoint folder, so the per-partition counts and the numbering read one materialised
-    copy (computed once, identical in both passes, and safe if an executor is lost). A key's
-    position is its offset inside its sorted partition plus the number of keys in earlier
-    partitions; the running offsets are computed over one row per partition. Each group holds
-    at most ``size`` keys, so the final ``collect_list`` is bounded.
+    ``sep`` in order, ``n_keys``). Positions come from ``index_values`` (range-partitioned sort,
+    checkpointed, numbered from per-partition counts: no single-partition window over the keys).
+    Each group holds at most ``size`` keys, so the final ``collect_list`` is bounded.
     """
-    from tidewater.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct()
-               .repartitionByRange("k").sortWithinPartitions("k")).checkpoint(eager=True)
-    keys = (ordered.withColumn("__p", F.spark_partition_id())
-            .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33)))
-    counts = keys.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__p", (F.sum("__n").over(_unbounded_before("__p")) - F.col("__n")).alias("__off"))
-    indexed = keys.join(offsets, "__p").withColumn("__i", F.col("__off") + F.col("__local"))
+    indexed = index_values(df, key).select(F.col(key).alias("k"), F.col("__idx").alias("__i"))
     batches = indexed.groupBy(F.floor(F.col("__i") / size).alias(label)).agg(
         F.array_sort(F.collect_list("k")).alias("keys"), F.count(F.lit(1)).alias("n_keys"))
     batches = batches.withColumn(out, F.array_join(F.transform("keys", lambda x: x.cast("string")), sep))
