@@ -163,3 +163,15 @@ def test_fold_matches_nfkd_ascii_lower(spark, texts):
     assert exact == [_reference_fold(t) for t in texts]
     fast = [r[0] for r in df.select(fold("t")).collect()]
     assert fast == [_reference_fold("".join(ch for ch in t if ch not in _LIGATURES)) for t in texts]
+
+
+from tidewater.operators.reshape import index_values  # noqa: E402
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="abcxyz", min_size=0, max_size=3)), max_size=60))
+def test_index_values_numbers_distinct_values_in_order(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = sorted((r["v"], r["__idx"]) for r in index_values(df, "v").collect())
+    expected = [(v, i) for i, v in enumerate(sorted({v for v in values if v is not None}))]
+    assert got == expected
