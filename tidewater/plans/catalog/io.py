@@ -116,3 +116,25 @@ def layer_completeness_q(spark, d):
     write_table(docs, raw, partition_by=["lang", "source"])
     write_table(docs.where(F.col("lang") != "de"), staging, partition_by=["lang", "source"])
     return layer_completeness(spark, raw, staging)
+
+
+BUDGET_HEADERS = ["Código Proyecto", "Año", "Comentario Presupuesto", "Monto Aprobado"]
+
+
+@register("budget_comments", """
+SELECT p_partkey AS codigo_proyecto, p_size AS ano, p_name || ' (' || p_type || ')' AS comentario_presupuesto,
+       p_retailprice AS monto_aprobado
+FROM part
+""")
+def budget_comments_q(spark, d):
+    """B27 through ``plans.finance.budget_comments``: a ``;`` sheet export with raw headers (accents,
+    spaces) loaded by declared schema with cleaned column names."""
+    from tidewater.plans.finance import budget_comments
+    path = shared_dir(spark, "budget_export")
+    p = Tables(spark, d).part.select("p_partkey", "p_size",
+                                     F.concat(F.col("p_name"), F.lit(" ("), F.col("p_type"), F.lit(")")),
+                                     "p_retailprice")
+    write_table(p.toDF(*BUDGET_HEADERS), path, fmt="csv", sep=";", compression="none")
+    schema = StructType([StructField(BUDGET_HEADERS[0], LongType()), StructField(BUDGET_HEADERS[1], IntegerType()),
+                         StructField(BUDGET_HEADERS[2], StringType()), StructField(BUDGET_HEADERS[3], DoubleType())])
+    return budget_comments(spark, path, schema)
