@@ -114,3 +114,14 @@ def test_incremental_load_with_audit_and_marks(spark, tmp_dir):
     assert rows(spark.read.parquet(tgt), "id") == [(1,), (2,), (3,)]
     assert sorted(r["n_rows"] for r in spark.read.parquet(audit).collect()) == [1, 2]
     assert max(r["mark"] for r in spark.read.parquet(marks).collect()) == dt.date(2023, 3, 9)
+
+
+def test_output_file_control(spark, tmp_dir):
+    df = spark.range(0, 1000).select((F.col("id") % 3).alias("g"), F.col("id"))
+    p1 = os.path.join(tmp_dir, "files4")
+    write_table(df, p1, files=4)
+    assert len([f for f in os.listdir(p1) if f.endswith(".parquet")]) == 4
+    p2 = os.path.join(tmp_dir, "capped")
+    write_table(df.coalesce(1), p2, max_records_per_file=300)
+    assert len([f for f in os.listdir(p2) if f.endswith(".parquet")]) == 4
+    assert read_table(spark, p2).count() == 1000
