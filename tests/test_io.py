@@ -125,3 +125,15 @@ def test_output_file_control(spark, tmp_dir):
     write_table(df.coalesce(1), p2, max_records_per_file=300)
     assert len([f for f in os.listdir(p2) if f.endswith(".parquet")]) == 4
     assert read_table(spark, p2).count() == 1000
+
+
+def test_recursive_read_and_literal_bound(spark, tmp_dir):
+    import pytest
+    from tidewater.sources.readers import literal_table
+    base = os.path.join(tmp_dir, "rec")
+    spark.createDataFrame([(1,)], "a int").write.parquet(os.path.join(base, "x", "y"))
+    spark.createDataFrame([(2,)], "a int").write.parquet(os.path.join(base, "z"))
+    assert rows(read_table(spark, base, recursive=True), "a") == [(1,), (2,)]
+    assert literal_table(spark, [(1, "a")], "n int, s string").count() == 1
+    with pytest.raises(ValueError):
+        literal_table(spark, [(i,) for i in range(11)], "n int", max_rows=10)

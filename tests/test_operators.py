@@ -197,3 +197,15 @@ def test_unions(spark):
     stg = spark.createDataFrame([("p1",)], "n string")
     assert rows(name_difference(raw, stg, "n")) == [("p2",), ("p2",)]
     assert rows(name_difference(raw, stg, "n", distinct=True)) == [("p2",)]
+
+
+def test_group_agg_other_functions(spark):
+    df = spark.createDataFrame([("a", 1, True), ("a", 1, False), ("a", 3, None), ("b", None, True)],
+                               "k string, v int, f boolean")
+    out = group_agg(df, ["k"], {"nd": ("count_distinct", "v"), "anyf": ("any", "f"), "allf": ("all", "f"),
+                                "mn": ("min", "v"), "mx": ("max", "v"), "av": ("avg", "v")})
+    got = {r["k"]: r for r in out.collect()}
+    assert (got["a"]["nd"], got["a"]["anyf"], got["a"]["allf"], got["a"]["mn"], got["a"]["mx"]) == (2, True, False, 1, 3)
+    assert got["b"]["nd"] == 0 and got["b"]["av"] is None
+    zero = group_agg(df, ["k"], {"s": ("sum", "v")}, zero_sum=True)
+    assert {r["k"]: r["s"] for r in zero.collect()} == {"a": 5, "b": 0}
