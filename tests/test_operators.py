@@ -209,3 +209,12 @@ def test_group_agg_other_functions(spark):
     assert got["b"]["nd"] == 0 and got["b"]["av"] is None
     zero = group_agg(df, ["k"], {"s": ("sum", "v")}, zero_sum=True)
     assert {r["k"]: r["s"] for r in zero.collect()} == {"a": 5, "b": 0}
+
+
+def test_lookup_join_semi_anti_and_multi_key_null_safe(spark):
+    a = spark.createDataFrame([(1, None, "x"), (1, "p", "y"), (2, "q", "z")], "k1 int, k2 string, v string")
+    b = spark.createDataFrame([(1, None, "N"), (1, "p", "P")], "c1 int, c2 string, w string")
+    on = {"k1": "c1", "k2": "c2"}
+    assert rows(lookup_join(a, b, on, how="left_semi"), "v") == [("y",)]
+    assert rows(lookup_join(a, b, on, how="left_anti"), "v") == [("x",), ("z",)]
+    assert rows(lookup_join(a, b, on, null_safe=True), "v", "w") == [("x", "N"), ("y", "P"), ("z", None)]
