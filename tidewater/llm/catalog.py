@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidewater.llm import simhash
+from tidewater.llm import packing, simhash, tokenbin
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op4_tokens": tokenbin.op4_tokens,
+    "op6_packing": packing.op6_packing,
 }
 ORACLE: dict[str, str] = {}
