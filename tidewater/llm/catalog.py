@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidewater.llm import packing, simhash, tokenbin
+from tidewater.llm import langid, packing, simhash, tokenbin
 
 QUERIES = {
+    "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op4_tokens": tokenbin.op4_tokens,
     "op6_packing": packing.op6_packing,
