@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tidewater.llm import langid, packing, simhash, tokenbin
+from tidewater.llm import langid, packing, quality, secrets, simhash, tokenbin
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
+    "op3_quality": quality.op3_quality,
     "op4_tokens": tokenbin.op4_tokens,
     "op6_packing": packing.op6_packing,
+    "op9_secrets": secrets.op9_secrets,
+}
+ORACLE: dict[str, str] = {
+    "op3_quality": quality.OP3_SQL,
 }
-ORACLE: dict[str, str] = {}
