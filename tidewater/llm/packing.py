@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +78,11 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pdf.astype({c: "Int64" for c in COLUMNS})
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(COLUMNS)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], COLUMNS)
+
+
 def _again(round_no: int, capacity: int):
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bins = Bins(round_no, TaskContext.get().partitionId(), capacity)
@@ -124,32 +130,30 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
     no rows; other columns are ignored.
     """
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, enc = Bins(0, TaskContext.get().partitionId(), capacity), encoder(tokenizer)
-        for pdf in batches:
+        for batch in batches:
             out: list[tuple] = []
-            names = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for doc, data in zip(names, document_ids(enc, pdf["text"].tolist(), end_id)):
+            for doc, data in zip(batch["doc_id"].to_pylist(), document_ids(enc, batch["text"], end_id)):
                 total, at = len(data) // 4, 0
                 for n in cut(total, capacity, slack):
                     bins.add((doc, at, n, zlib.crc32(data[4 * at:4 * (at + n)]), total), out)
                     at += n
-            yield _frame(out)
-        yield _frame(bins.left())
+            yield _batch(out)
+        yield _batch(bins.left())
 
-    rows = materialize(only(docs, "doc_id", "text").mapInPandas(first, SCHEMA), "packed")
+    bare = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = materialize(bare.mapInArrow(first, SCHEMA), "packed")
     packed = [rows.where("sequence_id is not null")]
     left, round_no = rows.where("sequence_id is null"), 1
     # A worker leaves k - 1 pieces of a class at most: the sum over all classes is below this number, so each round
     # leaves a fifth of its pieces at most and the last task's share does not depend on the input.
     most = math.ceil(capacity * (1 + math.log(capacity)))
     while (n := left.count()) > most:
-        dealt = (left.repartition(-(-n // (5 * most)), F.xxhash64("doc_id", "start", "ids_crc32"))
-                 .sortWithinPartitions("length", "doc_id", "start", "ids_crc32"))
-        rows = materialize(dealt.mapInPandas(_again(round_no, capacity), SCHEMA), "packed")
+        rows = materialize(left.coalesce(-(-n // (5 * most))).mapInPandas(_again(round_no, capacity), SCHEMA), "packed")
         packed.append(rows.where("sequence_id is not null"))
         left, round_no = rows.where("sequence_id is null"), round_no + 1
-    packed.append(left.repartition(1).mapInPandas(_last(round_no, capacity), SCHEMA))
+    packed.append(left.coalesce(1).mapInPandas(_last(round_no, capacity), SCHEMA))
     out = packed[0]
     for more in packed[1:]:
         out = out.union(more)

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -145,7 +146,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_i
     """Write ``docs`` as shards in ascending doc_id order and return the directory: one row (shard, doc_id) per distinct key
     and shard, written as a table. Files get a name of their own attempt first, so a task that runs twice does no harm."""
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_folder(folder)
         fs.create_dir(path, recursive=True)
         shard, enc = TaskContext.get().partitionId(), encoder(tokenizer)
@@ -153,17 +154,16 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_i
         part = f"{path}/.part-{shard}-{uuid.uuid4().hex}"
         keys, runs, lens, nulls = [], [], [], 0
         out = None
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not len(batch):
                 continue
             out = out or fs.open_output_stream(part + ".ids")
-            for data in document_ids(enc, pdf["text"].tolist(), end_id):
+            for data in document_ids(enc, batch["text"], end_id):
                 ids = np.frombuffer(data, "<u4")
                 lens.append(len(ids))
                 out.write(ids.astype(f"<u{width}").tobytes())
-            known = pdf["doc_id"].notna().to_numpy()
-            nulls += int((~known).sum())
-            keys.append(pdf["doc_id"][known].to_numpy(np.int64))
+            nulls += batch["doc_id"].null_count
+            keys.append(batch["doc_id"].drop_null().to_numpy())
         if out is None:
             return
         out.close()
@@ -175,11 +175,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_i
         for kind in ("ids", "idx"):
             fs.move(f"{part}.{kind}", f"{path}/{_name(shard, kind)}")
         found = ([None] if nulls else []) + every[new].tolist()
-        yield pd.DataFrame({"shard": np.full(len(found), shard, np.int64), "doc_id": pd.array(found, "Int64")})
+        yield pa.RecordBatch.from_arrays([pa.array([shard] * len(found), pa.int64()), pa.array(found, pa.int64())], ["shard", "doc_id"])
 
     dealt = (only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
              .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    return materialize(dealt.mapInPandas(write, "shard long, doc_id long"), "token-directory")
+    return materialize(dealt.mapInArrow(write, "shard long, doc_id long"), "token-directory")
 
 
 def read_shards(directory: DataFrame, folder: str) -> DataFrame:
