@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import langid, packing, quality, secrets, simhash, tokenbin
+from tidewater.llm import decontaminate, langid, packing, quality, secrets, simhash, tokenbin
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_tokens": tokenbin.op4_tokens,
     "op6_packing": packing.op6_packing,
+    "op8_decontamination": decontaminate.op8_decontamination,
     "op9_secrets": secrets.op9_secrets,
 }
 ORACLE: dict[str, str] = {
