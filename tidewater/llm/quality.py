@@ -20,7 +20,8 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def let(value: Column, body) -> Column:
-    """``body(value)`` with value computed once per row, also where body uses it inside a lambda."""
+    """``body(value)`` with value computed once per row, also where body uses it inside a lambda and the optimizer puts
+    the expression behind value in its place (a filter pushed below a projection does)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -32,8 +33,9 @@ def words_of(text: Column) -> Column:
 
 def window_hashes(words: Column, size: int = WINDOW) -> Column:
     """XXH64 chain of each run of ``size`` words."""
-    at = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
+    none = F.array().cast("array<int>")
+    return let(words, lambda w: F.transform(F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(none),
+                                            lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)])))
 
 
 def repeat_words(hashes: Column, size: int = WINDOW) -> Column:
@@ -47,8 +49,11 @@ def repeat_words(hashes: Column, size: int = WINDOW) -> Column:
                    lambda p: F.aggregate(F.transform(p, lambda v, i: F.least(F.lit(size), F.coalesce(F.get(p, i + 1) - v, F.lit(size)))),
                                          F.lit(0), lambda a, b: a + b))
 
-    some = let(F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered)
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(some).cast("bigint")
+    def count(hs: Column) -> Column:
+        some = let(F.array_sort(F.transform(hs, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered)
+        return F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(some).cast("bigint")
+
+    return let(hashes, count)
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -80,7 +85,7 @@ def default_rules() -> dict[str, Column]:
     return {
         "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
         "symbols": 10 * F.col("n_symbols") > F.col("word_chars"),
-        "repeated_lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
+        "repeated_lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
         "upper_case": 2 * upper > F.col("word_chars"),
         "shouting": 10 * shout > 3 * F.col("n_words"),
         "digits": 2 * digits > F.col("word_chars"),
@@ -166,7 +171,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (base_failed
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 10 * n_symbols > word_chars
-            OR 10 * n_dup_lines > 3 * n_lines
+            OR 2 * n_dup_lines > n_lines
             OR 2 * len(regexp_extract_all(t, '[A-ZÀ-ÖØ-Þ]')) > word_chars
             OR 10 * len(regexp_extract_all(t, '[!?]{2,}')) > 3 * n_words
             OR 2 * len(regexp_extract_all(t, '[0-9]')) > word_chars
