@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, langid, packing, quality, secrets, simhash, tokenbin
+from tidewater.llm import decontaminate, langid, linededup, packing, quality, secrets, simhash, tokenbin
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op3_quality": quality.op3_quality,
     "op4_tokens": tokenbin.op4_tokens,
+    "op5_lines": linededup.op5_lines,
     "op6_packing": packing.op6_packing,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_secrets": secrets.op9_secrets,
