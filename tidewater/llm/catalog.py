@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, langid, linededup, packing, quality, secrets, simhash, tokenbin
+from tidewater.llm import decontaminate, langid, linededup, packing, passages, quality, secrets, simhash, tokenbin
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_secrets": secrets.op9_secrets,
+    "op10_passages": passages.op10_passages,
 }
 ORACLE: dict[str, str] = {
     "op3_quality": quality.OP3_SQL,
