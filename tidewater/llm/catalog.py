@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, langid, linededup, packing, passages, quality, secrets, simhash, tokenbin
+from tidewater.llm import decontaminate, langid, linededup, packing, passages, quality, secrets, simhash, tokenbin, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -11,10 +11,12 @@ QUERIES = {
     "op4_tokens": tokenbin.op4_tokens,
     "op5_lines": linededup.op5_lines,
     "op6_packing": packing.op6_packing,
+    "op7_warc": warc.op7_warc,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_secrets": secrets.op9_secrets,
     "op10_passages": passages.op10_passages,
 }
 ORACLE: dict[str, str] = {
     "op3_quality": quality.OP3_SQL,
+    "op7_warc": warc.OP7_SQL,
 }
