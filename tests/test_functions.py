@@ -60,6 +60,13 @@ def test_contains_any_words(spark):
     assert [r[0] for r in df.select(contains_any("t", ["cancelada", "pospuesta"])).collect()] == [True, False, None]
 
 
+def test_bad_data_gives_null(spark):
+    from tidewater.functions.numbers import local_number, round_half_even_int
+    df = spark.createDataFrame([("202313", "solo", "3.000.000.000,00"), ("202300", None, "x")], "p string, s string, n string")
+    got = df.select(period_label("p"), split_part("s", ":", 2), round_half_even_int(local_number("n"))).collect()
+    assert [tuple(r) for r in got] == [(None, None, 3000000000), (None, None, None)]
+
+
 def test_period_label_and_months(spark):
     df = spark.createDataFrame([("202301",), ("20235",), ("202312",), (None,)], "p string")
     assert [r[0] for r in df.select(period_label("p")).collect()] == ["ene - 2023", "may - 2023", "dic - 2023", None]

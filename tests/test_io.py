@@ -112,7 +112,11 @@ def test_incremental_load_with_audit_and_marks(spark, tmp_dir):
     spark.createDataFrame([(3, dt.date(2023, 3, 9))], "id int, d date").write.parquet(os.path.join(src, "month=3"))
     incremental_load(spark, src, schema, lambda d: d.where("id > 0"), **args)
     assert rows(spark.read.parquet(tgt), "id") == [(1,), (2,), (3,)]
-    assert sorted(r["n_rows"] for r in spark.read.parquet(audit).collect()) == [1, 2]
+    spark.createDataFrame([(4, dt.date(2023, 2, 2))], "id int, d date").write.mode("append").parquet(os.path.join(src, "month=1"))
+    incremental_load(spark, src, schema, lambda d: d.where("id > 0"), **args)
+    assert rows(spark.read.parquet(tgt), "id") == [(1,), (2,), (3,), (4,)]          # an old partition keeps its rows
+    incremental_load(spark, src, schema, lambda d: d.where("id > 0"), **args)
+    assert sorted((r["n_rows"], r["status"]) for r in spark.read.parquet(audit).collect()) == [(0, "ERROR"), (1, "OK"), (1, "OK"), (2, "OK")]
     assert max(r["mark"] for r in spark.read.parquet(marks).collect()) == dt.date(2023, 3, 9)
 
 
@@ -128,12 +132,34 @@ def test_output_file_control(spark, tmp_dir):
 
 
 def test_recursive_read_and_literal_bound(spark, tmp_dir):
-    import pytest
     from tidewater.sources.readers import literal_table
     base = os.path.join(tmp_dir, "rec")
     spark.createDataFrame([(1,)], "a int").write.parquet(os.path.join(base, "x", "y"))
     spark.createDataFrame([(2,)], "a int").write.parquet(os.path.join(base, "z"))
     assert rows(read_table(spark, base, recursive=True), "a") == [(1,), (2,)]
     assert literal_table(spark, [(1, "a")], "n int, s string").count() == 1
-    with pytest.raises(ValueError):
-        literal_table(spark, [(i,) for i in range(11)], "n int", max_rows=10)
+
+
+def test_no_machine_local_folder_off_local_mode():
+    import pytest
+    from tidewater.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

@@ -38,8 +38,9 @@ def test_programmed_marginal_cost_keeps_smallest_audit(spark):
                                   (3, "2023-01-02", 10, 7.0, 1, None), (4, "2023-01-02", 11, 8.0, 1, 1)],
                                  "id long, date string, key_id long, value double, reported_time_id long, audit_id long")
     keys = spark.createDataFrame([(10, 92, "B1"), (11, 50, "B2")], "id long, key_type_id long, name string")
-    out = energy.programmed_marginal_cost(prog, keys).collect()
-    assert len(out) == 1 and out[0]["costo_marginal"] == 6.0 and out[0]["day"] == 2
+    out = energy.programmed_marginal_cost(prog, keys)
+    assert out.columns == ["ID_BARRA", "ID_CONCEPTO_UNIDAD", "ID_TIEMPO", "V_COSTOMARGINALPROGRAMADO", "FECHA_REPORTE"]
+    assert [tuple(r) for r in out.collect()] == [(10, 92, 1, 6.0, "2023-01-02")]
 
 
 def test_projected_supply_and_demand(spark):
@@ -53,7 +54,9 @@ def test_projected_supply_and_demand(spark):
                                    "alta": spark.createDataFrame([(2.0,)], "Demanda double")}, {"Demanda": "demanda"})
     assert rows(dem, "escenario", "demanda") == [("alta", 2.0), ("base", 1.0)]
     cmg = energy.projected_marginal_cost(spark.createDataFrame([("H1", 2030, 3, "B")], "hidro string, year int, mes int, barnom string"))
-    assert cmg.first()["fecha"] == "01-3-2030"
+    assert cmg.first()["fecha"] == "01-3-2030" and {"hidrologia", "anio", "nombre_barra"} <= set(cmg.columns)
+    dem = energy.projected_demand({"m": spark.createDataFrame([(2030, "x")], "ano int, tag_mes string")}, load_year=2028).first()
+    assert (dem["year"], dem["anio"], dem["nombre_mes"], dem["yearParticion"]) == (2030, "2030", "x", "2028")
 
 
 def test_installation_attributes(spark):
@@ -200,7 +203,7 @@ def test_small_employment_jobs(spark):
     emp = mk([("R1", 1), ("R2", 0)], "RUT string, ESTADO int")
     exc = mk([("R3",)], "rut string")
     r = employment.downloads_reconciliation(views, emp, exc).first()
-    assert (r["total_vistas"], r["filas"]) == (7, 2)
+    assert (r["total_vistas"], r["filas"]) == (7, 3)
 
 
 def test_membership_jobs(spark):
@@ -246,7 +249,7 @@ def test_attendance_jobs(spark):
                                mk([("1", "Presidente"), ("2", None)], "IdCargo string, Cargo_Directivo string"))
     assert "idcargo" in pos.columns and rows(pos, "idcargo", "es_alto_cargo") == [(1, True), (2, None)]
     g = membership.group_names(mk([("x" * 89,), ("y" * 90,)], "descripcion string"))
-    assert rows(g, "largo") == [(89,)]
+    assert rows(g, "is_descripcion_corta", "largo_descripcion") == [(False, 90), (True, 89)]
     assert membership.pass_through(mk([(1,)], "ID_X long"), {"id_x": "id"}).columns == ["id"]
 
 
@@ -339,8 +342,9 @@ def test_project_jobs(spark):
     assert merged["r1"]["proceso_finalizado"] is True and merged["r2"]["fecha_publicacion"] == D(2022, 11, 7)
     assert merged["r2"]["razon_social"] == "Dos" and merged["r2"]["socio"] is True
     ins = mk([("r1", 1), ("r1", 2), ("r2", 1)], "rut string, n int")
-    regs = mk([("r1", "ACTIVO"), ("r2", "INACTIVO")], "rut string, estado string")
-    assert rows(projects.active_insolvencies(ins, regs, "n"), "rut", "n") == [("r1", 2)]
+    regs = mk([("r1", "ACTIVO", 1, "a"), ("r1", "ACTIVO", 2, "b"), ("r1", "INACTIVO", 3, "c"), ("r2", "INACTIVO", 1, "d")],
+              "rut string, estado string, orden int, nombre string")
+    assert rows(projects.active_insolvencies(ins, regs, "orden"), "rut", "n", "nombre") == [("r1", 1, "b"), ("r1", 2, "b")]
     roles = mk([(1, 10, 106, "ACTIVA"), (2, 20, 106, "INACTIVA"), (3, 30, 5, "ACTIVA")],
                "per_id long, numero_socio long, id_rol int, estado_relacion string")
     people = mk([(1, "1-9", "Ana", "22", "99", "a@x")],
@@ -356,8 +360,10 @@ def test_sport_jobs(spark):
     tab = {r["team"]: r for r in sport.team_table(res).collect()}
     assert (tab["A"]["wins"], tab["A"]["draws"], tab["A"]["goals"], tab["A"]["played"]) == (2, 1, 5, 3)
     assert tab["B"]["draws"] == 1  # away draws are counted (corrected order)
-    goals = mk([("x", True), ("x", True), ("y", True), ("z", False)], "scorer string, penalty boolean")
-    assert rows(sport.penalty_scorers(goals, top=2)) == [("x", 2), ("y", 1)]
+    goals = mk([(f"s{i}", "t", "2020-01-01", True) for i in range(25)] + [("x", "t", "2020-01-01", True), ("x", "u", None, True), ("z", "t", "2020-01-01", False)],
+               "scorer string, team string, date string, penalty boolean")
+    got = rows(sport.penalty_scorers(goals), "scorer", "team", "date")
+    assert len(got) == 27 and ("x", "t", 1) in got and ("x", "u", 0) in got
 
 
 def test_member_registry_job(spark):
@@ -387,7 +393,7 @@ def test_company_dimension_geography_and_registry(spark):
     empty_rut = mk([], "rut string")
     act = mk([], "rut string, persona_lista long")
     usr = mk([], "rut string, vistas_cv long, descarga_cv long, fecha_alta date")
-    geo = mk([(13, "Nunoa"), (13, "ÑUÑOA")], "idconecta long, comuna string")
+    geo = mk([(13, "Nunoa"), (13, "ÑUÑOA")], "id_geo long, comuna string")
     reg = mk([("1-K", "Grande")], "rut string, tamano_de_empresa string")
     out = {r["rut"]: r for r in employment.company_dimension(emp, empty_rut, act, usr, empty_rut, "2023-01-01",
                                                              geography=geo, registry=reg).collect()}
@@ -404,7 +410,7 @@ def test_workers_geography(spark):
     none = mk([], "oficio string")
     esp = mk([], "ocupacion string, especialidad string")
     ces = mk([], "rut string, fundacion_social string")
-    geo = mk([("1", "Nunoa"), ("7", "TALCA")], "idconecta string, comuna string")
+    geo = mk([("1", "Nunoa"), ("7", "TALCA")], "id_geo string, comuna string")
     out = {r["rut"]: r["santiago_region"] for r in employment.workers(t, none, esp, ces, geography=geo).collect()}
     assert out == {"1k": "Santiago", "2k": "Regiones", "3k": "Sin información"}
 

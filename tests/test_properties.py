@@ -148,21 +148,14 @@ def _reference_fold(s):
 
 _POOL = ("abcXYZ 019-_" + "".join(chr(c) for c in range(0xC0, 0x250)) + "ﬀﬁﬂﬃﬄﬅﬆ" + "ＡＢｃｚ０９" + "¹²³ⁿ"
          + "άέήίόύώΑΣω" + "жЁщ" + "́̈" + "ßæœøđħł")
-_POOL = "".join(ch for ch in _POOL
-                if len(unicodedata.normalize("NFKD", ch).encode("ascii", "ignore")) <= 1 or ch in "ĲĳǄǅǆǇǈǉǊǋǌǱǲǳﬀﬁﬂﬃﬄﬅﬆ")
-
-
-_LIGATURES = "ĲĳǄǅǆǇǈǉǊǋǌǱǲǳﬀﬁﬂﬃﬄﬅﬆ"
+_POOL += "½¼™…㏒𝐀𝔷𝟗🄐ĲĳǄǅǆǇǈǉǊǋǌǱǲǳİK"
 
 
 @settings(**SETTINGS)
 @given(st.lists(st.text(alphabet=_POOL, max_size=12), min_size=1, max_size=30))
 def test_fold_matches_nfkd_ascii_lower(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    exact = [r[0] for r in df.select(fold("t", ligatures=True)).collect()]
-    assert exact == [_reference_fold(t) for t in texts]
-    fast = [r[0] for r in df.select(fold("t")).collect()]
-    assert fast == [_reference_fold("".join(ch for ch in t if ch not in _LIGATURES)) for t in texts]
+    assert [r[0] for r in df.select(fold("t")).collect()] == [_reference_fold(t) for t in texts]
 
 
 from tidewater.operators.reshape import index_values  # noqa: E402

@@ -59,10 +59,10 @@ def yyyymm(c: ColumnOrName) -> Column:
 
 
 def period_label(c: ColumnOrName) -> Column:
-    """T4: ``yyyyM`` or ``yyyyMM`` text -> ``'ene - 2023'``; null stays null."""
+    """T4: ``yyyyM`` or ``yyyyMM`` text -> ``'ene - 2023'``; null, and months outside 1 to 12, -> null."""
     p = _c(c)
     month = F.substring(p, 5, 2).try_cast("int")
-    label = F.element_at(F.array(*[F.lit(m) for m in MONTHS_SHORT_ES]), month)
+    label = F.when(month.between(1, 12), F.get(F.array(*[F.lit(m) for m in MONTHS_SHORT_ES]), month - 1))
     return F.when(p.isNull(), F.lit(None).cast("string")).otherwise(
         F.concat(label, F.lit(" - "), F.substring(p, 1, 4)))
 

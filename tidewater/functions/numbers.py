@@ -9,8 +9,8 @@ from tidewater.functions.text import ColumnOrName, _c
 
 
 def round_half_even_int(c: ColumnOrName) -> Column:
-    """Half-to-even rounding to a nullable int (2.5 -> 2, 3.5 -> 4)."""
-    return F.bround(_c(c), 0).cast("int")
+    """Half-to-even rounding to a nullable 64-bit integer (2.5 -> 2, 3.5 -> 4); beyond its range -> null."""
+    return F.bround(_c(c), 0).try_cast("bigint")
 
 
 def local_number(c: ColumnOrName) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from functools import lru_cache
 
@@ -19,56 +20,36 @@ def _ascii_fold(ch: str) -> str:
     return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
 
 
+def _code_points():
+    return itertools.chain(range(0x80, 0xD800), range(0xE000, 0x110000))
+
+
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Translate table for accent folding, built by rule from Unicode.
-
-    Every Basic Multilingual Plane character whose NFKD form keeps exactly one ASCII character
-    (accented letters, fullwidth forms, superscripts, ...) maps to that character.
-    """
-    src, dst = [], []
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        t = _ascii_fold(chr(cp))
-        if len(t) == 1:
-            src.append(chr(cp))
-            dst.append(t)
-    return "".join(src), "".join(dst)
+    """Translate table for accent folding, built by rule from Unicode: every character whose NFKD form keeps exactly
+    one ASCII character (accented letters, fullwidth forms, superscripts, ...) maps to it."""
+    pairs = [(chr(cp), t) for cp in _code_points() if len(t := _ascii_fold(chr(cp))) == 1]
+    return "".join(s for s, _ in pairs), "".join(t for _, t in pairs)
 
 
 @lru_cache(maxsize=1)
-def _letter_expansions() -> tuple[tuple[str, str], ...]:
-    """Letter ligatures that NFKD expands to several ASCII letters (Latin Extended and the
-    alphabetic presentation forms), built by rule. Other multi-character expansions (fractions,
-    symbols such as the trade mark sign) are not applied: they are dropped like any other
-    non-ASCII character."""
-    out = []
-    for cp in list(range(0x0100, 0x0250)) + list(range(0x1E00, 0x1F00)) + list(range(0xFB00, 0xFB07)):
-        t = _ascii_fold(chr(cp))
-        if len(t) > 1 and t.isalpha():
-            out.append((chr(cp), t))
-    return tuple(out)
-
-
-def fold(c: ColumnOrName, ligatures: bool = False) -> Column:
+def _expansions() -> dict[str, str]:
+    """Characters that NFKD expands to several ASCII ones (ligatures, fractions, signs, ...), built by rule."""
+    return {chr(cp): t for cp in _code_points() if len(t := _ascii_fold(chr(cp))) > 1}
+
+
+def fold(c: ColumnOrName) -> Column:
     """X11: fold to ASCII lowercase as ``NFKD -> drop non-ASCII -> lower``; null stays null.
 
-    One-to-one foldings use a rule-built ``translate`` table (cost independent of its size).
-    With ``ligatures=True`` letter ligatures (``ĳ``, ``ǆ``, ``ﬁ`` ...) expand as NFKD does, on rows
-    that contain one; that check costs about as much as the fold itself on long texts (measured
-    2x on whole documents), so by default ligatures are dropped like other non-ASCII characters.
+    One-to-one foldings use a rule-built ``translate`` table (cost independent of its size). A text that
+    holds a character with a longer form has its characters looked up one by one; others pay one ``translate`` for the check.
     """
-    x = _c(c)
-    lig = _letter_expansions() if ligatures else ()
-    if lig:
-        expanded = x
-        for src_ch, dst_s in lig:
-            expanded = F.replace(expanded, F.lit(src_ch), F.lit(dst_s))
-        chars = "".join(ch for ch, _ in lig)
-        x = F.when(F.length(F.translate(x, chars, "")) != F.length(x), expanded).otherwise(x)
+    x, longer = _c(c), _expansions()
+    pairs = F.create_map(*[F.lit(v) for kv in longer.items() for v in kv])
+    spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), "")
+    some = F.length(F.translate(x, "".join(longer), "")) != F.length(x)
     src, dst = _accent_table()
-    return F.regexp_replace(F.lower(F.translate(x, src, dst)), r"[^\x00-\x7F]", "")
+    return F.lower(F.regexp_replace(F.translate(F.when(some, spelled).otherwise(x), src, dst), r"[^\x00-\x7F]", ""))
 
 
 def capitalize_first(c: ColumnOrName) -> Column:
@@ -134,8 +115,9 @@ def concat_null_empty(*parts: ColumnOrName) -> Column:
 
 
 def split_part(c: ColumnOrName, sep: str, index: int) -> Column:
-    """N-th piece after splitting on a literal separator; ``index`` is 1-based, negative counts from the end."""
-    return F.element_at(F.split(_c(c), _quote_regex(sep)), index)
+    """N-th piece after splitting on a literal separator; ``index`` is 1-based, negative counts from the end; null
+    where there are fewer pieces."""
+    return F.try_element_at(F.split(_c(c), _quote_regex(sep)), F.lit(index))
 
 
 def contains_any(c: ColumnOrName, words: list[str]) -> Column:

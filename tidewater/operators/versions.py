@@ -62,16 +62,17 @@ def first_by(df: DataFrame, keys, order_by, tie_break=None, *, drop_null_keys: b
     return _pick(df, keys, order_by, tie_break, False, drop_null_keys, drop_null_order)
 
 
-def drop_earliest_dup(df: DataFrame, id_col: str, date_col: str) -> DataFrame:
-    """For ids seen on more than one distinct date, drop every row on the earliest date.
+def drop_earliest_dup(df: DataFrame, id_col: str | list[str], date_col: str) -> DataFrame:
+    """For ids (one column or several) seen on more than one distinct date, drop every row on the earliest date.
 
     "More than one distinct date" is ``min(date) < max(date)``, so the id statistics are a
     plain partially-aggregated group-by (no distinct aggregation); the removal is a
     left-anti join on (id, earliest date), which AQE splits if one id is hot.
     """
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     stats = (df.where(F.col(date_col).isNotNull())
-             .groupBy(id_col)
+             .groupBy(*ids)
              .agg(F.min(date_col).alias("__d0"), F.max(date_col).alias("__d1"))
              .where(F.col("__d0") < F.col("__d1"))
-             .select(F.col(id_col), F.col("__d0").alias(date_col)))
-    return df.join(stats, [id_col, date_col], "left_anti")
+             .select(*ids, F.col("__d0").alias(date_col)))
+    return df.join(stats, [*ids, date_col], "left_anti")

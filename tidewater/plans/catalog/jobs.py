@@ -174,13 +174,13 @@ WITH a AS (
          CASE WHEN value > 25 THEN 1 ELSE 2 END AS sexo,
          CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
   FROM events),
-d AS (SELECT reuid, min(reufecini) AS d0 FROM a WHERE reufecini IS NOT NULL GROUP BY reuid HAVING min(reufecini) < max(reufecini))
+d AS (SELECT reuid, year, min(reufecini) AS d0 FROM a WHERE reufecini IS NOT NULL GROUP BY reuid, year HAVING min(reufecini) < max(reufecini))
 SELECT event_id, reuid, reufecini, asiasis, reunom, sexo, year, month,
        CASE WHEN asiasis = 1 THEN 'SI' ELSE 'NO' END AS str_asistencia,
        CAST(year AS VARCHAR) || CAST(month AS VARCHAR) AS periodo,
        CASE WHEN regexp_matches(lower(reunom), 'cancelada|eliminada|pospuesta|reagendada|suspendida|postergada|cancelado|eliminado|pospuesto|reagendado|suspendido|postergado')
             THEN false ELSE true END AS is_nombre_valido
-FROM a WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.reuid = a.reuid AND d.d0 = a.reufecini)
+FROM a WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.reuid = a.reuid AND d.year = a.year AND d.d0 = a.reufecini)
 """)
 def attendance_q(spark, d):
     """B34 through ``plans.membership.attendance``: events as meeting attendance (user = meeting,
@@ -291,14 +291,14 @@ _AGE_CASE = ("CASE WHEN edad <= 30 THEN 'Menor a 30' WHEN edad > 30 AND edad <=
 WITH t AS (
   SELECT o.o_orderkey AS id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS fecha_registro,
          CAST(o.o_custkey AS VARCHAR) AS num_documento, lower(substr(c.c_mktsegment, 1, 1)) AS digito_verificador,
-         o.o_orderpriority AS ocupacion,
+         replace(lower(o.o_orderpriority), 'specified', 'Specified') AS ocupacion,
          {_sql_case('o.o_orderstatus', [('F', EXPERIENCE_ORDER[0]), ('O', EXPERIENCE_ORDER[3])])} AS rango_experiencia,
          n.n_name AS region, c.c_name AS comuna,
          CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(floor(c.c_acctbal / 100) AS INTEGER) END AS edad,
          substr(c.c_mktsegment, 1, 1) AS sexo
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
-ofi AS (SELECT DISTINCT o_orderpriority AS oficio FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
-esp AS (SELECT DISTINCT o_orderpriority AS ocupacion, 'Esp ' || o_orderpriority AS especialidad FROM orders
+ofi AS (SELECT DISTINCT replace(lower(o_orderpriority), 'specified', 'Specified') AS oficio FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+esp AS (SELECT DISTINCT replace(lower(o_orderpriority), 'specified', 'Specified') AS ocupacion, 'Esp ' || o_orderpriority AS especialidad FROM orders
         WHERE o_orderpriority <> '5-LOW'),
 ces AS (SELECT CAST(c_custkey AS VARCHAR) || upper(substr(c_mktsegment, 1, 1)) AS rut, 'Si' AS fundacion_social
         FROM customer WHERE c_acctbal < 0),
@@ -334,9 +334,9 @@ def workers_q(spark, d):
                     F.col("n_name").alias("region"), F.col("c_name").alias("comuna"),
                     F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.floor(F.col("c_acctbal") / 100).cast("int")).alias("edad"),
                     F.substring("c_mktsegment", 1, 1).alias("sexo")))
-    oficios = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.col("o_orderpriority").alias("oficio")).distinct()
+    oficios = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.initcap("o_orderpriority").alias("oficio")).distinct()
     esp = o.where(F.col("o_orderpriority") != "5-LOW").select(
-        F.col("o_orderpriority").alias("ocupacion"), F.concat(F.lit("Esp "), F.col("o_orderpriority")).alias("especialidad")).distinct()
+        F.initcap("o_orderpriority").alias("ocupacion"), F.concat(F.lit("Esp "), F.col("o_orderpriority")).alias("especialidad")).distinct()
     ces = c.where(F.col("c_acctbal") < 0).select(
         F.concat(F.col("c_custkey").cast("string"), F.upper(F.substring("c_mktsegment", 1, 1))).alias("rut"),
         F.lit("Si").alias("fundacion_social"))
@@ -348,20 +348,19 @@ WITH p AS (
   SELECT l.l_orderkey AS id, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS date, l.l_suppkey AS key_id,
          l.l_extendedprice AS value, l.l_linenumber AS reported_time_id, l.l_partkey AS audit_id, l.l_quantity AS q
   FROM lineitem l),
-k AS (SELECT s_suppkey AS key_id, s_name AS barra FROM supplier WHERE CASE WHEN s_acctbal > 0 THEN 92 ELSE 1 END = 92),
-j AS (SELECT p.*, k.barra, row_number() OVER (PARTITION BY k.barra, p.reported_time_id
-                                               ORDER BY p.audit_id, p.id, p.value, p.q, p.date) AS rn
+k AS (SELECT s_suppkey AS key_id, 92 AS key_type_id, s_name AS name FROM supplier WHERE s_acctbal > 0),
+j AS (SELECT p.*, k.key_type_id, row_number() OVER (PARTITION BY p.date, k.name, p.reported_time_id
+                                                    ORDER BY p.audit_id, p.id, p.value, p.q) AS rn
       FROM p JOIN k ON p.key_id = k.key_id
-      WHERE p.audit_id IS NOT NULL AND k.barra IS NOT NULL AND p.reported_time_id IS NOT NULL)
-SELECT barra, reported_time_id, audit_id, id, value AS costo_marginal, date,
-       CAST(year(CAST(date AS DATE)) AS INTEGER) AS year, CAST(month(CAST(date AS DATE)) AS INTEGER) AS month,
-       CAST(day(CAST(date AS DATE)) AS INTEGER) AS day
+      WHERE p.audit_id IS NOT NULL AND k.name IS NOT NULL AND p.reported_time_id IS NOT NULL AND p.date IS NOT NULL)
+SELECT key_id AS "ID_BARRA", key_type_id AS "ID_CONCEPTO_UNIDAD", reported_time_id AS "ID_TIEMPO",
+       value AS "V_COSTOMARGINALPROGRAMADO", date AS "FECHA_REPORTE"
 FROM j WHERE rn = 1
 """)
 def first_version_cost_q(spark, d):
     """B3 through ``plans.energy.programmed_marginal_cost``: line items as programmed values (supplier
-    as key, line number as reported time, part key as audit id), keys of one type (suppliers with a
-    positive balance), the smallest audit per (key name, time)."""
+    as key, line number as reported time, part key as audit id, ship date as report date), keys of one type
+    (suppliers with a positive balance), the smallest audit per (date, key name, time)."""
     t = Tables(spark, d)
     prog = t.lineitem.select(F.col("l_orderkey").alias("id"), F.to_date("l_shipdate").cast("string").alias("date"),
                              F.col("l_suppkey").alias("key_id"), F.col("l_extendedprice").alias("value"),
@@ -370,21 +369,20 @@ def first_version_cost_q(spark, d):
     keys = t.supplier.select(F.col("s_suppkey").alias("id"),
                              F.when(F.col("s_acctbal") > 0, 92).otherwise(1).alias("key_type_id"),
                              F.col("s_name").alias("name"))
-    out = energy.programmed_marginal_cost(prog, keys, tie_break=["id", "value", "q", "date"])
-    return out.select("barra", "reported_time_id", "audit_id", "id", "costo_marginal", "date", "year", "month", "day")
+    return energy.programmed_marginal_cost(prog, keys, tie_break=["id", "value", "q"])
 
 
 @register("penalty_scorers", """
-SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS scorer, CAST(count(*) AS BIGINT) AS goles
-FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 ORDER BY goles DESC, scorer LIMIT 10
+SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS scorer, l_linestatus AS team, CAST(count(l_shipdate) AS BIGINT) AS date
+FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2
 """)
 def penalty_scorers_q(spark, d):
-    """B40 through ``plans.sport.penalty_scorers``: returned lines as penalty goals per supplier;
-    the ten most (ties by name) — the limit is the report."""
+    """B40 through ``plans.sport.penalty_scorers``: returned lines as penalty goals per supplier
+    and line status (the team), all of them."""
     li = Tables(spark, d).lineitem
-    goals = li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("scorer"),
+    goals = li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("scorer"), F.col("l_linestatus").alias("team"), F.col("l_shipdate").alias("date"),
                       (F.col("l_returnflag") == "R").alias("penalty"))
-    return sport.penalty_scorers(goals, top=10)
+    return sport.penalty_scorers(goals)
 
 
 _REGION_NAME_SQL = "CASE r_regionkey WHEN 0 THEN 'MIGRACION' WHEN 1 THEN 'Bío Bío' WHEN 2 THEN 'Maule' WHEN 3 THEN 'Ñuble' ELSE r_name END"
@@ -543,7 +541,7 @@ dl AS (SELECT o_orderkey AS id, o_custkey AS id_emp_usuario,
 """
 
 
-def _bne_tables(t):
+def _exchange_tables(t):
     c, n, r, o = t.customer, t.nation, t.region, t.orders
     rk = F.col("r_regionkey")
     return dict(
@@ -582,7 +580,7 @@ def downloads_by_day_place_q(spark, d):
     """B13 through ``plans.employment.downloads_by_day_place``: downloads of sector-1 company users by
     day, municipality, region and the occupation of the downloaded people (returned lines as details)."""
     t = Tables(spark, d)
-    b = _bne_tables(t)
+    b = _exchange_tables(t)
     r, p = t.region, t.part
     comunas = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.concat(F.lit("Comuna "), F.col("r_name")).alias("NOMBRE"))
     regiones = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.col("r_name").alias("NOMBRE"))
@@ -612,7 +610,7 @@ def company_user_activity_q(spark, d):
     """B16 through ``plans.employment.company_user_activity``: views and downloaded CVs per company
     user, day and list; one company excluded; where there is no list, downloads = views - CVs."""
     t = Tables(spark, d)
-    b = _bne_tables(t)
+    b = _exchange_tables(t)
     rk = F.col("r_regionkey")
     empresas = t.region.select(F.col("r_name").alias("RUT"), F.when(rk != 0, 1).otherwise(0).alias("ESTADO"))
     excluded = t.region.where(rk == 2).select(F.col("r_name").alias("rut"))
@@ -638,7 +636,7 @@ def list_usage_q(spark, d):
     line quantities as downloaded CVs, returned lines as invitations. The oracle joins rows and
     groups (the source form); the job sums downloads per list before joining."""
     t = Tables(spark, d)
-    b = _bne_tables(t)
+    b = _exchange_tables(t)
     lists = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("ID"),
                                                                  F.col("o_custkey").alias("ID_EMP_USUARIO"))
     dl = t.lineitem.select(F.col("l_orderkey").alias("ID_LISTA"), F.col("l_quantity").cast("int").alias("NUM_CV"))
@@ -647,7 +645,7 @@ def list_usage_q(spark, d):
 
 
 @register("downloads_reconciliation", """
-SELECT CAST(sum(v.total) AS BIGINT) AS total_vistas, CAST(count(*) AS BIGINT) AS filas
+SELECT CAST(sum(v.total) AS BIGINT) AS total_vistas, (SELECT CAST(count(*) AS BIGINT) FROM customer) AS filas
 FROM (SELECT n.n_name AS rut, CAST(floor(c.c_acctbal) AS BIGINT) AS total
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) v
 LEFT JOIN (SELECT n_name AS rut FROM nation WHERE n_regionkey <> 0) e ON e.rut = v.rut
@@ -717,27 +715,27 @@ def insolvency_merge_q(spark, d):
 
 
 @register("active_insolvencies", """
-SELECT x.rut, x.rol, x.fecha, c.c_name AS razon_social, 'ACTIVO' AS estado FROM (
-  SELECT CAST(o_custkey AS VARCHAR) AS rut, CAST(o_orderkey AS VARCHAR) AS rol, CAST(o_orderdate AS DATE) AS fecha,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-  FROM orders WHERE o_orderstatus = 'P') x
-JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = x.rut
-WHERE x.rn = 1 AND c.c_acctbal > 0
+SELECT CAST(o.o_custkey AS VARCHAR) AS rut, CAST(o.o_orderkey AS VARCHAR) AS rol, CAST(o.o_orderdate AS DATE) AS fecha,
+       c.c_name || ' 2' AS razon_social, 'ACTIVO' AS estado
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE o.o_orderstatus = 'P' AND c.c_acctbal > 0
 """)
 def active_insolvencies_q(spark, d):
-    """B41 through ``plans.projects.active_insolvencies``: pending orders as insolvency rows, the last per
-    customer (by date, ties on order key), registry attributes, active customers only."""
+    """B41 through ``plans.projects.active_insolvencies``: pending orders as insolvency rows, all of them; the registry has
+    two active rows per customer with a positive balance (the later one counts) and a last inactive one."""
     t = Tables(spark, d)
     ins = t.orders.where(F.col("o_orderstatus") == "P").select(
         F.col("o_custkey").cast("string").alias("rut"), F.col("o_orderkey").cast("string").alias("rol"),
-        F.to_date("o_orderdate").alias("fecha"), F.col("o_orderkey").alias("__k"))
-    registry = t.customer.select(F.col("c_custkey").cast("string").alias("rut"), F.col("c_name").alias("razon_social"),
-                                 F.when(F.col("c_acctbal") > 0, "ACTIVO").otherwise("INACTIVO").alias("estado"))
-    out = projects.active_insolvencies(ins, registry, ["fecha", "__k"])
+        F.to_date("o_orderdate").alias("fecha"))
+    version = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("orden")
+    registry = t.customer.select("*", version).select(
+        F.col("c_custkey").cast("string").alias("rut"), F.concat_ws(" ", "c_name", F.col("orden").cast("string")).alias("razon_social"),
+        F.when((F.col("c_acctbal") > 0) & (F.col("orden") < 3), "ACTIVO").otherwise("INACTIVO").alias("estado"), "orden")
+    out = projects.active_insolvencies(ins, registry, "orden")
     return out.select("rut", "rol", "fecha", "razon_social", "estado")
 
 
-PO_NAMES = ["proyecto_pedido", "total_neto", "glosa", "fecha_cont_em", "codigo_impuesto", "cantidad"]
+PO_NAMES = ["proyecto_pedido", "total_neto", "glosa", "fecha_cont_em", "codigo_impuesto", "cantidad", "estatus_pedido"]
 
 
 @register("purchase_orders", f"""
@@ -747,11 +745,12 @@ WITH li AS (
          CASE WHEN l_linestatus = 'F' THEN 'nan' ELSE 'Glosa ' || l_linestatus END AS glosa_t,
          CASE WHEN l_returnflag = 'A' THEN '2023-02-30' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS fecha_t,
          CASE WHEN l_tax = 0 THEN 'IVA_EXE' WHEN l_tax > 0.05 THEN 'IVA' END AS codigo_impuesto,
-         CAST(l_linenumber AS VARCHAR) AS cantidad_t
+         CAST(l_linenumber AS VARCHAR) AS cantidad_t, CASE WHEN l_returnflag = 'N' THEN l_linestatus END AS estatus_pedido
   FROM lineitem),
 x AS (SELECT proyecto_pedido, TRY_CAST(total_neto_t AS DOUBLE) AS total_neto, nullif(glosa_t, 'nan') AS glosa,
-             CAST(try_strptime(fecha_t, '%Y-%m-%d') AS DATE) AS fecha_cont_em, codigo_impuesto,
-             TRY_CAST(cantidad_t AS INTEGER) AS cantidad FROM li)
+             CAST(try_strptime(fecha_t, '%Y-%m-%d') AS DATE) AS fecha_cont_em, coalesce(codigo_impuesto, '_') AS codigo_impuesto,
+             TRY_CAST(cantidad_t AS INTEGER) AS cantidad, estatus_pedido,
+             CASE WHEN estatus_pedido = 'O' THEN 'Pedido Abierto' ELSE 'Pedido Cerrado' END AS dsc_estatus_pedido FROM li)
 SELECT x.*,
        round(CASE WHEN coalesce(codigo_impuesto, '_') = 'IVA_EXE' THEN total_neto ELSE total_neto * CAST(1.19 AS DOUBLE) END, 6)
          AS total_con_impuesto,
@@ -774,7 +773,7 @@ def purchase_orders_q(spark, d):
         F.when(F.col("l_linestatus") == "F", "nan").otherwise(F.concat(F.lit("Glosa "), F.col("l_linestatus"))).alias("c2"),
         F.when(F.col("l_returnflag") == "A", "2023-02-30").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("c3"),
         F.when(F.col("l_tax") == 0, "IVA_EXE").when(F.col("l_tax") > 0.05, "IVA").alias("c4"),
-        F.col("l_linenumber").cast("string").alias("c5"))
+        F.col("l_linenumber").cast("string").alias("c5"), F.when(F.col("l_returnflag") == "N", F.col("l_linestatus")).alias("c6"))
     projects_df = t.supplier.where(F.col("s_acctbal") > 0).select(
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("proyecto_pedido"), F.col("s_name").alias("proyecto"))
     out = finance.purchase_orders_staging(spark, raw, PO_NAMES, {"double": ["total_neto"], "int": ["cantidad"]},

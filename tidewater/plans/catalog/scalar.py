@@ -19,16 +19,17 @@ from tidewater.plans.membership import member_staging, person_record, working_gr
 
 @register("local_numbers", """
 WITH t AS (SELECT o_orderkey,
-                  CASE WHEN o_orderstatus = 'P' THEN 'sin monto' ELSE translate(format('{:,.2f}', o_totalprice), ',.', '.,') END AS texto
+                  CASE WHEN o_orderstatus = 'P' THEN 'sin monto' WHEN o_orderpriority = '5-LOW' THEN '3.000.000.000,00'
+                  ELSE translate(format('{:,.2f}', o_totalprice), ',.', '.,') END AS texto
            FROM orders)
 SELECT o_orderkey, texto, TRY_CAST(replace(replace(texto, '.', ''), ',', '.') AS DOUBLE) AS monto,
-       CAST(round_even(TRY_CAST(replace(replace(texto, '.', ''), ',', '.') AS DOUBLE), 0) AS INTEGER) AS monto_entero
+       CAST(round_even(TRY_CAST(replace(replace(texto, '.', ''), ',', '.') AS DOUBLE), 0) AS BIGINT) AS monto_entero
 FROM t
 """)
 def local_numbers(spark, d):
     """B24 (M2, M1): local-format amounts (``1.234,56``) parsed back, bad text -> null, half-even integers."""
     o = Tables(spark, d).orders
-    text = F.when(F.col("o_orderstatus") == "P", F.lit("sin monto")).otherwise(
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("sin monto")).when(F.col("o_orderpriority") == "5-LOW", "3.000.000.000,00").otherwise(
         F.translate(F.format_number("o_totalprice", 2), ",.", ".,"))
     t = o.select("o_orderkey", text.alias("texto"))
     return t.select("o_orderkey", "texto", local_number("texto").alias("monto"),
@@ -137,13 +138,13 @@ def name_assembly(spark, d):
 
 
 @register("text_length_flag", """
-SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS largo FROM documents WHERE length(text) < 90
+SELECT doc_id, lang, coalesce(length(text) < 90, false) AS is_descripcion_corta, CAST(length(text) AS INTEGER) AS largo_descripcion FROM documents
 """)
 def text_length_flag(spark, d):
-    """B30 (F11, X9): texts shorter than 90 characters, with their length (whole texts are measured)."""
+    """B30 (F11, X9): every text with its length and a flag for those shorter than 90 characters."""
     from tidewater.plans.membership import group_names
     docs = Tables(spark, d).documents.select("doc_id", "lang", F.col("text").alias("descripcion"))
-    return group_names(docs).select("doc_id", "lang", "largo")
+    return group_names(docs).select("doc_id", "lang", "is_descripcion_corta", "largo_descripcion")
 
 
 @register("person_record", f"""

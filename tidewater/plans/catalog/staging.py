@@ -89,7 +89,9 @@ SELECT o_custkey AS reuid, CAST(o_orderdate AS DATE) AS reufecini, CASE WHEN o_o
        'Reunion ' || CASE WHEN o_orderpriority = '5-LOW' THEN 'POSTERGADA' ELSE o_orderpriority END AS reunom,
        CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
        CASE WHEN o_orderstatus = 'F' THEN 'SI' ELSE 'NO' END AS str_asistencia,
-       o_orderpriority <> '5-LOW' AS is_nombre_valido
+       CAST(year(o_orderdate) AS VARCHAR) || CAST(month(o_orderdate) AS VARCHAR) AS periodo,
+       o_orderpriority <> '5-LOW' AS is_nombre_valido,
+       CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS sexo
 FROM orders
 WHERE make_date(CAST(year(o_orderdate) AS INTEGER), CAST(month(o_orderdate) AS INTEGER), 1)
       >= CAST(DATE '{AS_OF_ORDERS}' - INTERVAL 12 MONTH AS DATE)
@@ -102,39 +104,40 @@ def attendance_rolling_q(spark, d):
                   F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("asiasis"),
                   F.concat(F.lit("Reunion "), F.when(F.col("o_orderpriority") == "5-LOW", "POSTERGADA")
                            .otherwise(F.col("o_orderpriority"))).alias("reunom"),
-                  F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+                  F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+                  F.when(F.col("o_orderstatus") == "P", "s/i").when(F.col("o_orderstatus") == "F", "1.0").otherwise("2").alias("sexo"))
     return membership.attendance_rolling(df, AS_OF_ORDERS)
 
 
 @register("projected_demand", """
-SELECT 'base' AS escenario, o_orderkey AS barra, o_totalprice AS demanda, CAST(NULL AS VARCHAR) AS sector
-FROM orders WHERE year(o_orderdate) <= 1998
-UNION ALL
-SELECT 'alta' AS escenario, o_orderkey AS barra, o_totalprice AS demanda, o_orderpriority AS sector
-FROM orders WHERE year(o_orderdate) >= 1999
+SELECT CASE WHEN year(o_orderdate) <= 1998 THEN 'escenario_medio' ELSE 'escenario_alto' END AS escenario,
+       o_orderkey AS nombre_barra_proyeccion, o_totalprice AS medida_horaria, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CASE WHEN year(o_orderdate) >= 1999 THEN o_orderpriority END AS registro_romano,
+       CAST(year(o_orderdate) AS VARCHAR) AS anio, '1999' AS "yearParticion"
+FROM orders
 """)
 def projected_demand_q(spark, d):
     """B6 through ``plans.energy.projected_demand``: two scenarios with different columns, tagged and
-    appended (missing columns null), then renamed."""
+    appended (missing columns null) under the job's names."""
     o = Tables(spark, d).orders
-    base = o.where(F.year("o_orderdate") <= 1998).select(F.col("o_orderkey").alias("BARRA"), F.col("o_totalprice").alias("Demanda"))
-    alta = o.where(F.year("o_orderdate") >= 1999).select(F.col("o_orderkey").alias("BARRA"), F.col("o_totalprice").alias("Demanda"),
-                                                         F.col("o_orderpriority").alias("Sector"))
-    return energy.projected_demand({"base": base, "alta": alta}, {"BARRA": "barra", "Demanda": "demanda", "Sector": "sector"})
+    cols = [F.col("o_orderkey").alias("barra_proyeccion"), F.col("o_totalprice").alias("MedidaHoraria2"), F.year("o_orderdate").alias("ano")]
+    medio = o.where(F.year("o_orderdate") <= 1998).select(*cols)
+    alto = o.where(F.year("o_orderdate") >= 1999).select(*cols, F.col("o_orderpriority").alias("reg_rom_"))
+    return energy.projected_demand({"escenario_medio": medio, "escenario_alto": alto}, load_year=1999)
 
 
 @register("projected_marginal_cost", """
-SELECT o_orderpriority AS hidro, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS mes,
-       o_orderstatus AS barnom, '01-' || CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS fecha,
-       CAST(year(o_orderdate) AS INTEGER) AS year_partition, o_orderpriority AS escenario_partition
+SELECT o_orderpriority AS hidrologia, CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(month(o_orderdate) AS INTEGER) AS mes,
+       o_orderstatus AS nombre_barra, '01-' || CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS fecha,
+       CAST(year(o_orderdate) AS INTEGER) AS year_partition, o_orderpriority AS escenario_partition, '1999' AS "yearParticion"
 FROM orders
 """)
 def projected_marginal_cost_q(spark, d):
-    """B4 through ``plans.energy.projected_marginal_cost``: first-of-month text and partition aliases."""
+    """B4 through ``plans.energy.projected_marginal_cost``: first-of-month text, renames and partition aliases."""
     o = Tables(spark, d).orders
     df = o.select(F.col("o_orderpriority").alias("hidro"), F.year("o_orderdate").alias("year"),
                   F.month("o_orderdate").alias("mes"), F.col("o_orderstatus").alias("barnom"))
-    return energy.projected_marginal_cost(df)
+    return energy.projected_marginal_cost(df, load_year=1999)
 
 
 @register("evaluations_count", """

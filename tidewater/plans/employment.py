@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.dates import as_date, period_number, within_last_year
 from tidewater.functions.rules import first_rule, positive_flag
-from tidewater.functions.text import concat_null_empty
+from tidewater.functions.text import concat_null_empty, proper
 from tidewater.operators.relational import exists_flag
 from tidewater.operators.reshape import month_spine
 from tidewater.operators.versions import first_by
@@ -15,7 +15,7 @@ from tidewater.operators.versions import first_by
 
 def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFrame, usuarios: DataFrame,
                       socios: DataFrame, as_of, region_col: str = "nom_region", capital_region: str = "Metropolitana",
-                      geography: DataFrame | None = None, registry: DataFrame | None = None) -> DataFrame:
+                      geography: DataFrame | None = None, geo_id: str = "id_geo", registry: DataFrame | None = None) -> DataFrame:
     """B19. Inputs, all keyed by ``rut``:
 
     - ``empresas``: rut, estado, ``region_col`` and optionally ``fechaalta`` (date);
@@ -28,7 +28,7 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
     needs activity, ``estado = 1`` and no exclusion (C7); ``f_365`` marks sign-ups within a year
     (T19). Excluded companies are dropped at the end (J9).
 
-    With ``geography`` (idconecta, comuna) the chamber id is looked up by accent-folded
+    With ``geography`` (``geo_id``, comuna) the chamber id is looked up by accent-folded
     municipality (J14; municipality ``migracion`` becomes 'Sin Información'); with ``registry``
     (rut with ``-``, size and sector columns) the tax-registry attributes are joined on the
     normalised id (dash removed, upper case).
@@ -65,7 +65,7 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
     df = df.where(~F.col("ignorado")).drop("ignorado")
     if geography is not None:
         from tidewater.functions.text import fold
-        geo = geography.select(F.col("idconecta").alias("id_camara"), fold("comuna").alias("__c")).distinct()
+        geo = geography.select(F.col(geo_id).alias("id_camara"), fold("comuna").alias("__c")).distinct()
         df = df.withColumn("__c", fold("nom_comuna")).join(geo, "__c", "left")
         df = df.withColumn("nom_comuna", F.when(F.col("__c") == "migracion", "Sin Información")
                            .otherwise(F.col("nom_comuna"))).drop("__c")
@@ -96,11 +96,11 @@ def ordinal(c, labels) -> F.Column:
 
 def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFrame, cesantes: DataFrame,
             order_by: str = "fecha_registro", tie_break="clave_combinada",
-            geography: DataFrame | None = None) -> DataFrame:
-    """B20 (J12, C1, X8, D2): workers with trade and speciality lookups, unemployed flag on an
+            geography: DataFrame | None = None, geo_id: str = "id_geo") -> DataFrame:
+    """B20 (X3, J12, C1, X8, D2): occupation in proper text, workers with trade and speciality lookups, unemployed flag on an
     expression key, brackets and ordinals, composite keys, one row per (rut, occupation) by
     ``order_by`` (an explicit tie-break replaces the unordered drop-duplicates, N8)."""
-    t = trabajadores.withColumn("rut", F.concat("num_documento", "digito_verificador"))
+    t = trabajadores.withColumns({"rut": F.concat("num_documento", "digito_verificador"), "ocupacion": proper("ocupacion")})
     t = t.join(oficios.select("oficio", F.col("oficio").alias("__of")), t["ocupacion"] == F.col("__of"), "left").drop("__of")
     t = t.join(especialidades.select(F.col("ocupacion").alias("__oc"), "especialidad"),
                t["ocupacion"] == F.col("__oc"), "left").drop("__oc")
@@ -123,7 +123,7 @@ def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFra
     if geography is not None:
         # regional chamber by accent-folded municipality, then the Santiago / regions label
         from tidewater.functions.text import fold
-        geo = geography.select(F.col("idconecta").cast("bigint").alias("id_camara_regional"),
+        geo = geography.select(F.col(geo_id).cast("bigint").alias("id_camara_regional"),
                                fold("comuna").alias("__c")).distinct()
         t = t.withColumn("__c", fold("comuna")).join(geo, "__c", "left").drop("__c")
         t = t.withColumn("santiago_region", first_rule([
@@ -311,8 +311,8 @@ def list_usage(lists: DataFrame, users: DataFrame, ubicac: DataFrame, relac: Dat
 
 
 def downloads_reconciliation(views: DataFrame, empresas: DataFrame, excluded: DataFrame) -> DataFrame:
-    """B42 (J3, J9, A9): viewed CVs of active, not-excluded companies: total views and row count."""
+    """B42 (J3, J9, A9): total views of active, not-excluded companies, and the number of all view rows."""
     active = empresas.where(F.col("ESTADO") == 1).select("RUT", "ESTADO")
     x = views.join(active, "RUT", "left")
     x = exists_flag(x, excluded.select(F.col("rut").alias("RUT")), "RUT", "ignorar").where(~F.col("ignorar"))
-    return x.agg(F.sum("TOTAL").alias("total_vistas"), F.count(F.lit(1)).alias("filas"))
+    return x.agg(F.sum("TOTAL").alias("total_vistas")).withColumn("filas", views.agg(F.count(F.lit(1))).scalar())

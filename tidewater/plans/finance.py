@@ -38,17 +38,21 @@ def tenders_staging(df: DataFrame, date_format: str = "dd-MM-yyyy") -> DataFrame
 def purchase_orders_staging(spark: SparkSession, df: DataFrame, names: Sequence[str],
                             families: Mapping[str, list[str]], date_cols: Sequence[str], projects: DataFrame,
                             date_format: str = "yyyy-MM-dd", net_col: str = "total_neto",
-                            tax_code_col: str = "codigo_impuesto", date_for_month: str = "fecha_cont_em") -> DataFrame:
+                            tax_code_col: str = "codigo_impuesto", date_for_month: str = "fecha_cont_em",
+                            status_col: str = "estatus_pedido") -> DataFrame:
     """B25 (P4, P8, X15, T1, M3, C2, T5, J3), shared by both companies: positional names with a
     width check; typed casts by family (bad values -> null); text ``'nan'`` -> null on string
-    columns; dates parsed; tax-inclusive total; year, month and Spanish month name (literal
+    columns; dates parsed; a null tax code becomes ``_``; tax-inclusive total; order state as text; year, month and Spanish month name (literal
     month table joined); project names looked up (``proyecto_pedido`` -> ``proyecto``)."""
     df = rename_positional(df, list(names))
     df = cast_columns(df, families)
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     df = df.withColumns({c: nan_to_null(c) for c in strings})
     df = df.withColumns({c: parse_date(c, date_format) for c in date_cols if c in df.columns})
+    df = df.withColumn(tax_code_col, F.coalesce(tax_code_col, F.lit("_")))
     df = df.withColumn("total_con_impuesto", tax_inclusive(net_col, tax_code_col))
+    if status_col in df.columns:
+        df = df.withColumn("dsc_estatus_pedido", F.when(F.col(status_col) == "O", "Pedido Abierto").otherwise("Pedido Cerrado"))
     df = df.withColumns({f"{date_for_month}_year": F.year(date_for_month),
                          f"{date_for_month}_month": F.month(date_for_month)})
     months = literal_table(spark, [(i + 1, m) for i, m in enumerate(MONTHS_ES)],

@@ -141,8 +141,8 @@ def person_record(personas: DataFrame, gender_map: DataFrame, councillors: DataF
     looked up in a gender map, tenure and age as half-even rounded years, birth-date validity
     (18-120, null counts as valid), full name with null parts as empty and single spaces."""
     df = personas.withColumns({
-        "fecha_creacion": F.to_date("fecha_creacion"), "fecha_nacimiento": F.to_date("fecha_nacimiento"),
-        "fecha_defuncion": F.to_date("fecha_defuncion"), "primer_nombre": first_word("nombre")})
+        **{c: F.col(c).try_cast("date") for c in ("fecha_creacion", "fecha_nacimiento", "fecha_defuncion")},
+        "primer_nombre": first_word("nombre")})
     df = exists_flag(df, councillors, "per_id", "is_consejero_regional")
     gm = first_by(gender_map.select(first_word("nombre").alias("primer_nombre"), "sexo_inferido"),
                   ["primer_nombre"], order_by="sexo_inferido")
@@ -172,9 +172,10 @@ def working_group_members(df: DataFrame, maternal: str = "per_ape_mat_15") -> Da
 
 
 def attendance(df: DataFrame) -> DataFrame:
-    """B34 (W4, F8, C5): meetings held on several dates lose their earliest date; attendance text;
-    period text; meeting names with a cancelled word are invalid."""
-    df = drop_earliest_dup(df, "reuid", "reufecini")
+    """B34 (W4, F8, C5): meetings held on several dates of a year lose that year's earliest date (the
+    source job runs one year at a time); attendance text; period text; meeting names with a cancelled
+    word are invalid."""
+    df = drop_earliest_dup(df, ["reuid", "year"], "reufecini")
     return df.withColumns({
         "str_asistencia": F.when(F.col("asiasis").cast("int") == 1, "SI").otherwise("NO"),
         "periodo": F.concat(F.col("year").cast("string"), F.col("month").cast("string")),
@@ -185,12 +186,15 @@ def attendance(df: DataFrame) -> DataFrame:
 
 def attendance_rolling(df: DataFrame, as_of, months: int = 12, full_load: bool = False) -> DataFrame:
     """B35 (T18, F8, C5): the daily attendance report: only (year, month) partitions from
-    ``as_of`` minus ``months`` on (pruned at the scan), cancelled-word flag, attendance text."""
+    ``as_of`` minus ``months`` on (pruned at the scan), cancelled-word flag, attendance and period text,
+    sex code as a nullable integer."""
     from tidewater.functions.dates import partitions_since
     df = df.where(partitions_since(as_of, months=months, full_load=full_load))
     return df.withColumns({
         "str_asistencia": F.when(F.col("asiasis").cast("int") == 1, "SI").otherwise("NO"),
+        "periodo": F.concat(F.col("year").cast("string"), F.col("month").cast("string")),
         "is_nombre_valido": F.when(contains_any("reunom", CANCELLED_WORDS), False).otherwise(True),
+        "sexo": F.col("sexo").try_cast("double").cast("int"),
     })
 
 
@@ -223,9 +227,10 @@ def pass_through(df: DataFrame, renames: dict[str, str] | None = None, lower: bo
     return rename(out, renames or {})
 
 
-def group_names(df: DataFrame, max_len: int = 90) -> DataFrame:
-    """B30 (F11, X9): groups whose description is shorter than ``max_len``, with its length."""
-    return df.where(F.length("descripcion") < max_len).withColumn("largo", F.length("descripcion"))
+def group_names(df: DataFrame, short: int = 90) -> DataFrame:
+    """B30 (F11, X9): every group, with a flag for descriptions shorter than ``short`` (null: not short) and their length."""
+    size = F.length("descripcion")
+    return df.withColumns({"is_descripcion_corta": F.coalesce(size < short, F.lit(False)), "largo_descripcion": size})
 
 
 __all__ = ["collapse_spaces"]

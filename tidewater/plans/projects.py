@@ -56,10 +56,10 @@ def insolvency_merge(history: DataFrame, new: DataFrame, registry: DataFrame, as
 
 
 def active_insolvencies(insolvencies: DataFrame, registry: DataFrame, order_by: str) -> DataFrame:
-    """B41 (D3, J3, F1): last insolvency row per id, registry attributes, active rows only."""
-    last = latest_by(insolvencies, ["rut"], order_by)
-    out = lookup_join(last, registry, "rut")
-    return out.where(F.col("estado") == "ACTIVO")
+    """B41 (F1, D3, J3): every insolvency of a company whose registry has an active row, with the attributes of
+    the last active one by ``order_by`` (columns of the registry)."""
+    last = latest_by(registry.where(F.col("estado") == "ACTIVO"), ["rut"], order_by)
+    return lookup_join(insolvencies, last, "rut").where(F.col("estado") == "ACTIVO")
 
 
 REPRESENTATIVE_ROLE = 106

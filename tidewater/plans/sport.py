@@ -26,8 +26,8 @@ def team_table(results: DataFrame) -> DataFrame:
     return numeric_sums(home.unionByName(away), ["team"])
 
 
-def penalty_scorers(goals: DataFrame, top: int = 10) -> DataFrame:
-    """B40 (F1, A5, O1): penalty goals per scorer, most first (ties by name), top ``top``."""
+def penalty_scorers(goals: DataFrame) -> DataFrame:
+    """B40 (F1, A5): dated penalty goals per (scorer, team), counted in column ``date``, most first (ties by name)."""
     pens = goals.where(F.col("penalty") == True)  # noqa: E712
-    counts = group_agg(pens, ["scorer"], {"goles": ("count", "scorer")})
-    return counts.orderBy(F.desc("goles"), F.asc("scorer")).limit(top)
+    counts = group_agg(pens, ["scorer", "team"], {"date": ("count", "date")})
+    return counts.orderBy(F.desc("date"), F.asc("scorer"), F.asc("team"))

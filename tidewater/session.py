@@ -54,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that setting
-    wins. Only when nothing is configured (local runs and tests) is a fresh
-    folder under the system temp directory used.
+    wins. Only when nothing is configured and the master is local is a fresh folder
+    under the system temp directory used; any other master raises, because its executors
+    do not see the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -66,12 +66,12 @@ def with_path_columns(df: DataFrame, parts: Mapping[str, int], strip_prefix: Map
     """Columns taken from the file path (``_metadata.file_path``).
 
     ``parts`` maps an output name to a path segment index (1-based, negative from the end,
-    ``-1`` = file name). ``strip_prefix`` removes a ``key=`` style prefix from a segment.
+    ``-1`` = file name); a path without it gives null. ``strip_prefix`` removes a ``key=`` style prefix from a segment.
     """
     segs = F.split(F.col("_metadata.file_path"), "/")
     cols = {}
     for name, idx in parts.items():
-        c = F.element_at(segs, idx)
+        c = F.try_element_at(segs, F.lit(idx))
         if strip_prefix and name in strip_prefix:
             c = F.regexp_replace(c, "^" + strip_prefix[name], "")
         cols[name] = c
@@ -84,20 +84,16 @@ def file_prefixes(df: DataFrame, depth_from_end: int = 2, out: str = "prefix") -
     Reads only file metadata (``_metadata.file_path``), not data columns.
     """
     segs = F.split(F.col("_metadata.file_path"), "/")
-    return df.select(F.element_at(segs, -depth_from_end).alias(out)).distinct()
+    return df.select(F.try_element_at(segs, F.lit(-depth_from_end)).alias(out)).distinct()
 
 
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str, max_rows: int = 10_000) -> DataFrame:
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small literal table (labels, month names, groups), marked for broadcast.
 
-    Its size is fixed by the rows written in code (checked against ``max_rows``), which is the
-    proven bound that makes broadcasting it safe at any data scale; a list built from data
-    does not belong here.
+    Its size is fixed by the rows written in code, which is the proven bound that makes broadcasting it
+    safe at any data scale; a list built from data does not belong here.
     """
-    rows = list(rows)
-    if len(rows) > max_rows:
-        raise ValueError(f"literal table of {len(rows)} rows exceeds {max_rows}; read it as a table instead")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],

@@ -63,25 +63,29 @@ def incremental_load(spark: SparkSession, source_dir: str, schema, transform: Ca
                      partition_by: list[str] | None = None, fmt: str = "parquet"):
     """Raw -> staging for files not loaded before, with the write bookkeeping of the batch jobs.
 
-    Every micro-batch of new files (``Trigger.AvailableNow``) is transformed, written to ``target``
-    (only the partitions present in the batch are replaced when ``partition_by`` is given, K2),
-    and its audit row (row count, OK/ERROR, K13) and, with ``mark_col``, the batch's high-water
-    mark (K14) are appended. The streaming checkpoint records consumed files, so a rerun after a
-    failure neither skips nor repeats input; an empty batch writes an ERROR audit row, as a write of
-    zero rows does in the batch jobs.
+    Every micro-batch of new files (``Trigger.AvailableNow``) is transformed and added to ``target``: it
+    is written under its own ``load_epoch`` below the partition columns, so rows loaded earlier stay and a
+    batch that is run again after a failure replaces what it had written. Its audit row (row count, OK/ERROR, K13) and, with ``mark_col``, the batch's high-water
+    mark (K14) are written under the same epoch. The streaming checkpoint records consumed files; a run that
+    found no new file, or a batch of no rows, writes an ERROR audit row, as a write of zero rows does in the batch jobs.
     """
     from tidewater.sources.sinks import audit_row, high_water_mark, write_table
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
+        epochs.append(epoch_id)
         out = batch.persist()
+        epoch = {"load_epoch": F.lit(epoch_id)}
         try:
-            write_table(out, target, mode="overwrite_partitions" if partition_by else "append",
-                        partition_by=partition_by or ())
-            audit = audit_row(out, table, stage, as_of).withColumn("epoch", F.lit(epoch_id))
-            audit.write.mode("append").parquet(audit_path)
+            write_table(out.withColumns(epoch), target, mode="overwrite_partitions", partition_by=[*(partition_by or ()), "load_epoch"])
+            write_table(audit_row(out, table, stage, as_of).withColumns(epoch), audit_path, mode="overwrite_partitions", partition_by=["load_epoch"])
             if marks_path and mark_col:
-                high_water_mark(out, mark_col, table).write.mode("append").parquet(marks_path)
+                write_table(high_water_mark(out, mark_col, table).withColumns(epoch), marks_path, mode="overwrite_partitions", partition_by=["load_epoch"])
         finally:
             out.unpersist()
 
-    return run_available_files(spark, source_dir, schema, transform, sink, checkpoint, fmt=fmt)
+    epochs: list[int] = []
+    query = run_available_files(spark, source_dir, schema, transform, sink, checkpoint, fmt=fmt)
+    if not epochs:
+        empty = audit_row(spark.createDataFrame([], "id int"), table, stage, as_of).withColumn("load_epoch", F.lit(-1))
+        write_table(empty, audit_path, mode="append", partition_by=["load_epoch"])
+    return query
