@@ -28,6 +28,13 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(n) for n in names])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def _fold(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], int(row["h"] or 0)

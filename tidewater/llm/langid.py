@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import only
+from tidewater.llm.common import fresh, only
 
 UND = "und"
 SAMPLE_DOCS = 64          # documents a language is learned from, at most
@@ -179,14 +179,9 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
     return Model({k: v for k, v in samples.items() if v})
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and phrase_length, from the text alone; one narrow pass.
-
-    Every whole text is parsed. Defined cases: null, or no letter in the text: ``und``, score 0; a model without languages:
-    ``und`` for all; a text whose letters the model never saw is still given its nearest language, with a
-    phrase_length of about 1; repeated rows are predicted alike. Columns of docs that have the names of results are replaced."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(vars(model))          # plain arrays: a worker needs no class to read them
+def _predicted(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """``docs`` with a struct column of lang_pred, score and phrase_length."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))          # plain arrays: a worker needs no class to read them
 
     @F.pandas_udf("lang_pred string, score double, phrase_length double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -196,9 +191,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             lang, score, span = mine.predict(texts.tolist())
             yield pd.DataFrame({"lang_pred": lang, "score": score, "phrase_length": span})
 
+    return docs.withColumn(name, predict("text"))
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with lang_pred, score (0 to 1) and phrase_length, from the text alone; one narrow pass.
+
+    Every whole text is parsed. Defined cases: null, or no letter in the text: ``und``, score 0; a model without languages:
+    ``und`` for all; a text whose letters the model never saw is still given its nearest language, with a
+    phrase_length of about 1; repeated rows are predicted alike; an empty table gives no rows. Columns of docs that have the
+    names of results are replaced."""
     names = ["lang_pred", "score", "phrase_length"]
-    kept = [c for c in docs.columns if c not in names]
-    return docs.select(*kept, predict("text").alias("__p")).select(*kept, *[F.col(f"__p.{n}").alias(n) for n in names])
+    kept, p = [c for c in docs.columns if c not in names], fresh(docs, "prediction")
+    return _predicted(docs, model, p).select(*kept, *[F.col(f"{p}.{n}").alias(n) for n in names])
 
 
 def held_out():
@@ -209,8 +214,9 @@ def held_out():
 def accept(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (all columns) that have a language: not those without a letter, nor those of which the learned
     text knows not one symbol pair (phrases of single symbols only, in more than one symbol: a script never seen)."""
-    known = identify(docs, model)
-    return known.where((F.col("lang_pred") != UND) & ((F.col("phrase_length") > 1.0) | (F.length("text") <= 4))).select(*docs.columns)
+    p = fresh(docs, "prediction")
+    known = F.col(f"{p}.lang_pred") != UND
+    return _predicted(docs, model, p).where(known & ((F.col(f"{p}.phrase_length") > 1.0) | (F.length("text") <= 4))).select(*docs.columns)
 
 
 def train(docs: DataFrame) -> Model:

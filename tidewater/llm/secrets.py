@@ -4,9 +4,10 @@ Base patterns (assignments, access keys, hex runs) are found everywhere and stay
 each run of 16 or more key characters gets an encoding inferred from its characters (hex, base32, base62, base64) and three
 tests of uniform randomness over that alphabet: chi-squared on equal classes of it, runs above and below its middle, and
 lag-one serial correlation, joined by Fisher's method. False discoveries are controlled per length class against a
-control group: runs of letters, which are words, take the same tests, and the rate at which they pass (pooled with
-that of shorter classes: the tests only gain power with length) times the runs tested, over the runs that pass,
-estimates the share of ordinary strings among the reports. Classes above the accepted share report nothing.
+control group: runs of letters, which are words, take the same tests over the base62 alphabet (as if one digit had
+joined them), and the rate at which they pass, times the runs tested, over the runs that pass, estimates the share of
+ordinary strings among the reports. A class with few control words borrows those of shorter classes: the tests only gain
+power with length. Classes above the accepted share report nothing.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ HEX = r"[0-9a-f]{16,}"
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 KINDS = ["assign", "access", "hex", "random"]
 LENGTHS = [16, 20, 24, 32, 48, 64]
-ALPHA = 0.01              # a run passes the battery unless randomness is rejected at this level
+ALPHA = 0.05              # a run passes the battery unless randomness is rejected at this level
+CONTROLS = 50             # control words a length class should have
 SHARE = 0.05              # accepted share of ordinary strings among the reports of a length class
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ALPHABETS = {"word": LOWER, "hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base62": DIGITS + UPPER + LOWER,
+ALPHABETS = {"word": DIGITS + UPPER + LOWER, "hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base62": DIGITS + UPPER + LOWER,
              "base64": "+/" + DIGITS + UPPER + LOWER}
 BLOCK = 256
 
@@ -76,7 +78,7 @@ def _tail(z: Column) -> Column:
 
 def _battery(run: Column, enc: Column) -> Column:
     """P-value of the hypothesis that the run's characters are drawn independently and uniformly from its alphabet."""
-    letters = F.when(enc.isin("word", "hex"), F.lower(run)).otherwise(F.translate(run, "-_", "+/"))
+    letters = F.when(enc == "hex", F.lower(run)).otherwise(F.translate(run, "-_", "+/"))
     table = F.lit("")
     for name, chars in ALPHABETS.items():
         table = F.when(enc == name, F.lit(chars)).otherwise(table)
@@ -137,9 +139,13 @@ def accepted_classes(found: DataFrame, alpha: float = ALPHA, share: float = SHAR
             .agg(F.count_if("word").alias("words"), F.count_if(F.col("word") & (F.col("p") >= alpha)).alias("words_pass"),
                  F.count_if(~F.col("word")).alias("runs"), F.count_if(~F.col("word") & (F.col("p") >= alpha)).alias("runs_pass"))
             .orderBy("class").collect())
-    out, words, words_pass = [], 0, 0
-    for r in rows:
-        words, words_pass = words + r["words"], words_pass + r["words_pass"]
+    out = []
+    for k, r in enumerate(rows):
+        words = words_pass = 0
+        for c in reversed(rows[:k + 1]):
+            words, words_pass = words + c["words"], words_pass + c["words_pass"]
+            if words >= CONTROLS:
+                break
         if r["runs_pass"] and (words_pass + 1) / (words + 1) * r["runs"] / r["runs_pass"] <= share:
             out.append(r["class"])
     return out

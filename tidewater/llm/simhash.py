@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import connected_components, materialize, only
+from tidewater.llm.common import connected_components, fresh, materialize, only
 
 BITS = 64
 TOP_LEAVES = 1 << 17      # leaves a top node should hold at most (1 MB)
@@ -228,16 +228,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest; the other rows of a component go. Rows with a null
-    doc_id stay only where their whole component has none. Of repeated rows with that doc_id one stays (any: equal ids
-    with unequal texts keep the first by text). All columns of ``docs`` are returned."""
+    """The rows of ``docs`` whose doc_id is their component's smallest; the other rows of a component go. Of several rows
+    with that doc_id the first by text stays. Rows with a null doc_id stay, since nothing tells them apart. All columns
+    of ``docs`` are returned."""
     from pyspark.sql import Window
 
     found = near_duplicates(docs, shingle, max_bits)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__k")).distinct()
-    hit = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__k"]), "left_semi")
+    keep = found.where("doc_id = component_id").select("doc_id").distinct()
     again = Window.partitionBy("doc_id").orderBy("text")
-    return hit.withColumn("__n", F.row_number().over(again)).where("__n = 1").drop("__n")
+    nth = fresh(docs, "nth")
+    named = (docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+             .withColumn(nth, F.row_number().over(again)).where(F.col(nth) == 1).drop(nth))
+    return named.union(docs.where("doc_id is null"))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
