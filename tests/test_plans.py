@@ -28,7 +28,7 @@ def test_real_generation_fact(spark):
     company = mk([(1,)], "id long")
     plants = mk([("Central A", 7)], "centralnombre string, id_propietario long")
     owners = mk([(7, "Owner SA")], "id_empresa long, empresanombre string")
-    out = energy.real_generation(spark, meas, key, kc, time, kt, ku, kn, node, edge, company, plants, owners)
+    out = energy.real_generation(meas, key, kc, time, kt, ku, kn, node, edge, company, plants, owners)
     got = rows(out, "Idcentral", "valor", "potencia_maxima", "Tipo_Tecnologia", "Propietario")
     assert got == [(10, 2.0, "50", "Solar", "Owner SA"), (11, 3.0, None, "Solar", "Owner SA")]
 

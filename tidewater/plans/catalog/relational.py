@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.nested import map_lookup
@@ -13,7 +14,8 @@ from tidewater.operators.relational import (branch_counts, exclude, exists_flag,
 from tidewater.operators.versions import drop_earliest_dup, first_by, latest_by
 from tidewater.plans.catalog import AS_OF_ORDERS, Tables, register
 from tidewater.plans.employment import company_dimension
-from tidewater.plans.energy import generation_fact
+from tidewater.plans import energy
+from tidewater.session import temp_views
 
 
 @register("latest_version", """
@@ -42,6 +44,36 @@ def first_version(spark, d):
     return first_by(joined, ["user_id", "event_type"], order_by="ts", tie_break="event_id", drop_null_order=True)
 
 
+def generation_fact(spark: SparkSession, lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
+                    nation: DataFrame, region: DataFrame, supplier: DataFrame, part: DataFrame) -> DataFrame:
+    """B1 on the driver tables: the newest version of each (order, line), then a chain of inner
+    joins and filters written as SQL over temp views (S11). Version selection is the
+    partially-aggregated ``latest_by``; the join chain is left to Catalyst (it pushes the
+    filters into the scans and AQE picks broadcast or sort-merge per join from sizes)."""
+    ops = latest_by(lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
+                                    "l_extendedprice"),
+                    ["l_orderkey", "l_linenumber"], order_by="l_shipdate",
+                    tie_break=["l_partkey", "l_suppkey", "l_extendedprice"])
+    views = {"ops": ops, "orders": orders, "customer": customer, "nation": nation, "region": region,
+             "supplier": supplier, "part": part}
+    with temp_views(spark, views) as v:
+        return spark.sql(f"""
+            SELECT om.l_orderkey AS orderkey, om.l_linenumber AS linenumber, om.l_extendedprice AS valor,
+                   p.p_type AS unidad, CAST(om.l_shipdate AS DATE) AS fecha, c.c_name AS cliente,
+                   cn.n_name AS nacion_cliente, r.r_name AS region_cliente, s.s_name AS proveedor,
+                   sn.n_name AS tipo_nodo, o.o_orderpriority AS prioridad
+            FROM {v['ops']} om
+            JOIN {v['orders']} o ON om.l_orderkey = o.o_orderkey
+            JOIN {v['customer']} c ON o.o_custkey = c.c_custkey
+            JOIN {v['nation']} cn ON c.c_nationkey = cn.n_nationkey
+            JOIN {v['region']} r ON cn.n_regionkey = r.r_regionkey
+            JOIN {v['supplier']} s ON om.l_suppkey = s.s_suppkey
+            JOIN {v['nation']} sn ON s.s_nationkey = sn.n_nationkey
+            JOIN {v['part']} p ON om.l_partkey = p.p_partkey
+            WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH') AND sn.n_regionkey <> 0
+        """)
+
+
 @register("topology_fact", """
 WITH ops AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -180,9 +212,9 @@ def exclusion_anti(spark, d):
 
 @register("member_registry", """
 WITH members AS (
-  SELECT lower(c_name) AS rut, c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+  SELECT lower(c_name) AS rut, c_custkey, c_nationkey, c_mktsegment FROM customer 
   UNION ALL
-  SELECT lower(s_name) AS rut, NULL, s_nationkey, NULL FROM supplier WHERE s_acctbal > 5000),
+  SELECT lower(s_name) AS rut, NULL, s_nationkey, NULL FROM supplier),
 insolvent AS (SELECT DISTINCT lower(c.c_name) AS rut, true AS insolvente FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
               WHERE o.o_orderstatus = 'P' AND o.o_totalprice > 300000),
 totals AS (SELECT lower(c.c_name) AS rut, CAST(count(*) AS BIGINT) AS n_pedidos, round(sum(o.o_totalprice), 2) AS monto
@@ -197,9 +229,9 @@ def member_registry(spark, d):
     insolvency flag (J8), pre-aggregated totals (A1, A4), per-column fills (C5)."""
     from tidewater.plans.membership import member_totals as job
     t = Tables(spark, d)
-    socios = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+    socios = t.customer.select(
         F.col("c_name").alias("rut"), "c_custkey", "c_nationkey", "c_mktsegment")
-    empresas = t.supplier.where(F.col("s_acctbal") > 5000).select(F.col("s_name").alias("rut"),
+    empresas = t.supplier.select(F.col("s_name").alias("rut"),
                                                                   F.col("s_nationkey").alias("c_nationkey"))
     cust = t.customer.select("c_custkey", "c_name")
     orders = t.orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -514,3 +546,43 @@ def drop_earliest_dup_q(spark, d):
 
 
 __all__ = ["concat_null_empty", "fold"]
+
+
+@register("plant_generation", """
+WITH m AS (
+  SELECT l_suppkey AS key_id, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS time_id, l_extendedprice AS value,
+         row_number() OVER (PARTITION BY l_suppkey, year(l_shipdate), month(l_shipdate) ORDER BY l_orderkey * 10 + l_linenumber DESC) AS rn
+  FROM lineitem)
+SELECT m.value AS valor, ur.r_name AS unidad, make_date(CAST(m.time_id // 100 AS INTEGER), CAST(m.time_id % 100 AS INTEGER), 1) AS fecha,
+       CAST(m.time_id % 24 AS INTEGER) AS "Hora", s.s_name AS "Nombre_Central_Unidad", tr.r_name AS "Tipo_Tecnologia",
+       'Owner ' || tr.r_name AS "Propietario", CASE WHEN s.s_acctbal > 0 THEN CAST(s.s_suppkey AS VARCHAR) END AS potencia_maxima,
+       m.key_id AS "Idcentral"
+FROM m JOIN supplier s ON s.s_suppkey = m.key_id
+JOIN region ur ON ur.r_regionkey = s.s_nationkey % 5
+JOIN nation n ON n.n_nationkey = s.s_nationkey
+JOIN region tr ON tr.r_regionkey = n.n_regionkey
+WHERE m.rn = 1 AND s.s_nationkey % 5 IN (1, 2) AND tr.r_regionkey <> 0
+""")
+def plant_generation(spark, d):
+    """B1 through ``plans.energy.real_generation``, all twelve joins: suppliers as keys, line items as measurements per
+    month, nations as plants, regions as units, technologies and owners."""
+    t = Tables(spark, d)
+    month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
+    meas = t.lineitem.select(F.col("l_suppkey").alias("key_id"), month.cast("bigint").alias("reported_time_id"),
+                             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("audit_id"), F.col("l_extendedprice").alias("value"))
+    time = meas.select(F.col("reported_time_id").alias("id")).distinct().select(
+        "id", F.make_date(F.floor(F.col("id") / 100).cast("int"), (F.col("id") % 100).cast("int"), F.lit(1)).alias("date"), (F.col("id") % 24).cast("int").alias("hour"))
+    params = F.when(F.col("s_acctbal") > 0, F.format_string('{"max_tol": %d}', "s_suppkey")).otherwise("{}")
+    key = t.supplier.select(F.col("s_suppkey").alias("id"), (F.col("s_nationkey") % 5).alias("key_type_id"), F.col("s_name").alias("name"),
+                            params.alias("params"), F.col("s_nationkey").alias("company_id"))
+    node = (t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("description"), F.lit(3).alias("node_type_id"))
+            .union(t.region.select(F.col("r_regionkey") + 100, "r_name", F.when(F.col("r_regionkey") > 0, 1).otherwise(2))))
+    return energy.real_generation(
+        meas, key, t.supplier.select(F.col("s_suppkey").alias("key_id")), time,
+        t.region.select(F.col("r_regionkey").alias("id"), F.col("r_regionkey").alias("key_unit_id")),
+        t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("natural_key")),
+        t.supplier.select(F.col("s_suppkey").alias("key_id"), F.col("s_nationkey").alias("node_id")), node,
+        t.nation.select(F.col("n_nationkey").alias("src_id"), (F.col("n_regionkey") + 100).alias("dst_id")),
+        t.nation.select(F.col("n_nationkey").alias("id")),
+        t.nation.select(F.col("n_name").alias("centralnombre"), F.col("n_regionkey").alias("id_propietario")),
+        t.region.select(F.col("r_regionkey").alias("id_empresa"), F.concat(F.lit("Owner "), "r_name").alias("empresanombre")), key_types=(1, 2))
