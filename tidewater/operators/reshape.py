@@ -53,19 +53,24 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     one place: each dimension's distinct values are numbered 0..n-1 by a range-partitioned sort
     (``index_values``), the grid is ``spark.range(n1 * n2 * ... * years)`` with every grid number
     decoded into one index per dimension by integer arithmetic, and the values come back through
-    equi-joins on those indices. The data side is aggregated by the same keys and met with the grid
-    in one equi-join. Only the sizes (one number per dimension) and the year range reach the driver.
+    equi-joins on those indices. The input is read once: aggregated by all keys (null ones kept) into
+    a written table in the shared folder, from which dimensions, year range and sums are taken. Only the
+    sizes (one number per dimension) and the year range reach the driver.
     """
+    from tidewater.session import shared_dir
+
     measures = _as_list(measures)
     keys = list(dims) + [year_col]
     spark = df.sparkSession
-    clean = df
+    path = shared_dir(spark, "densify")
+    df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).write.parquet(path)
+    once = spark.read.parquet(path)
+    summed = once
     for k in keys:
-        clean = clean.where(F.col(k).isNotNull())
-    summed = clean.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-    indexed = {d: index_values(df, d) for d in dims}
+        summed = summed.where(F.col(k).isNotNull())
+    indexed = {d: index_values(once, d) for d in dims}
     sizes = {d: indexed[d].count() for d in dims}
-    span = df.agg(F.min(year_col).alias("y0"), F.max(year_col).alias("y1")).first()
+    span = once.agg(F.min(year_col).alias("y0"), F.max(year_col).alias("y1")).first()
     if span["y0"] is None or any(n == 0 for n in sizes.values()):
         empty = summed.limit(0)
         return empty.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
@@ -81,7 +86,7 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
         rest = F.floor(rest / F.lit(sizes[d]))
     cols["__iy"] = rest.cast("long")
     grid = grid.select(*[v.alias(k) for k, v in cols.items()])
-    year_type = dict(df.dtypes)[year_col]
+    year_type = dict(once.dtypes)[year_col]
     grid = grid.withColumn(year_col, (F.lit(int(span["y0"])) + F.col("__iy")).cast(year_type)).drop("__iy")
     for d in dims:
         grid = grid.join(indexed[d].withColumnRenamed("__idx", f"__i_{d}"), f"__i_{d}").drop(f"__i_{d}")

@@ -112,7 +112,7 @@ def layer_completeness_q(spark, d):
     missing from staging come from the two file listings (no file content is read)."""
     from tidewater.plans.energy import layer_completeness
     raw, staging = shared_dir(spark, "docs_raw"), shared_dir(spark, "docs_staging")
-    docs = Tables(spark, d).documents.select("doc_id", "text", "lang", "source")
+    docs = Tables(spark, d).documents.select("doc_id", "lang", "source")
     write_table(docs, raw, partition_by=["lang", "source"])
     write_table(docs.where(F.col("lang") != "de"), staging, partition_by=["lang", "source"])
     return layer_completeness(spark, raw, staging)

@@ -25,8 +25,10 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
       in the data, K2) or ``append``; purging the prefix by hand (K12) is never needed.
     - ``partition_by`` (K4), ``compression`` (K5), ``casts`` = ``{type: [cols]}`` (K9),
       ``clean`` column names (K10).
-    - ``files`` fixes the number of output tasks (K11) with a round-robin repartition (even
-      sizes even when one partition value is hot); ``max_records_per_file`` caps file size.
+    - partitioned data is clustered by the partition columns before it is written, so a task writes few
+      partitions; AQE splits the tasks of a hot partition value (REBALANCE).
+    - ``files`` fixes the number of output tasks (K11), by the partition columns where there are any, else
+      round robin; ``max_records_per_file`` caps file size.
     - ``table`` registers an external catalog table over ``path`` (K7).
     - ``fmt="csv"`` with ``sep`` writes delimited text (K8, K15); no index column is written.
     """
@@ -35,7 +37,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if clean:
         df = clean_names(df)
     if files:
-        df = df.repartition(files)
+        df = df.repartition(files, *partition_by) if partition_by else df.repartition(files)
+    elif partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     save_mode, overwrite_kind = _MODES[mode]
     w = df.write.mode(save_mode).option("compression", compression)
     if overwrite_kind:
