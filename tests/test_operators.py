@@ -190,8 +190,8 @@ def test_unions(spark):
     t = tagged_union({"s1": a, "s2": a}, "escenario")
     assert rows(t, "escenario") == [("s1",), ("s2",)]
     df = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "id int, c string")
-    out = split_union(df, F.col("c") == "x", lambda x: x.withColumn("t", F.lit("yes")),
-                      lambda x: x.withColumn("t", F.lit("no")))
+    out = split_union(df, F.col("c") == "x", {"id": F.col("id"), "t": F.lit("yes")}, {"id": F.col("id"), "t": F.lit("no"), "u": F.lit(1)})
+    assert rows(out, "id", "u") == [(1, 1), (2, None), (3, 1)]
     assert rows(out, "id", "t") == [(1, "no"), (2, "yes"), (3, "no")]
     raw = spark.createDataFrame([("p1",), ("p2",), ("p2",)], "n string")
     stg = spark.createDataFrame([("p1",)], "n string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,13 +19,12 @@ def tagged_union(frames: Mapping[str, DataFrame], col: str, allow_missing: bool
     return union_all([df.withColumn(col, F.lit(label)) for label, df in frames.items()], allow_missing)
 
 
-def split_union(df: DataFrame, cond: Column, f_true: Callable[[DataFrame], DataFrame],
-                f_false: Callable[[DataFrame], DataFrame], allow_missing: bool = True) -> DataFrame:
-    """Treat the rows where ``cond`` is true and where it is false (null counts as false)
-    with different functions, then append. Both branches read the same scan; Spark plans
-    them as one stage each with the split predicate pushed into the scan."""
+def split_union(df: DataFrame, cond: Column, when_true: Mapping[str, Column], when_false: Mapping[str, Column]) -> DataFrame:
+    """Rows where ``cond`` is true get the columns of ``when_true``, the others (null counts as false) those of
+    ``when_false``; a column that only one side has is null on the other. One projection, one pass over ``df``."""
     c = F.coalesce(cond, F.lit(False))
-    return f_true(df.where(c)).unionByName(f_false(df.where(~c)), allowMissingColumns=allow_missing)
+    names = dict.fromkeys([*when_true, *when_false])
+    return df.select(*[F.when(c, when_true.get(n, F.lit(None))).otherwise(when_false.get(n, F.lit(None))).alias(n) for n in names])
 
 
 def name_difference(a: DataFrame, b: DataFrame, col: str, b_col: str | None = None,

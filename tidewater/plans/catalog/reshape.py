@@ -221,15 +221,13 @@ SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS
 FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'R'
 """)
 def split_union_q(spark, d):
-    """U5 (B14): split by a predicate (null counts as false), treat each branch, append."""
+    """U5 (B14): split by a predicate (null counts as false), each branch with its own columns, in one pass."""
     li = Tables(spark, d).lineitem
+    both = {c: F.col(c) for c in ("l_orderkey", "l_linenumber")}
     return split_union(
         li, F.col("l_returnflag") == "R",
-        lambda x: x.select("l_orderkey", "l_linenumber", F.round(-F.col("l_extendedprice"), 4).alias("valor"),
-                           F.lit("devolucion").alias("tipo"), F.col("l_linestatus").alias("motivo")),
-        lambda x: x.select("l_orderkey", "l_linenumber",
-                           F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("valor"),
-                           F.lit("venta").alias("tipo")))
+        both | {"valor": F.round(-F.col("l_extendedprice"), 4), "tipo": F.lit("devolucion"), "motivo": F.col("l_linestatus")},
+        both | {"valor": F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4), "tipo": F.lit("venta")})
 
 
 URL_HOST_LABEL = r"^https?://([^/.]+)"

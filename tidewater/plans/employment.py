@@ -245,15 +245,11 @@ def education_levels(personas: DataFrame, media: DataFrame, cursos: DataFrame, s
                                    "tiene_ed_superior": F.col("ed_superior") > 0})
     geo = geography.select("comuna", F.col("region").alias("__geo_region"))
 
-    def without_comuna(df):
-        return df.where(not_equal_keep_null("region", "MIGRACION")).withColumn("region", map_lookup("region", REGION_NAMES))
-
-    def with_comuna(df):
-        return folded_join(df.drop("region"), geo, "comuna", "comuna", select=["__geo_region"]) \
-            .withColumnRenamed("__geo_region", "region")
-
-    out = split_union(flagged, F.col("comuna").isNull(), without_comuna, with_comuna)
-    return out.drop("ed_media", "cursos", "ed_superior")
+    placed = folded_join(flagged, geo, "comuna", "comuna", select=["__geo_region"])
+    placed = placed.where(F.col("comuna").isNotNull() | not_equal_keep_null("region", "MIGRACION"))
+    same = {c: F.col(c) for c in ("rut", "comuna", "tiene_ed_media", "tiene_cursos", "tiene_ed_superior")}
+    return split_union(placed, F.col("comuna").isNull(), same | {"region": map_lookup("region", REGION_NAMES)},
+                       same | {"region": F.col("__geo_region")})
 
 
 def evaluations_count(evaluations: DataFrame) -> DataFrame:
