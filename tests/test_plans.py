@@ -219,8 +219,12 @@ def test_membership_jobs(spark):
                   "per_id long, nombre string, apellido_paterno string, apellido_materno string, fecha_creacion string, "
                   "fecha_nacimiento string, fecha_defuncion string")
     gm = mk([("JOSE", "M"), ("ana", "F")], "nombre string, sexo_inferido string")
-    cons = mk([(2,)], "per_id long")
-    pr = {r["per_id"]: r for r in membership.person_record(personas, gm, cons, "2023-01-01").collect()}
+    members = mk([("2", "ACTIVA", "ACTIVA", "Consejo Regional"), ("1", "INACTIVA", "ACTIVA", "Consejo Regional")],
+                 "per_id string, estado_participacion string, estado_grupo string, nombre_grupo string")
+    roles = mk([(2, 106, "ACTIVA", "Activo"), (1, 75, "INACTIVA", "Activo")], "per_id long, id_rol int, estado_relacion string, estado_socio string")
+    pr = {r["per_id"]: r for r in membership.person_record(personas, gm, members, roles, "2023-01-01").collect()}
+    assert (pr[1]["is_consejero_regional"], pr[1]["is_personal_camara"], pr[1]["is_relacionado_socio"], pr[1]["is_difunto"]) == (False, True, False, "NO")
+    assert (pr[2]["is_personal_camara"], pr[2]["is_relacionado_socio"]) == (False, True)
     assert pr[1]["sexo_inferido"] == "M" and pr[1]["nombre_completo"] == "José Luis Pérez "
     assert pr[1]["edad"] == 33 and pr[1]["is_fecha_nacimiento_valida"] is True
     assert pr[2]["edad"] == 13 and pr[2]["is_fecha_nacimiento_valida"] is False and pr[2]["is_consejero_regional"] is True

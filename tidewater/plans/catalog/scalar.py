@@ -112,9 +112,12 @@ WITH g AS (
          c.c_name AS per_ape_mat_15, CAST(c.c_custkey AS VARCHAR) AS per_rut_3, substr(c.c_mktsegment, 1, 1) AS per_dv_4,
          c.c_name AS per_nom_11, nullif(n.n_name, 'NATION_1') AS per_ape_pat_12,
          CASE WHEN c.c_acctbal < 0 THEN 'n/a' ELSE CAST(c.c_nationkey AS VARCHAR) END AS per_rut_16, 'K' AS per_dv_17,
-         n.n_name AS gru_nom
+         n.n_name AS gru_nom, CASE WHEN c.c_acctbal < 0 THEN 'x' ELSE CAST(c.c_custkey AS VARCHAR) END AS reg,
+         CAST(c.c_nationkey AS VARCHAR) AS tipo, nullif(c.c_mktsegment, 'BUILDING') AS calle, CAST(c.c_nationkey AS VARCHAR) AS nro
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT per_id,
+SELECT per_id, TRY_CAST(reg AS BIGINT) AS nro_registro, TRY_CAST(reg AS BIGINT) AS id_socio, TRY_CAST(tipo AS INTEGER) AS tipo_persona,
+       gru_nom AS nombre_grupo, per_nom_0 AS razon_social, nro AS telefono_1,
+       regexp_replace(coalesce(calle, '') || ' ' || coalesce(nro, ''), ' +', ' ', 'g') AS direccion,
        regexp_replace(coalesce(per_nom_0, '') || ' ' || coalesce(per_ape_pat_1, '') || ' ' || coalesce(per_ape_mat_15, ''), ' +', ' ', 'g') AS socio_nombre,
        CAST(TRY_CAST(per_rut_3 AS INTEGER) AS VARCHAR) || '-' || per_dv_4 AS rut,
        regexp_replace(coalesce(per_nom_11, '') || ' ' || coalesce(per_ape_pat_12, '') || ' ' || coalesce(per_ape_mat_15, ''), ' +', ' ', 'g') AS persona_nombre,
@@ -124,7 +127,7 @@ FROM g
 """)
 def name_assembly(spark, d):
     """B32 (X7, X14, X5): names assembled with null parts as empty and single spaces; ``number-dv``
-    ids that are null when either part is missing or the number does not parse."""
+    ids that are null when either part is missing or the number does not parse; renames, integer casts, address."""
     t = Tables(spark, d)
     g = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("PER_ID"), F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")).alias("PER_NOM_0"),
@@ -132,9 +135,14 @@ def name_assembly(spark, d):
         F.col("c_custkey").cast("string").alias("PER_RUT_3"), F.substring("c_mktsegment", 1, 1).alias("PER_DV_4"),
         F.col("c_name").alias("PER_NOM_11"), F.nullif(F.col("n_name"), F.lit("NATION_1")).alias("PER_APE_PAT_12"),
         F.when(F.col("c_acctbal") < 0, "n/a").otherwise(F.col("c_nationkey").cast("string")).alias("PER_RUT_16"),
-        F.lit("K").alias("PER_DV_17"), F.col("n_name").alias("GRU_NOM"))
+        F.lit("K").alias("PER_DV_17"), F.col("n_name").alias("GRU_NOM"),
+        F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")).alias("PER_DET_RAZ_SOC_5"),
+        F.when(F.col("c_acctbal") < 0, "x").otherwise(F.col("c_custkey").cast("string")).alias("PRE_REG_NRO_7"),
+        F.col("c_nationkey").cast("string").alias("PER_TIPO_9"), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("DIR_CALLE_24"),
+        F.col("c_nationkey").cast("string").alias("DIR_NRO_25"), F.col("c_nationkey").cast("string").alias("SCLR_29"))
     out = working_group_members(g)
-    return out.select("per_id", "socio_nombre", "rut", "persona_nombre", "persona_rut", "organo_gremial")
+    return out.select("per_id", "nro_registro", "id_socio", "tipo_persona", "nombre_grupo", "razon_social", "telefono_1", "direccion",
+                      "socio_nombre", "rut", "persona_nombre", "persona_rut", "organo_gremial")
 
 
 @register("text_length_flag", """
@@ -151,14 +159,19 @@ def text_length_flag(spark, d):
 WITH f AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS primera FROM orders GROUP BY 1),
 p AS (SELECT c.c_custkey AS per_id, c.c_mktsegment AS nombre, n.n_name AS apellido_paterno,
              nullif(c.c_name, 'Customer#000000007') AS apellido_materno, f.primera AS fecha_creacion,
-             CAST(f.primera - INTERVAL 204 MONTH AS DATE) AS fecha_nacimiento
+             CASE WHEN c.c_nationkey <> 7 THEN CAST(f.primera - INTERVAL 204 MONTH AS DATE) END AS fecha_nacimiento,
+             CASE WHEN c.c_nationkey = 3 THEN DATE '2000-01-01' END AS fecha_defuncion
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN f ON f.o_custkey = c.c_custkey),
 gm AS (SELECT DISTINCT lower(c_mktsegment) AS primer_nombre,
               CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'F' ELSE 'M' END AS sexo_inferido FROM customer),
-cons AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+cons AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P'),
+rol AS (SELECT o_custkey, CASE o_orderpriority WHEN '1-URGENT' THEN 75 WHEN '2-HIGH' THEN 112 ELSE 106 END AS id_rol,
+               o_orderstatus = 'F' AND o_totalprice > 200000 AS activo FROM orders)
 SELECT p.per_id, p.nombre, p.apellido_paterno, p.apellido_materno, p.fecha_creacion, p.fecha_nacimiento,
-       CAST(NULL AS DATE) AS fecha_defuncion,
-       p.per_id IN (SELECT o_custkey FROM cons) AS is_consejero_regional,
+       p.fecha_defuncion, CASE WHEN p.fecha_defuncion IS NULL THEN 'NO' ELSE 'SI' END AS is_difunto,
+       p.per_id IN (SELECT o_custkey FROM cons) AND p.per_id IN (SELECT o_custkey FROM rol WHERE activo AND id_rol <> 75) AS is_consejero_regional,
+       p.per_id IN (SELECT o_custkey FROM rol WHERE id_rol IN (75, 112)) AS is_personal_camara,
+       p.per_id IN (SELECT o_custkey FROM rol WHERE activo) AS is_relacionado_socio,
        gm.sexo_inferido,
        CAST(round_even(date_diff('day', p.fecha_creacion, DATE '{AS_OF_ORDERS}') / 365, 0) AS INTEGER) AS antiguedad_camara,
        CAST(round_even(date_diff('day', p.fecha_nacimiento, DATE '{AS_OF_ORDERS}') / 365, 0) AS INTEGER) AS edad,
@@ -171,7 +184,8 @@ FROM p LEFT JOIN gm ON gm.primer_nombre = lower(p.nombre)
 """)
 def person_record_q(spark, d):
     """B31 (T1, J8, X12, J3, T8, F12, X7, X5): customers as person records; first order as creation
-    date, birth 17 years earlier; ages as half-even rounded years at a fixed as_of."""
+    date, birth 17 years earlier (one nation's is no date); orders as group memberships and roles; ages as half-even
+    rounded years at a fixed as_of."""
     t = Tables(spark, d)
     first = t.orders.groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("primera"))
     p = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -179,13 +193,20 @@ def person_record_q(spark, d):
          .select(F.col("c_custkey").alias("per_id"), F.col("c_mktsegment").alias("nombre"),
                  F.col("n_name").alias("apellido_paterno"),
                  F.nullif(F.col("c_name"), F.lit("Customer#000000007")).alias("apellido_materno"),
-                 F.col("primera").alias("fecha_creacion"), F.add_months("primera", -204).alias("fecha_nacimiento"),
-                 F.lit(None).cast("date").alias("fecha_defuncion")))
+                 F.col("primera").cast("string").alias("fecha_creacion"),
+                 F.when(F.col("c_nationkey") == 7, "30-30-1990").otherwise(F.add_months("primera", -204).cast("string")).alias("fecha_nacimiento"),
+                 F.when(F.col("c_nationkey") == 3, "2000-01-01").alias("fecha_defuncion")))
     gm = t.customer.select(F.col("c_mktsegment").alias("nombre"),
                            F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"), "F").otherwise("M")
                            .alias("sexo_inferido")).distinct()
-    councillors = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("per_id"))
-    return person_record(p, gm, councillors, AS_OF_ORDERS)
+    members = t.orders.select(
+        F.col("o_custkey").cast("string").alias("per_id"), F.when(F.col("o_orderstatus") == "P", "INACTIVA").otherwise("ACTIVA").alias("estado_participacion"),
+        F.lit("ACTIVA").alias("estado_grupo"), F.when(F.col("o_orderpriority") == "1-URGENT", "Consejo Regional").otherwise("Otro").alias("nombre_grupo"))
+    role = F.when(F.col("o_orderpriority") == "1-URGENT", 75).when(F.col("o_orderpriority") == "2-HIGH", 112).otherwise(106)
+    roles = t.orders.select(
+        F.col("o_custkey").alias("per_id"), role.alias("id_rol"), F.when(F.col("o_orderstatus") == "F", "ACTIVA").otherwise("INACTIVA").alias("estado_relacion"),
+        F.when(F.col("o_totalprice") > 200000, "Activo").otherwise("Inactivo").alias("estado_socio"))
+    return person_record(p, gm, members, roles, AS_OF_ORDERS)
 
 
 EXPERIENCE_BY_SEGMENT = {"BUILDING": EXPERIENCE_ORDER[0], "MACHINERY": EXPERIENCE_ORDER[1],

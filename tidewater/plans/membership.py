@@ -136,14 +136,29 @@ def member_staging(socios: DataFrame, renames: dict[str, str], casts: dict[str,
     return cast_columns(df, casts or {})
 
 
-def person_record(personas: DataFrame, gender_map: DataFrame, councillors: DataFrame, as_of) -> DataFrame:
-    """B31 (T1, J8, X12, J3, T8, F12, X7, X5): dates parsed, councillor flag, first name folded and
-    looked up in a gender map, tenure and age as half-even rounded years, birth-date validity
-    (18-120, null counts as valid), full name with null parts as empty and single spaces."""
+# Role numbers of chamber staff, and the group whose active members may be councillors.
+STAFF_ROLES = (75, 112)
+COUNCIL_GROUP = "Consejo Regional"
+
+
+def person_record(personas: DataFrame, gender_map: DataFrame, members: DataFrame, roles: DataFrame, as_of) -> DataFrame:
+    """B31 (T1, C1, F8, J8, X12, J3, T8, F12, X7, X5): dates parsed (bad text -> null); deceased flag; councillor (active member of
+    the council group with an active role other than 75 in an active company), staff (role 75 or 112) and member
+    relation (any active role in an active company) flags; first name folded and looked up in a gender
+    map; tenure and age as half-even rounded years; birth-date validity (18-120, null counts as valid); full name
+    with null parts as empty and single spaces."""
     df = personas.withColumns({
         **{c: F.col(c).try_cast("date") for c in ("fecha_creacion", "fecha_nacimiento", "fecha_defuncion")},
         "primer_nombre": first_word("nombre")})
-    df = exists_flag(df, councillors, "per_id", "is_consejero_regional")
+    df = df.withColumn("is_difunto", F.when(F.col("fecha_defuncion").isNotNull(), "SI").otherwise("NO"))
+    council = members.where((F.col("estado_participacion") == "ACTIVA") & (F.col("estado_grupo") == "ACTIVA")
+                            & (F.col("nombre_grupo") == COUNCIL_GROUP)).select(F.col("per_id").try_cast("bigint").alias("per_id"))
+    active = roles.where((F.col("estado_relacion") == "ACTIVA") & (F.col("estado_socio") == "Activo"))
+    df = exists_flag(df, council, "per_id", "__council")
+    df = exists_flag(df, active.where(F.col("id_rol") != STAFF_ROLES[0]), "per_id", "__role")
+    df = df.withColumn("is_consejero_regional", F.col("__council") & F.col("__role")).drop("__council", "__role")
+    df = exists_flag(df, roles.where(F.col("id_rol").isin(*STAFF_ROLES)), "per_id", "is_personal_camara")
+    df = exists_flag(df, active, "per_id", "is_relacionado_socio")
     gm = first_by(gender_map.select(first_word("nombre").alias("primer_nombre"), "sexo_inferido"),
                   ["primer_nombre"], order_by="sexo_inferido")
     df = df.join(gm, "primer_nombre", "left")
@@ -158,17 +173,35 @@ def person_record(personas: DataFrame, gender_map: DataFrame, councillors: DataF
     return df.drop("primer_nombre")
 
 
+# Output names of the working-group members.
+GROUP_MEMBER_NAMES = {
+    "gru_nom": "nombre_grupo", "per_det_raz_soc_5": "razon_social", "pre_reg_nro_7": "nro_registro", "pre_reg_cuo_8": "cuota",
+    "per_tipo_9": "tipo_persona", "car_gre_nom_18": "cargo_gremial", "prs_fec_nac_23": "persona_fecha_nacimiento",
+    "dir_calle_24": "direccion_calle", "dir_nro_25": "direccion_numero", "sclr_29": "telefono_1", "sclr_30": "telefono_2",
+    "sclr_31": "correo"}
+
+
 def working_group_members(df: DataFrame, maternal: str = "per_ape_mat_15") -> DataFrame:
-    """B32 (X7, X14, X5): assembled names and ``number-dv`` ids. The source uses the same maternal
-    surname column for both names; it is a parameter here."""
+    """B32 (P3, X7, X14, X5, P2, P8): assembled names and ``number-dv`` ids, renames, person type and registry number as
+    nullable integers, the number again as ``id_socio``, street and number as one address with single spaces.
+    The source uses the same maternal surname column for both names; it is a parameter here. Both versions of the export."""
     df = lower_names(df)
-    return df.withColumns({
+    number = {c: F.col(c).try_cast("int").cast("string") for c in ("per_rut_3", "per_rut_16")}
+    df = df.withColumns({
         "socio_nombre": full_name("per_nom_0", "per_ape_pat_1", maternal),
         "rut": tax_id_with_dv(F.col("per_rut_3").try_cast("int"), "per_dv_4"),
         "persona_nombre": full_name("per_nom_11", "per_ape_pat_12", maternal),
         "persona_rut": tax_id_with_dv(F.col("per_rut_16").try_cast("int"), "per_dv_17"),
         "organo_gremial": F.col("gru_nom"),
     })
+    df = rename(df.withColumns(number), GROUP_MEMBER_NAMES)
+    if "tipo_persona" in df.columns:
+        df = df.withColumn("tipo_persona", F.col("tipo_persona").try_cast("int"))
+    if "nro_registro" in df.columns:
+        df = df.withColumn("nro_registro", F.col("nro_registro").try_cast("bigint")).withColumn("id_socio", F.col("nro_registro"))
+    if {"direccion_calle", "direccion_numero"} <= set(df.columns):
+        df = df.withColumn("direccion", full_name("direccion_calle", "direccion_numero"))
+    return df
 
 
 def attendance(df: DataFrame) -> DataFrame:
