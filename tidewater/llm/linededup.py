@@ -6,8 +6,10 @@ the segment's number, and probes the indexes of its own length and of up to ``ed
 substrings that the position and multi-match rules leave. Pairs that meet are verified with a banded bit-parallel
 edit distance, many pairs at a time.
 
-A segment that very many lines share is not paired out: its lines drop that segment, of which nothing can differ, and
-are partitioned anew by what remains, as often as needed. Exact copies are one node from the start.
+Entries carry a sketch of their line, the parities of its character pairs: an edit changes four pairs at most, so two lines
+that meet are a candidate only if their sketches differ in ``4 * edits`` bits or fewer, which no true pair fails and hardly any
+other passes. A segment that very many lines share is not compared out: its lines drop that segment, of which nothing
+can differ, and are partitioned anew by what remains, as often as needed. Exact copies are one node from the start.
 """
 
 from __future__ import annotations
@@ -17,51 +19,112 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BLANKS, connected_components, materialize, only
+from tidewater.llm.common import BLANKS, connected_components, fresh, materialize, only
+from tidewater.llm.quality import let
 
 EDITS = 2
 MIN_CHARS = 20            # shorter lines are neither compared nor removed
 MAX_SHARE = 0.5           # a document with more than this share of its characters in repeated lines is a copy: left whole
-HOT = 128                 # lines of one key that are paired at once
+HOT = 2048                # lines of one key that are compared at once
+SKETCH = 48               # bits of a line's sketch
 DEPTH = 6                 # partitions of a hot key before its lines are paired whatever their number
 BROADCAST_IDS = 1_000_000  # line numbers broadcast at most (some 16 MB)
 CELLS = 4_000_000         # characters verified at once
+INDEX, PROBE, REST = 1, 2, 4
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(start from 0, length) of segment i of an even partition into edits + 1."""
-    parts = edits + 1
-    short, long_ones = F.floor(length / parts).cast("int"), length % parts
-    first_long = parts - long_ones          # the last segments are the longer ones
-    start = short * i + F.greatest(F.lit(i) - first_long, F.lit(0))
-    return start.cast("int"), F.when(F.lit(i) >= first_long, short + 1).otherwise(short)
+def segment_slots(length: int, edits: int = EDITS) -> list[tuple[int, int, int, int, int]]:
+    """What a line of ``length`` characters is looked up by: (indexed length, segment, role, first character, characters).
 
-
-def segment_keys(line: Column, length: Column, prefix: Column, edits: int = EDITS) -> Column:
-    """Structs (key, role, at, n): role 0 for index entries, 1 for probes; at and n place the segment in the line.
-
-    Probes for segment i of lines ``d`` shorter begin within the multi-match window around its place:
-    from max(-(i), d - (edits - i)) to min(i, d + edits - i) characters away."""
+    Segments are those of an even partition into edits + 1, the last ones longer. Role INDEX enters a line, PROBE looks for
+    others; the segments of the line's own length do both. Probes for segment i of lines ``d`` shorter begin within the
+    multi-match window around its place: from max(-i, d - (edits - i)) to min(i, d + edits - i) characters away."""
     out = []
-    for i in range(edits + 1):
-        start, n = _segment(length, i, edits)
-        out.append(F.when(length > edits, F.struct(F.xxhash64(prefix, length, F.lit(i), F.substring(line, start + 1, n)).alias("key"),
-                                                   F.lit(0).alias("role"), start.alias("at"), n.alias("n"))))
     for d in range(edits + 1):
-        shorter = length - d
+        other = length - d
+        if other <= edits:
+            continue
+        short, longer = divmod(other, edits + 1)
         for i in range(edits + 1):
-            start, n = _segment(shorter, i, edits)
+            start = short * i + max(0, i - (edits + 1 - longer))
+            n = short + (i >= edits + 1 - longer)
             for shift in range(max(-i, d - (edits - i)), min(i, d + edits - i) + 1):
                 at = start + shift
-                ok = (shorter > edits) & (at >= 0) & (at + n <= length)
-                out.append(F.when(ok, F.struct(F.xxhash64(prefix, shorter, F.lit(i), F.substring(line, at + 1, n)).alias("key"),
-                                               F.lit(1).alias("role"), at.cast("int").alias("at"), n.alias("n"))))
-    # What is left of a line may be too short to cut: such rests are within ``edits`` of each other anyway.
-    rest = F.when(length <= edits, F.struct(F.xxhash64(prefix, F.lit(-1)).alias("key"), F.lit(2).alias("role"), F.lit(0).alias("at"), F.lit(0).alias("n")))
-    return F.array_compact(F.array(*out, rest))
+                if 0 <= at and at + n <= length:
+                    out.append((other, i, INDEX | PROBE if d == 0 and shift == 0 else PROBE, at, n))
+    return out
+
+
+def sketches(lines: list[str]) -> np.ndarray:
+    """Per line the parities of its pairs of neighbouring characters, hashed into SKETCH bits."""
+    lens = np.array([len(x) for x in lines], np.int64)
+    out = np.zeros(len(lines), np.int64)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    if len(codes) < 2:
+        return out
+    pair = (codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:]) * np.uint64(0xD6E8FEB86659FD93)
+    bit = np.left_shift(np.int64(1), ((pair >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64))
+    ends = np.cumsum(lens)
+    bit[ends[:-1][(ends[:-1] > 0) & (ends[:-1] <= len(bit))] - 1] = 0        # pairs across two lines
+    some = np.flatnonzero(lens > 1)
+    if len(some):
+        first = ends[some] - lens[some]
+        cuts = np.column_stack([first, ends[some] - 1]).ravel()
+        cuts = cuts[:-1] if cuts[-1] >= len(bit) else cuts
+        out[some] = np.bitwise_xor.reduceat(bit, cuts)[::2]
+    return out
+
+
+def _entries(edits: int, cut: bool):
+    """Task function: rows (id, line, key, slot, role) -> entries (id, key, mark[, line]); a mark packs sketch, slot and role. With ``cut`` a line first loses the
+    segment of its slot and its entries continue the key; what is left of it is returned with them."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots: dict[int, list] = {}
+        h, mask = xxhash.xxh64_intdigest, (1 << 64) - 1
+        for batch in batches:
+            for at0 in range(0, len(batch), 5000):
+                part = batch.slice(at0, 5000)
+                lines = part["line"].to_pylist()
+                ids = part["id"].to_numpy()
+                prefix = part["key"].to_pylist() if cut else [0] * len(lines)
+                marks = part["mark"].to_pylist() if cut else []
+                mine = [m & 7 for m in marks] if cut else [INDEX | PROBE] * len(lines)
+                for k, m in enumerate(marks):
+                    _, _, _, at, n = segment_slots(len(lines[k]), edits)[m >> 3 & 255]
+                    lines[k] = lines[k][:at] + lines[k][at + n:]
+                sketch = sketches(lines)
+                owner, key, number, role = [], [], [], []
+                for k, line in enumerate(lines):
+                    size = len(line)
+                    if size <= edits:          # too short to cut: such rests are within ``edits`` of each other anyway
+                        owner.append(k)
+                        key.append(h(b"", (prefix[k] - 1) & mask))
+                        number.append(0)
+                        role.append(REST)
+                        continue
+                    if size not in slots:
+                        slots[size] = segment_slots(size, edits)
+                    data = line.encode() if line.isascii() else None
+                    for j, (other, i, r, at, n) in enumerate(slots[size]):
+                        if r & mine[k]:
+                            piece = data[at:at + n] if data is not None else line[at:at + n].encode("utf-8", "surrogatepass")
+                            owner.append(k)
+                            key.append(h(piece, (prefix[k] + 16 * other + i) & mask))
+                            number.append(j)
+                            role.append(r & mine[k])
+                own = np.array(owner, np.int64)
+                mark = sketch[own] << 11 | np.array(number, np.int64) << 3 | np.array(role, np.int64)
+                cols = [pa.array(ids[own]), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(mark)]
+                if cut:
+                    cols.append(pa.array(lines, pa.string()).take(pa.array(own)))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "key", "mark", "line"][:len(cols)])
+
+    return entries
 
 
 def within(a: list[str], b: list[str], edits: int) -> np.ndarray:
@@ -130,7 +193,7 @@ def _named(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(0x5EED), F.col("line"))})
 
 
-def _meet(hot: int):
+def _meet(hot: int, edits: int):
     """Task function over rows sorted by key: pairs of each key with up to ``hot`` rows, and the rows of larger ones. Runs are
     followed across batches; no more than one small key is held."""
 
@@ -139,26 +202,30 @@ def _meet(hot: int):
 
         def out(pairs, rows):
             u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*pairs)) or ([], [])))
-            rows = rows or [np.zeros((0, 5), np.int64)]
+            rows = rows or [np.zeros((0, 3), np.int64)]
             r = np.concatenate(rows)
             null = lambda n: pa.nulls(n, pa.int64())
             cols = [pa.concat_arrays([pa.array(u), null(len(r))]), pa.concat_arrays([pa.array(v), null(len(r))])]
-            cols += [pa.concat_arrays([null(len(u)), pa.array(np.ascontiguousarray(r[:, c]))]) for c in range(5)]
-            return pa.RecordBatch.from_arrays(cols, ["u", "v", "key", "id", "role", "at", "n"])
+            cols += [pa.concat_arrays([null(len(u)), pa.array(np.ascontiguousarray(r[:, c]))]) for c in range(3)]
+            return pa.RecordBatch.from_arrays(cols, ["u", "v", "key", "id", "mark"])
 
         def close(group: np.ndarray, pairs: list) -> None:
-            ids, role = group[:, 1], group[:, 2]
-            if (role == 2).any():
-                ids = np.unique(ids[role == 2])
+            ids, role = group[:, 1], group[:, 2] & 7
+            if (role == REST).any():
+                ids = np.unique(ids[role == REST])
                 if len(ids) > 1:
                     pairs.append((np.full(len(ids) - 1, ids[0]), ids[1:]))
                 return
-            a, b = np.unique(ids[role == 0]), np.unique(ids[role == 1])
-            u, v = np.repeat(a, len(b)), np.tile(b, len(a))
-            pairs.append((u[u != v], v[u != v]))
+            a, b = group[role & INDEX > 0], group[role & PROBE > 0]
+            for at in range(0, len(a), 256):
+                some = a[at:at + 256]
+                apart = np.bitwise_count((some[:, None, 2] ^ b[None, :, 2]) >> 11)
+                i, j = np.nonzero(apart <= 4 * edits)
+                u, v = some[i, 1], b[j, 1]
+                pairs.append((u[u != v], v[u != v]))
 
         for batch in batches:
-            new = np.column_stack([batch[c].to_numpy().astype(np.int64) for c in ("key", "id", "role", "at", "n")])
+            new = np.column_stack([batch[c].to_numpy().astype(np.int64) for c in ("key", "id", "mark")])
             if not len(new):
                 continue
             pairs, rows = [], []
@@ -177,7 +244,7 @@ def _meet(hot: int):
                     continue
                 held.append(part)
                 size = sum(map(len, held))
-                if size > hot and part[0, 2] != 2:
+                if size > hot and part[0, 2] & 7 != REST:
                     rows += held
                     held, burning = [], key
                 elif ends[which] < len(new):
@@ -193,11 +260,11 @@ def _meet(hot: int):
     return meet
 
 
-MEET = "u long, v long, key long, id long, role long, at long, n long"
+MEET = "u long, v long, key long, id long, mark long"
 
 
-def _candidates(entries: DataFrame, name: str, hot: int) -> DataFrame:
-    return materialize(entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(hot), MEET), name)
+def _candidates(entries: DataFrame, name: str, hot: int, edits: int) -> DataFrame:
+    return materialize(entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(hot, edits), MEET), name)
 
 
 def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -213,24 +280,21 @@ def line_links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     components as all such pairs; only lines whose rest is shorter than a segment are linked as a star instead of in pairs."""
     lines = lines_of(docs).where(F.length("line") >= min_chars)
     distinct = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
-    entry = distinct.select(F.xxhash64("line").alias("id"), F.explode(segment_keys(F.col("line"), F.length("line"), F.lit(0).cast("bigint"), edits)).alias("e"))
-    found = _candidates(entry.select("id", "e.*"), "lines-met", hot)
+    first = distinct.select(F.xxhash64("line").alias("id"), "line").mapInArrow(_entries(edits, False), "id long, key long, mark long")
+    found = _candidates(first, "lines-met", hot, edits)
     pairs = found.where("u is not null").select("u", "v")
-    burning, depth = found.where("key is not null"), 1
-    rest = None
+    burning, depth, named = found.where("key is not null").select("id", "key", "mark"), 1, None
     while depth < DEPTH and not burning.isEmpty():
-        if rest is None:
+        if named is None:
             texts = materialize(_texts(lines, burning.select("id").distinct()), "lines-hot")
-            rest = burning.join(texts, "id")
-        left = materialize(rest.select("id", "key", "role", F.concat(F.substring(F.col("line"), F.lit(1), F.col("at").cast("int")),
-                                       F.expr("substring(line, cast(at + n + 1 as int))")).alias("line")).distinct(), "lines-rest")
-        keys = segment_keys(F.col("line"), F.length("line"), F.col("key"), edits)
-        again = left.select("id", "line", "role", F.explode(keys).alias("e")).where("e.role = 2 or e.role = role")
-        found = _candidates(again.select("id", "e.*"), "lines-met", hot if depth + 1 < DEPTH else 1 << 62)
+            left = burning.join(texts, "id")
+        else:
+            left = burning.join(named, ["id", "key", "mark"])
+        named = materialize(left.select("id", "line", "key", "mark")
+                            .mapInArrow(_entries(edits, True), "id long, key long, mark long, line string").distinct(), "lines-rest")
+        found = _candidates(named.select("id", "key", "mark"), "lines-met", hot if depth + 1 < DEPTH else 1 << 62, edits)
         pairs = pairs.union(found.where("u is not null").select("u", "v"))
-        burning = found.where("key is not null")
-        rest = burning.join(again.select("id", "line", "e.key", "e.role", "e.at", "e.n").distinct(), ["id", "key", "role", "at", "n"])
-        depth += 1
+        burning, depth = found.where("key is not null").select("id", "key", "mark"), depth + 1
     pairs = materialize(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "lines-pairs")
     texts = materialize(_texts(lines, pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()), "lines-texts")
     both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u")
@@ -281,16 +345,17 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     No row is dropped. Defined cases: null and empty texts have no lines and stay; lines shorter than ``min_chars`` stay; rows
     of one doc_id lose the same positions; a null doc_id is a document of its own id; an empty table gives no rows; other
     columns pass through whatever their names."""
+    doc, removed, parts = fresh(docs, "removed_doc"), fresh(docs, "removed_lines"), fresh(docs, "all_lines")
     gone = (line_report(docs, edits, min_chars, max_share).where(F.size("removed") > 0)
-            .select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__removed")))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__doc"]), "left")
+            .select(F.col("doc_id").alias(doc), F.col("removed").alias(removed)))
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed"))
-    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(F.arrays_zip(kept.alias("i")), lambda k: F.get(F.col("__lines"), k["i"])), "\n"))
-    out = joined.withColumn("__lines", F.when(F.col("__removed").isNotNull(), lines)).withColumn("text", text)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(
+        let(F.col(parts), lambda p: F.array_join(F.transform(kept, lambda k: F.get(p, k)), "\n")))
+    out = joined.withColumn(parts, F.when(F.col(removed).isNotNull(), lines)).withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(removed).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
 
 
