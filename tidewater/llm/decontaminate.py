@@ -17,7 +17,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialize, only
+from tidewater.llm.common import fresh, materialize, only
 from tidewater.llm.quality import let, window_hashes
 
 SHINGLE = 5
@@ -26,6 +26,7 @@ BLOCKS = 8
 BLOCK_BITS = 2
 RADIUS = BLOCKS * (BLOCK_BITS + 1) - 1          # 23: the largest distance the blocks guarantee
 BROADCAST_ROWS = 2_000_000                      # item shingles broadcast at once (some 64 MB)
+BROADCAST_IDS = 1_000_000                       # document ids broadcast at most (some 16 MB)
 
 
 def plain_words(text: Column) -> Column:
@@ -33,14 +34,14 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def simhash(hashes: Column) -> Column:
-    """A bit is set where more than half of the hashes have it; repeats count."""
-    def of(h: Column) -> Column:
-        def bit(b: Column) -> Column:
-            on = F.aggregate(h, F.lit(0), lambda a, x: a + F.getbit(x, b).cast("int"))
-            return F.when(2 * on > F.size(h), F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint"))
-        return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), bit), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
-    return let(hashes, of)
+def with_simhash(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (one per ``key``, shingle hashes in column sh) with fp: a bit is set where more than half of the hashes have it; repeats
+    count. Sixty-four sums per row instead of a loop over bits."""
+    ones = rows.select(key, F.explode("sh").alias("h")).groupBy(key).agg(
+        F.count(F.lit(1)).alias("c"), *[F.sum(F.getbit("h", F.lit(b)).cast("int")).alias(f"b{b}") for b in range(64)])
+    bits = [F.when(2 * F.col(f"b{b}") > F.col("c"), F.lit(1 << b if b < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for b in range(64)]
+    fp = F.aggregate(F.array(*bits), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
+    return rows.join(ones.select(key, fp.alias("fp")), key)
 
 
 def tagged(hashes: Column) -> Column:
@@ -63,11 +64,12 @@ def _block(fp: str, i: int) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(item_id, n, sh, fp): items of at least ``shingle`` words with their shingle hashes. Shorter items (null and
+    """(item, item_id, n, sh, fp): items of at least ``shingle`` words with their shingle hashes. Shorter items (null and
     empty texts too) cannot be told from ordinary phrases and never match; repeated items are one."""
     rows = only(benchmark, "item_id", "text").select("item_id", plain_words(F.col("text")).alias("w"))
-    return (rows.select("item_id", F.size("w").alias("n"), window_hashes(F.col("w"), shingle).alias("sh"))
-            .where(F.col("n") >= shingle).distinct().withColumn("fp", simhash(F.col("sh"))))
+    items = (rows.select("item_id", F.size("w").alias("n"), window_hashes(F.col("w"), shingle).alias("sh"))
+             .where(F.col("n") >= shingle).distinct().withColumn("item", F.xxhash64("item_id", "n", "sh")))
+    return with_simhash(items, "item")
 
 
 def _starts(docs: DataFrame, items: DataFrame, shingle: int) -> DataFrame:
@@ -95,14 +97,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similar
     documents share is fingerprinted once: equal windows are one row of the join."""
     docs = only(docs, "doc_id", "text")
     items = materialize(benchmark_items(benchmark, shingle), "decon-items")
-    starts = _starts(docs, items, shingle).withColumnRenamed("doc_id", "__doc")
-    cut = (docs.join(starts, F.col("doc_id").eqNullSafe(F.col("__doc")))
+    starts = _starts(docs, items, shingle).withColumnRenamed("doc_id", "found_doc")
+    same = F.col("doc_id").eqNullSafe(F.col("found_doc"))
+    ids = starts.select("found_doc")
+    few = docs.join(F.broadcast(ids), same, "left_semi") if ids.count() <= BROADCAST_IDS else docs
+    cut = (few.join(starts, same)
            .select("doc_id", "windows", window_hashes(plain_words(F.col("text")), shingle).alias("sh")))
     each = (cut.select("doc_id", F.explode(let(F.col("sh"), lambda h: F.transform("windows", lambda w: F.struct(
         w["at"].alias("at"), w["n"].alias("n"), F.slice(h, w["at"] + 1, w["n"] - (shingle - 1)).alias("sh"))))).alias("w"))
         .select("doc_id", "w.*").where(F.size("sh") > 0))
     each = materialize(each.withColumn("key", F.xxhash64("sh", "n")), "decon-windows")
-    windows = each.groupBy("key").agg(F.any_value("n").alias("n"), F.any_value("sh").alias("sh")).withColumn("fp", simhash(F.col("sh")))
+    windows = materialize(with_simhash(each.groupBy("key").agg(F.any_value("n").alias("n"), F.any_value("sh").alias("sh")), "key"), "decon-prints")
     masks = [0] + [sum(1 << b for b in c) for k in range(1, BLOCK_BITS + 1) for c in itertools.combinations(range(64 // BLOCKS), k)]
 
     def values(i: int) -> Column:
@@ -110,12 +115,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similar
         return F.transform(every, lambda m: F.struct(F.lit(i).alias("block"), _block("fp", i).bitwiseXOR(m).alias("value")))
 
     near = F.explode(F.flatten(F.array(*[values(i) for i in range(BLOCKS)])))
-    index = items.select("item_id", F.col("n").alias("i_n"), F.col("sh").alias("i_sh"), F.col("fp").alias("i_fp"), near.alias("i"))
-    probe = windows.select("key", "n", "sh", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block("fp", i).alias("value"))
+    index = items.select("item", F.col("n").alias("i_n"), F.col("fp").alias("i_fp"), near.alias("i"))
+    probe = windows.select("key", "n", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block("fp", i).alias("value"))
                                                                        for i in range(BLOCKS)])).alias("p"))
     close = ((F.col("n") == F.col("i_n")) & (F.col("p.block") == F.col("i.block")) & (F.col("p.value") == F.col("i.value"))
              & (F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))) <= RADIUS))
-    pairs = (probe.join(index, close).select("key", "item_id", "sh", "i_sh").distinct()
+    texts = items.select("item", "item_id", F.col("sh").alias("i_sh"))
+    pairs = (probe.join(index, close).select("key", "item").distinct().join(windows.select("key", "sh"), "key").join(texts, "item")
              .select("key", "item_id", weighted_similarity(F.col("sh"), F.col("i_sh")).alias("similarity"))
              .where(F.col("similarity") >= similarity))
     best = F.max_by(F.struct("at", "n", "similarity"), F.struct("similarity", -F.col("at")))
@@ -126,8 +132,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similar
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) whose doc_id is in no leak."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__doc"]), "left_anti")
+    doc = fresh(docs, "leaky")
+    bad = leaks(docs, benchmark).select(F.col("doc_id").alias(doc)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)), "left_anti")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
