@@ -466,7 +466,7 @@ def test_paragraph_links_find_similar_texts(spark):
                                     for i, k in zip(ids, keys)], "id long, keys array<long>")
     for hot in (64, 1):
         found = {frozenset(p) for p in map(tuple, passages.paragraph_links(docs, marked, bands, nrows, 0.8, hot=hot).collect())}
-        sets = {int(i): set(s.tolist()) for g in got for i, s in zip(g[3], g[4])}
+        sets = {int(i): set(s.tolist()) for g in got for i, s in zip(g[3], np.split(g[4][1], np.cumsum(g[4][0])[:-1]))}
         want = {frozenset((a, b)) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
         assert union_find([tuple(p) for p in found], sets) == union_find([tuple(p) for p in want], sets)
 
