@@ -285,6 +285,16 @@ def test_lines_against_brute_force(spark, hot):
         assert sorted(map(tuple, few)) == sorted(map(tuple, all_)) and few
 
 
+def test_repeated_lines_go_from_mostly_repeated_documents(spark, tmp_dir):
+    shared = [prose(700 + i, 12) for i in range(9)]
+    text = {1: "\n".join(shared[:5]), 2: "\n".join(shared[5:]), 3: "\n".join([*shared, prose(720, 8)]), 4: "\n".join(["short", *shared])}
+    rows = [(d, t, "en", None, len(t)) for d, t in text.items()]
+    frame(spark, rows, clash=False).write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    got = {x.doc_id: x for x in linededup.op5_lines(spark, tmp_dir).collect()}
+    assert {d: got[d].removed for d in text} == {1: "", 2: "", 3: "0,1,2,3,4,5,6,7,8", 4: "1,2,3,4,5,6,7,8,9"}
+    assert all(got[d].n_removed == got[d].n_repeated for d in text)
+
+
 # 6 packing
 
 @pytest.mark.parametrize("capacity", [4096, 64])

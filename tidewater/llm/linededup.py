@@ -28,7 +28,7 @@ from tidewater.llm.quality import let
 
 EDITS = 2
 MIN_CHARS = 20            # shorter lines are neither compared nor removed
-MAX_SHARE = 0.5           # a document with more than this share of its characters in repeated lines is a copy: left whole
+MAX_SHARE = 0.5           # by default a document with more than this share of its characters in repeated lines is left whole; None: no such bound
 HOT = 2048                # lines of one key that are compared at once
 SKETCH = 48               # bits of a line's sketch
 DEPTH = 6                 # partitions of a hot key before its lines are paired whatever their number
@@ -324,30 +324,30 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     return joined.select("doc_id", "pos", "length", again.alias("again"))
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE) -> DataFrame:
+def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float | None = MAX_SHARE) -> DataFrame:
     """One row per document that has a line: doc_id, n_lines, n_repeated, repeated_chars, chars, removed (positions of the lines to take out).
 
-    Repeated lines are taken out unless they hold more than ``max_share`` of the document's characters: such a document is a
-    copy, which document deduplication decides about as a whole."""
+    Repeated lines are taken out unless they hold more than ``max_share`` of the document's characters; with None they are
+    taken out of every document."""
     at = F.sort_array(F.collect_set(F.when(F.col("again"), F.col("pos"))))
     lines = line_classes(docs, edits, min_chars).distinct()
     found = lines.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("again").alias("n_repeated"), F.sum("length").alias("chars"),
         F.coalesce(F.sum(F.when(F.col("again"), F.col("length"))), F.lit(0)).alias("repeated_chars"), at.alias("at"))
-    minor = F.col("repeated_chars") <= max_share * F.col("chars")
+    minor = F.lit(True) if max_share is None else F.col("repeated_chars") <= max_share * F.col("chars")
     return found.select("doc_id", "n_lines", "n_repeated", "chars", "repeated_chars",
                         F.when(minor, F.col("at")).otherwise(F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float | None = MAX_SHARE) -> DataFrame:
     """``docs`` with repeated lines taken out of text, and n_chars, where it is a column, set to the new length.
 
     No row is dropped. Defined cases: null and empty texts have no lines and stay; lines shorter than ``min_chars`` stay; rows
     of one doc_id lose the same positions; a null doc_id is a document of its own id; an empty table gives no rows; other
     columns pass through whatever their names."""
     doc, removed, parts = fresh(docs, "removed_doc"), fresh(docs, "removed_lines"), fresh(docs, "all_lines")
-    gone = (line_report(docs, edits, min_chars, max_share).where(F.size("removed") > 0)
-            .select(F.col("doc_id").alias(doc), F.col("removed").alias(removed)))
+    found = line_report(docs, edits, min_chars, max_share).select("doc_id", "removed")
+    gone = found.where(F.size("removed") > 0).select(F.col("doc_id").alias(doc), F.col("removed").alias(removed))
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
     lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
@@ -362,6 +362,6 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 def op5_lines(spark, sf_dir: str) -> DataFrame:
     from tidewater.llm.common import read_table
 
-    found = line_report(read_table(spark, sf_dir, "documents"), EDITS, MIN_CHARS, MAX_SHARE)
+    found = line_report(read_table(spark, sf_dir, "documents"), EDITS, MIN_CHARS, max_share=None)
     return found.select("doc_id", "n_lines", "n_repeated", F.size("removed").cast("bigint").alias("n_removed"), "chars", "repeated_chars",
                         F.array_join(F.transform("removed", lambda p: p.cast("string")), ",").alias("removed"))
