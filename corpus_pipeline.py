@@ -23,8 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that have come before (within two edits); a document that mostly repeats others is left as it is."""
-    return linededup.dedup_lines(docs)
+    """All documents, without lines that have come before (within two edits), however much of a document they are. An exact copy
+    stays equal to its original, so that the next stage takes it out whole."""
+    return linededup.dedup_lines(docs, max_share=None, alike=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

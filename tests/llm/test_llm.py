@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, langid, linededup, packing, passages, quality, secrets, simhash, tokenbin, tokens, warc
-from tidewater.llm.common import connected_components
+from tidewater.llm.common import connected_components, materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = ["fp", "key", "id", "n", "label", "class", "node", "start", "words", "__doc", "component_id"]
@@ -507,3 +507,17 @@ def test_pipeline_stages(spark, tmp_dir):
     assert set(kept["near_duplicates"]) == {*range(30), 52}
     assert set(kept["decontamination"]) == set(range(30))
     assert {r.doc_id for r in cp.run(spark, tmp_dir).collect()} == set(range(30))
+
+
+def test_pipeline_collapses_copies_of_documents_that_lose_a_line(spark, tmp_dir):
+    import corpus_pipeline as cp
+    line = "this line of boilerplate is in every text"
+    rows = [(i, "\n".join(["short", prose(i, 60 + i), line, prose(500 + i, 40)]), "en", "s", 0) for i in range(12)]
+    rows += [(50 + i, rows[i][1], "en", "s", 0) for i in range(3, 9)]
+    rows += [(70, "\n".join([line, rows[1][1].split("\n")[1], prose(800, 30)]), "en", "s", 0)]
+    docs = frame(spark, rows, clash=False)
+    cleaned = materialize(cp.lines(spark, docs, tmp_dir), "test-lines")
+    text = {r.doc_id: r.text for r in cleaned.collect()}
+    assert set(text) == {d for d, *_ in rows} and sum(line in t for t in text.values()) == 1
+    assert all(text[50 + i] == text[i] for i in range(3, 9)) and text[70] == prose(800, 30)
+    assert {r.doc_id for r in cp.near_duplicates(spark, cleaned, tmp_dir).collect()} == {*range(12), 70}

@@ -339,14 +339,30 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
                         F.when(minor, F.col("at")).otherwise(F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float | None = MAX_SHARE) -> DataFrame:
+def _copies(docs: DataFrame) -> DataFrame:
+    """(copy, original): documents and the one of smallest doc_id that has the same text, where that is another one. Rows of one
+    doc_id with different texts make no copy."""
+    name = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(0x5EED), F.col("text")).alias("b"))
+    named = (only(docs, "doc_id", "text").where("doc_id is not null and text is not null").select("doc_id", name.alias("k"))
+             .groupBy("doc_id").agg(F.min("k").alias("k"), F.max("k").alias("other")).where("k = other").select("doc_id", "k"))
+    named = materialize(named, "lines-copies")
+    first = named.groupBy("k").agg(F.min("doc_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").select("k", "original")
+    return named.join(first, "k").where("doc_id <> original").select(F.col("doc_id").alias("copy"), "original")
+
+
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_share: float | None = MAX_SHARE, alike: bool = False) -> DataFrame:
     """``docs`` with repeated lines taken out of text, and n_chars, where it is a column, set to the new length.
 
-    No row is dropped. Defined cases: null and empty texts have no lines and stay; lines shorter than ``min_chars`` stay; rows
+    With ``alike`` an exact copy of a whole document loses the lines that its original loses and no others, so the two stay equal and
+    a document-level step can take the copy out; it must follow. No row is dropped. Defined cases: null and empty texts have no lines and stay; lines shorter than ``min_chars`` stay; rows
     of one doc_id lose the same positions; a null doc_id is a document of its own id; an empty table gives no rows; other
     columns pass through whatever their names."""
     doc, removed, parts = fresh(docs, "removed_doc"), fresh(docs, "removed_lines"), fresh(docs, "all_lines")
     found = line_report(docs, edits, min_chars, max_share).select("doc_id", "removed")
+    if alike:
+        copies, found = materialize(_copies(docs), "lines-copies"), materialize(found, "lines-removed")
+        found = (found.join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
+                 .union(copies.join(found, F.col("original") == F.col("doc_id")).select("copy", "removed")))
     gone = found.where(F.size("removed") > 0).select(F.col("doc_id").alias(doc), F.col("removed").alias(removed))
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
     lines = F.split("text", "\n")
