@@ -435,6 +435,20 @@ def test_secrets_base_spans_and_battery(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_value_after_a_name_is_a_run_of_its_own(spark):
+    r = random.Random(16)
+    key = lambda: "".join(r.choice("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/") for _ in range(40))
+    values = {i: key() for i in range(60)}
+    rows = [(i, f"AWS_SECRET_ACCESS_KEY={v} x client_key={v}== y", None, None, 0) for i, v in values.items()]
+    rows += [(600 + i, " ".join(prose(i, 40).replace(" ", "")[k:k + 18 + k % 30] for k in range(0, 200, 20)), None, None, 0) for i in range(40)]
+    runs = {x.doc_id: (x.text, [(q.start, q.end, q.p) for q in x.runs]) for x in secrets.scanned(frame(spark, rows)).join(frame(spark, rows).select("doc_id", "text"), "doc_id").collect()}
+    for i, v in values.items():
+        text, got = runs[i]
+        assert {v, v + "=="} <= {text[a:b] for a, b, p in got if p is not None}
+    spans = {x.doc_id: [tuple(q) for q in x.spans] for x in secrets.scan(frame(spark, rows)).collect()}
+    assert sum(any(k == 3 and runs[i][0][a:b] == v for a, k, b in spans[i]) for i, v in values.items()) >= 50
+
+
 # 10 passages
 
 def test_passages_are_caught_and_clean_documents_left_alone(spark):

@@ -21,7 +21,7 @@ from tidewater.llm.quality import let
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+RUN = r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"     # `=` only as padding: a value after a name and `=` is a run of its own
 KINDS = ["assign", "access", "hex", "random"]
 LENGTHS = [16, 20, 24, 32, 48, 64]
 ALPHA = 0.05              # a run passes the battery unless randomness is rejected at this level
@@ -126,7 +126,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             p["start"].alias("start"), (p["start"] + p["n"]).alias("end"),
             F.aggregate(F.array(*[F.lit(n) for n in LENGTHS]), F.lit(0), lambda a, n: F.when(F.length(q["s"]) >= n, n).otherwise(a)).alias("class"),
             (q["e"] == "word").alias("word"),
-            F.when(q["e"].isNotNull() & ~F.contains(F.rtrim(q["s"]), F.lit(" ")), _battery(q["s"], q["e"])).alias("p")))
+            F.when(q["e"].isNotNull(), _battery(q["s"], q["e"])).alias("p")))
 
     return found.select("doc_id", F.array_sort(F.concat(_spans(F.col("a"), 0), _spans(F.col("k"), 1), _spans(F.col("h"), 2))).alias("base"),
                         F.filter(F.transform("r", test), lambda r: r["p"].isNotNull() & (r["class"] > 0)).alias("runs"))
