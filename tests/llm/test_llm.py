@@ -495,6 +495,17 @@ def test_paragraph_links_find_similar_texts(spark):
         assert union_find([tuple(p) for p in found], sets) == union_find([tuple(p) for p in want], sets)
 
 
+def test_hot_buckets_lose_no_pair(spark):
+    one = lambda t: len(passages.paragraphs([t], 1, 1)[3]) == 1
+    base = next(t for t in (prose(k, 16) for k in range(100_000)) if one(t))
+    texts = [t for t in (f"{base} {w}" for w in sorted(set(prose(9, 3000).split()))) if one(t)][:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = passages.paragraphs(texts, 1, 1)
+    marked = spark.createDataFrame([(int(i), [int(v) for v in k]) for i, k in zip(got[3], got[4])], "id long, keys array<long>")
+    pairs = [{frozenset(p) for p in map(tuple, passages.paragraph_links(docs, marked, 1, 1, 0.8, hot=h).collect())} for h in (1 << 30, 4)]
+    assert len(texts) == 40 and len(pairs[0]) > 300 and pairs[0] == pairs[1]
+
+
 # pipeline
 
 def test_pipeline_stages(spark, tmp_dir):
