@@ -546,3 +546,23 @@ def test_pipeline_collapses_copies_of_documents_that_lose_a_line(spark, tmp_dir)
     assert set(text) == {d for d, *_ in rows} and sum(line in t for t in text.values()) == 1
     assert all(text[50 + i] == text[i] for i in range(3, 9)) and text[70] == prose(800, 30)
     assert {r.doc_id for r in cp.near_duplicates(spark, cleaned, tmp_dir).collect()} == {*range(12), 70}
+
+
+def test_pipeline_stages_tell_rows_of_one_doc_id_apart(spark, tmp_dir):
+    import corpus_pipeline as cp
+    item = prose(900, 30)
+    shared = "a line of boilerplate that two rows carry"
+    rows = [(7, f"seven A first line of its own\n{shared}", "en", "s", 0), (7, "seven B unique first line of its own\nseven B second line of its own", "en", "s", 0),
+            (6, f"{shared}\n{prose(5, 20)}", "en", "s", 0), (3, prose(3, 40), "en", "s", 0), (3, prose(1, 20) + " " + item, "en", "s", 0),
+            (None, prose(2, 20) + " " + item, "en", "s", 0), (None, prose(4, 40), "en", "s", 0), (None, None, None, None, None), (9, "", None, None, 0)]
+    docs = frame(spark, rows)
+    out = materialize(cp.lines(spark, docs, tmp_dir), "rows-lines")
+    assert out.columns == docs.columns
+    texts = sorted((r.doc_id or 0, r.text or "") for r in out.collect())
+    want = [(d or 0, t or "") for d, t, *_ in rows]
+    want[0] = (7, "seven A first line of its own")
+    assert texts == sorted(want)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(os.path.join(tmp_dir, "benchmark.parquet"))
+    left = cp.decontamination(spark, docs, tmp_dir)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted((d or 0, t or "") for d, t, *_ in rows if item not in (t or ""))

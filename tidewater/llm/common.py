@@ -28,6 +28,12 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(n) for n in names])
 
 
+def row_name(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with a doc_id that tells rows apart: the given one and XXH64 of the text. Equal rows share a name; a null doc_id or
+    one that several texts carry does not join them."""
+    return docs.select(F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash")).alias("doc_id"), F.col("text"))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     while name.lower() in {c.lower() for c in df.columns}:

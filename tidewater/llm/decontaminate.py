@@ -17,7 +17,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh, materialize, only
+from tidewater.llm.common import fresh, materialize, only, row_name
 from tidewater.llm.quality import let, window_hashes
 
 SHINGLE = 5
@@ -131,10 +131,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similar
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose doc_id is in no leak."""
-    doc = fresh(docs, "leaky")
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias(doc)).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)), "left_anti")
+    """The rows of ``docs`` (all columns) that are in no leak. A leak takes out the rows of its doc_id and text alone: other texts
+    under the same doc_id, or under a null one, stay."""
+    doc, text_hash = fresh(docs, "leaky"), fresh(docs, "leaky_hash")
+    bad = leaks(row_name(docs), benchmark).select(F.col("doc_id.doc_id").alias(doc), F.col("doc_id.text_hash").alias(text_hash)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text_hash)), "left_anti")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BLANKS, connected_components, fresh, materialize, only
+from tidewater.llm.common import BLANKS, connected_components, fresh, materialize, only, row_name
 from tidewater.llm.quality import let
 
 EDITS = 2
@@ -328,7 +328,8 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     """One row per document that has a line: doc_id, n_lines, n_repeated, repeated_chars, chars, removed (positions of the lines to take out).
 
     Repeated lines are taken out unless they hold more than ``max_share`` of the document's characters; with None they are
-    taken out of every document."""
+    taken out of every document. Defined cases: null, empty and blank texts have no line and give no row; rows of one doc_id (or of a
+    null one) are one document, and equal rows count once; an empty table gives no rows; other columns are ignored."""
     at = F.sort_array(F.collect_set(F.when(F.col("again"), F.col("pos"))))
     lines = line_classes(docs, edits, min_chars).distinct()
     found = lines.groupBy("doc_id").agg(
@@ -339,13 +340,10 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
                         F.when(minor, F.col("at")).otherwise(F.array().cast("array<int>")).alias("removed"))
 
 
-def _copies(docs: DataFrame) -> DataFrame:
-    """(copy, original): documents and the one of smallest doc_id that has the same text, where that is another one. Rows of one
-    doc_id with different texts make no copy."""
-    name = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(0x5EED), F.col("text")).alias("b"))
-    named = (only(docs, "doc_id", "text").where("doc_id is not null and text is not null").select("doc_id", name.alias("k"))
-             .groupBy("doc_id").agg(F.min("k").alias("k"), F.max("k").alias("other")).where("k = other").select("doc_id", "k"))
-    named = materialize(named, "lines-copies")
+def _copies(named: DataFrame) -> DataFrame:
+    """(copy, original): names of rows (``row_name``) and the smallest name that has the same text, where that is another one."""
+    key = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(0x5EED), F.col("text")).alias("b"))
+    named = materialize(named.where("text is not null").select("doc_id", key.alias("k")).distinct(), "lines-copies")
     first = named.groupBy("k").agg(F.min("doc_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").select("k", "original")
     return named.join(first, "k").where("doc_id <> original").select(F.col("doc_id").alias("copy"), "original")
 
@@ -354,17 +352,20 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     """``docs`` with repeated lines taken out of text, and n_chars, where it is a column, set to the new length.
 
     With ``alike`` an exact copy of a whole document loses the lines that its original loses and no others, so the two stay equal and
-    a document-level step can take the copy out; it must follow. No row is dropped. Defined cases: null and empty texts have no lines and stay; lines shorter than ``min_chars`` stay; rows
-    of one doc_id lose the same positions; a null doc_id is a document of its own id; an empty table gives no rows; other
-    columns pass through whatever their names."""
-    doc, removed, parts = fresh(docs, "removed_doc"), fresh(docs, "removed_lines"), fresh(docs, "all_lines")
-    found = line_report(docs, edits, min_chars, max_share).select("doc_id", "removed")
+    a document-level step can take the copy out; it must follow. No row is dropped. Defined cases: null and empty texts have no lines and
+    stay; lines shorter than ``min_chars`` stay; equal rows are one document; rows of one doc_id, or of a null one, with different
+    texts are documents of their own, first the one of the smaller text hash; an empty table gives no rows; other columns pass through
+    whatever their names."""
+    doc, text_hash, removed, parts = (fresh(docs, n) for n in ("removed_doc", "removed_hash", "removed_lines", "all_lines"))
+    named = row_name(docs)
+    found = line_report(named, edits, min_chars, max_share).select("doc_id", "removed")
     if alike:
-        copies, found = materialize(_copies(docs), "lines-copies"), materialize(found, "lines-removed")
+        copies, found = materialize(_copies(named), "lines-copies"), materialize(found, "lines-removed")
         found = (found.join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
                  .union(copies.join(found, F.col("original") == F.col("doc_id")).select("copy", "removed")))
-    gone = found.where(F.size("removed") > 0).select(F.col("doc_id").alias(doc), F.col("removed").alias(removed))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
+    gone = (found.where(F.size("removed") > 0)
+            .select(F.col("doc_id.doc_id").alias(doc), F.col("doc_id.text_hash").alias(text_hash), F.col("removed").alias(removed)))
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text_hash)), "left")
     lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
     text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(
