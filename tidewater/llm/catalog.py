@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidewater.llm import decontaminate, langid, linededup, packing, passages, quality, secrets, simhash, tokenbin, warc
+from tidewater.llm import (decontaminate, divergence, filteraudit, langid, linededup, packing, passages, pii, quality, secrets,
+                           simhash, tokenbin, warc)
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,8 +16,13 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_secrets": secrets.op9_secrets,
     "op10_passages": passages.op10_passages,
+    "op11_pii": pii.op11_pii,
+    "op12_filters": filteraudit.op12_filters,
+    "op13_divergence": divergence.op13_divergence,
 }
 ORACLE: dict[str, str] = {
     "op3_quality": quality.OP3_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op12_filters": filteraudit.OP12_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
