@@ -179,10 +179,11 @@ def term_docs(seed, n):
              r.choice(["en", "en", "de", None]), r.choice(["s1", "s2", "s3", None])) for i in range(n)]
 
 
-@pytest.mark.parametrize("bits, size", [(26, 6_000_000), (6, 300)])
-def test_divergence(spark, monkeypatch, bits, size):
+@pytest.mark.parametrize("bits, size, held", [(26, 3_000_000, 1_000_000), (6, 300, 50)])
+def test_divergence(spark, monkeypatch, bits, size, held):
     monkeypatch.setattr(divergence, "PRUNE_BITS", bits)
     monkeypatch.setattr(divergence, "SLICE", size)
+    monkeypatch.setattr(divergence, "HELD_ROWS", held)
     docs = term_docs(1, 120) + [(900, None, "fr", "lone"), (901, "one text alone", "it", "a"), (902, "", "it", "b"), (None, "abc abcd", "en", "s1"), (3, "abc " * 30_000, "en", "s1")]
     docs += [docs[5], docs[5]]
     got = sorted(tuple(r) for r in divergence.divergence(frame(spark, docs).repartition(3), top=25).collect())
@@ -201,3 +202,9 @@ def test_divergence_of_many_sources(spark, monkeypatch):
 
 def test_new_oracles_are_registered():
     assert {"op12_filters", "op13_divergence"} <= set(ORACLE)
+
+
+def test_shares_are_exact_beyond_64_bits(spark):
+    cases = [(0, 0, 0), (0, 0, 3), (5, 17, 4), (8_999_999_999, 9_000_000_001, 12), (9_000_000_000, 9_000_000_001, 12), (4 * 10 ** 17, 10 ** 18 + 7, 10 ** 6)]
+    got = spark.createDataFrame(cases, "n long, total long, terms long").select(divergence._share("n", "total", "terms").alias("p")).collect()
+    assert [r.p for r in got] == [1 if not v else 1 + 10 ** 9 * (n + 1) // (total + v) for n, total, v in cases]

@@ -31,7 +31,8 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 WIDTHS = [4, 8, 16]
 PRUNE_BITS = 26            # the bit set has 2^26 bits: 8 MB, whatever the corpus
-SLICE = 6_000_000          # bytes of text that are cut into terms at a time (a longer text is taken whole)
+SLICE = 3_000_000          # bytes of text that are cut into terms at a time (a longer text is taken whole)
+HELD_ROWS = 1_000_000      # sums that a task holds before it hands them on
 PAIR_ROWS = 200_000        # rows of a task of the pair sums, about
 BLOCK = 1024               # sources of a language that a task of the pair sums compares with so many others
 
@@ -63,10 +64,10 @@ def _terms(text: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _words(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``width`` bytes of each term as two big-endian words, zeros after its end."""
     eight = np.ndarray(len(data) - 7, ">u8", data, 0, (1,))
-    size = np.minimum(length, width)
-    first = eight[start].astype(np.uint64) & _MASK[np.minimum(size, 8)]
-    second = eight[start + 8 if width > 8 else start].astype(np.uint64) & _MASK[np.maximum(size - 8, 0)]
-    return first, second
+    first = eight[start].astype(np.uint64) & _MASK[np.minimum(length, min(width, 8))]
+    if width <= 8:
+        return first, np.zeros(len(start), np.uint64)
+    return first, eight[start + 8].astype(np.uint64) & _MASK[np.clip(length - 8, 0, width - 8)]
 
 
 def _bit(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -121,29 +122,72 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.LargeStringArray, np.nda
         at = to
 
 
-def _left(bits: np.ndarray | None, hashes: np.ndarray, lang: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
-    """Which terms have a prefix of ``width`` bytes that is left."""
-    if bits is None:
-        return np.ones(len(start), bool)
-    bit = _bit(hashes[lang], *_words(data, start, length, width))
+def _left(bits: np.ndarray, lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which prefixes are left. ``lang``: the language's hash."""
+    bit = _bit(lang, first, second)
     return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+class _Held:
+    """Sums of a task by (first, second, group), handed on once it is done or they are too many."""
+
+    def __init__(self) -> None:
+        self.names: dict[tuple, int] = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.rows = 0
+
+    def add(self, first: np.ndarray, second: np.ndarray, group: np.ndarray, names: list[tuple], n: np.ndarray, docs: np.ndarray) -> bool:
+        codes = np.array([self.names.setdefault(x, len(self.names)) for x in names], np.int64)
+        self.parts.append((first, second, codes[group], n, docs))
+        self.rows += len(first)
+        if self.rows <= HELD_ROWS:
+            return False
+        self.parts = [self.summed()]
+        self.rows = len(self.parts[0][0])
+        return self.rows > HELD_ROWS // 2
+
+    def summed(self) -> tuple[np.ndarray, ...]:
+        first, second, group, n, docs = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        number, firsts, seconds = _numbers(first, second)
+        row, rows = pd.factorize(number * len(self.names) + group)
+        add = lambda v: np.bincount(row, v, len(rows)).astype(np.int64)  # noqa: E731  sums of a task stay far below 2^53
+        number, group = rows // len(self.names), rows % len(self.names)
+        return firsts[number], seconds[number], group, add(n), add(docs)
+
+    def take(self) -> tuple[list[pa.Array], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The names' columns of each row, its two words, n and docs."""
+        first, second, group, n, docs = self.summed()
+        columns = [pa.array(c, pa.string()).take(pa.array(group)) for c in zip(*self.names, strict=True)]
+        self.__init__()
+        return columns, first, second, n, docs
+
+
 def _prefixes(width: int, before: int | None, known: Broadcast | None):
     """Task function: (lang, first, second, docs) of the prefixes of ``width`` bytes, of terms that are left at ``before`` bytes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = known.value if known is not None else None
+        held = _Held()
+
+        def out() -> pa.RecordBatch:
+            columns, first, second, _, docs = held.take()
+            return pa.RecordBatch.from_arrays([*columns, pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(docs)],
+                                              names=["lang", "first", "second", "docs"])
+
         for batch in batches:
             for text, lang, langs, _, _ in _slices(batch):
                 data, start, length, doc = _terms(text)
-                keep = _left(bits, _lang_hash(langs), lang[doc], data, start, length, before or 0)
+                if before:                              # shorter ones are complete and counted
+                    keep = length >= before
+                    start, length, doc = start[keep], length[keep], doc[keep]
+                first, second = _words(data, start, length, width)
                 if before:
-                    keep &= length >= before            # shorter ones are complete and counted
-                start, length, doc = start[keep], length[keep], doc[keep]
-                number, first, second = _numbers(*_words(data, start, length, width))
-                of, group, _, docs = _counts(number, doc, lang)
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(group)), pa.array(first[of].view(np.int64)),
-                                                  pa.array(second[of].view(np.int64)), pa.array(docs.astype(np.int64))], names=["lang", "first", "second", "docs"])
+                    keep = _left(known.value, _lang_hash(langs)[lang[doc]], first & _MASK[before], np.zeros_like(second))
+                    first, second, doc = first[keep], second[keep], doc[keep]
+                number, first, second = _numbers(first, second)
+                of, group, n, docs = _counts(number, doc, lang)
+                if held.add(first[of], second[of], group, [(x,) for x in langs], n, docs):
+                    yield out()
+        if held.rows:
+            yield out()
 
     return cut
 
@@ -154,31 +198,38 @@ def _occurrences(width: int, known: Broadcast):
     names = ["lang", "source", "term", "doc", "n", "docs"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, done = known.value, TaskContext.get().partitionId() << 40
+        held, done = _Held(), TaskContext.get().partitionId() << 40
+
+        def out() -> pa.RecordBatch:
+            columns, first, second, n, docs = held.take()
+            raw = np.stack([first, second], axis=1).astype(">u8").view(np.uint8).reshape(len(n), 16)
+            ends = np.concatenate([[0], np.cumsum((raw != 0).sum(axis=1))]).astype(np.int32)
+            terms = pa.StringArray.from_buffers(len(n), pa.py_buffer(ends), pa.py_buffer(raw[raw != 0].tobytes()))
+            return pa.RecordBatch.from_arrays([*columns, terms, pa.nulls(len(n), pa.int64()), pa.array(n), pa.array(docs)], names=names)
+
         for batch in batches:
             for text, lang, langs, source, sources in _slices(batch):
                 data, start, length, doc = _terms(text)
-                keep = _left(bits, _lang_hash(langs), lang[doc], data, start, length, width)
-                short = keep & (length < width)
-                number, first, second = _numbers(*_words(data, start[short], length[short], width))
-                of, group, n, docs = _counts(number, doc[short], lang * len(sources) + source)
-                raw = np.stack([first[of], second[of]], axis=1).astype(">u8").view(np.uint8).reshape(len(of), 16)
-                ends = np.concatenate([[0], np.cumsum((raw != 0).sum(axis=1))]).astype(np.int32)
-                terms = pa.StringArray.from_buffers(len(of), pa.py_buffer(ends), pa.py_buffer(raw[raw != 0].tobytes()))
-                named = lambda g: [pa.array(x, pa.string()).take(pa.array(i)) for x, i in ((langs, g // len(sources)), (sources, g % len(sources)))]
-                yield pa.RecordBatch.from_arrays([*named(group), terms, pa.nulls(len(of), pa.int64()), pa.array(n.astype(np.int64)),
-                                                  pa.array(docs.astype(np.int64))], names=names)
+                first, second = _words(data, start, length, width)
+                keep = _left(known.value, _lang_hash(langs)[lang[doc]], first, second)
+                group, short = lang * len(sources) + source, keep & (length < width)
+                number, first, second = _numbers(first[short], second[short])
+                of, at, n, docs = _counts(number, doc[short], group)
+                if held.add(first[of], second[of], at, [(x, y) for x in langs for y in sources], n, docs):
+                    yield out()
                 long = np.flatnonzero(keep & (length >= width))
                 if len(long):
                     seen: dict[tuple[int, bytes], int] = {}
                     for k in long.tolist():
                         key = (int(doc[k]), data[start[k]:start[k] + length[k]].tobytes())
                         seen[key] = seen.get(key, 0) + 1
-                    of_doc = np.array([d for d, _ in seen], np.int64)
-                    yield pa.RecordBatch.from_arrays([*named((lang * len(sources) + source)[of_doc]), pa.array([t.decode() for _, t in seen], pa.string()),
-                                                      pa.array(of_doc + done), pa.array(list(seen.values()), pa.int64()),
+                    of = np.array([d for d, _ in seen], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang[of])), pa.array(sources, pa.string()).take(pa.array(source[of])),
+                                                      pa.array([t.decode() for _, t in seen], pa.string()), pa.array(of + done), pa.array(list(seen.values()), pa.int64()),
                                                       pa.array(np.ones(len(seen), np.int64))], names=names)
                 done += len(text)
+        if held.rows:
+            yield out()
 
     return cut
 
@@ -231,11 +282,12 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         ended = held.where(last == 0)            # terms shorter than the width: their bytes are the same at every width to come
         complete = ended if complete is None else complete.union(ended)
     raw = texts.mapInArrow(_occurrences(WIDTHS[-1], known), "lang string, source string, term string, doc long, n long, docs long")
-    rows = materialize(raw.groupBy("lang", "source", "term", "doc").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "divergence-terms")
+    rows = materialize(raw, "divergence-terms")
     for b in sent:
         b.unpersist()
-    long = _long_terms(rows.where("doc is not null"), WIDTHS[-1], min_docs)
-    every = rows.where("doc is null").drop("doc").unionByName(long)
+    # dealt out by (lang, term) once, for the sums per source and those of the language
+    short = rows.where("doc is null").repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    every = short.unionByName(_long_terms(rows.where("doc is not null"), WIDTHS[-1], min_docs))
     term = Window.partitionBy("lang", "term")
     return (every.withColumns({"held": F.sum("docs").over(term), "n_lang": F.sum("n").over(term),
                                "lead": F.row_number().over(term.orderBy("source")) == 1})
@@ -243,9 +295,10 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def _share(n: str, total: str, terms: str) -> Column:
-    """1 + floor(SCALE * (n + 1) / (total + terms)), exact; 1 where there is no term."""
-    whole = f"cast({total} as decimal(20,0)) + cast({terms} as decimal(20,0))"
-    return F.when(F.col(terms) > 0, F.expr(f"1 + (cast({SCALE} as decimal(10,0)) * cast({n} + 1 as decimal(20,0))) div ({whole})")).otherwise(F.lit(1)).cast("bigint")
+    """1 + floor(SCALE * (n + 1) / (total + terms)), exact: in decimals where 64 bits do not hold the product; 1 where there is no term."""
+    small = F.expr(f"1 + ({SCALE}L * ({n} + 1)) div ({total} + {terms})")
+    large = F.expr(f"1 + (cast({SCALE} as decimal(10,0)) * cast({n} + 1 as decimal(20,0))) div (cast({total} as decimal(20,0)) + cast({terms} as decimal(20,0)))")
+    return F.when(F.col(terms) == 0, F.lit(1)).when(F.col(n) < 9 * SCALE, small).otherwise(large).cast("bigint")
 
 
 def _pair_sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
