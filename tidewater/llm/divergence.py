@@ -1,13 +1,12 @@
 r"""Source divergence audit: how far the term frequencies of a (lang, source) group are from those of its language and of its other sources.
 
-A language's vocabulary, the terms in at least ``MIN_DOCS`` of its documents, is found by iceberg prefix refinement. Terms are byte strings,
-cut at 4, 8 and 16 bytes with their end as a zero byte. At each width the documents that hold a prefix are counted, per
-language, and prefixes below the threshold are discarded: only terms whose shorter prefix is left are cut at the next width. Terms that end within
-16 bytes are complete then; what is left of longer ones, a small part of running text, is written with a number per document and
-refined further at 32, 64, ... bytes until all of it is complete or gone. Counts per source are taken only of terms that are left.
-
-Tasks know the prefixes that are left by a bit set of fixed size (``PRUNE_BITS``). Two prefixes that share a bit let some discarded one through;
-it is then counted exactly and goes by its count, so the result does not depend on the size.
+A language's vocabulary, the terms in at least ``MIN_DOCS`` of its documents, is found by iceberg prefix refinement. Terms are byte strings
+with a zero byte at their end, cut at 6, 16, 32, 64, ... bytes. At each width the documents that hold a prefix are counted, per
+language, and prefixes below the threshold are discarded: only terms whose shorter prefix is left are cut at the next width, until every prefix
+that is left is a complete term. Counts per source are taken only of those.
+
+Tasks know the prefixes that are left by a bit set of fixed size (``PRUNE_BITS``), and prefixes of more than 16 bytes by 127 bits of hash. Where
+two prefixes share a bit or a hash, one that should go may stay; it goes by its exact count in the end, so the result does not depend on that.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,11 +27,11 @@ from tidewater.llm.common import materialize, only
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-WIDTHS = [4, 8, 16]
+WIDTHS = [6, 16]           # then twice as many bytes each time
 PRUNE_BITS = 26            # the bit set has 2^26 bits: 8 MB, whatever the corpus
 SLICE = 3_000_000          # bytes of text that are cut into terms at a time (a longer text is taken whole)
 HELD_ROWS = 1_000_000      # sums that a task holds before it hands them on
-PAIR_ROWS = 200_000        # rows of a task of the pair sums, about
+PAIR_ROWS = 500_000        # counts of a task of the pair sums, about
 BLOCK = 1024               # sources of a language that a task of the pair sums compares with so many others
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -162,6 +160,16 @@ class _Held:
         return columns, first, second, n, docs
 
 
+def _hashed(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two words of hash per prefix of ``width`` bytes, of the term and its end if it is shorter; the lowest bit is set if it is not."""
+    first, second = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+    for k, (a, n) in enumerate(zip(start.tolist(), length.tolist(), strict=True)):
+        cut = data[a:a + width].tobytes() if n >= width else data[a:a + n].tobytes() + b"\0"
+        h = xxhash.xxh3_128_intdigest(cut)
+        first[k], second[k] = h >> 64, h & 0xFFFFFFFFFFFFFFFE | (n >= width)
+    return first, second
+
+
 def _prefixes(width: int, before: int | None, known: Broadcast | None):
     """Task function: (lang, first, second, docs) of the prefixes of ``width`` bytes, of terms that are left at ``before`` bytes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +186,9 @@ def _prefixes(width: int, before: int | None, known: Broadcast | None):
                 if before:                              # shorter ones are complete and counted
                     keep = length >= before
                     start, length, doc = start[keep], length[keep], doc[keep]
-                first, second = _words(data, start, length, width)
-                if before:
-                    keep = _left(known.value, _lang_hash(langs)[lang[doc]], first & _MASK[before], np.zeros_like(second))
-                    first, second, doc = first[keep], second[keep], doc[keep]
-                number, first, second = _numbers(first, second)
+                    keep = _left(known.value, _lang_hash(langs)[lang[doc]], *(_words if before <= 16 else _hashed)(data, start, length, before))
+                    start, length, doc = start[keep], length[keep], doc[keep]
+                number, first, second = _numbers(*(_words if width <= 16 else _hashed)(data, start, length, width))
                 of, group, n, docs = _counts(number, doc, lang)
                 if held.add(first[of], second[of], group, [(x,) for x in langs], n, docs):
                     yield out()
@@ -192,42 +198,37 @@ def _prefixes(width: int, before: int | None, known: Broadcast | None):
     return cut
 
 
-def _occurrences(width: int, known: Broadcast):
-    """Task function: (lang, source, term, doc, n, docs) of terms that are left at ``width`` bytes: summed over documents, without a
-    doc, for terms that end within the width; a row per document for longer ones."""
-    names = ["lang", "source", "term", "doc", "n", "docs"]
+def _occurrences(known: Broadcast):
+    """Task function: (lang, source, term, n, docs) of terms that are left: those that end within 16 bytes by their words, longer ones as strings."""
+    names = ["lang", "source", "term", "n", "docs"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, done = _Held(), TaskContext.get().partitionId() << 40
+        held = _Held()
 
         def out() -> pa.RecordBatch:
             columns, first, second, n, docs = held.take()
             raw = np.stack([first, second], axis=1).astype(">u8").view(np.uint8).reshape(len(n), 16)
             ends = np.concatenate([[0], np.cumsum((raw != 0).sum(axis=1))]).astype(np.int32)
             terms = pa.StringArray.from_buffers(len(n), pa.py_buffer(ends), pa.py_buffer(raw[raw != 0].tobytes()))
-            return pa.RecordBatch.from_arrays([*columns, terms, pa.nulls(len(n), pa.int64()), pa.array(n), pa.array(docs)], names=names)
+            return pa.RecordBatch.from_arrays([*columns, terms, pa.array(n), pa.array(docs)], names=names)
 
         for batch in batches:
             for text, lang, langs, source, sources in _slices(batch):
                 data, start, length, doc = _terms(text)
-                first, second = _words(data, start, length, width)
-                keep = _left(known.value, _lang_hash(langs)[lang[doc]], first, second)
-                group, short = lang * len(sources) + source, keep & (length < width)
-                number, first, second = _numbers(first[short], second[short])
-                of, at, n, docs = _counts(number, doc[short], group)
+                of_lang, short = _lang_hash(langs)[lang[doc]], length < 16
+                first, second = _words(data, start[short], length[short], 16)
+                keep = _left(known.value, of_lang[short], first, second)
+                number, first, second = _numbers(first[keep], second[keep])
+                of, at, n, docs = _counts(number, doc[short][keep], lang * len(sources) + source)
                 if held.add(first[of], second[of], at, [(x, y) for x in langs for y in sources], n, docs):
                     yield out()
-                long = np.flatnonzero(keep & (length >= width))
-                if len(long):
-                    seen: dict[tuple[int, bytes], int] = {}
-                    for k in long.tolist():
-                        key = (int(doc[k]), data[start[k]:start[k] + length[k]].tobytes())
-                        seen[key] = seen.get(key, 0) + 1
-                    of = np.array([d for d, _ in seen], np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang[of])), pa.array(sources, pa.string()).take(pa.array(source[of])),
-                                                      pa.array([t.decode() for _, t in seen], pa.string()), pa.array(of + done), pa.array(list(seen.values()), pa.int64()),
-                                                      pa.array(np.ones(len(seen), np.int64))], names=names)
-                done += len(text)
+                start, length, doc, of_lang = start[~short], length[~short], doc[~short], of_lang[~short]
+                keep = np.flatnonzero(_left(known.value, of_lang, *_hashed(data, start, length, 1 << 62)))
+                if len(keep):
+                    terms = pa.array([data[start[k]:start[k] + length[k]].tobytes().decode() for k in keep.tolist()], pa.string()).dictionary_encode()
+                    of, at, n, docs = _counts(terms.indices.to_numpy().astype(np.int64), doc[keep], lang * len(sources) + source)
+                    columns = [pa.array(x, pa.string()).take(pa.array(i)) for x, i in ((langs, at // len(sources)), (sources, at % len(sources)))]
+                    yield pa.RecordBatch.from_arrays([*columns, terms.dictionary.take(pa.array(of)), pa.array(n), pa.array(docs)], names=names)
         if held.rows:
             yield out()
 
@@ -251,47 +252,31 @@ def _bits_of(prefixes: DataFrame) -> Broadcast:
     return prefixes.sparkSession.sparkContext.broadcast(out)
 
 
-def _long_terms(rows: DataFrame, width: int, min_docs: int) -> DataFrame:
-    """(lang, source, term, n, docs) of the terms of ``rows`` (a row per document and term, no term within ``width`` bytes) that are in enough
-    documents of their language, refined at twice the width each round."""
-    cols, out = ["lang", "source", "term", "n", "docs"], None
-    while not rows.isEmpty():
-        width *= 2
-        cut = rows.withColumn("prefix", F.substring(F.encode("term", "UTF-8"), 1, width))
-        held = (cut.select("lang", "prefix", "doc").distinct().groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("held"))
-                .where(F.col("held") >= min_docs).select("lang", "prefix"))
-        left = materialize(cut.join(held, ["lang", "prefix"], "left_semi").drop("prefix"), "divergence-long")
-        ends = F.octet_length("term") < width
-        complete = left.where(ends).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).select(*cols)
-        out = complete if out is None else out.union(complete)
-        rows = left.where(~ends)
-    return rows.select(*cols).limit(0) if out is None else out
-
-
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, source, term, n, n_lang, lead) of the terms in at least ``min_docs`` documents (rows) of their language: occurrences in the
-    source and in the language; ``lead`` on one row of each (lang, term)."""
+    """(lang, term, n_lang, counts) of the terms in at least ``min_docs`` documents (rows) of their language: occurrences there, and an array of
+    (source, n) of the sources that have the term; an array has one entry per source of the language at most."""
     texts = only(docs, "text", "lang", "source")
-    known, before, sent, complete = None, None, [], None
-    for width in WIDTHS:
-        parts = texts.mapInArrow(_prefixes(width, before, known), "lang string, first long, second long, docs long")
+    before, width, sent, ends = None, WIDTHS[0], [], None
+    while True:
+        parts = texts.mapInArrow(_prefixes(width, before, sent[-1] if sent else None), "lang string, first long, second long, docs long")
         held = materialize(parts.groupBy("lang", "first", "second").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs), "divergence-prefixes")
-        known, before = _bits_of(held if complete is None else held.union(complete)), width
-        sent.append(known)
-        last = F.shiftrightunsigned("second" if width > 8 else "first", 8 * (-width % 8)).bitwiseAND(F.lit(255).cast("bigint"))
-        ended = held.where(last == 0)            # terms shorter than the width: their bytes are the same at every width to come
-        complete = ended if complete is None else complete.union(ended)
-    raw = texts.mapInArrow(_occurrences(WIDTHS[-1], known), "lang string, source string, term string, doc long, n long, docs long")
-    rows = materialize(raw, "divergence-terms")
+        last = F.shiftrightunsigned("second" if width > 8 else "first", 8 * (-width % 8)).bitwiseAND(F.lit(255 if width <= 16 else 1).cast("bigint"))
+        ended = held.where(last == 0)            # complete terms: no later width changes what they are known by
+        ends = ended if ends is None else ends.union(ended)
+        if held.where(last != 0).isEmpty():
+            break
+        sent.append(_bits_of(held))
+        before, width = width, WIDTHS[len(sent)] if len(sent) < len(WIDTHS) else 2 * width
+    sent.append(_bits_of(ends))
+    # dealt out by (lang, term) once, for the sums per source and those of the language
+    raw = texts.mapInArrow(_occurrences(sent[-1]), "lang string, source string, term string, n long, docs long").repartition("lang", "term")
+    each = raw.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    kept = (each.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("held"), F.collect_list(F.struct("source", "n")).alias("counts"))
+            .where(F.col("held") >= min_docs).drop("held"))
+    kept = materialize(kept, "divergence-terms")
     for b in sent:
         b.unpersist()
-    # dealt out by (lang, term) once, for the sums per source and those of the language
-    short = rows.where("doc is null").repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    every = short.unionByName(_long_terms(rows.where("doc is not null"), WIDTHS[-1], min_docs))
-    term = Window.partitionBy("lang", "term")
-    return (every.withColumns({"held": F.sum("docs").over(term), "n_lang": F.sum("n").over(term),
-                               "lead": F.row_number().over(term.orderBy("source")) == 1})
-            .where(F.col("held") >= min_docs).select("lang", "source", "term", "n", "n_lang", "lead"))
+    return kept
 
 
 def _share(n: str, total: str, terms: str) -> Column:
@@ -301,35 +286,46 @@ def _share(n: str, total: str, terms: str) -> Column:
     return F.when(F.col(terms) == 0, F.lit(1)).when(F.col(n) < 9 * SCALE, small).otherwise(large).cast("bigint")
 
 
-def _pair_sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sums over the terms of one group (lang, part, i, j) for all sources of block i (as groups) and block j (as items). Rows without a
-    term name a source and the p of a term that it does not have; ``absent`` is the value of a term that neither of two sources has."""
-    lang, _, i, j = key
-    heads = pdf[pdf["term"].isna()].drop_duplicates("source").sort_values("source")
-    body = pdf[pdf["term"].notna()]
-    of = {s: k for k, s in enumerate(heads["source"])}
-    zero, block = heads["p"].to_numpy(np.int64), heads["block"].to_numpy()
-    code, terms = pd.factorize(body["term"])
-    col, p = body["source"].map(of).to_numpy(np.int64) if len(body) else np.zeros(0, np.int64), body["p"].to_numpy(np.int64)
+def _pair_sums(key: tuple, table: pa.Table) -> pa.Table:
+    """Sums over the terms of one group (lang, part, i, j), for all sources of block i (as groups) and block j (as items), against ``absent``, the
+    value of a term that neither source has. Rows with a null ``n_lang`` name a source and its total."""
+    lang, _, i, j = (k.as_py() for k in key)
+    table = table.combine_chunks()
+    is_head = pc.is_null(table["n_lang"])
+    heads, body = table.filter(is_head), table.filter(pc.invert(is_head))
+    names = heads["source"].to_pylist()
+    flat = body["counts"].combine_chunks().flatten()
+    entry = np.repeat(np.arange(len(body)), pc.list_value_length(body["counts"]).to_numpy())
+    col = pc.index_in(flat.field("source"), value_set=pa.array(names, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64)
+    n = flat.field("n").to_numpy(zero_copy_only=False)
+    terms, whole = heads["terms"][0].as_py(), heads["total"].to_numpy().astype(np.int64) + heads["terms"][0].as_py()
+    if len(n) and n.max() >= 9 * SCALE:                  # beyond 64 bits
+        n, of = n.astype(object), whole.astype(object)[col]
+    else:
+        of = whole[col]
+    p = (1 + SCALE * (n + 1) // of).astype(np.int64)
+    zero = 1 + SCALE // whole if terms else np.ones(len(whole), np.int64)
+    block = heads["block"].to_numpy()
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
     sums = np.zeros((len(right), len(left)), np.int64)
-    chunk = max(1, 2_000_000 // max(1, len(zero)))
-    order = np.argsort(code, kind="stable")
-    code, col, p = code[order], col[order], p[order]
-    for at in range(0, len(terms), chunk):
-        a, b = np.searchsorted(code, [at, at + chunk])
-        grid = np.tile(zero, (min(chunk, len(terms) - at), 1))
-        grid[code[a:b] - at, col[a:b]] = p[a:b]
-        group = grid[:, left]
+    chunk = max(1, 2_000_000 // len(zero))
+    for at in range(0, len(body), chunk):
+        a, b = np.searchsorted(entry, [at, at + chunk])
+        grid = np.tile(zero, (min(chunk, len(body) - at), 1))
+        grid[entry[a:b] - at, col[a:b]] = p[a:b]
+        grid = np.ascontiguousarray(grid.T)
+        group = grid[left]
         for r, item in enumerate(right):
-            q = grid[:, item:item + 1]
-            gap = group - q
-            sums[r] += (gap * gap // q).sum(axis=0)
-    none = (zero[left][None, :] - zero[right][:, None]) ** 2 // zero[right][:, None]
-    names = heads["source"].to_numpy()
-    out = pd.DataFrame({"lang": lang, "source": np.tile(names[left], len(right)), "item": np.repeat(names[right], len(left)),
-                        "value": sums.ravel(), "terms": len(terms), "absent": none.ravel()})
-    return out[out["source"] != out["item"]]
+            gap = group - grid[item]
+            gap *= gap
+            gap //= grid[item]
+            sums[r] += gap.sum(axis=1)
+    absent = (zero[left][None, :] - zero[right][:, None]) ** 2 // zero[right][:, None]
+    source, item = np.tile(left, len(right)), np.repeat(right, len(left))
+    out = pa.table({"lang": pa.array([lang] * len(source), pa.string()), "source": pa.array(names, pa.string()).take(pa.array(source)),
+                    "item": pa.array(names, pa.string()).take(pa.array(item)), "value": pa.array(sums.ravel()),
+                    "seen": pa.array(np.full(len(source), len(body))), "absent": pa.array(absent.ravel())})
+    return out.filter(pa.array(source != item))
 
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
@@ -340,38 +336,43 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     text, lang and source are empty strings; every row is a document, repeated rows too; a language without kept terms has pairs of
     value 0 and no terms; a language with one source has no pairs; ties go by the item's UTF-8 bytes; an empty table gives no
     rows; other columns are ignored."""
-    kept = materialize(kept_terms(docs, min_docs), "divergence-kept")
+    kept = kept_terms(docs, min_docs)
+    each = kept.select("lang", "term", "n_lang", F.explode("counts").alias("c")).select("lang", "c.source", "term", "n_lang", "c.n")
     named = only(docs, "lang", "source").select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("lead").alias("v"), F.sum(F.when(F.col("lead"), F.col("n_lang"))).alias("t"))
-    langs = sums.groupBy("lang").agg(F.sum("v").alias("terms"), F.sum("t").alias("lang_total"))
-    groups = materialize(named.join(sums.select("lang", "source", "total"), ["lang", "source"], "left").join(langs, "lang", "left")
-                         .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "terms", "lang_total")])
-                         .withColumn("zero", F.lit(0)).withColumn("p", _share("zero", "total", "terms")).drop("zero"), "divergence-groups")
-    scored = materialize(kept.join(groups.drop("p"), ["lang", "source"])
-                         .select("lang", "source", "term", _share("n", "total", "terms").alias("p"), _share("n_lang", "lang_total", "terms").alias("q")),
-                         "divergence-scored")
+    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n_lang").alias("lang_total"))
+    groups = materialize(named.join(each.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(langs, "lang", "left")
+                         .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "terms", "lang_total")]), "divergence-groups")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    more = (scored.where("p > q").select("lang", "source", F.col("term").alias("item"), F.expr("((p - q) * (p - q)) div q").alias("value"))
+    more = (each.join(groups, ["lang", "source"])
+            .select("lang", "source", F.col("term").alias("item"), _share("n", "total", "terms").alias("p"), _share("n_lang", "lang_total", "terms").alias("q"))
+            .where("p > q").select("lang", "source", "item", F.expr("((p - q) * (p - q)) div q").alias("value"))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
             .select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
 
-    # pairs: terms are dealt out by hash; each part gets its terms' rows and one head row of every source
-    n_parts = max(1, -(-scored.count() // PAIR_ROWS))
+    # pairs: terms are dealt out by hash; each part gets its terms' counts and one head row of every source
+    entries = kept.agg(F.sum(F.size("counts").cast("bigint")).alias("n")).first()["n"] or 0
     most = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    blocks = max(1, -(-most // BLOCK))
-    heads = groups.select("lang", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"), "source", F.lit(None).cast("string").alias("term"), "p")
-    body = scored.select("lang", F.pmod(F.xxhash64("term"), F.lit(n_parts)).cast("int").alias("part"), "source", "term", "p")
-    own, each = F.pmod(F.xxhash64("source"), F.lit(blocks)).cast("int"), F.sequence(F.lit(0), F.lit(blocks - 1))
-    dealt = heads.union(body).withColumn("block", own)
-    dealt = dealt.withColumn("ij", F.explode(F.array_distinct(F.concat(
-        F.transform(each, lambda x: F.struct(F.col("block").alias("i"), x.alias("j"))), F.transform(each, lambda x: F.struct(x.alias("i"), F.col("block").alias("j")))))))
-    found = (dealt.select("lang", "part", "ij.i", "ij.j", "block", "source", "term", "p").groupBy("lang", "part", "i", "j")
-             .applyInPandas(_pair_sums, "lang string, source string, item string, value long, terms long, absent long"))
+    n_parts, blocks = max(1, -(-entries // PAIR_ROWS)), max(1, -(-most // BLOCK))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = lambda source: F.pmod(F.xxhash64(source), F.lit(blocks)).cast("int")
+    none = F.array().cast(kept.schema["counts"].dataType)
+    heads = groups.select("lang", numbers(n_parts).alias("part"), "source", "total", "terms", F.lit(None).cast("bigint").alias("n_lang"), none.alias("counts"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("total", "bigint"), ("terms", "bigint"))]
+    body = kept.select("lang", F.pmod(F.xxhash64("term"), F.lit(n_parts)).cast("int").alias("part"), *nothing, "n_lang", "counts")
+    dealt = heads.union(body).withColumn("block", block(F.col("source")))
+    if blocks == 1:
+        dealt = dealt.withColumns({"i": F.lit(0), "j": F.lit(0)})
+    else:
+        # every pair of blocks gets the heads and counts of its sources
+        mine = lambda b: (b == F.col("i")) | (b == F.col("j"))
+        dealt = (dealt.withColumn("i", numbers(blocks)).withColumn("j", numbers(blocks)).withColumn("counts", F.filter("counts", lambda c: mine(block(c["source"]))))
+                 .where(F.when(F.col("n_lang").isNull(), mine(F.col("block"))).otherwise(F.size("counts") > 0)))
+    found = dealt.groupBy("lang", "part", "i", "j").applyInArrow(_pair_sums, "lang string, source string, item string, value long, seen long, absent long")
     exact = lambda c: F.col(c).cast("decimal(38,0)")
-    pairs = (found.groupBy("lang", "source", "item").agg(F.sum(exact("value")).alias("value"), F.sum("terms").alias("seen"), F.max("absent").alias("absent"))
+    pairs = (found.groupBy("lang", "source", "item").agg(F.sum(exact("value")).alias("value"), F.sum("seen").alias("seen"), F.max("absent").alias("absent"))
              .join(groups.select("lang", "source", "terms"), ["lang", "source"])
              .select("lang", "source", F.lit("pair").alias("part"), "item",
-                     (F.col("value") + (F.col("terms") - F.col("seen")).cast("decimal(20,0)") * F.col("absent").cast("decimal(18,0)")).cast("bigint").alias("value"))
+                     (F.col("value") + (F.col("terms") - F.col("seen")).cast("decimal(18,0)") * F.col("absent").cast("decimal(19,0)")).cast("bigint").alias("value"))
              .withColumn("rank", F.row_number().over(best)))
     return pairs.select(*more.columns).union(more)
 
