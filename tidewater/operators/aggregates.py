@@ -91,5 +91,22 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], values: Sequence[str], drop_null_keys: bool = False) -> DataFrame:
+    """Exact numbers of different non-null ``values`` per key, one column ``n_<value>`` each.
+
+    In two levels: rows are dealt out by key *and* value and become one per pair, so the values of a hot key are spread over all
+    tasks; the pairs are then counted where they are, and one number per key and task goes on to the final sum. Several columns take one
+    pass: a row becomes one pair per column. A key whose values are all null has 0."""
+    if drop_null_keys:
+        for k in keys:
+            df = df.where(F.col(k).isNotNull())
+    types = dict(df.dtypes)
+    pair = [F.struct(F.lit(i).alias("c"), *[(F.col(v) if i == j else F.lit(None).cast(types[v])).alias(f"v{j}") for j, v in enumerate(values)])
+            for i in range(len(values))]
+    pairs = df.select(*keys, F.explode(F.array(*pair)).alias("__pair")).select(*keys, "__pair.*")
+    once = pairs.distinct()
+    return once.groupBy(*keys).agg(*[F.count_if((F.col("c") == i) & F.col(f"v{i}").isNotNull()).alias(f"n_{v}") for i, v in enumerate(values)])
+
+
 def any_of(*conds: Column) -> Column:
     return reduce(lambda a, b: a | b, conds)

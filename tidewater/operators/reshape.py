@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import month_spine  # noqa: F401  (T14, re-exported)
@@ -45,53 +45,99 @@ def attribute_pivot(df: DataFrame, entity, attribute: str, value: str, attribute
     return wide, dupes
 
 
+SMALL_VALUES = 2048          # a dimension of at most so many values ...
+SMALL_BYTES = 1 << 18        # ... and bytes of them is held as one array by every task of the grid
+CHUNK = 8192                 # grid rows that are made from one run of stored rows
+
+
 def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Sequence[str] | str) -> DataFrame:
     """Every combination of the distinct dimension values x every year in [min, max];
     gaps get 0; measures summed (pandas ``groupby().sum()``: null keys dropped).
 
-    The grid is generated in parallel, without a cross join and without gathering any domain in
-    one place: each dimension's distinct values are numbered 0..n-1 by a range-partitioned sort
-    (``index_values``), the grid is ``spark.range(n1 * n2 * ... * years)`` with every grid number
-    decoded into one index per dimension by integer arithmetic, and the values come back through
-    equi-joins on those indices. The input is read once: aggregated by all keys (null ones kept) into
-    a written table in the shared folder, from which dimensions, year range and sums are taken. Only the
-    sizes (one number per dimension) and the year range reach the driver.
+    The grid is never shuffled and never joined. Its rows are numbered: dimensions are digits, the year is the last one. The input is
+    aggregated by all keys (null ones kept) into a written table, the one place where it is read, and every stored
+    combination gets its number. The numbers are cut into chunks of ``CHUNK``; the stored rows of a chunk, and one start row
+    per chunk, are sorted, and each row makes itself and the empty combinations up to the next one. Empty rows take their values from
+    arrays of the distinct values (``index_values`` numbers them), which reach the tasks as scalars of a checked size; a dimension
+    beyond ``SMALL_VALUES`` or ``SMALL_BYTES`` gives every chunk a value of its own instead, so it needs no array. Only sizes and the
+    year range reach the driver.
     """
-    from tidewater.session import shared_dir
+    from tidewater.session import written
 
     measures = _as_list(measures)
     keys = list(dims) + [year_col]
     spark = df.sparkSession
-    path = shared_dir(spark, "densify")
-    df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).write.parquet(path)
-    once = spark.read.parquet(path)
+    once = written(df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), "densify")
     summed = once
     for k in keys:
         summed = summed.where(F.col(k).isNotNull())
-    indexed = {d: index_values(once, d) for d in dims}
-    sizes = {d: indexed[d].count() for d in dims}
+    indexed = {d: written(index_values(once, d), "densify-values") for d in dims}
+    size_of = {d: indexed[d].agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(d).cast("string"))).alias("b")).first() for d in dims}
+    sizes = {d: size_of[d]["n"] for d in dims}
     span = once.agg(F.min(year_col).alias("y0"), F.max(year_col).alias("y1")).first()
     if span["y0"] is None or any(n == 0 for n in sizes.values()):
         empty = summed.limit(0)
         return empty.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
-    years = int(span["y1"]) - int(span["y0"]) + 1
-    total = years
+    y0, years = int(span["y0"]), int(span["y1"]) - int(span["y0"]) + 1
+    small = [d for d in dims if sizes[d] <= SMALL_VALUES and (size_of[d]["b"] or 0) <= SMALL_BYTES]
+    large = [d for d in dims if d not in small]
+    within = years
+    for d in small:
+        within *= sizes[d]
+
+    # the place of every stored combination: numbers of the large dimensions, and one number for the rest
+    stored = summed
     for d in dims:
+        values = indexed[d].withColumnRenamed("__idx", f"__i_{d}")
+        stored = stored.join(F.broadcast(values) if d in small else values, d)
+    at = F.lit(0).cast("bigint")
+    for d in small:
+        at = at * F.lit(sizes[d]) + F.col(f"__i_{d}")
+    at = at * F.lit(years) + (F.col(year_col).cast("bigint") - F.lit(y0))
+    numbers = [f"__i_{d}" for d in large]
+    stored = stored.select(*large, *numbers, at.alias("__at"), F.struct(*[F.col(m).alias(f"m{i}") for i, m in enumerate(measures)]).alias("__sums"))
+    n_chunks = -(-within // CHUNK)
+    starts = _combinations(spark, large, indexed, sizes, n_chunks)
+    none = F.lit(None).cast(stored.schema["__sums"].dataType)
+    rows = stored.select(*large, *numbers, "__at", "__sums").union(starts.select(*large, *numbers, (F.col("__chunk") * CHUNK).alias("__at"), none.alias("__sums")))
+    rows = rows.withColumn("__chunk", _div(F.col("__at"), CHUNK))
+    chunk = Window.partitionBy(*numbers, "__chunk").orderBy("__at", F.col("__sums").isNull())
+    end = F.least((F.col("__chunk") + 1) * CHUNK, F.lit(within).cast("bigint"))
+    # a start row whose place is stored goes; it is the row behind the stored one
+    one, two = (F.lead("__at", k).over(chunk) for k in (1, 2))
+    runs = (rows.withColumns({"__next": F.coalesce(F.when(one == F.col("__at"), two).otherwise(one), end), "__before": F.lag("__at").over(chunk)})
+            .where(F.col("__sums").isNotNull() | F.col("__before").isNull() | (F.col("__before") != F.col("__at"))))
+    grid = runs.select(*large, "__at", "__sums", F.explode(F.sequence(F.col("__at"), F.col("__next") - 1)).alias("__id"))
+    here = F.col("__id") == F.col("__at")
+    cols, rest = {year_col: (F.lit(y0) + F.col("__id") % years).cast(dict(once.dtypes)[year_col])}, _div(F.col("__id"), years)
+    for d in reversed(small):
+        values = indexed[d].agg(F.array_sort(F.collect_list(F.struct("__idx", d))).alias("v")).select(F.transform("v", lambda x: x[d])).scalar()  # noqa: B023
+        cols[d] = F.get(values, (rest % sizes[d]).cast("int"))
+        rest = _div(rest, sizes[d])
+    return grid.select(*[cols[k].alias(k) if k in cols else F.col(k) for k in keys],
+                       *[F.coalesce(F.when(here, F.col(f"__sums.m{i}")), F.lit(0)).alias(m) for i, m in enumerate(measures)])
+
+
+def _div(a, b: int):
+    return F.call_function("div", a, F.lit(b).cast("bigint"))
+
+
+def _combinations(spark, large: list[str], indexed: dict[str, DataFrame], sizes: dict[str, int], n_chunks: int) -> DataFrame:
+    """One row per combination of the large dimensions' values and chunk number. Values come by joins on their numbers, each of which
+    stands for one of very many values."""
+    total = n_chunks
+    for d in large:
         total *= sizes[d]
-    grid = spark.range(total)
-    rest = F.col("id")
-    cols = {}
-    for d in reversed(list(dims)):
-        cols[f"__i_{d}"] = (rest % F.lit(sizes[d])).cast("long")
-        rest = F.floor(rest / F.lit(sizes[d]))
-    cols["__iy"] = rest.cast("long")
-    grid = grid.select(*[v.alias(k) for k, v in cols.items()])
-    year_type = dict(once.dtypes)[year_col]
-    grid = grid.withColumn(year_col, (F.lit(int(span["y0"])) + F.col("__iy")).cast(year_type)).drop("__iy")
-    for d in dims:
-        grid = grid.join(indexed[d].withColumnRenamed("__idx", f"__i_{d}"), f"__i_{d}").drop(f"__i_{d}")
-    out = grid.join(summed, keys, "left")
-    return out.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
+    out, rest = spark.range(total), F.col("id")
+    cols = {"__chunk": rest % n_chunks}
+    rest = _div(rest, n_chunks)
+    for d in reversed(large):
+        cols[f"__i_{d}"] = (rest % sizes[d]).cast("bigint")
+        rest = _div(rest, sizes[d])
+    out = out.select(*[c.cast("bigint").alias(k) for k, c in cols.items()])
+    for d in large:
+        out = out.join(indexed[d].withColumnRenamed("__idx", f"__i_{d}"), f"__i_{d}")
+    return out
 
 
 def index_values(df: DataFrame, col: str) -> DataFrame:
@@ -171,6 +217,5 @@ def key_batches(df: DataFrame, key: str, size: int = 30, label: str = "grupo",
 
 
 def _unbounded_before(order_col: str):
-    from pyspark.sql import Window
     # one row per input partition: this window is over a tiny table
     return Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)

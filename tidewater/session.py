@@ -81,6 +81,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: "DataFrame", name: str) -> "DataFrame":
+    """``df`` written once into the shared folder and read back: cuts the lineage, and later passes read what was written."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def temp_views(spark: SparkSession, frames: dict[str, "DataFrame"]):
     """Register frames as temp views under unique names for one ``spark.sql`` call.

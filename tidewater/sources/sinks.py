@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewater.functions.dates import as_date
@@ -18,7 +18,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
                 compression: str = "snappy", casts: Mapping[str, list[str]] | None = None,
                 table: str | None = None, files: int | None = None, fmt: str = "parquet",
                 sep: str | None = None, header: bool = True, clean: bool = False,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None,
+                observed: tuple[Observation, Sequence[Column]] | None = None) -> None:
     """Write a frame.
 
     - ``mode``: ``overwrite`` (whole target), ``overwrite_partitions`` (only partitions present
@@ -31,6 +32,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
       round robin; ``max_records_per_file`` caps file size.
     - ``table`` registers an external catalog table over ``path`` (K7).
     - ``fmt="csv"`` with ``sep`` writes delimited text (K8, K15); no index column is written.
+    - ``observed`` takes aggregates of the rows as they are written, in the writing tasks (``write_audited``).
     """
     if casts:
         df = cast_columns(df, casts)
@@ -40,6 +42,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df = df.repartition(files, *partition_by) if partition_by else df.repartition(files)
     elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if observed:
+        # above every exchange: these aggregates come from the tasks that write, whose results count once however often a task ran
+        df = df.observe(observed[0], *observed[1])
     save_mode, overwrite_kind = _MODES[mode]
     w = df.write.mode(save_mode).option("compression", compression)
     if overwrite_kind:
@@ -71,6 +76,22 @@ def audit_row(df: DataFrame, table: str, stage: str, as_of, mark: Column | None
         F.when(F.col("n_rows") < 1, F.lit(f"{table}: no rows written")).alias("error"), *extra)
 
 
+def write_audited(df: DataFrame, path: str, table: str, stage: str, as_of, mark: Column | str | None = None, **options) -> DataFrame:
+    """K13/K14 from the write itself: ``write_table(df, path, **options)`` and its audit row, as ``audit_row`` gives it.
+
+    Row count and mark are observed on the rows on their way into the files: the input is executed once, nothing is cached or
+    read back. The row is one literal row; the caller appends it where the job keeps its audit."""
+    seen = Observation()
+    of = F.col(mark) if isinstance(mark, str) else mark
+    kind = df.select(of.alias("mark")).schema["mark"].dataType.simpleString() if of is not None else None
+    write_table(df, path, observed=(seen, [F.count(F.lit(1)).alias("n"), *([F.max(of).alias("mark")] if of is not None else [])]), **options)
+    got = seen.get
+    n, spark = int(got["n"]), df.sparkSession
+    values = (table, stage, n, "ERROR" if n < 1 else "OK", f"{table}: no rows written" if n < 1 else None, *([got["mark"]] if of is not None else []))
+    row = spark.createDataFrame([values], "table_name string, stage string, n_rows bigint, status string, error string" + (f", mark {kind}" if kind else ""))
+    return row.select("table_name", "stage", as_date(as_of).alias("fecha"), "n_rows", "status", "error", *(["mark"] if kind else []))
+
+
 def high_water_mark(df: DataFrame, col: str | Column, table: str) -> DataFrame:
     """One row (table, mark) with the greatest value of ``col`` in the output."""
     c = F.col(col) if isinstance(col, str) else col

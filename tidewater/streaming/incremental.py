@@ -33,6 +33,37 @@ def years_to_reprocess(df: DataFrame, as_of, year_col: str = "year", month_col:
     return df.join(years, year_col, "left_semi")
 
 
+def stored_years(spark: SparkSession, base: str, as_of, year_col: str = "year", month_col: str = "month", full_load: bool = False) -> list[int]:
+    """The years to reprocess among those that ``base`` holds, from its folder names alone: every year with a (year, month) partition in
+    the window of ``years_to_reprocess``, or all with ``full_load``. No data file is opened; the result is a few numbers, by which
+    ``reprocess_years`` prunes its one scan."""
+    from tidewater.sources.paths import stored_partitions
+
+    parts = stored_partitions(spark, base, [year_col, month_col])
+    year, month = F.try_to_number(year_col, F.lit("9999")).cast("int"), F.try_to_number(month_col, F.lit("99")).cast("int")
+    d = as_date(as_of)
+    start = F.when(F.month(d) <= 2, F.add_months(F.trunc(d, "MM"), -3)).otherwise(F.trunc(d, "MM"))
+    hit = F.lit(True) if full_load else F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date").between(start, d)
+    return sorted(r[0] for r in parts.where(hit & year.isNotNull()).select(year).distinct().collect())
+
+
+def reprocess_years(spark: SparkSession, base: str, target: str, transform: Callable[[DataFrame], DataFrame], as_of,
+                    year_col: str = "year", month_col: str = "month", full_load: bool = False, **options) -> list[int]:
+    """``transform`` the whole years of ``base`` that need it and replace the partitions of ``target`` that come out; stored partitions of
+    other years stay. One scan, pruned to the years' folders; returns the years. Year and month reach ``transform`` as the text of their
+    folders (``05``), so that they are written under the same names."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    from tidewater.sources.sinks import write_table
+
+    years = stored_years(spark, base, as_of, year_col, month_col, full_load)
+    if years:
+        fields = spark.read.parquet(base).schema.fields
+        schema = StructType([StructField(f.name, StringType()) if f.name in (year_col, month_col) else f for f in fields])
+        rows = spark.read.schema(schema).parquet(base).where(F.try_to_number(year_col, F.lit("9999")).cast("int").isin(years))
+        write_table(transform(rows), target, **{"mode": "overwrite_partitions", "partition_by": [year_col, month_col], **options})
+    return years
+
+
 def rows_after_mark(df: DataFrame, marks: DataFrame, table: str, col: str) -> DataFrame:
     """Rows of ``df`` newer than the recorded high-water mark of ``table`` (all rows when none).
 
@@ -66,26 +97,25 @@ def incremental_load(spark: SparkSession, source_dir: str, schema, transform: Ca
     Every micro-batch of new files (``Trigger.AvailableNow``) is transformed and added to ``target``: it
     is written under its own ``load_epoch`` below the partition columns, so rows loaded earlier stay and a
     batch that is run again after a failure replaces what it had written. Its audit row (row count, OK/ERROR, K13) and, with ``mark_col``, the batch's high-water
-    mark (K14) are written under the same epoch. The streaming checkpoint records consumed files; a run that
-    found no new file, or a batch of no rows, writes an ERROR audit row, as a write of zero rows does in the batch jobs.
+    mark (K14) are observed in that write, so a batch is executed once, and written under the same epoch. The streaming checkpoint records consumed files; a run that
+    found no new file, or a batch of no rows, writes an ERROR audit row, as a write of zero rows does in the batch jobs; runs without a
+    new file share one row, under ``load_epoch`` -1.
     """
-    from tidewater.sources.sinks import audit_row, high_water_mark, write_table
+    from tidewater.sources.sinks import audit_row, write_audited, write_table
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         epochs.append(epoch_id)
-        out = batch.persist()
         epoch = {"load_epoch": F.lit(epoch_id)}
-        try:
-            write_table(out.withColumns(epoch), target, mode="overwrite_partitions", partition_by=[*(partition_by or ()), "load_epoch"])
-            write_table(audit_row(out, table, stage, as_of).withColumns(epoch), audit_path, mode="overwrite_partitions", partition_by=["load_epoch"])
-            if marks_path and mark_col:
-                write_table(high_water_mark(out, mark_col, table).withColumns(epoch), marks_path, mode="overwrite_partitions", partition_by=["load_epoch"])
-        finally:
-            out.unpersist()
+        kept = {"mode": "overwrite_partitions", "partition_by": ["load_epoch"]}
+        done = write_audited(batch.withColumns(epoch), target, table, stage, as_of, mark=mark_col,
+                             mode="overwrite_partitions", partition_by=[*(partition_by or ()), "load_epoch"]).withColumns(epoch)
+        write_table(done.drop("mark"), audit_path, **kept)
+        if marks_path and mark_col:
+            write_table(done.select("table_name", "mark", "load_epoch"), marks_path, **kept)
 
     epochs: list[int] = []
     query = run_available_files(spark, source_dir, schema, transform, sink, checkpoint, fmt=fmt)
     if not epochs:
         empty = audit_row(spark.createDataFrame([], "id int"), table, stage, as_of).withColumn("load_epoch", F.lit(-1))
-        write_table(empty, audit_path, mode="append", partition_by=["load_epoch"])
+        write_table(empty, audit_path, mode="overwrite_partitions", partition_by=["load_epoch"])
     return query
