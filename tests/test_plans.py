@@ -460,3 +460,82 @@ def test_substations(spark):
     sheet, dupes = energy.substations(subs, *t, concept_ids=[791], attributes=["Potencia"], order_by="fta_datovalortexto")
     r = sheet.collect()
     assert len(r) == 1 and r[0]["Potencia"] == "S1" and r[0]["id_coordinado"] == "" and r[0]["nombre propietario"] == "Dueño SA"
+
+
+def _exports(base, files):
+    for key, text in files.items():
+        os.makedirs(os.path.dirname(os.path.join(base, key)), exist_ok=True)
+        with open(os.path.join(base, key), "w", encoding="utf-8") as f:
+            f.write(text)
+
+
+def test_staging_halves_of_the_projections(spark, tmp_dir):
+    from tidewater.sources import read_target
+    raw, staging = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "staging")
+    _exports(raw, {"plan/cmg/2021/Húmedo/cmg_2021.csv": "hidro,year,mes,barnom,valor\nH1,2030,3,B1,5.5\nH1,x,3,B1,\n", "plan/cmg/2021/Seco/barras_1.csv": "hidro,year,mes,barnom,valor\nS,2031,12,B2,1\n"})
+    cols = {"hidro": "string", "year": "int", "mes": "int", "barnom": "string", "valor": "double"}
+    energy.stage_marginal_cost(spark, raw, staging, cols, 2019)
+    cost = read_target(spark, staging, "tabla", "cmg", ["year_partition", "escenario_partition"])
+    assert rows(cost, "hidro", "year", "valor", "year_partition", "escenario_partition") == [("H1", 2030, 5.5, "2019", "Húmedo"), ("H1", None, None, "2019", "Húmedo")]
+    assert read_target(spark, staging, "tabla", "barras").count() == 1
+    energy.stage_marginal_cost(spark, raw, staging, cols, 2019)            # again: partitions are replaced
+    assert read_target(spark, staging, "tabla", "cmg").count() == 2
+
+    raw, staging = os.path.join(tmp_dir, "raw2"), os.path.join(tmp_dir, "staging2")
+    head = ",".join(energy.SUPPLY_EXPORT)
+    _exports(raw, {"a/b/Plan_de_Obras.csv": f"{head}\nSolar,Norte,P1,10,B,X,2030,E1\nSolar,Norte,P2,7,B,,2030,E1\nEólica,Norte,P3,5,B,T,2032,E1\n", "a/b/otro.csv": f"{head}\nGas,Sur,P9,1,B,T,2030,E1\n"})
+    energy.stage_supply(spark, raw, staging, 2019)
+    works = read_target(spark, staging, "tabla", "plan_de_obras", ["year"])
+    assert works.count() == 3 and set(works.columns) == {"tecnologia", "region", "nombre_plp", "potencia", "barra_plp", "tipo_plp", "ano", "escenario", "year"}
+    assert rows(energy.projected_supply(works.drop("year")), "tecnologia", "ano", "potencia") == [("Eólica", 2030, 0), ("Eólica", 2031, 0), ("Eólica", 2032, 5), ("Solar", 2030, 7), ("Solar", 2031, 0), ("Solar", 2032, 0)]
+
+    raw, staging = os.path.join(tmp_dir, "raw3"), os.path.join(tmp_dir, "staging3")
+    line = ["B1", "N1", "2030", "Ene", "1", "t", "s", "c", "r", "0.5", "2.5", "3.5", "M", "E", "p", "q", "x", "y", "1", "XIII", "13"]
+    _exports(raw, {f"plan/demanda/{y}/{t}/x.csv": ",".join(energy.DEMAND_EXPORT) + "\n" + ",".join(line) + "\n" for y in (2020, 2021) for t in ("medio", "alto")})
+    energy.stage_demand(spark, raw, staging)
+    medio = read_target(spark, staging, "tabla", "medio", ["year"])
+    assert rows(medio, "year") == [("2020",), ("2021",)]
+    out = energy.projected_demand({"escenario_medio": medio.drop("year")}).first()
+    assert (out["nombre_barra_proyeccion"], out["medida_horaria"], out["registro_romano"], out["registro_numerico"], out["year"]) == ("B1", 2.5, "XIII", "13", 2030)
+
+
+def test_group_file_goes_on_where_it_ended(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "groups")
+    frame = lambda p, n: spark.createDataFrame([(f"{p}{i:04d}", 2, 1) for i in range(n)], "NOINS string, NOINTERVALS int, IS_ACTIVE int")
+    energy.write_group_file(energy.meter_batches(frame("A", 61)), path, "append")
+    energy.write_group_file(energy.meter_batches(frame("B", 1)), path, "append")
+    energy.write_group_file(energy.meter_batches(frame("C", 1000)), path, "append")
+    lines = []
+    for folder, _, names in sorted(os.walk(path)):
+        for n in sorted(x for x in names if x.startswith("part-")):
+            lines += open(os.path.join(folder, n)).read().splitlines()
+    assert [x.split(";")[1] for x in lines] == [f"grupo{i}" for i in range(3 + 1 + 34)]
+    assert lines[3] == "('B0000');grupo3" and lines[4].startswith("('C0000', ") and lines[-1].startswith("('C0990', ")
+    assert [r["grupo"] for r in energy.read_group_file(spark, path).orderBy("grupo").collect()] == list(range(38))
+    energy.write_group_file(energy.meter_batches(frame("D", 31)), path)
+    assert energy.read_group_file(spark, path).count() == 2
+
+
+def test_outcome_rows_and_home_sums(spark):
+    from tidewater.plans import sport
+    data = [(1, "A", "B", 2, 1, True), (2, "B", "A", 0, 3, False), (3, "A", "C", 1, 1, True), (4, "C", "A", 2, 2, None), (5, "A", "B", None, 1, False), (6, "B", "C", 0, 1, True)]
+    m = spark.createDataFrame(data, "id int, home_team string, away_team string, home_score int, away_score int, neutral boolean")
+    assert rows(sport.outcome_rows(m, "A"), "id", "side", "outcome") == [(1, "local", "gana"), (2, "visitante", "gana"), (3, "local", "empate"), (4, "visitante", "empate")]
+    assert sport.outcome_rows(m).count() == 7 and sport.outcome_rows(m).columns[3:] == m.columns
+    assert rows(sport.home_sums(m, "A"), "home_team", "id", "home_score", "away_score", "neutral") == [("A", 9, 3, 3, 2)]
+    assert sport.home_sums(m).count() == 3
+
+
+def test_insolvency_runs_are_published(spark, tmp_dir):
+    from tidewater.sources import publish, read_version
+    path = os.path.join(tmp_dir, "ins")
+    reg = spark.createDataFrame([("3", "tres", "ACTIVO", 1)], "rut string, razon_social string, estado string, orden int")
+    publish(spark.createDataFrame([("1", "r1", None, None), ("2", "r2", None, None)], "rut string, rol string, fecha_ejecucion string, proceso_finalizado boolean")
+            .withColumn("fecha_publicacion", F.lit(None).cast("date")), path, None)
+    new = lambda *ids: spark.createDataFrame([(i, f"r{i}", "02/01/2023") for i in ids], "rut string, rol string, fecha_publicacion string")
+    cols = ["razon_social", "estado"]
+    assert projects.publish_insolvency(path, new("2", "3"), reg, "2023-01-03", registry_cols=cols) == 2
+    assert projects.publish_insolvency(path, new("3"), reg, "2023-01-04", registry_cols=cols) == 3
+    got = {r["rut"]: (r["fecha_ejecucion"], r["proceso_finalizado"], r["razon_social"]) for r in read_version(spark, path).collect()}
+    assert got == {"1": ("2023-01-03", True, None), "2": ("2023-01-04", True, None), "3": (None, None, "tres")}
+    assert read_version(spark, path, 1).count() == 2

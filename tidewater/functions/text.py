@@ -41,15 +41,17 @@ def _expansions() -> dict[str, str]:
 def fold(c: ColumnOrName) -> Column:
     """X11: fold to ASCII lowercase as ``NFKD -> drop non-ASCII -> lower``; null stays null.
 
-    One-to-one foldings use a rule-built ``translate`` table (cost independent of its size). A text that
-    holds a character with a longer form has its characters looked up one by one; others pay one ``translate`` for the check.
+    A text of ASCII characters alone (as many bytes as characters) only needs ``lower``. In others, one-to-one foldings use a
+    rule-built ``translate`` table (cost independent of its size), and a text that holds a character with a longer form
+    has its characters looked up one by one.
     """
     x, longer = _c(c), _expansions()
-    pairs = F.create_map(*[F.lit(v) for kv in longer.items() for v in kv])
+    pairs = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in longer.items())), F.lit("\x01"), F.lit("\x02"))
     spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), "")
     some = F.length(F.translate(x, "".join(longer), "")) != F.length(x)
     src, dst = _accent_table()
-    return F.lower(F.regexp_replace(F.translate(F.when(some, spelled).otherwise(x), src, dst), r"[^\x00-\x7F]", ""))
+    full = F.lower(F.regexp_replace(F.translate(F.when(some, spelled).otherwise(x), src, dst), r"[^\x00-\x7F]", ""))
+    return F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(full)
 
 
 def capitalize_first(c: ColumnOrName) -> Column:

@@ -46,7 +46,7 @@ class Tables:
 
 
 def _load_all():
-    from tidewater.plans.catalog import aggregates, io, jobs, relational, reshape, scalar, staging  # noqa: F401
+    from tidewater.plans.catalog import aggregates, io, jobs, relational, reshape, scalar, staging, storage  # noqa: F401
 
 
 _load_all()

@@ -15,6 +15,7 @@ from tidewater.operators.history import snapshot_merge
 from tidewater.operators.relational import lookup_join
 from tidewater.operators.reshape import rollup_rows
 from tidewater.operators.versions import latest_by
+from tidewater.sources.snapshots import current_version, publish, read_version
 
 # Milestone names that are not milestones.
 KEEP_OUT = ["Antecedentes", "Antecedentes de Proyecto", "Antecedentes de Proyectos", "Antecedentes del Proyecto",
@@ -47,7 +48,7 @@ def insolvency_merge(history: DataFrame, new: DataFrame, registry: DataFrame, as
     Publication dates of the new list are parsed from ``dd/MM/yyyy``; registry attributes
     (active rows only, last row per id by ``orden``; ``registry_cols``, e.g. a member flag column)
     are attached to the newly added ids.
-    The caller writes the result to a new path and switches, because history is also an input.
+    History is also an input of what replaces it: ``publish_insolvency`` publishes the result as the next version.
     """
     new = new.withColumn("fecha_publicacion", parse_date("fecha_publicacion", "dd/MM/yyyy"))
     return snapshot_merge(history, new, as_of, finished_by=finished_by, open_only=open_only, registry=registry,
@@ -55,6 +56,15 @@ def insolvency_merge(history: DataFrame, new: DataFrame, registry: DataFrame, as
                           registry_filter=F.col("estado") == "ACTIVO", registry_order="orden")
 
 
+def publish_insolvency(target: str, new: DataFrame, registry: DataFrame, as_of, **options) -> int:
+    """B22 with its output: the newest published history of ``target`` merged with today's list and published as the next version, whose
+    number is returned. A run that dies before its one commit step leaves the former version in place and can simply be run again; one that another
+    run overtakes raises ``Outdated``. The first history is published with ``sources.publish``."""
+    spark = new.sparkSession
+    version = current_version(spark, target)
+    return publish(insolvency_merge(read_version(spark, target, version), new, registry, as_of, **options), target, version)
+
+
 def active_insolvencies(insolvencies: DataFrame, registry: DataFrame, order_by: str) -> DataFrame:
     """B41 (F1, D3, J3): every insolvency of a company whose registry has an active row, with the attributes of
     the last active one by ``order_by`` (columns of the registry)."""
