@@ -261,12 +261,11 @@ def financial_summary_q(spark, d):
                       F.col("o_orderdate").alias("postingdate"), F.col("o_totalprice").alias("debit_lc"),
                       F.lit(0.0).alias("credit_lc"), F.lit(0.0).alias("debit_sc"), F.lit(0.0).alias("credit_sc"),
                       F.year("o_orderdate").alias("year"))
-    accounts = o.where(F.col("o_orderstatus") != "P").select(F.col("o_orderstatus").alias("codigo")).distinct()
+    accounts = o.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("codigo")).distinct()
     chambers = t.region.select(F.col("r_regionkey").alias("id"), F.upper("r_name").alias("descripcion"))
     day = F.to_date("o_orderdate")
-    time = (o.where(F.col("o_orderpriority") != "5-LOW")
-            .select((F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint").alias("id"),
-                    day.alias("date")).distinct())
+    time = o.select((F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint").alias("id"),
+                    F.when(F.col("o_orderpriority") != "5-LOW", day).alias("date")).distinct()
     currency = t.lineitem.select(F.to_date("l_shipdate").alias("fecha")).distinct().select(
         "fecha", F.lit(1.0).alias("uf"), F.lit(2.0).alias("dolar"))
     committees = t.nation.select(F.col("n_nationkey").alias("id"),
@@ -293,15 +292,16 @@ WITH t AS (
          CAST(o.o_custkey AS VARCHAR) AS num_documento, lower(substr(c.c_mktsegment, 1, 1)) AS digito_verificador,
          replace(lower(o.o_orderpriority), 'specified', 'Specified') AS ocupacion,
          {_sql_case('o.o_orderstatus', [('F', EXPERIENCE_ORDER[0]), ('O', EXPERIENCE_ORDER[3])])} AS rango_experiencia,
-         n.n_name AS region, c.c_name AS comuna,
+         n.n_name AS region, CASE WHEN c.c_acctbal < 1000 THEN NULL ELSE 'Ñ' || substr(n.n_name, 2) END AS comuna,
          CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(floor(c.c_acctbal / 100) AS INTEGER) END AS edad,
          substr(c.c_mktsegment, 1, 1) AS sexo
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
-ofi AS (SELECT DISTINCT replace(lower(o_orderpriority), 'specified', 'Specified') AS oficio FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
-esp AS (SELECT DISTINCT replace(lower(o_orderpriority), 'specified', 'Specified') AS ocupacion, 'Esp ' || o_orderpriority AS especialidad FROM orders
-        WHERE o_orderpriority <> '5-LOW'),
-ces AS (SELECT CAST(c_custkey AS VARCHAR) || upper(substr(c_mktsegment, 1, 1)) AS rut, 'Si' AS fundacion_social
-        FROM customer WHERE c_acctbal < 0),
+ofi AS (SELECT DISTINCT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN '' ELSE 'x ' END || replace(lower(o_orderpriority), 'specified', 'Specified') AS oficio FROM orders),
+esp AS (SELECT DISTINCT CASE WHEN o_orderpriority = '5-LOW' THEN 'x ' ELSE '' END || replace(lower(o_orderpriority), 'specified', 'Specified') AS ocupacion,
+               'Esp ' || o_orderpriority AS especialidad FROM orders),
+ces AS (SELECT CASE WHEN c_acctbal < 0 THEN '' ELSE 'x' END || CAST(c_custkey AS VARCHAR) || upper(substr(c_mktsegment, 1, 1)) AS rut, 'Si' AS fundacion_social
+        FROM customer),
+geo AS (SELECT DISTINCT CAST(n_regionkey AS BIGINT) AS id_camara_regional, lower(n_name) AS c FROM nation),
 j AS (
   SELECT t.*, t.num_documento || t.digito_verificador AS rut, ofi.oficio,
          coalesce(esp.especialidad, 'Sin Información') AS especialidad, coalesce(ces.fundacion_social, 'No') AS fundacion_social,
@@ -315,14 +315,16 @@ k AS (
          {_sql_case('tramo_de_edad', [(lab, i + 1) for i, lab in enumerate(AGE_LABELS)])} AS OrdenTramoEdad,
          concat_ws('', rut, ocupacion) AS clave_combinada, concat_ws('', rut, rango_experiencia) AS experiencia_combinada,
          concat_ws('', rut, oficio) AS oficio_combinada, concat_ws('', rut, especialidad) AS especialidades_combinada,
+         CASE WHEN geo.id_camara_regional = 1 THEN 'Santiago' WHEN geo.id_camara_regional <> 1 THEN 'Regiones' ELSE 'Sin información' END AS santiago_region,
          row_number() OVER (PARTITION BY rut, ocupacion ORDER BY CAST(fecha_registro AS DATE), id) AS rn
-  FROM j)
-SELECT * EXCLUDE (rn) FROM k WHERE rn = 1
+  FROM j LEFT JOIN geo ON geo.c = 'n' || substr(lower(strip_accents(j.comuna)), 2))
+SELECT * EXCLUDE (rn, c) FROM k WHERE rn = 1
 """)
 def workers_q(spark, d):
     """B20 through ``plans.employment.workers``: orders as worker registrations (customer as person,
     priority as occupation, status as experience); trade and speciality lookups, unemployed list on an
-    expression key, brackets, ordinals, composite keys, first registration per (rut, occupation)."""
+    expression key, brackets, ordinals, composite keys, the regional chamber by accent-folded municipality, first registration
+    per (rut, occupation)."""
     t = Tables(spark, d)
     o, c = t.orders, t.customer
     exp = F.when(F.col("o_orderstatus") == "F", EXPERIENCE_ORDER[0]).when(F.col("o_orderstatus") == "O", EXPERIENCE_ORDER[3])
@@ -331,16 +333,18 @@ def workers_q(spark, d):
                     F.col("o_custkey").cast("string").alias("num_documento"),
                     F.lower(F.substring("c_mktsegment", 1, 1)).alias("digito_verificador"),
                     F.col("o_orderpriority").alias("ocupacion"), exp.alias("rango_experiencia"),
-                    F.col("n_name").alias("region"), F.col("c_name").alias("comuna"),
+                    F.col("n_name").alias("region"),
+                    F.when(F.col("c_acctbal") >= 1000, F.concat(F.lit("Ñ"), F.expr("substr(n_name, 2)"))).alias("comuna"),
                     F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.floor(F.col("c_acctbal") / 100).cast("int")).alias("edad"),
                     F.substring("c_mktsegment", 1, 1).alias("sexo")))
-    oficios = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.initcap("o_orderpriority").alias("oficio")).distinct()
-    esp = o.where(F.col("o_orderpriority") != "5-LOW").select(
-        F.initcap("o_orderpriority").alias("ocupacion"), F.concat(F.lit("Esp "), F.col("o_orderpriority")).alias("especialidad")).distinct()
-    ces = c.where(F.col("c_acctbal") < 0).select(
-        F.concat(F.col("c_custkey").cast("string"), F.upper(F.substring("c_mktsegment", 1, 1))).alias("rut"),
-        F.lit("Si").alias("fundacion_social"))
-    return employment.workers(trab, oficios, esp, ces, tie_break="id")
+    known = lambda hit, mark: F.when(hit, "").otherwise(mark)  # noqa: E731  entries of a lookup that no row matches
+    oficios = o.select(F.concat(known(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "x "), F.initcap("o_orderpriority")).alias("oficio")).distinct()
+    esp = o.select(F.concat(known(F.col("o_orderpriority") != "5-LOW", "x "), F.initcap("o_orderpriority")).alias("ocupacion"),
+                   F.concat(F.lit("Esp "), F.col("o_orderpriority")).alias("especialidad")).distinct()
+    ces = c.select(F.concat(known(F.col("c_acctbal") < 0, "x"), F.col("c_custkey").cast("string"), F.upper(F.substring("c_mktsegment", 1, 1))).alias("rut"),
+                   F.lit("Si").alias("fundacion_social"))
+    geography = t.nation.select(F.col("n_regionkey").alias("id_geo"), F.col("n_name").alias("comuna"))
+    return employment.workers(trab, oficios, esp, ces, tie_break="id", geography=geography)
 
 
 @register("first_version_cost", """
@@ -462,8 +466,7 @@ _SUBSECTOR_SQL = ("CASE c.c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCCION DE EDI
 
 
 @register("registry_members", f"""
-WITH members AS (SELECT lower(c_name) AS rut FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
-                 UNION ALL SELECT lower(s_name) FROM supplier WHERE s_acctbal > 5000),
+WITH members AS (SELECT lower(c_name) AS rut FROM customer UNION ALL SELECT lower(s_name) FROM supplier),
 reg AS (
   SELECT lower(s_name) AS rut, s_name || ' Manual' AS razon_social FROM supplier
   UNION ALL BY NAME
@@ -490,13 +493,12 @@ LEFT JOIN {_values_sql([(k, v) for k, vs in CONSTRUCTION_GROUPS.items() for v in
 LEFT JOIN {_values_sql(CAPITAL_BRACKETS, ['n', 'txt'], 'b')} ON b.n = r.tramo_capital_propio_positivo
 """)
 def registry_members_q(spark, d):
-    """B23 through ``plans.membership.member_registry``: customers of two segments and well-funded
+    """B23 through ``plans.membership.member_registry``: customers and
     suppliers as members; customers (one nation missing) as the yearly registry plus suppliers as
     manual rows; large pending orders as insolvencies; customers with a positive balance as companies."""
     t = Tables(spark, d)
     c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    members = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(F.col("c_name").alias("rut")) \
-        .unionByName(t.supplier.where(F.col("s_acctbal") > 5000).select(F.col("s_name").alias("rut")))
+    members = t.customer.select(F.col("c_name").alias("rut")).unionByName(t.supplier.select(F.col("s_name").alias("rut")))
     bal = F.col("c_acctbal")
     rules, low = [], 0
     for i, e in enumerate(_BRACKET_EDGES, start=1):
@@ -504,8 +506,8 @@ def registry_members_q(spark, d):
         low = e
     rules.append((bal > low, len(_BRACKET_EDGES) + 1))
     seg = F.col("c_mktsegment")
-    registry = c.where(F.col("c_nationkey") != 5).select(
-        F.col("c_name").alias("rut"), F.concat(F.col("c_name"), F.lit(" SA")).alias("razon_social"),
+    registry = c.select(
+        F.when(F.col("c_nationkey") != 5, F.col("c_name")).alias("rut"), F.concat(F.col("c_name"), F.lit(" SA")).alias("razon_social"),
         F.when(seg == "HOUSEHOLD", F.lit(None)).otherwise(seg).alias("rubro_economico"),
         F.when(seg == "BUILDING", "CONSTRUCCION DE EDIFICIOS").when(seg == "MACHINERY", "DEMOLICION Y PREPARACION DEL TERRENO")
         .otherwise(seg).alias("subrubro_economico"),
@@ -584,12 +586,10 @@ def downloads_by_day_place_q(spark, d):
     r, p = t.region, t.part
     comunas = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.concat(F.lit("Comuna "), F.col("r_name")).alias("NOMBRE"))
     regiones = r.select(F.col("r_regionkey").cast("bigint").alias("ID"), F.col("r_name").alias("NOMBRE"))
-    det = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("ID_DESCARGA_CV"),
-                                                                 F.col("l_partkey").alias("ID_PERSONA"))
-    per = p.where(F.col("p_size") <= 45).select(F.col("p_partkey").alias("ID"))
-    po = p.where(F.col("p_type") != "SMALL").select(F.col("p_partkey").alias("ID_PERSONA"),
-                                                    F.col("p_size").cast("bigint").alias("ID_OCUPACION"))
-    oc = p.where(F.col("p_size") <= 40).select(F.col("p_size").cast("bigint").alias("ID"),
+    det = t.lineitem.select(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("ID_DESCARGA_CV"), F.col("l_partkey").alias("ID_PERSONA"))
+    per = p.select(F.when(F.col("p_size") <= 45, F.col("p_partkey")).alias("ID"))
+    po = p.select(F.when(F.col("p_type") != "SMALL", F.col("p_partkey")).alias("ID_PERSONA"), F.col("p_size").cast("bigint").alias("ID_OCUPACION"))
+    oc = p.select(F.when(F.col("p_size") <= 40, F.col("p_size")).cast("bigint").alias("ID"),
                                                F.concat(F.lit("Oficio "), F.col("p_size").cast("string")).alias("DESCRIPCION")).distinct()
     return employment.downloads_by_day_place(b["users"], b["ubicac"], b["relac"], b["empresario"], b["sectores"],
                                              b["downloads"], comunas, regiones, det, per, po, oc)
@@ -621,7 +621,7 @@ def company_user_activity_q(spark, d):
 
 @register("list_usage", f"""
 WITH {_CHAIN_SQL.replace("WHERE s.id_sector = 1", "")},
-lists AS (SELECT o_orderkey AS id, o_custkey AS id_emp_usuario FROM orders WHERE o_orderstatus = 'F'),
+lists AS (SELECT o_orderkey AS id, o_custkey AS id_emp_usuario FROM orders),
 f AS (SELECT l_orderkey AS id_lista, CAST(l_quantity AS INTEGER) AS num_cv FROM lineitem),
 inv AS (SELECT l_orderkey AS id_lista FROM lineitem WHERE l_returnflag = 'R')
 SELECT cu.rut AS "RUT", aa.id AS lista, g.numero AS persona_lista, cu.nom_usuario AS "NOM_USUARIO", cu.id_usuario,
@@ -632,15 +632,14 @@ LEFT JOIN (SELECT id_lista, CAST(count(*) AS BIGINT) AS numero FROM inv GROUP BY
 GROUP BY cu.rut, aa.id, g.numero, cu.nom_usuario, cu.id_usuario
 """)
 def list_usage_q(spark, d):
-    """B18 through ``plans.employment.list_usage``: finished orders as CV lists of their customer,
+    """B18 through ``plans.employment.list_usage``: orders as CV lists of their customer,
     line quantities as downloaded CVs, returned lines as invitations. The oracle joins rows and
     groups (the source form); the job sums downloads per list before joining."""
     t = Tables(spark, d)
     b = _exchange_tables(t)
-    lists = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("ID"),
-                                                                 F.col("o_custkey").alias("ID_EMP_USUARIO"))
+    lists = t.orders.select(F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("ID_EMP_USUARIO"))
     dl = t.lineitem.select(F.col("l_orderkey").alias("ID_LISTA"), F.col("l_quantity").cast("int").alias("NUM_CV"))
-    inv = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("ID_LISTA"))
+    inv = t.lineitem.select(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("ID_LISTA"))
     return employment.list_usage(lists, b["users"], b["ubicac"], b["relac"], b["empresario"], b["sectores"], dl, inv)
 
 
@@ -774,8 +773,8 @@ def purchase_orders_q(spark, d):
         F.when(F.col("l_returnflag") == "A", "2023-02-30").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("c3"),
         F.when(F.col("l_tax") == 0, "IVA_EXE").when(F.col("l_tax") > 0.05, "IVA").alias("c4"),
         F.col("l_linenumber").cast("string").alias("c5"), F.when(F.col("l_returnflag") == "N", F.col("l_linestatus")).alias("c6"))
-    projects_df = t.supplier.where(F.col("s_acctbal") > 0).select(
-        F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("proyecto_pedido"), F.col("s_name").alias("proyecto"))
+    projects_df = t.supplier.select(
+        F.when(F.col("s_acctbal") > 0, F.concat(F.lit("P"), F.col("s_suppkey").cast("string"))).alias("proyecto_pedido"), F.col("s_name").alias("proyecto"))
     out = finance.purchase_orders_staging(spark, raw, PO_NAMES, {"double": ["total_neto"], "int": ["cantidad"]},
                                           ["fecha_cont_em"], projects_df)
     return out.withColumn("total_con_impuesto", F.round("total_con_impuesto", 6))

@@ -39,7 +39,7 @@ def first_version(spark, d):
     """W2 + J2: oldest row per (user, type) among users in a pre-filtered customer list (N7: null order never ranks)."""
     t = Tables(spark, d)
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    dim = t.customer.where(F.col("c_mktsegment") == "BUILDING")
+    dim = t.customer.select(F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey")).alias("c_custkey"), "c_name")
     joined = lookup_join(ev, dim, {"user_id": "c_custkey"}, how="inner", select=["c_name"])
     return first_by(joined, ["user_id", "event_type"], order_by="ts", tie_break="event_id", drop_null_order=True)
 
@@ -225,8 +225,8 @@ FROM members m LEFT JOIN nation n ON m.c_nationkey = n.n_nationkey
 LEFT JOIN insolvent i ON m.rut = i.rut LEFT JOIN totals t ON m.rut = t.rut
 """)
 def member_registry(spark, d):
-    """Members from two sources with different columns (U2), lowercased keys (X1), registry lookup (J3),
-    insolvency flag (J8), pre-aggregated totals (A1, A4), per-column fills (C5)."""
+    """A stand-in on the driver tables for B23's steps (its job is ``registry_members``): members from two sources with different
+    columns (U2), lowercased keys (X1), registry lookup (J3), insolvency flag (J8), pre-aggregated totals (A1, A4), per-column fills (C5)."""
     from tidewater.plans.membership import member_totals as job
     t = Tables(spark, d)
     socios = t.customer.select(
@@ -280,19 +280,63 @@ def company_dim(spark, d):
     empresas = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").cast("string").alias("rut"), F.col("n_name").alias("nom_region"),
         F.when(F.col("c_acctbal") >= 0, 1).otherwise(0).alias("estado"))
-    ignorar = t.customer.where(F.col("c_nationkey") == 3).select(F.col("c_custkey").cast("string").alias("rut"))
-    li = t.lineitem.where(F.col("l_returnflag") == "R").select("l_orderkey", "l_quantity")
+    ignorar = t.customer.select(F.when(F.col("c_nationkey") == 3, F.col("c_custkey").cast("string")).alias("rut"))
+    li = t.lineitem.select(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("l_orderkey"), "l_quantity")
     actividad = li.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("string").alias("rut"), F.col("l_quantity").alias("persona_lista"))
     usuarios = t.orders.select(F.col("o_custkey").cast("string").alias("rut"),
                                F.lit(1).alias("vistas_cv"),
                                F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("descarga_cv"),
                                F.to_date("o_orderdate").alias("fecha_alta"))
-    socios = t.customer.where(F.col("c_mktsegment") == "BUILDING").select(
-        F.col("c_custkey").cast("string").alias("rut"))
+    socios = t.customer.select(F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey").cast("string")).alias("rut"))
     return company_dimension(empresas, ignorar, actividad, usuarios, socios, AS_OF_ORDERS, capital_region="NATION_0")
 
 
+@register("company_registry", f"""
+WITH emp AS (
+  SELECT 'r' || CAST(c.c_custkey AS VARCHAR) AS rut, c.c_nationkey, 1 AS estado, CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 END AS estado_real,
+         CASE WHEN c_mktsegment = 'FURNITURE' THEN '31/02/2001' ELSE strftime(DATE '1996-01-01' + CAST(c_custkey % 2100 AS INTEGER), '%d/%m/%Y') END AS fechaalta,
+         CASE WHEN c.c_nationkey = 5 THEN 'Migración' ELSE 'ÑUÑOA ' || CAST(c.c_nationkey AS VARCHAR) END AS nom_comuna, n.n_name AS nom_region
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+usr AS (SELECT 'r' || CAST(o_custkey AS VARCHAR) AS rut, count(*) AS cv_vistos, count(*) FILTER (WHERE o_orderstatus = 'F') AS numero_cv_descargados,
+               max(CAST(o_orderdate AS DATE)) AS ultima FROM orders GROUP BY 1),
+geo AS (SELECT DISTINCT CAST(n_nationkey AS BIGINT) + 100 AS id_camara, CASE WHEN n_nationkey = 5 THEN 'migracion' ELSE 'nunoa ' || CAST(n_nationkey AS VARCHAR) END AS c
+        FROM nation WHERE n_regionkey <> 1),
+reg AS (SELECT upper('r' || CAST(c_custkey AS VARCHAR)) AS rut, c_mktsegment AS rubro_economico, CAST(floor(c_acctbal) AS BIGINT) AS numero_de_trabajadores
+        FROM customer)
+SELECT upper(e.rut) AS rut, estado, CAST(0 AS DOUBLE) AS persona_lista, coalesce(cv_vistos, 0) AS cv_vistos, coalesce(numero_cv_descargados, 0) AS numero_cv_descargados,
+       CASE WHEN ultima IS NULL THEN 'INACTIVO' WHEN datediff('day', ultima, DATE '{AS_OF_ORDERS}') BETWEEN 31 AND 60 THEN 'CASI INACTIVO'
+            WHEN datediff('day', ultima, DATE '{AS_OF_ORDERS}') < 31 THEN 'ACTIVO' ELSE 'INACTIVO' END AS status,
+       CASE WHEN e.rut IN (SELECT 'r' || CAST(s_suppkey AS VARCHAR) FROM supplier) THEN 1 ELSE 0 END AS socio,
+       coalesce(cv_vistos > 0, false) AS uso, CAST(try_strptime(fechaalta, '%d/%m/%Y') AS DATE) AS fechaalta,
+       coalesce(CAST(try_strptime(fechaalta, '%d/%m/%Y') AS DATE) >= DATE '{AS_OF_ORDERS}' - INTERVAL 12 MONTH, false) AS f_365,
+       CASE WHEN nom_region = 'NATION_0' THEN 'Santiago' ELSE 'Regiones' END AS santiago_region,
+       CASE WHEN nom_comuna = 'Migración' THEN 'Sin Información' ELSE nom_comuna END AS nom_comuna, geo.id_camara, reg.rubro_economico, reg.numero_de_trabajadores
+FROM emp e LEFT JOIN usr ON usr.rut = e.rut LEFT JOIN geo ON geo.c = lower(strip_accents(e.nom_comuna)) LEFT JOIN reg ON reg.rut = upper(e.rut)
+WHERE estado_real = 1 AND e.rut NOT IN (SELECT 'r' || CAST(7 * p_partkey AS VARCHAR) FROM part)
+""")
+def company_registry(spark, d):
+    """B19 with all its branches: sign-up dates as ``dd/MM/yyyy`` text (some impossible), the chamber by accent-folded municipality
+    (J14, X11), and the tax registry by normalised id; companies whose number is seven times a part's are left out."""
+    t = Tables(spark, d)
+    key = lambda c: F.concat(F.lit("r"), F.col(c).cast("string"))
+    n = F.col("c_nationkey")
+    signed = F.date_format(F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 2100).cast("int")), "dd/MM/yyyy")
+    empresas = t.customer.join(t.nation, n == F.col("n_nationkey")).select(
+        key("c_custkey").alias("rut"), F.col("n_name").alias("nom_region"), F.when(F.col("c_acctbal") < 0, 0).otherwise(1).alias("estado"),
+        F.when(F.col("c_mktsegment") == "FURNITURE", "31/02/2001").otherwise(signed).alias("fechaalta"),
+        F.when(n == 5, "Migración").otherwise(F.concat(F.lit("ÑUÑOA "), n.cast("string"))).alias("nom_comuna"))
+    usuarios = t.orders.select(key("o_custkey").alias("rut"), F.lit(1).alias("vistas_cv"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("descarga_cv"),
+                               F.to_date("o_orderdate").alias("fecha_alta"))
+    actividad = t.supplier.select(F.lit("none").alias("rut"), F.col("s_acctbal").alias("persona_lista"))
+    geography = t.nation.where("n_regionkey <> 1").select((F.col("n_nationkey").cast("bigint") + 100).alias("id_geo"),
+                                                          F.when(F.col("n_nationkey") == 5, "MIGRACIÓN").otherwise(F.concat(F.lit("Ñuñoá "), F.col("n_nationkey").cast("string"))).alias("comuna"))
+    registry = t.customer.select(F.concat(F.lit("r-"), F.col("c_custkey").cast("string")).alias("rut"), F.col("c_mktsegment").alias("rubro_economico"),
+                                 F.floor("c_acctbal").cast("bigint").alias("numero_de_trabajadores"))
+    return company_dimension(empresas, t.part.select(F.concat(F.lit("r"), (7 * F.col("p_partkey")).cast("string")).alias("rut")), actividad, usuarios, t.supplier.select(key("s_suppkey").alias("rut")),
+                             AS_OF_ORDERS, capital_region="NATION_0", geography=geography, registry=registry)
+
+
 SNAPSHOT_BASE = """
 WITH src AS (
   SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS rut,
@@ -427,7 +471,7 @@ def chain_count(spark, d):
     li = (t.lineitem.groupBy("l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("dia"))
           .agg(F.count(F.lit(1)).alias("n")))
     o = t.orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
-    s = t.supplier.where(F.col("s_acctbal") > 0).select("s_suppkey")
+    s = t.supplier.select(F.when(F.col("s_acctbal") > 0, F.col("s_suppkey")).alias("s_suppkey"))
     chain = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
              .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
              .groupBy("o_custkey", "dia").agg(F.sum("n").alias("n"))
@@ -481,7 +525,7 @@ def star_fact(spark, d):
     """Fact to dimensions with an unknown member; prefix rules where a later rule wins."""
     t = Tables(spark, d)
     fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    parts = t.part.where(F.col("p_size") <= 45).select("p_partkey", "p_brand")
+    parts = t.part.select(F.when(F.col("p_size") <= 45, F.col("p_partkey")).alias("p_partkey"), "p_brand")
     out = lookup_join(fact, parts, {"l_partkey": "p_partkey"}, select=["p_partkey", "p_brand"],
                       defaults={"p_partkey": 99999999, "p_brand": "Sin Información"})
     out = lookup_join(out, t.supplier, {"l_suppkey": "s_suppkey"}, select=["s_name"],

@@ -135,16 +135,15 @@ def rollup_rows_q(spark, d):
 
 
 @register("key_batches", """
-WITH k AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'O' AND o_custkey IS NOT NULL),
+WITH k AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey IS NOT NULL),
 i AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM k)
 SELECT CAST(floor(i / 30) AS BIGINT) AS grupo, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS claves,
        CAST(count(*) AS BIGINT) AS n_keys
 FROM i GROUP BY 1
 """)
 def key_batches_q(spark, d):
-    """Open-order customers, distinct, ascending, numbered and cut into groups of 30."""
-    o = Tables(spark, d).orders.where(F.col("o_orderstatus") == "O")
-    return key_batches(o, "o_custkey", size=30, label="grupo", out="claves")
+    """Ordering customers, distinct, ascending, numbered and cut into groups of 30."""
+    return key_batches(Tables(spark, d).orders, "o_custkey", size=30, label="grupo", out="claves")
 
 
 @register("activity_spine", f"""
@@ -180,8 +179,7 @@ def activity_spine(spark, d):
         "id_usuario", F.col("l_shipdate").alias("fecha"), "l_returnflag")
     companies = t.customer.select(F.col("c_custkey").alias("id_usuario"), F.col("c_name").alias("rut_empresa"))
     end = f"{AS_OF_ORDERS[:4]}-12-01"
-    out = activity_by_month(spark, o, lines, o.where(F.col("o_orderstatus") == "F"),
-                            lines.where(F.col("l_returnflag") == "R"), companies, "1995-01-01", end)
+    out = activity_by_month(spark, o, lines, (o, F.col("o_orderstatus") == "F"), (lines, F.col("l_returnflag") == "R"), companies, "1995-01-01", end)
     return out.select("year", "month", "fecha", "periodo", "id_usuario", "cvs_descargados", "invitaciones",
                       "listas_creadas", "listas_modificadas", "is_activo", "rut_empresa")
 

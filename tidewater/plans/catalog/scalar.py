@@ -397,8 +397,9 @@ FROM j
 def conditional_ops(spark, d):
     """C2 C5 C6 C7 C8 C9 M4 on customers left-joined with per-customer counts (so nulls arise)."""
     t = Tables(spark, d)
-    a = (t.orders.where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
-         .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_urg"), F.sum("o_totalprice").alias("monto_urg")))
+    hit = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    a = (t.orders.groupBy("o_custkey").agg(F.when(F.count_if(hit) > 0, F.count_if(hit)).alias("n_urg"),
+                                           F.sum(F.when(hit, F.col("o_totalprice"))).alias("monto_urg")))
     j = t.customer.select("c_custkey", "c_acctbal").join(a, F.col("c_custkey") == F.col("o_custkey"), "left")
     uso = ((F.col("n_urg") > 0) | (F.col("monto_urg") > 100000)) & (F.col("c_acctbal") > 0)
     return j.select(

@@ -76,8 +76,8 @@ def representatives_q(spark, d):
     roles = o.select(F.col("o_custkey").alias("per_id"), F.col("o_orderkey").alias("numero_socio"),
                      F.when(F.col("o_orderpriority") == "1-URGENT", 106).otherwise(5).alias("id_rol"),
                      F.when(F.col("o_orderstatus") == "O", "ACTIVA").otherwise("INACTIVA").alias("estado_relacion"))
-    people = t.customer.where(F.col("c_mktsegment") != "HOUSEHOLD").select(
-        F.col("c_custkey").alias("per_id"), F.col("c_custkey").cast("string").alias("rut"),
+    people = t.customer.select(
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey")).alias("per_id"), F.col("c_custkey").cast("string").alias("rut"),
         F.col("c_name").alias("nombre_completo"), F.col("c_nationkey").cast("string").alias("telefono_comercial"),
         F.when(F.col("c_acctbal") > 0, (F.col("c_custkey") * 7).cast("string")).alias("telefono_movil_comercial"),
         F.concat(F.lower("c_name"), F.lit("@correo.example")).alias("email_comercial"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tidewater.functions.dates import as_date, period_number, within_last_year
+from tidewater.functions.dates import as_date, parse_date, period_number, within_last_year
 from tidewater.functions.rules import first_rule, positive_flag
 from tidewater.functions.text import concat_null_empty, proper
 from tidewater.operators.relational import exists_flag
@@ -18,7 +19,7 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
                       geography: DataFrame | None = None, geo_id: str = "id_geo", registry: DataFrame | None = None) -> DataFrame:
     """B19. Inputs, all keyed by ``rut``:
 
-    - ``empresas``: rut, estado, ``region_col`` and optionally ``fechaalta`` (date);
+    - ``empresas``: rut, estado, ``region_col`` and optionally ``fechaalta`` (a date, or text as ``dd/MM/yyyy``);
     - ``ignorar``: ruts to leave out; ``actividad``: rut, persona_lista (summed);
     - ``usuarios``: rut, vistas_cv, descarga_cv, fecha_alta (summed / max per rut);
     - ``socios``: active member ruts.
@@ -50,6 +51,8 @@ def company_dimension(empresas: DataFrame, ignorar: DataFrame, actividad: DataFr
         & (F.col("estado") == 1) & ~F.col("ignorado")
     if "fechaalta" not in df.columns:
         df = df.withColumn("fechaalta", F.col("primera_actividad"))
+    elif isinstance(df.schema["fechaalta"].dataType, StringType):
+        df = df.withColumn("fechaalta", parse_date("fechaalta", "dd/MM/yyyy"))
     df = df.select(
         "rut", "estado",
         F.coalesce(F.round("persona_lista", 2), F.lit(0.0)).alias("persona_lista"),
@@ -133,27 +136,25 @@ def workers(trabajadores: DataFrame, oficios: DataFrame, especialidades: DataFra
     return first_by(t, ["rut", "ocupacion"], order_by=order_by, tie_break=tie_break)
 
 
-def activity_by_month(spark: SparkSession, downloads: DataFrame, invitations: DataFrame, lists_created: DataFrame,
-                      lists_modified: DataFrame, user_company: DataFrame, start, end) -> DataFrame:
+def activity_by_month(spark: SparkSession, downloads, invitations, lists_created, lists_modified, user_company: DataFrame, start, end) -> DataFrame:
     """B17 (T14, T13, A4, A11, J4, C6): month spine left-joined with per-(user, period) counts.
 
-    Each input has ``id_usuario`` and a date column ``fecha``; counts are taken per
-    (user, ``year*1000+month``). As in the source job the spine is joined to downloads by period
-    first, so user-months with other activity but no download are not present.
+    Each input has ``id_usuario`` and a date column ``fecha``, or is a pair of such a frame and a condition on its rows; counts are taken per
+    (user, ``year*1000+month``), in one aggregate for all inputs of one frame. As in the source job the spine is joined to downloads
+    by period first, so user-months with other activity but no download are not present.
     """
-    def per_period(df, name):
-        return df.groupBy("id_usuario", period_number("fecha").alias("periodo")).agg(F.count(F.lit(1)).alias(name))
-
-    spine = month_spine(spark, start, end)
-    out = spine.join(per_period(downloads, "cvs_descargados"), "periodo", "left")
-    for df, name in [(invitations, "invitaciones"), (lists_created, "listas_creadas"),
-                     (lists_modified, "listas_modificadas")]:
-        out = out.join(per_period(df, name), ["periodo", "id_usuario"], "left")
-    active = positive_flag("cvs_descargados") | positive_flag("invitaciones") | positive_flag("listas_creadas") \
-        | positive_flag("listas_modificadas")
-    out = out.withColumn("is_activo", F.when(active, True)).where(F.col("id_usuario").isNotNull())
-    out = out.join(user_company.select("id_usuario", "rut_empresa").distinct(), "id_usuario", "left")
-    return out.where(F.col("is_activo").eqNullSafe(True))
+    names = ["cvs_descargados", "invitaciones", "listas_creadas", "listas_modificadas"]
+    frames: dict[int, tuple[DataFrame, dict[str, F.Column]]] = {}
+    for name, given in zip(names, (downloads, invitations, lists_created, lists_modified), strict=True):
+        df, condition = given if isinstance(given, tuple) else (given, F.lit(True))
+        n = F.count_if(condition)
+        frames.setdefault(id(df), (df, {}))[1][name] = F.when(n > 0, n)          # no row of a kind: null, as a left join gives
+    counts = [df.groupBy("id_usuario", period_number("fecha").alias("periodo")).agg(*[c.alias(k) for k, c in aggs.items()]) for df, aggs in frames.values()]
+    out = month_spine(spark, start, end).join(counts[0].where(F.col(names[0]).isNotNull()), "periodo")
+    for c in counts[1:]:
+        out = out.join(c, ["periodo", "id_usuario"], "left")
+    out = out.withColumn("is_activo", F.lit(True)).where(F.col("id_usuario").isNotNull())
+    return out.join(user_company.select("id_usuario", "rut_empresa").distinct(), "id_usuario", "left")
 
 
 def _company_users(users: DataFrame, ubicac: DataFrame, relac: DataFrame, empresario: DataFrame,
