@@ -58,9 +58,9 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     aggregated by all keys (null ones kept) into a written table, the one place where it is read, and every stored
     combination gets its number. The numbers are cut into chunks of ``CHUNK``; the stored rows of a chunk, and one start row
     per chunk, are sorted, and each row makes itself and the empty combinations up to the next one. Empty rows take their values from
-    arrays of the distinct values (``index_values`` numbers them), which reach the tasks as scalars of a checked size; a dimension
-    beyond ``SMALL_VALUES`` or ``SMALL_BYTES`` gives every chunk a value of its own instead, so it needs no array. Only sizes and the
-    year range reach the driver.
+    arrays of the distinct values, which reach the tasks as scalars of a checked size; a dimension beyond ``SMALL_VALUES`` or
+    ``SMALL_BYTES`` is numbered by ``index_values`` and gives every chunk a value of its own, so it needs no array. Only sizes and
+    the year range reach the driver.
     """
     from tidewater.session import written
 
@@ -71,19 +71,24 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     summed = once
     for k in keys:
         summed = summed.where(F.col(k).isNotNull())
-    indexed = {d: written(index_values(once, d), "densify-values") for d in dims}
-    size_of = {d: indexed[d].agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(d).cast("string"))).alias("b")).first() for d in dims}
-    sizes = {d: size_of[d]["n"] for d in dims}
-    span = once.agg(F.min(year_col).alias("y0"), F.max(year_col).alias("y1")).first()
+    facts = [F.min(year_col).alias("y0"), F.max(year_col).alias("y1")]
+    for i, d in enumerate(dims):
+        facts += [F.count_distinct(d).alias(f"n{i}"), F.max(F.octet_length(F.col(d).cast("string"))).alias(f"b{i}")]
+    span = once.agg(*facts).first()
+    sizes = {d: span[f"n{i}"] for i, d in enumerate(dims)}
     if span["y0"] is None or any(n == 0 for n in sizes.values()):
         empty = summed.limit(0)
         return empty.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
     y0, years = int(span["y0"]), int(span["y1"]) - int(span["y0"]) + 1
-    small = [d for d in dims if sizes[d] <= SMALL_VALUES and (size_of[d]["b"] or 0) <= SMALL_BYTES]
+    small = [d for i, d in enumerate(dims) if sizes[d] <= SMALL_VALUES and sizes[d] * (span[f"b{i}"] or 0) <= SMALL_BYTES]
     large = [d for d in dims if d not in small]
     within = years
     for d in small:
         within *= sizes[d]
+    # of checked size: one row with the values of every small dimension in order
+    arrays = written(once.agg(F.lit(1).alias("one"), *[F.array_sort(F.collect_set(d)).alias(d) for d in small]), "densify-values")
+    indexed = {d: arrays.select(F.posexplode(d).alias("__idx", d)).withColumn("__idx", F.col("__idx").cast("bigint")) for d in small}
+    indexed |= {d: written(index_values(once, d), "densify-values") for d in large}
 
     # the place of every stored combination: numbers of the large dimensions, and one number for the rest
     stored = summed
@@ -111,8 +116,7 @@ def densify_sum(df: DataFrame, dims: Sequence[str], year_col: str, measures: Seq
     here = F.col("__id") == F.col("__at")
     cols, rest = {year_col: (F.lit(y0) + F.col("__id") % years).cast(dict(once.dtypes)[year_col])}, _div(F.col("__id"), years)
     for d in reversed(small):
-        values = indexed[d].agg(F.array_sort(F.collect_list(F.struct("__idx", d))).alias("v")).select(F.transform("v", lambda x: x[d])).scalar()  # noqa: B023
-        cols[d] = F.get(values, (rest % sizes[d]).cast("int"))
+        cols[d] = F.get(arrays.select(d).scalar(), (rest % sizes[d]).cast("int"))
         rest = _div(rest, sizes[d])
     return grid.select(*[cols[k].alias(k) if k in cols else F.col(k) for k in keys],
                        *[F.coalesce(F.when(here, F.col(f"__sums.m{i}")), F.lit(0)).alias(m) for i, m in enumerate(measures)])
