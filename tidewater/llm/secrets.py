@@ -1,17 +1,23 @@
 r"""Secret scan with a randomness test battery, with built-in functions only.
 
 Base patterns (assignments, access keys, hex runs) are found everywhere and stay. The battery adds runs that look drawn at random:
-each run of 16 or more key characters gets an encoding inferred from its characters (hex, base32, base62, base64) and three
+each run of 16 or more key characters gets an encoding inferred from its characters (digits, hex, base32, base62, base64) and three
 tests of uniform randomness over that alphabet: chi-squared on equal classes of it, runs above and below its middle, and
-lag-one serial correlation, joined by Fisher's method. False discoveries are controlled per length class against a
-control group: runs of letters, which are words, take the same tests over the base62 alphabet (as if one digit had
-joined them), and the rate at which they pass, times the runs tested, over the runs that pass, estimates the share of
-ordinary strings among the reports. A class with few control words borrows those of shorter classes: the tests only gain
-power with length. Classes above the accepted share report nothing.
+lag-one serial correlation, joined by Fisher's method into a score, the logarithm of the p-value, which is near 0 for random strings
+and far below for others.
+
+False discoveries are controlled per length class against a control group: runs of letters, which are words, take the same tests over the
+base62 alphabet (as if one digit had joined them). Runs are ranked by their empirical p-value: the share of controls that score as high. Where
+few or no controls do, that share is carried on by the exponential tail that the highest tenth of them has, so its fineness is not bounded by
+their number, and random strings that are rare among very many ordinary runs are still found. Each class is cut at the lowest score at which
+the expected number of ordinary runs above it is at most ``SHARE`` of those found (Benjamini and Hochberg's rule). A class with few control
+words borrows those of shorter classes: the tests only gain power with length.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +30,13 @@ HEX = r"[0-9a-f]{16,}"
 RUN = r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"     # `=` only as padding: a value after a name and `=` is a run of its own
 KINDS = ["assign", "access", "hex", "random"]
 LENGTHS = [16, 20, 24, 32, 48, 64]
-ALPHA = 0.05              # a run passes the battery unless randomness is rejected at this level
-CONTROLS = 50             # control words a length class should have
+ALPHA = 0.02              # a run whose randomness is rejected at this level is never reported (3 to 4 % of random strings: the tests depend on each other)
+CONTROLS = 50             # control words a length class needs, its own or borrowed
+TAIL = 0.1                # share of the controls, the highest, that the tail is fitted to (20 at least)
 SHARE = 0.05              # accepted share of ordinary strings among the reports of a length class
+BIN, LOWEST = 0.05, -60.0 # scores are counted in bins of this width; all below the lowest are one
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ALPHABETS = {"word": DIGITS + UPPER + LOWER, "hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base62": DIGITS + UPPER + LOWER,
+ALPHABETS = {"word": DIGITS + UPPER + LOWER, "digits": DIGITS, "hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base62": DIGITS + UPPER + LOWER,
              "base64": "+/" + DIGITS + UPPER + LOWER}
 BLOCK = 256
 
@@ -62,8 +70,8 @@ def _spans(places: Column, kind: int) -> Column:
 
 
 def encoding(run: Column) -> Column:
-    """The smallest alphabet a run fits (padding taken off); null for plain numbers, ``word`` for letters in a word's case."""
-    return (F.when(run.rlike("^[0-9]*$"), F.lit(None).cast("string"))
+    """The smallest alphabet a run fits (padding taken off), ``word`` for letters in a word's case."""
+    return (F.when(run.rlike("^[0-9]*$"), F.lit("digits"))
             .when(run.rlike("^[A-Z]?[a-z]+$|^[A-Z]+$"), F.lit("word"))
             .when(run.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), F.lit("hex"))
             .when(run.rlike("^[A-Z2-7]+$"), F.lit("base32"))
@@ -126,40 +134,80 @@ def scanned(docs: DataFrame) -> DataFrame:
             p["start"].alias("start"), (p["start"] + p["n"]).alias("end"),
             F.aggregate(F.array(*[F.lit(n) for n in LENGTHS]), F.lit(0), lambda a, n: F.when(F.length(q["s"]) >= n, n).otherwise(a)).alias("class"),
             (q["e"] == "word").alias("word"),
-            F.when(q["e"].isNotNull(), _battery(q["s"], q["e"])).alias("p")))
+            _battery(q["s"], q["e"]).alias("p")))
 
     return found.select("doc_id", F.array_sort(F.concat(_spans(F.col("a"), 0), _spans(F.col("k"), 1), _spans(F.col("h"), 2))).alias("base"),
                         F.filter(F.transform("r", test), lambda r: r["p"].isNotNull() & (r["class"] > 0)).alias("runs"))
 
 
-def accepted_classes(found: DataFrame, alpha: float = ALPHA, share: float = SHARE) -> list[int]:
-    """Length classes whose estimated share of ordinary strings among the passing runs is accepted. One row per class
-    reaches the driver; the counts are over all documents."""
-    rows = (found.select(F.explode("runs").alias("r")).select("r.*").groupBy("class")
-            .agg(F.count_if("word").alias("words"), F.count_if(F.col("word") & (F.col("p") >= alpha)).alias("words_pass"),
-                 F.count_if(~F.col("word")).alias("runs"), F.count_if(~F.col("word") & (F.col("p") >= alpha)).alias("runs_pass"))
-            .orderBy("class").collect())
-    out = []
-    for k, r in enumerate(rows):
-        words = words_pass = 0
-        for c in reversed(rows[:k + 1]):
-            words, words_pass = words + c["words"], words_pass + c["words_pass"]
-            if words >= CONTROLS:
+def score(p: Column) -> Column:
+    return F.log(F.greatest(p, F.lit(1e-300)))
+
+
+def cut(controls: dict[int, int], runs: dict[int, int], share: float = SHARE, alpha: float = ALPHA) -> int | None:
+    """The lowest bin of scores from which a class is reported; None if there is none. ``controls`` and ``runs``: counts by bin."""
+    n, m = sum(controls.values()), sum(runs.values())
+    if n < CONTROLS or not m:
+        return None
+    # the tail begins at the highest bin that holds the wanted share of controls, and falls as their mean excess over it does
+    want, held, begin = max(20.0, TAIL * n), 0, 0
+    for b in sorted(controls, reverse=True):
+        held, begin = held + controls[b], b
+        if held >= want:
+            break
+    excess = sum((b - begin + 0.5) * c for b, c in controls.items() if b >= begin) * BIN / held
+    slope = max(excess * (1 + 2 / math.sqrt(held)), BIN)
+    floor = max(begin, math.ceil((math.log(alpha) - LOWEST) / BIN))
+    above, seen, best = 0, 0, None
+    for b in sorted(set(runs) | {k for k in controls if k >= floor}, reverse=True):
+        if b < floor:
+            break
+        above, seen = above + controls.get(b, 0), seen + runs.get(b, 0)
+        tail = max(above / n, held / n * math.exp(-(b - begin) * BIN / slope))
+        if seen and tail * m <= share * seen:
+            best = b
+    return best
+
+
+def thresholds(found: DataFrame, share: float = SHARE, alpha: float = ALPHA) -> dict[int, float]:
+    """Length class -> the lowest score that is reported. Counts are over all documents; what reaches the driver is a count per class, kind of
+    run and bin of scores, a number that does not grow with the corpus."""
+    place = F.greatest(F.floor((score(F.col("r.p")) - LOWEST) / BIN), F.lit(0)).cast("int")
+    rows = found.select(F.explode("runs").alias("r")).groupBy("r.class", "r.word", place.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    controls: dict[int, dict[int, int]] = {c: {} for c in LENGTHS}
+    runs: dict[int, dict[int, int]] = {c: {} for c in LENGTHS}
+    for r in rows:
+        (controls if r["word"] else runs)[r["class"]][r["bin"]] = r["n"]
+    out = {}
+    for k, c in enumerate(LENGTHS):
+        pool: dict[int, int] = {}
+        for shorter in reversed(LENGTHS[:k + 1]):
+            for b, n in controls[shorter].items():
+                pool[b] = pool.get(b, 0) + n
+            if sum(pool.values()) >= CONTROLS:
                 break
-        if r["runs_pass"] and (words_pass + 1) / (words + 1) * r["runs"] / r["runs_pass"] <= share:
-            out.append(r["class"])
+        b = cut(pool, runs[c], share, alpha)
+        if b is not None:
+            out[c] = LOWEST + b * BIN
     return out
 
 
-def scan(docs: DataFrame, alpha: float = ALPHA, share: float = SHARE) -> DataFrame:
+def scan(docs: DataFrame, share: float = SHARE, alpha: float = ALPHA) -> DataFrame:
     """One row per row of ``docs``: doc_id, base and spans as arrays of (start, kind, end), by start and kind; offsets in code points, ends
-    exclusive. ``spans`` are the base spans and the random runs of accepted length classes.
+    exclusive. ``spans`` are the base spans and the random runs (also those that a base span holds: what the tests say is kept).
 
     Defined cases: a null text is empty and has no spans; repeated rows and null doc_ids are scanned like others; an
     empty table gives no rows; without control words no random run is reported; other columns are ignored."""
     found = materialize(scanned(docs), "secrets")
-    classes = accepted_classes(found, alpha, share)
-    random = F.transform(F.filter("runs", lambda r: ~r["word"] & (r["p"] >= alpha) & r["class"].isin(classes)),
+    cuts = thresholds(found, share, alpha)
+
+    def reported(r: Column) -> Column:
+        ok = F.lit(False)
+        for c, least in cuts.items():
+            ok = F.when(r["class"] == c, score(r["p"]) >= least).otherwise(ok)
+        return ~r["word"] & ok
+
+    random = F.transform(F.filter("runs", reported),
                          lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
 
