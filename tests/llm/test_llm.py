@@ -241,19 +241,20 @@ def brute_lines(rows, least):
     top, first, out = union_find(pairs, range(len(u))), {}, {}
     num = {x: i for i, x in enumerate(u)}
     for d, p, x in occ:
-        if len(x) >= least:
-            first.setdefault(top[num[x]], (d, p))
-        out[d, p] = len(x) >= least and first[top[num[x]]] != (d, p)
+        group = top[num[x]] if x in num else x          # shorter lines: equal ones only
+        first.setdefault(group, (d, p))
+        out[d, p] = first[group] != (d, p)
     return out
 
 
-@pytest.mark.parametrize("hot", [None, 3])
-def test_lines_against_brute_force(spark, hot):
+@pytest.mark.parametrize("hot, depth", [(None, 6), (3, 1), (5, 2)])
+def test_lines_against_brute_force(spark, monkeypatch, hot, depth):
+    monkeypatch.setattr(linededup, "DEPTH", depth)
     r = random.Random(8)
     lines = [prose(i, 6) for i in range(12)]
     extra = []
     for i in range(40):
-        own = [prose(1000 + i, 8)]
+        own = [prose(1000 + i, 8), r.choice(["short", "}", "shirt", f"s{i}"])]
         for _ in range(3):
             x = list(r.choice(lines))
             for _ in range(r.randint(0, 2)):
@@ -279,12 +280,31 @@ def test_lines_against_brute_force(spark, hot):
                 assert x.text == text[d]
         assert linededup.dedup_lines(empty(spark)).count() == 0 and linededup.line_report(empty(spark)).count() == 0
         assert linededup.dedup_lines(frame(spark, rows_of())).count() == len(rows_of())
-    else:       # hot keys are partitioned anew and lose no link
+    else:       # hot keys are partitioned anew, then compared block by block, and lose no link
         few = connected_components(linededup.line_links(docs, hot=hot)).collect()
+        monkeypatch.setattr(linededup, "DEPTH", 6)
         all_ = connected_components(linededup.line_links(docs)).collect()
         assert sorted(map(tuple, few)) == sorted(map(tuple, all_)) and few
 
 
+def test_variants_of_one_line_meet_block_by_block(spark, monkeypatch):
+    """6,000 lines that differ in a few places only, never partitioned: blocks of 500, no task sees more than two of them."""
+    monkeypatch.setattr(linededup, "DEPTH", 1)
+    r = random.Random(31)
+    base = prose(77, 9)
+    lines = set()
+    while len(lines) < 6000:
+        x = list(base)
+        x[-1 - r.randrange(6)], x[-1 - r.randrange(6)] = r.choice("abcdefghijklmnopqrstuvwxyz0123456789"), r.choice("abcdefghijklmnopqrstuvwxyz0123456789")
+        lines.add("".join(x))
+    far = {prose(78, 9) + f" {i:03d}xyz" for i in range(0, 999, 111)}
+    docs = spark.createDataFrame(list(enumerate([*lines, *far])), "doc_id long, text string")
+    found = linededup.line_links(docs, hot=500)
+    comps = collections.Counter(x.label for x in connected_components(found).collect())
+    assert max(comps.values()) == 6000 and sum(comps.values()) <= 6000 + len(far)
+    assert found.count() < 6000 * 40
+
+
 def test_repeated_lines_go_from_mostly_repeated_documents(spark, tmp_dir):
     shared = [prose(700 + i, 12) for i in range(9)]
     text = {1: "\n".join(shared[:5]), 2: "\n".join(shared[5:]), 3: "\n".join([*shared, prose(720, 8)]), 4: "\n".join(["short", *shared])}

@@ -26,7 +26,8 @@ from tidewater.llm.common import fresh, only
 UND = "und"
 SAMPLE_DOCS = 64          # documents a language is learned from, at most
 SAMPLE_CHARS = 600        # characters taken of each of them, from a place that its hash names
-MAX_LANGUAGES = 256       # beyond that learning stops with an error: the tables go to every worker
+MAX_LANGUAGES = 256       # beyond that learning stops with an error
+MODEL_BYTES = 192 << 20   # of all languages' tables together, which go to every worker; samples are cut alike until they keep to it
 WINDOW = 1024             # symbols parsed by one lane; a phrase does not cross a window's edge
 BLOCK = 8 << 20           # symbols parsed at once
 SHARPNESS = 12.0
@@ -164,7 +165,8 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
 
     The sample is bounded and documented: per language the document of smallest hash in each of ``sample_docs`` hash classes, and
     of it ``sample_chars`` characters (from a place named by the hash). Minima are combined before the shuffle and a
-    language brings some tens of kilobytes to the driver, however much text it has."""
+    language brings some tens of kilobytes to the driver, however much text it has. With many languages or symbols every sample is
+    cut to the same share of itself, so that the tables keep to ``MODEL_BYTES``."""
     h = F.xxhash64("text")
     room = F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1
     piece = F.substring(F.col("text"), (F.pmod(F.shiftright(h, 8), room) + 1).cast("int"), F.lit(sample_chars))
@@ -176,7 +178,11 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     samples = {r["lang"]: b" ".join(filter(None, (symbols(p["piece"]) for p in r["pieces"]))) for r in rows}
-    return Model({k: v for k, v in samples.items() if v})
+    samples = {k: v for k, v in samples.items() if v}
+    # an automaton has at most two states a symbol of its sample, each a row of 4-byte cells, one per different symbol of all samples
+    cell = 4 * (len(set().union(*samples.values())) + 2) if samples else 0
+    share = min(1.0, MODEL_BYTES / max(1, sum(2 * len(v) * cell for v in samples.values())))
+    return Model({k: v[:max(1, int(len(v) * share))] for k, v in samples.items()})
 
 
 def _predicted(docs: DataFrame, model: Model, name: str) -> DataFrame:

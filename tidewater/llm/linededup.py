@@ -9,7 +9,8 @@ edit distance, many pairs at a time.
 Entries carry a sketch of their line, the parities of its character pairs: an edit changes four pairs at most, so two lines
 that meet are a candidate only if their sketches differ in ``4 * edits`` bits or fewer, which no true pair fails and hardly any
 other passes. A segment that very many lines share is not compared out: its lines drop that segment, of which nothing
-can differ, and are partitioned anew by what remains, as often as needed. Exact copies are one node from the start.
+can differ, and are partitioned anew by what remains. What still shares a key after ``DEPTH`` partitions is compared block by block, every
+pair of blocks a task of its own that returns a spanning forest. Exact copies, of lines of any length, are one node from the start.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ from tidewater.llm.common import BLANKS, connected_components, fresh, materializ
 from tidewater.llm.quality import let
 
 EDITS = 2
-MIN_CHARS = 20            # shorter lines are neither compared nor removed
+MIN_CHARS = 20            # shorter lines are repeated only if they are equal
 MAX_SHARE = 0.5           # by default a document with more than this share of its characters in repeated lines is left whole; None: no such bound
 HOT = 2048                # lines of one key that are compared at once
 SKETCH = 48               # bits of a line's sketch
-DEPTH = 6                 # partitions of a hot key before its lines are paired whatever their number
+DEPTH = 6                 # partitions of a hot key before its lines are compared block by block
 BROADCAST_IDS = 1_000_000  # line numbers broadcast at most (some 16 MB)
 CELLS = 4_000_000         # characters verified at once
 INDEX, PROBE, REST = 1, 2, 4
@@ -275,9 +276,55 @@ def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.min("line").alias("line")))
 
 
+def _compare(edits: int):
+    """Group function over entries (key, id, mark, line, block, i, j) of two blocks of a key: edges of a spanning forest of the pairs within
+    ``edits``. What remains of two lines after equal cuts is as far apart as the lines. Rows already in one tree are not compared again; the
+    first steps take few rows, after which variants of one line mostly are."""
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["id", "mark"])
+        ids, node = np.unique(pdf["id"].to_numpy(np.int64), return_inverse=True)
+        mark, block, lines = pdf["mark"].to_numpy(np.int64), pdf["block"].to_numpy(), pdf["line"].to_numpy(object)
+        two = pdf["i"].iloc[0] != pdf["j"].iloc[0]
+        a, b = np.flatnonzero(mark & INDEX), np.flatnonzero(mark & PROBE)
+        tree, edges, at, take = np.arange(len(ids)), [], 0, 1
+        while at < len(a):
+            some, at = a[at:at + take], at + take
+            take = min(2 * take, 256)
+            apart = np.bitwise_count((mark[some, None] ^ mark[None, b]) >> 11) <= 4 * edits
+            apart &= tree[node[some]][:, None] != tree[node[b]][None, :]
+            if two:
+                apart &= block[some][:, None] != block[b][None, :]
+            i, j = np.nonzero(apart)
+            for cut in range(0, len(i), 1 << 16):
+                x, y = some[i[cut:cut + (1 << 16)]], b[j[cut:cut + (1 << 16)]]
+                new = tree[node[x]] != tree[node[y]]
+                x, y = x[new], y[new]
+                close = np.flatnonzero(within(lines[x].tolist(), lines[y].tolist(), edits))
+                for k in close.tolist():
+                    u, v = tree[node[x[k]]], tree[node[y[k]]]
+                    if u != v:
+                        tree[tree == max(u, v)] = min(u, v)
+                        edges.append((node[x[k]], node[y[k]]))
+        u, v = np.array(edges, np.int64).reshape(-1, 2).T
+        return pd.DataFrame({"u": ids[u], "v": ids[v]})
+
+    return compare
+
+
+def _blocks(rows: DataFrame, hot: int, edits: int) -> DataFrame:
+    """Edges (u, v) over the entries (key, id, mark, line) of hot keys: a key of n rows is dealt into about n / hot blocks, and every two blocks
+    (or one with itself) meet in a group."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("key", "id", "mark", "line", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return met.groupBy("key", "i", "j").applyInPandas(_compare(edits), "u long, v long")
+
+
 def line_links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """Pairs (u, v) of different lines (XXH64 of the line) of ``min_chars`` characters or more within ``edits`` edits. They span the same
-    components as all such pairs; only lines whose rest is shorter than a segment are linked as a star instead of in pairs."""
+    components as all such pairs: lines whose rest is shorter than a segment are linked as a star, those of keys that stay hot by forests."""
     lines = lines_of(docs).where(F.length("line") >= min_chars)
     distinct = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     first = distinct.select(F.xxhash64("line").alias("id"), "line").mapInArrow(_entries(edits, False), "id long, key long, mark long")
@@ -292,9 +339,12 @@ def line_links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
             left = burning.join(named, ["id", "key", "mark"])
         named = materialize(left.select("id", "line", "key", "mark")
                             .mapInArrow(_entries(edits, True), "id long, key long, mark long, line string").distinct(), "lines-rest")
-        found = _candidates(named.select("id", "key", "mark"), "lines-met", hot if depth + 1 < DEPTH else 1 << 62, edits)
+        found = _candidates(named.select("id", "key", "mark"), "lines-met", hot, edits)
         pairs = pairs.union(found.where("u is not null").select("u", "v"))
         burning, depth = found.where("key is not null").select("id", "key", "mark"), depth + 1
+    forest = None
+    if not burning.isEmpty():
+        forest = materialize(_blocks(burning.join(named if named is not None else _hot_texts(lines, burning), ["id", "key", "mark"]), hot, edits), "lines-forest")
     pairs = materialize(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "lines-pairs")
     texts = materialize(_texts(lines, pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()), "lines-texts")
     both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u")
@@ -304,14 +354,20 @@ def line_links(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
         for pdf in batches:
             yield pdf.loc[within(pdf["a"].tolist(), pdf["b"].tolist(), edits), ["u", "v"]]
 
-    return both.mapInPandas(verify, "u long, v long")
+    verified = both.mapInPandas(verify, "u long, v long")
+    return verified if forest is None else verified.union(forest)
+
+
+def _hot_texts(lines: DataFrame, burning: DataFrame) -> DataFrame:
+    """(id, key, mark, line) of hot entries that no partition has cut yet."""
+    return burning.join(_texts(lines, burning.select("id").distinct()), "id")
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, pos, length, again) per line with a word: ``again`` where the line, or one linked to it over near-equal lines, has
     come before (smaller doc_id, then smaller pos). Rows of one doc_id are one document."""
     named = materialize(_named(lines_of(docs)).select("doc_id", "pos", "k1", "k2", F.length("line").alias("length")), "lines")
-    exact = (named.where(F.col("length") >= min_chars).groupBy("k1", "k2")
+    exact = (named.groupBy("k1", "k2")
              .agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.countDistinct("doc_id", "pos").alias("n")))
     comps = materialize(connected_components(line_links(docs, edits, min_chars)), "line-classes")
     marked = exact.join(comps.withColumnRenamed("node", "k1"), "k1", "left")
@@ -353,7 +409,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 
     With ``alike`` an exact copy of a whole document loses the lines that its original loses and no others, so the two stay equal and
     a document-level step can take the copy out; it must follow. No row is dropped. Defined cases: null and empty texts have no lines and
-    stay; lines shorter than ``min_chars`` stay; equal rows are one document; rows of one doc_id, or of a null one, with different
+    stay; lines shorter than ``min_chars`` go only if they are equal to an earlier one; equal rows are one document; rows of one doc_id, or of a null one, with different
     texts are documents of their own, first the one of the smaller text hash; an empty table gives no rows; other columns pass through
     whatever their names."""
     doc, text_hash, removed, parts = (fresh(docs, n) for n in ("removed_doc", "removed_hash", "removed_lines", "all_lines"))
