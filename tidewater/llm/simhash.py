@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ BITS = 64
 TOP_LEAVES = 1 << 17      # leaves a top node should hold at most (1 MB)
 TOP_DEPTH = (4, 24)       # levels of the trie that Spark deals out
 BLOCK = 1 << 20           # node pairs walked at once
+TEXTS = 500               # texts fingerprinted at once
 
 
 def text_fingerprints(texts, shingle: int = 3, seed: int = 42) -> np.ndarray:
@@ -71,12 +73,16 @@ def text_fingerprints(texts, shingle: int = 3, seed: int = 42) -> np.ndarray:
 def with_fingerprint(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the fingerprint of each whole text as a signed long; one narrow pass."""
 
-    @F.pandas_udf(T.LongType())
-    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(text_fingerprints(texts.tolist(), shingle, seed).view(np.int64))
+    def fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a few texts at a time are Python strings; the batch itself stays in Arrow's memory
+            for at in range(0, len(batch), TEXTS):
+                part = batch.slice(at, TEXTS)
+                found = text_fingerprints(part.column(1).to_pylist(), shingle, seed).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], names=["doc_id", "fp"])
 
-    return only(docs, "doc_id", "text").select("doc_id", fp("text").alias("fp"))
+    docs = only(docs, "doc_id", "text")
+    return docs.mapInArrow(fp, T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())]))
 
 
 def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
