@@ -3,6 +3,7 @@ repeated rows, empty tables and clashing column names."""
 
 import collections
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -491,39 +492,123 @@ def test_passages_are_caught_and_clean_documents_left_alone(spark):
     assert passages.passage_components(empty(spark)).count() == 0
 
 
-def test_band_tuning_and_marks():
+def test_band_tuning_and_seeds():
     bands, rows = passages.tune_bands(0.8, 0.95)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.95
-    a, b = prose(77, 70), prose(78, 30) + " " + prose(77, 70) + " " + prose(79, 30)
-    _, _, _, ida, _ = passages.paragraphs([a], bands, rows)
-    _, _, _, idb, _ = passages.paragraphs([b], bands, rows)
-    assert len(set(ida.tolist()) & set(idb.tolist())) >= len(ida) - 3
-    assert passages.paragraphs([None, "", " "], bands, rows) is None
+    need = passages.GRAM + passages.SPREAD - 1
+    r = random.Random(5)
+    for k in range(300):
+        run = prose(k, need).split()
+        if k % 10 == 0:
+            run = [run[0]] * need
+        texts = [" ".join([*prose(1000 + 2 * k + i, r.randint(30, 60)).split(), *run, *prose(9000 + 2 * k + i, r.randint(30, 60)).split()]) for i in range(2)]
+        text, _, seed = passages.seeds_of(texts)
+        assert set(seed[text == 0].tolist()) & set(seed[text == 1].tolist()), k
+    assert all(len(x) == 0 for x in passages.seeds_of([None, "", " ", "few words"]))
+
+
+def brute_passages(rows, n=51):
+    """Per (doc_id, text): runs of words that lie in n words which another doc_id has too, and of those that a smaller one has."""
+    grams = collections.defaultdict(set)
+    texts = {(d, t): re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m.group().lower(), t)) for d, t in rows if d is not None and t}
+    for (d, _), w in texts.items():
+        for i in range(len(w) - n + 1):
+            grams[tuple(w[i:i + n])].add(d)
+    out = {}
+    for (d, t), w in texts.items():
+        for earlier in (False, True):
+            cover = set()
+            for i in range(len(w) - n + 1):
+                has = grams[tuple(w[i:i + n])]
+                if len(has) > 1 and (not earlier or min(has) < d):
+                    cover.update(range(i, i + n))
+            starts = [i for i in sorted(cover) if i - 1 not in cover]
+            spans = [(i, next(k for k in itertools.count(i) if k not in cover) - i) for i in starts]
+            if spans:
+                out[d, t, earlier] = spans
+    return out
 
 
-def test_paragraph_links_find_similar_texts(spark):
-    rows = [(i, t) for i, t in enumerate([prose(1, 9), prose(1, 9) + " more", "x y z"])]
+def test_verbatim_passages_equal_brute_force(spark):
+    r = random.Random(3)
+    shared = [prose(7000 + k, r.randint(40, 90)) for k in range(40)]
+    rows = []
+    for i in range(200):
+        parts = []
+        for _ in range(r.randint(0, 3)):
+            parts += [prose(20_000 + 10 * i + len(parts), r.randint(1, 40)), r.choice(shared)]
+        rows.append((i // 2 if i < 20 else i, "\n".join(parts).replace(" ", r.choice([" ", "  ", "\t"]))))
+    rows += [(None, shared[0]), (500, None), (501, ""), (502, "a " * 300), (503, "a " * 200 + "b"), rows[30], (7, " ".join(shared[3:9]).title())]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    bands, nrows = 4, 1
-    got = [passages.paragraphs([t], bands, nrows, shingles=True) for _, t in rows]
-    marked = spark.createDataFrame([(int(i), [int(v) for v in k]) for _, t in rows for (_, _, _, ids, keys) in [passages.paragraphs([t], bands, nrows)]
-                                    for i, k in zip(ids, keys)], "id long, keys array<long>")
-    for hot in (64, 1):
-        found = {frozenset(p) for p in map(tuple, passages.paragraph_links(docs, marked, bands, nrows, 0.8, hot=hot).collect())}
-        sets = {int(i): set(s.tolist()) for g in got for i, s in zip(g[3], np.split(g[4][1], np.cumsum(g[4][0])[:-1]))}
-        want = {frozenset((a, b)) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-        assert union_find([tuple(p) for p in found], sets) == union_find([tuple(p) for p in want], sets)
-
-
-def test_hot_buckets_lose_no_pair(spark):
-    one = lambda t: len(passages.paragraphs([t], 1, 1)[3]) == 1
-    base = next(t for t in (prose(k, 16) for k in range(100_000)) if one(t))
-    texts = [t for t in (f"{base} {w}" for w in sorted(set(prose(9, 3000).split()))) if one(t)][:40]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = passages.paragraphs(texts, 1, 1)
-    marked = spark.createDataFrame([(int(i), [int(v) for v in k]) for i, k in zip(got[3], got[4])], "id long, keys array<long>")
-    pairs = [{frozenset(p) for p in map(tuple, passages.paragraph_links(docs, marked, 1, 1, 0.8, hot=h).collect())} for h in (1 << 30, 4)]
-    assert len(texts) == 40 and len(pairs[0]) > 300 and pairs[0] == pairs[1]
+    # A paragraph that is equal or alike may add to the runs, so the threshold is set to equal paragraphs alone.
+    got = collections.defaultdict(list)
+    names = {(d, h): t for d, t, h in docs.select("doc_id", "text", F.xxhash64("text")).collect()}
+    for x in passages.repeated_passages(docs, similarity=1.0).collect():
+        got[x.doc_id, names[x.doc_id, x.row], x.earlier].append((x.start, x.n_words))
+    want = brute_passages(rows)
+    assert len(want) > 150 and {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_every_passage_of_51_words_is_caught_and_none_of_50(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(500):
+        run = prose(100_000 + k, 51 if k < 400 else 50)
+        for i in range(2):
+            rows.append((2 * k + i, " ".join([prose(200_000 + 4 * k + i, r.randint(20, 80)) + f" x{k}{i}", run, f"y{k}{i} " + prose(400_000 + 4 * k + i, r.randint(20, 80))])))
+    got = passages.passage_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all((x.component_id, x.n_passages, x.n_removed_words) == ((x.doc_id // 2 * 2, 1, 51 * (x.doc_id % 2)) if x.doc_id < 800 else (x.doc_id, 0, 0)) for x in got)
+
+
+def test_passages_with_a_changed_word_are_caught(spark):
+    """Paragraphs of 60 words, and stretches of 80 inside other paragraphs; no 51 words of them are equal."""
+    r = random.Random(9)
+    lines, inside = [], []
+    for k in range(200):
+        for rows, n, sep in ((lines, 60, "\n"), (inside, 80, " ")):
+            run = prose(100_000 + k, n).split()
+            other = list(run)
+            other[r.randrange(n // 2 - 5, n // 2 + 5)] = "changed"
+            rows += [(2 * k + i, sep.join([prose(200_000 + 4 * k + i, 30), " ".join(t), prose(400_000 + 4 * k + i, 30)])) for i, t in enumerate((run, other))]
+    for rows in (lines, inside):
+        got = {x.doc_id: x.component_id for x in passages.passage_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert sum(got[2 * k + 1] == 2 * k for k in range(200)) >= 0.95 * 200 and all(v // 2 == k // 2 for k, v in got.items())
+
+
+def links_of(spark, texts, hot, similarity=0.8, bands=16, nrows=1):
+    """(shingle sets by id, components by id) of whole texts as paragraphs."""
+    seeds = [list(range(max(0, len(t.split()) - passages.GRAM + 1))) for t in texts]
+    _, (_, _, _, ids, keys, count, flat) = passages.pieces_of(texts, seeds, bands, nrows, 24)
+    sets = {int(i): frozenset(s.tolist()) for i, s in zip(ids, np.split(flat, np.cumsum(count)[:-1]))}
+    marked = spark.createDataFrame([(int(i), k.tolist(), [int(v) for v in s]) for i, k, s in zip(ids, keys, np.split(flat, np.cumsum(count)[:-1]))],
+                                   "id long, keys array<long>, sh array<long>")
+    return sets, [tuple(x) for x in passages.paragraph_links(marked, similarity, hot).collect()]
+
+
+def test_paragraph_links_equal_brute_force(spark):
+    r = random.Random(4)
+    texts = []
+    for k in range(30):
+        base = prose(k, 60).split()
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(r.randint(0, 2)):
+                copy[r.randrange(60)] = r.choice(["one", "two", "three"])
+            texts.append(" ".join(copy))
+    for hot in (64, 2):
+        sets, found = links_of(spark, texts, hot)
+        alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+        want = [(a, b) for a, b in itertools.combinations(sets, 2) if alike(a, b)]
+        assert len(want) > 30 and all(alike(a, b) for a, b in found)
+        assert union_find(found, sets) == union_find(want, sets)
+
+
+def test_hot_buckets_lose_no_link(spark):
+    base = prose(11, 60)
+    texts = [f"{base} {w}" for w in sorted(set(prose(9, 3000).split()))[:300]]
+    sets, found = links_of(spark, texts, 16)
+    assert len(sets) == len(set(texts)) and len(found) < 40 * len(texts)
+    assert len(set(union_find(found, sets).values())) == 1
 
 
 # pipeline

@@ -1,12 +1,17 @@
-"""Repeated passages: paragraph MinHash with tuned bands.
-
-A paragraph is a run of words between two marks; a word is a mark where the hash of it and its successor is the smallest
-among its neighbours. Marks depend on nearby words alone, so a passage copied into another text falls into the
-same paragraphs inside, wherever its lines break. Each paragraph's five-word shingles give a MinHash; the bands are
-tuned to a stated recall at the similarity threshold. Different paragraphs that collide in a band are joined and verified
-by exact Jaccard similarity; equal ones are one node from the start. A document's neighbouring paragraphs that
-occur in other documents too form its passages, documents that share a passage are one component, and all but the first
-occurrence of a passage are the removals.
+"""Repeated passages: paragraph MinHash with tuned bands, and verbatim passages to their true edges.
+
+Seeds say where to look: of every SPREAD consecutive runs of GRAM words the one with the smallest hash is a seed, so two texts that
+share GRAM + SPREAD - 1 = 24 words share a seed, wherever their lines break. Only text around seeds that occur in two documents is looked
+at further. A near copy of 51 words or more at a similarity of 0.8 keeps 24 words in a row: n shingles bear n / 45 changes.
+
+Paragraphs are the lines of ``min_words`` words or more that hold such a seed, and the stretches over which such seeds follow each other
+with a changed word between them at most. Each paragraph's five-word shingles give a MinHash; the bands are tuned to a stated recall at
+the similarity threshold. Different paragraphs that collide in a band are joined and verified by exact Jaccard similarity (equal
+ones are one node from the start), and clustered by components.
+
+Verbatim passages need not fill a paragraph: every run of exactly ``min_words`` words around a seed is compared as a whole, and their
+union has the true edges. A document's passages are the unions of its paragraphs and runs that occur in other documents too,
+documents that share one are one component, and all but the first occurrence are the removals.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -24,16 +30,16 @@ from tidewater.llm.common import connected_components, materialize, only
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RECALL = 0.95
-REACH = 5                 # a mark is the smallest of so many words on either side; paragraphs have 11 words on average
-MIN_WORDS = 28            # a passage of 50 words keeps about so many in paragraphs that its surroundings cannot change
+RECALL = 0.99
+MIN_WORDS = 51            # passages of over 50 words
+GRAM = 12                 # words of a seed
+SPREAD = 13               # one of so many neighbouring seeds is taken
+BRIDGE = 2 * SPREAD - 1   # words between two seeds of a stretch: one changed word, and on either side those that may hold no seed
 HOT = 2048                # different paragraphs of one bucket that are compared at once
-SIDE = 40                 # bits of n below the side of an entry in a pair of blocks
-BROADCAST_IDS = 1_000_000
 BLOCK_WORDS = 500_000
 
 
-def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = 4) -> tuple[int, int]:
+def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = 8) -> tuple[int, int]:
     """(bands, rows): the most rows per band for which ``most`` bands or fewer reach ``recall`` at ``similarity``; more rows
     mean fewer chance collisions."""
     best = (most, 1)
@@ -51,88 +57,139 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _marks(pair: np.ndarray, docs: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Starts of paragraphs over the word-pair hashes of many documents (``docs``: their first words, ``ends``: past their last)."""
-    mark = np.zeros(len(pair), bool)
-    far = np.uint64((1 << 64) - 1)
-    wide = np.full(len(pair) + (len(docs) + 1) * REACH, far, np.uint64)
-    at = np.arange(len(pair)) + np.repeat(np.arange(1, len(docs) + 1) * REACH, ends - docs)
-    wide[at] = pair
-    left = np.full(len(pair), far, np.uint64)
-    right = left.copy()
-    for k in range(1, REACH + 1):
-        np.minimum(left, wide[at - k], out=left)
-        np.minimum(right, wide[np.minimum(at + k, len(wide) - 1)], out=right)
-    mark[(pair < left) & (pair <= right)] = True
-    mark[docs] = True
-    return np.flatnonzero(mark)
-
-
-def paragraphs(texts: list, bands: int, rows: int, shingles: bool = False):
-    """Paragraphs of many whole texts: (text number, first word, words, id, extra). extra: the band keys of each, or with
-    ``shingles`` (number of shingles of each, all shingles one after another)."""
+def _ahead(x: np.ndarray, k: int) -> np.ndarray:
+    return np.concatenate([x[k:], np.zeros(min(k, len(x)), x.dtype)])
+
+
+def _runs_of(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each place on: runs of 2, 4, 8, ... words, and two overlapping ones for the rest."""
+    h, have = _mix(words, 3), 1
+    while have < n:
+        step = min(have, n - have)
+        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + _ahead(h, step), 5 + have + step)
+        have += step
+    return h
+
+
+def _words(texts: list, min_words: int):
+    """Hashed words of the texts of ``min_words`` words or more, lower-cased in ASCII and cut at ASCII blanks: (text numbers, words, first word of
+    each text, past the last of each, first word of each line, past the last of each line)."""
     h = xxhash.xxh64_intdigest
-    words = [t.encode("utf-8", "surrogatepass").lower().split() if isinstance(t, str) else [] for t in texts]
-    count = np.array([len(w) for w in words], np.int64)
-    some = np.flatnonzero(count)
-    if not len(some):
-        return None
-    wh = np.fromiter((h(w) for ws in words for w in ws), np.uint64, int(count.sum()))
-    ends = np.cumsum(count[some])
-    docs = ends - count[some]
-    nxt = np.append(wh[1:], np.uint64(0))
-    nxt[ends - 1] = 0
-    start = _marks(_mix(wh + _mix(nxt, 3), 5), docs, ends)
-    stop = np.append(start[1:], len(wh))
-    text = np.searchsorted(ends, start, side="right")
-    raw = wh.tobytes()
-    ids = np.fromiter((h(raw[8 * a:8 * b]) for a, b in zip(start.tolist(), stop.tolist())), np.uint64, len(start))
-    sh = np.zeros(len(wh), np.uint64)
-    for k in range(SHINGLE):
-        sh += _mix(np.append(wh[k:], np.zeros(min(k, len(wh)), np.uint64)), 11 + k)
-    short = stop - start < SHINGLE
-    sh[start[short]] = ids[short]                              # fewer words than a shingle: the whole paragraph is the one
-    last = np.where(short, start + 1, stop - (SHINGLE - 1))
-    if shingles:
-        inside = np.zeros(len(sh) + 1, np.int8)
-        inside[start] += 1
-        np.subtract.at(inside, last, 1)
-        extra = (last - start, sh[np.cumsum(inside[:-1]) > 0].view(np.int64))
-    else:
-        cuts = np.column_stack([start, last]).ravel()
-        cuts = cuts[:-1] if cuts[-1] >= len(sh) else cuts
-        keys = []
-        for b in range(bands):
-            key = np.full(len(start), b + 1, np.uint64)
-            for r in range(rows):
-                key = _mix(key + np.minimum.reduceat(_mix(sh, 100 + b * rows + r), cuts)[::2], 7)
-            keys.append(key.view(np.int64))
-        extra = np.column_stack(keys)
-    return some[text], start - docs[text], stop - start, ids.view(np.int64), extra
+    some, words, ends, line_ends = [], [], [], []
+    for i, t in enumerate(texts):
+        if not isinstance(t, str):
+            continue
+        lines = [x.split() for x in t.encode("utf-8", "surrogatepass").lower().split(b"\n")]
+        if sum(map(len, lines)) < min_words:
+            continue
+        for line in lines:
+            words += line
+            line_ends.append(len(words))
+        some.append(i)
+        ends.append(len(words))
+    ends, line_ends = np.array(ends, np.int64), np.array(line_ends, np.int64)
+    return (np.array(some, np.int64), np.fromiter(map(h, words), np.uint64, len(words)), np.append(0, ends)[:-1], ends,
+            np.append(0, line_ends)[:-1], line_ends)
+
+
+def _seeds(words: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the runs of GRAM words that are the smallest, the last of equals, of some SPREAD neighbours in a text."""
+    h = _runs_of(words, GRAM) | np.uint64(1)
+    size = past - first
+    valid = np.arange(len(words)) + GRAM <= np.repeat(past, size)
+    # Texts lie SPREAD zeros apart, which no hash is beyond of: a neighbourhood never leaves its text.
+    at = np.arange(len(words)) + np.repeat(np.arange(1, len(first) + 1) * SPREAD, size)
+    wide = np.zeros(len(words) + (len(first) + 1) * SPREAD, np.uint64)
+    wide[at] = np.where(valid, h, np.uint64(0))
+    room = np.ones(len(h), np.int64)
+    left, right = valid.copy(), valid.copy()
+    for k in range(1, SPREAD):
+        left &= wide[at - k] >= h
+        right &= wide[at + k] > h
+        room += left
+        room += right
+    places = np.flatnonzero(valid & (room >= SPREAD))
+    return places, h[places]
+
+
+def seeds_of(texts: list, min_words: int = MIN_WORDS):
+    """(text number, place, seed) of the seeds of many whole texts."""
+    some, words, first, past, _, _ = _words(texts, min_words)
+    places, h = _seeds(words, first, past)
+    text = np.searchsorted(past, places, side="right")
+    return some[text], places - first[text], h.view(np.int64)
+
+
+def pieces_of(texts: list, seeds: list, bands: int, rows: int, min_words: int = MIN_WORDS):
+    """What of many whole texts is compared, given the places of their shared seeds. Two tuples: runs of ``min_words`` words that hold a
+    seed (text number, place, id), and paragraphs (text number, place, words, id, band keys, number of shingles of each, shingles one
+    after another)."""
+    some, words, first, past, line_first, line_past = _words(texts, min_words)
+    size = len(words)
+    here = np.concatenate([np.asarray(seeds[i], np.int64) + f for i, f in zip(some.tolist(), first.tolist())] or [np.zeros(0, np.int64)])
+    here = np.sort(here)
+    mark = np.zeros(size + 1, np.int64)
+    np.add.at(mark, np.maximum(here + GRAM - min_words, 0), 1)
+    np.add.at(mark, here + 1, -1)
+    near = np.cumsum(mark[:-1]) > 0
+    near &= np.arange(size) + min_words <= np.repeat(past, past - first)
+    at = np.flatnonzero(near)
+    # A run may begin in the text before the one of its seed: it then holds no seed of its own.
+    upto = np.searchsorted(here, at, side="left")
+    holds = upto < len(here)
+    holds[holds] = here[upto[holds]] + GRAM <= at[holds] + min_words
+    at = at[holds]
+    run_text = np.searchsorted(past, at, side="right")
+    runs = (some[run_text], at - first[run_text], _runs_of(words, min_words)[at].view(np.int64))
+
+    owner = np.searchsorted(past, here, side="right")
+    new = np.ones(len(here), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (here[1:] > here[:-1] + GRAM + BRIDGE)
+    begin = here[new]
+    end = here[np.append(np.flatnonzero(new)[1:] - 1, len(here) - 1)] + GRAM if len(here) else begin
+    held = np.searchsorted(here, line_past - GRAM, side="right") > np.searchsorted(here, line_first, side="left")
+    span = np.unique(np.concatenate([np.column_stack([begin, end]), np.column_stack([line_first, line_past])[held]]), axis=0)
+    span = span[span[:, 1] - span[:, 0] >= min_words]
+    start, stop = span[:, 0], span[:, 1]
+    text = np.searchsorted(past, start, side="right")
+    sh = _runs_of(words, SHINGLE)
+    raw = words.tobytes()
+    ids = np.array([xxhash.xxh64_intdigest(raw[8 * a:8 * b]) for a, b in zip(start.tolist(), stop.tolist())], np.uint64)
+    count = stop - start - (SHINGLE - 1)
+    where = np.repeat(start - np.append(0, np.cumsum(count))[:-1], count) + np.arange(count.sum())
+    flat, cuts = sh[where], np.append(0, np.cumsum(count))[:-1]
+    keys = np.zeros((len(start), bands), np.int64)
+    for b in range(bands if len(start) else 0):
+        key = np.full(len(start), b + 1, np.uint64)
+        for r in range(rows):
+            key = _mix(key + np.minimum.reduceat(_mix(flat, 100 + b * rows + r), cuts), 7)
+        keys[:, b] = key.view(np.int64)
+    return runs, (some[text], start - first[text], stop - start, ids.view(np.int64), keys, count, flat.view(np.int64))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(doc_ids, texts) in blocks of bounded length, whole texts each."""
+    """Columns as lists in blocks of bounded length, whole texts each."""
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-            ids.append(d)
-            texts.append(t)
+        from_, size = 0, 0
+        texts = batch["text"].to_pylist()
+        for i, t in enumerate(texts):
             size += len(t or "") // 6
-            if size > BLOCK_WORDS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
+            if size > BLOCK_WORDS or i + 1 == len(texts):
+                part = batch.slice(from_, i + 1 - from_)
+                yield part, texts[from_:i + 1]
+                from_, size = i + 1, 0
+
+
+def _lists(lengths: np.ndarray, flat: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(flat))
 
 
-def _collide(hot: int, similarity: float, pair: bool):
-    """Task function over (key, id, sketch, n) rows sorted by key. With ``pair``: candidate pairs of each key and the rows of keys with
-    more than ``hot`` different ids; without: the rows of all keys with two ids or more.
+def _collide(hot: int, similarity: float):
+    """Task function over (key, id, sketch, n) rows sorted by key: candidate pairs of each key and the rows of keys with more than ``hot``
+    different ids.
 
     Sets of n and m shingles with that similarity differ in at most (n + m) * (1 - similarity) / (1 + similarity) of them, so
-    their parity sketches differ in no more bits; pairs beyond are not returned. Above bit SIDE, n carries the side of a row: rows of
-    one side are not paired with each other, those of side 0 with all."""
+    their parity sketches differ in no more bits; pairs beyond are not returned."""
     share = (1 - similarity) / (1 + similarity) + 1e-9
 
     def collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,15 +198,13 @@ def _collide(hot: int, similarity: float, pair: bool):
         def batch_of(u, v, rows):
             null = lambda n: pa.nulls(n, pa.int64())
             cols = [pa.concat_arrays([pa.array(x), null(len(rows))]) for x in (u, v)]
-            cols += [pa.concat_arrays([null(len(u)), pa.array(np.ascontiguousarray(rows[:, c]))]) for c in range(4)]
-            return pa.RecordBatch.from_arrays(cols, ["u", "v", "key", "id", "sketch", "n"])
+            cols += [pa.concat_arrays([null(len(u)), pa.array(np.ascontiguousarray(rows[:, c]))]) for c in range(2)]
+            return pa.RecordBatch.from_arrays(cols, ["u", "v", "key", "id"])
 
         def run(rows: np.ndarray, final: bool):
             """Pairs and rows of all keys but an unfinished last one, which is kept."""
             nonlocal held, burning
             rows = np.concatenate([held, rows])
-            if len(rows):
-                rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
             cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
             first = np.concatenate([[0], cuts]) if len(rows) else np.zeros(0, np.int64)
             past = np.append(cuts, len(rows)) if len(rows) else first
@@ -158,16 +213,14 @@ def _collide(hot: int, similarity: float, pair: bool):
                 part, key = rows[first[k]:past[k]], rows[first[k], 0]
                 if burning == key:
                     fire.append(part)
-                elif len(part) > (hot if pair else 1):
+                elif len(part) > hot:
                     fire.append(part)
                     burning = key
                 elif not final and past[k] == len(rows):
                     held = part
                 elif len(part) > 1:
                     i, j = np.triu_indices(len(part), 1)
-                    n, side = part[:, 3] & ((1 << SIDE) - 1), part[:, 3] >> SIDE
-                    near = np.bitwise_count(part[i, 2] ^ part[j, 2]) <= (n[i] + n[j]) * share
-                    near &= (side[i] == 0) | (side[i] != side[j])
+                    near = np.bitwise_count((part[i, 2] ^ part[j, 2]).view(np.uint64)) <= (part[i, 3] + part[j, 3]) * share
                     u.append(part[i[near], 1])
                     v.append(part[j[near], 1])
             cat = lambda x, shape: np.concatenate(x) if x else np.zeros(shape, np.int64)
@@ -181,112 +234,143 @@ def _collide(hot: int, similarity: float, pair: bool):
     return collide
 
 
-def _candidates(entries: DataFrame, hot: int, similarity: float, pair: bool = True) -> DataFrame:
-    sorted_rows = entries.select("key", "id", "sketch", "n").repartition("key").sortWithinPartitions("key", "id")
-    return materialize(sorted_rows.mapInArrow(_collide(hot, similarity, pair), "u long, v long, key long, id long, sketch long, n long"), "passages-met")
-
+def _forest(similarity: float):
+    """Group function over paragraphs (id, sketch, sh, b, i, j) of two blocks of a bucket: edges of a spanning forest of the pairs that
+    are as similar. Rows already in one tree are not compared again."""
+    share = (1 - similarity) / (1 + similarity) + 1e-9
 
-def paragraph_links(docs: DataFrame, marked: DataFrame, bands: int, rows: int, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """Pairs (u, v) of different paragraph ids that collide in a band and have a Jaccard similarity of at least ``similarity``. The
-    different paragraphs of a bucket of more than ``hot`` are dealt into blocks, and all pairs of blocks are compared in groups of
-    about ``hot`` over many tasks, so no pair is lost; paragraphs of equal shingle sets stand for each other."""
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, b = pdf["id"].to_numpy(np.int64), pdf["b"].to_numpy()
+        sets = [np.asarray(x, np.int64) for x in pdf["sh"]]
+        n, sketch = np.array([len(x) for x in sets]), pdf["sketch"].to_numpy(np.int64)
+        two, tree, edges = pdf["i"].iloc[0] != pdf["j"].iloc[0], np.arange(len(ids)), []
+        for x in range(len(ids)):
+            small, big = np.minimum(n, n[x]), np.maximum(n, n[x])
+            near = (small >= similarity * big) & (np.bitwise_count((sketch ^ sketch[x]).view(np.uint64)) <= (n + n[x]) * share)
+            near[:x + 1] = False
+            if two:
+                near &= b != b[x]
+            for y in np.flatnonzero(near).tolist():
+                if tree[x] != tree[y]:
+                    same = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if same >= similarity * (n[x] + n[y] - same):
+                        edges.append((ids[x], ids[y]))
+                        tree[tree == max(tree[x], tree[y])] = min(tree[x], tree[y])
+        return pd.DataFrame(np.array(edges, np.int64).reshape(-1, 2), columns=["u", "v"])
+
+    return compare
+
+
+def paragraph_links(marked: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """Pairs (u, v) of different paragraphs ``marked`` (id, keys: one per band, sh: shingles) that collide in a band and have a Jaccard
+    similarity of at least ``similarity``; of buckets with more than ``hot`` different shingle sets a spanning forest of such pairs,
+    found block by block over many tasks. Paragraphs of equal shingle sets are linked as a star, and one of them goes on."""
     zero = F.lit(0).cast("bigint")
-    entries = (marked.select("id", F.explode("keys").alias("key")).groupBy("key", "id").agg(F.count(F.lit(1)).alias("c"))
-               .select("key", "id", zero.alias("sketch"), zero.alias("n")))
-    met = _candidates(entries, 1, similarity, pair=False).select("key", "id")
-    wanted = materialize(met.select("id").distinct(), "passages-ids")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _blocks(batches):
-            got = paragraphs(texts, bands, rows, shingles=True)
-            if got is not None:
-                lens, flat = got[4]
-                sh = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(got[3]), sh], ["id", "sh"])
-
-    # Up to a checked number the ids are broadcast; beyond it they meet the paragraphs in a shuffle.
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    every = docs.mapInArrow(cut, "id long, sh array<long>").join(few, "id", "left_semi")
-    sets = every.groupBy("id").agg(F.any_value("sh").alias("sh")).withColumn("sh", F.sort_array(F.array_distinct("sh")))
-    sets = materialize(sets.withColumn("set", F.xxhash64("sh")), "passages-sets")
-    # Paragraphs of one and the same shingle set are as similar as can be: a star instead of pairs, and one of them goes on.
-    one = sets.groupBy("set").agg(F.min("id").alias("rep"))
-    named = materialize(sets.select("id", "set").join(one, "set").select("id", "rep"), "passages-named")
-    stars = named.where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v"))
+    each = marked.groupBy("id").agg(F.any_value("keys").alias("keys"), F.any_value("sh").alias("sh"))
+    each = each.withColumn("sh", F.sort_array(F.array_distinct("sh"))).withColumn("set", F.xxhash64("sh"))
+    each = materialize(each, "passages-paragraphs")
+    one = each.groupBy("set").agg(F.min("id").alias("rep"))
+    stars = each.select("id", "set").join(one, "set").where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v"))
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))
     parity = F.aggregate("sh", zero, lambda a, x: a.bitwiseXOR(bit(x)))
-    reps = sets.select("id", "sh", parity.alias("sketch"), F.size("sh").cast("bigint").alias("n"))
-    rows_met = (met.join(named, "id").select("key", F.col("rep").alias("id")).distinct()
-                .join(reps.select("id", "sketch", "n"), "id"))
-    found = _candidates(rows_met, hot, similarity)
-    pairs, burning = found.where("u is not null").select("u", "v"), found.where("key is not null").select("key", "id").distinct()
+    reps = each.join(one.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "sh", parity.alias("sketch"), F.explode("keys").alias("key"))
+    entries = reps.select("key", "id", "sketch", F.size("sh").cast("bigint").alias("n")).distinct()
+    entries = entries.repartition("key").sortWithinPartitions("key", "id")
+    met = materialize(entries.mapInArrow(_collide(hot, similarity), "u long, v long, key long, id long"), "passages-met")
+    sets = each.select("id", "sh", parity.alias("sketch"))
+    both = (met.where("u is not null").select("u", "v").distinct().join(sets.select(F.col("id").alias("u"), F.col("sh").alias("a")), "u")
+            .join(sets.select(F.col("id").alias("v"), F.col("sh").alias("b")), "v"))
+    same = F.size(F.array_intersect("a", "b"))
+    links = both.where(same >= similarity * (F.size("a") + F.size("b") - same)).select("u", "v").union(stars)
+    burning = met.where("key is not null").select("key", "id")
     if not burning.isEmpty():
         blocks = burning.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(max(1, hot // 2))).cast("bigint").alias("blocks"))
         dealt = burning.join(blocks, "key").withColumn("b", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
-        dealt = dealt.select("key", "id", "b", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("o")).join(reps, "id")
-        side = F.when(F.col("b") < F.col("o"), 1 << SIDE).when(F.col("b") > F.col("o"), 2 << SIDE).otherwise(zero)
-        again = dealt.select(F.xxhash64("key", F.least("b", "o"), F.greatest("b", "o")).alias("key"), "id", "sketch", (F.col("n") + side).alias("n"))
-        pairs = pairs.union(_candidates(again, 1 << 62, similarity).where("u is not null").select("u", "v"))
-    both = (pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(sets.select(F.col("id").alias("u"), F.col("sh").alias("a")), "u")
-            .join(sets.select(F.col("id").alias("v"), F.col("sh").alias("b")), "v"))
-    same = F.size(F.array_intersect("a", "b"))
-    return both.where(same >= similarity * (F.size("a") + F.size("b") - same)).select("u", "v").union(stars)
+        dealt = dealt.select("key", "id", "b", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("o")).join(sets, "id")
+        dealt = dealt.select("key", "id", "b", "sketch", "sh", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
+        links = links.union(dealt.groupBy("key", "i", "j").applyInPandas(_forest(similarity), "u long, v long"))
+    return links
+
+
+def _hits(docs: DataFrame, similarity: float, recall: float, min_words: int) -> DataFrame:
+    """(doc_id, row, at, n, first_doc): runs and paragraphs that occur in other documents too, with the smallest doc_id that has them.
+    ``row`` is the XXH64 of the text: other texts under one doc_id are told apart."""
+    if min_words < GRAM + SPREAD - 1:
+        raise ValueError(f"passages of fewer than {GRAM + SPREAD - 1} words may hold no seed")
+    bands, rows = tune_bands(similarity, recall) if similarity < 1 else (1, 1)
+    docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    docs = docs.where("doc_id is not null and text is not null")
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _blocks(batches):
+            text, at, seed = seeds_of(texts, min_words)
+            owner = pa.array(text)
+            yield pa.RecordBatch.from_arrays([part["doc_id"].take(owner), part["row"].take(owner), pa.array(at, pa.int32()), pa.array(seed)],
+                                             ["doc_id", "row", "at", "seed"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "row", "at", "n", "id", "keys", "sh"]
+        for part, texts in _blocks(batches):
+            (rt, ra, rid), (pt, pat, n, pid, keys, count, flat) = pieces_of(texts, part["seeds"].to_pylist(), bands, rows, min_words)
+            longs = pa.list_(pa.int64())
+            for t, cols in ((rt, [pa.array(ra, pa.int32()), pa.array(np.full(len(ra), min_words), pa.int32()), pa.array(rid), pa.nulls(len(ra), longs), pa.nulls(len(ra), longs)]),
+                            (pt, [pa.array(pat, pa.int32()), pa.array(n, pa.int32()), pa.array(pid), _lists(np.full(len(n), bands), keys.ravel()), _lists(count, flat)])):
+                yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(t)), part["row"].take(pa.array(t)), *cols], names)
+
+    found = materialize(docs.mapInArrow(seeds, "doc_id long, row long, at int, seed long"), "passages-seeds")
+    span = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
+    common = found.groupBy("seed").agg(*span).where("lo < hi").select("seed")
+    places = found.join(common, "seed").groupBy("doc_id", "row").agg(F.collect_set("at").alias("seeds"))
+    cut = docs.join(places, ["doc_id", "row"]).select("doc_id", "row", "text", "seeds")
+    cut = materialize(cut.mapInArrow(pieces, "doc_id long, row long, at int, n int, id long, keys array<long>, sh array<long>"), "passages-pieces")
+    plain = cut.where("keys is null").select("doc_id", "row", "at", "n", "id")
+    verbatim = plain.join(plain.groupBy("id").agg(*span).where("lo < hi").select("id", F.col("lo").alias("first_doc")), "id")
+    marked = cut.where("keys is not null")
+    comps = materialize(connected_components(paragraph_links(marked.select("id", "keys", "sh"), similarity)), "passages-classes")
+    near = marked.select("doc_id", "row", "at", "n", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
+    near = near.withColumn("class", F.coalesce("label", "id")).drop("id", "label")
+    near = near.join(near.groupBy("class").agg(*span).where("lo < hi").select("class", F.col("lo").alias("first_doc")), "class")
+    names = ["doc_id", "row", "at", "n", "first_doc"]
+    return verbatim.select(*names).union(near.select(*names))
 
 
 def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
-    """Passages that occur in other documents too: doc_id, start (words before it), n_words, link (smallest doc_id it is shared
-    with, itself included), first (True for the occurrence that stays).
-
-    ``n_words`` counts whole paragraphs; the passage as copied may reach up to a paragraph further on either side. Rows of
-    one doc_id are one document."""
-    bands, rows = tune_bands(similarity, recall)
-    docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _blocks(batches):
-            got = paragraphs(texts, bands, rows)
-            if got is not None:
-                text, at, n, pid, keys = got
-                names = pa.array(ids, pa.int64()).take(pa.array(text))
-                yield pa.RecordBatch.from_arrays(
-                    [names, pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(pid),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(pid) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))],
-                    ["doc_id", "at", "n", "id", "keys"])
-
-    marked = materialize(docs.mapInArrow(cut, "doc_id long, at int, n int, id long, keys array<long>"), "passages")
-    comps = materialize(connected_components(paragraph_links(docs, marked, bands, rows, similarity)), "passages-classes")
-    plain = marked.select("doc_id", "at", "n", "id")
-    span = plain.groupBy("id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    classed = span.join(comps.withColumnRenamed("node", "id"), "id", "left")
-    in_class = (classed.where("label is not null").groupBy("label").agg(F.min("lo").alias("l"), F.max("hi").alias("h"))
-                .where("l < h").select("label"))
-    shared = materialize(classed.where("label is null and lo < hi").select("id", F.col("id").alias("class"))
-                         .union(classed.join(in_class, "label", "left_semi").select("id", F.col("label").alias("class"))), "passages-shared")
-    hits = plain.join(shared, "id").where("doc_id is not null").select("doc_id", "at", "n", "class").distinct()
-    order = Window.partitionBy("doc_id").orderBy("at")
-    new = F.coalesce((F.lag(F.col("at") + F.col("n")).over(order) != F.col("at")).cast("int"), F.lit(1))
-    runs = hits.withColumn("new", new).withColumn("run", F.sum("new").over(order))
-    whole = Window.partitionBy("doc_id", "run")
-    inside = materialize(runs.withColumn("words", F.sum("n").over(whole)).where(F.col("words") >= min_words).select("doc_id", "run", "at", "n", "class"), "passages-runs")
-    least = inside.groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").drop("last_doc")
-    return (inside.join(least, "class").groupBy("doc_id", "run")
-            .agg(F.min("at").cast("bigint").alias("start"), F.sum("n").alias("n_words"), F.min("first_doc").alias("link"),
-                 F.every(F.col("first_doc") == F.col("doc_id")).alias("first"))
-            .where(F.col("n_words") >= min_words).drop("run"))
+    """Passages that occur in other documents too: doc_id, row (XXH64 of the text), start (words before it), n_words, earlier (False:
+    the passage; True: a part of one that a smaller doc_id has too), links (smallest doc_ids that have a part of it, itself included).
+
+    A passage is a longest run of words each of which is in ``min_words`` words that occur verbatim in another doc_id, or in a paragraph
+    linked to one of another doc_id."""
+    hits = _hits(docs, similarity, recall, min_words)
+    hits = hits.withColumn("earlier", F.col("first_doc") < F.col("doc_id")).withColumn("end", F.col("at") + F.col("n"))
+    order = Window.partitionBy("doc_id", "row").orderBy("at", "end", "first_doc")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = lambda end: F.coalesce(F.col("at") > F.max(end).over(before), F.lit(True))
+    hits = hits.withColumns({"new": fresh(F.col("end")), "new_e": F.col("earlier") & fresh(F.when(F.col("earlier"), F.col("end")))})
+    hits = hits.withColumns({"run": F.sum(F.col("new").cast("int")).over(order), "run_e": F.sum(F.col("new_e").cast("int")).over(order)})
+    parts = materialize(hits.groupBy("doc_id", "row", "run", "run_e", "earlier").agg(
+        F.min("at").alias("at"), F.max("end").alias("end"), F.collect_set("first_doc").alias("links")), "passages-parts")
+
+    def merged(rows: DataFrame, run: str, earlier: bool) -> DataFrame:
+        return rows.groupBy("doc_id", "row", run).agg(
+            F.min("at").cast("bigint").alias("start"), (F.max("end") - F.min("at")).cast("bigint").alias("n_words"), F.lit(earlier).alias("earlier"),
+            F.array_distinct(F.flatten(F.collect_list("links"))).alias("links")).drop(run)
+
+    return merged(parts, "run", False).union(merged(parts.where("earlier"), "run_e", True))
 
 
 def passage_components(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per doc_id: component_id (the smallest doc_id reachable over shared passages, itself included), n_passages, n_removed
-    and n_removed_words, and removed: ``start:words`` of the passages that have an earlier occurrence, comma-joined.
+    and n_removed_words, and removed: ``start:words`` of what has an earlier occurrence, comma-joined.
 
-    Defined cases: null, empty and very short texts have no passage and are components of their own; repeated rows of a doc_id are
-    one document; rows with a null doc_id link to nothing and are returned once with a null component; an empty table
-    gives no rows; other columns are ignored."""
+    Defined cases: null, empty and texts of fewer than ``min_words`` words have no passage and are components of their own; equal rows of a
+    doc_id are one, other texts under it are told apart but are the same document; rows with a null doc_id link to nothing and are
+    returned once with a null component; an empty table gives no rows; other columns are ignored."""
     found = materialize(repeated_passages(docs, similarity, recall, min_words), "passages-found")
-    comps = connected_components(found.where("link <> doc_id").select(F.col("doc_id").alias("u"), F.col("link").alias("v")))
-    gone = F.when(~F.col("first"), F.struct("start", "n_words"))
-    per = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_passages"), F.count_if(~F.col("first")).alias("n_removed"),
-                                      F.sum(F.when(~F.col("first"), F.col("n_words")).otherwise(0)).alias("n_removed_words"),
+    edges = found.where("not earlier").select(F.col("doc_id").alias("u"), F.explode("links").alias("v")).where("u <> v").distinct()
+    comps = connected_components(edges)
+    gone = F.when(F.col("earlier"), F.struct("start", "n_words"))
+    per = found.groupBy("doc_id").agg(F.count_if(~F.col("earlier")).alias("n_passages"), F.count_if("earlier").alias("n_removed"),
+                                      F.sum(F.when(F.col("earlier"), F.col("n_words")).otherwise(0)).alias("n_removed_words"),
                                       F.sort_array(F.collect_list(gone)).alias("spans"))
     zero = F.lit(0).cast("bigint")
     text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["n_words"].cast("string"))), ",")
