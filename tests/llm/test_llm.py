@@ -502,7 +502,7 @@ def test_band_tuning_and_seeds():
         if k % 10 == 0:
             run = [run[0]] * need
         texts = [" ".join([*prose(1000 + 2 * k + i, r.randint(30, 60)).split(), *run, *prose(9000 + 2 * k + i, r.randint(30, 60)).split()]) for i in range(2)]
-        text, _, seed = passages.seeds_of(texts)
+        text, _, seed, _, _ = passages.seeds_of(texts)
         assert set(seed[text == 0].tolist()) & set(seed[text == 1].tolist()), k
     assert all(len(x) == 0 for x in passages.seeds_of([None, "", " ", "few words"]))
 
@@ -578,7 +578,7 @@ def test_passages_with_a_changed_word_are_caught(spark):
 def links_of(spark, texts, hot, similarity=0.8, bands=16, nrows=1):
     """(shingle sets by id, components by id) of whole texts as paragraphs."""
     seeds = [list(range(max(0, len(t.split()) - passages.GRAM + 1))) for t in texts]
-    _, (_, _, _, ids, keys, count, flat) = passages.pieces_of(texts, seeds, bands, nrows, 24)
+    _, (_, _, _, ids, keys, count, flat) = passages.pieces_of(texts, seeds, bands, nrows, 31)
     sets = {int(i): frozenset(s.tolist()) for i, s in zip(ids, np.split(flat, np.cumsum(count)[:-1]))}
     marked = spark.createDataFrame([(int(i), k.tolist(), [int(v) for v in s]) for i, k, s in zip(ids, keys, np.split(flat, np.cumsum(count)[:-1]))],
                                    "id long, keys array<long>, sh array<long>")
@@ -606,8 +606,8 @@ def test_paragraph_links_equal_brute_force(spark):
 def test_hot_buckets_lose_no_link(spark):
     base = prose(11, 60)
     texts = [f"{base} {w}" for w in sorted(set(prose(9, 3000).split()))[:300]]
-    sets, found = links_of(spark, texts, 16)
-    assert len(sets) == len(set(texts)) and len(found) < 40 * len(texts)
+    sets, found = links_of(spark, texts, 128)
+    assert len(sets) == len(set(texts)) and len(found) < 16 * 10 * 128        # ten pairs of blocks in 16 buckets, a forest each
     assert len(set(union_find(found, sets).values())) == 1
 
 

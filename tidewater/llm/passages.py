@@ -1,8 +1,8 @@
 """Repeated passages: paragraph MinHash with tuned bands, and verbatim passages to their true edges.
 
 Seeds say where to look: of every SPREAD consecutive runs of GRAM words the one with the smallest hash is a seed, so two texts that
-share GRAM + SPREAD - 1 = 24 words share a seed, wherever their lines break. Only text around seeds that occur in two documents is looked
-at further. A near copy of 51 words or more at a similarity of 0.8 keeps 24 words in a row: n shingles bear n / 45 changes.
+share GRAM + SPREAD - 1 = 31 words share a seed, wherever their lines break. Only text around seeds that occur in two documents is looked
+at further. Equal texts are one from the start.
 
 Paragraphs are the lines of ``min_words`` words or more that hold such a seed, and the stretches over which such seeds follow each other
 with a changed word between them at most. Each paragraph's five-word shingles give a MinHash; the bands are tuned to a stated recall at
@@ -10,7 +10,7 @@ the similarity threshold. Different paragraphs that collide in a band are joined
 ones are one node from the start), and clustered by components.
 
 Verbatim passages need not fill a paragraph: every run of exactly ``min_words`` words around a seed is compared as a whole, and their
-union has the true edges. A document's passages are the unions of its paragraphs and runs that occur in other documents too,
+union has the true edges. A run with a seed inside that no other document has cannot be in one, so few runs are compared in vain. A document's passages are the unions of its paragraphs and runs that occur in other documents too,
 documents that share one are one component, and all but the first occurrence are the removals.
 """
 
@@ -33,9 +33,10 @@ SIMILARITY = 0.8
 RECALL = 0.99
 MIN_WORDS = 51            # passages of over 50 words
 GRAM = 12                 # words of a seed
-SPREAD = 13               # one of so many neighbouring seeds is taken
+SPREAD = 20               # one of so many neighbouring seeds is taken
 BRIDGE = 2 * SPREAD - 1   # words between two seeds of a stretch: one changed word, and on either side those that may hold no seed
 HOT = 2048                # different paragraphs of one bucket that are compared at once
+BROADCAST_ROWS = 1_000_000  # text hashes broadcast at most (some 16 MB)
 BLOCK_WORDS = 500_000
 
 
@@ -92,8 +93,9 @@ def _words(texts: list, min_words: int):
             np.append(0, line_ends)[:-1], line_ends)
 
 
-def _seeds(words: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the runs of GRAM words that are the smallest, the last of equals, of some SPREAD neighbours in a text."""
+def _seeds(words: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, hashes, from, to) of the runs of GRAM words that are the smallest, the last of equals, of some SPREAD neighbours in a text:
+    of those that begin at each place between from and to."""
     h = _runs_of(words, GRAM) | np.uint64(1)
     size = past - first
     valid = np.arange(len(words)) + GRAM <= np.repeat(past, size)
@@ -101,44 +103,42 @@ def _seeds(words: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.n
     at = np.arange(len(words)) + np.repeat(np.arange(1, len(first) + 1) * SPREAD, size)
     wide = np.zeros(len(words) + (len(first) + 1) * SPREAD, np.uint64)
     wide[at] = np.where(valid, h, np.uint64(0))
-    room = np.ones(len(h), np.int64)
+    before, after = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
     left, right = valid.copy(), valid.copy()
     for k in range(1, SPREAD):
         left &= wide[at - k] >= h
         right &= wide[at + k] > h
-        room += left
-        room += right
-    places = np.flatnonzero(valid & (room >= SPREAD))
-    return places, h[places]
+        before += left
+        after += right
+    places = np.flatnonzero(valid & (before + after + 1 >= SPREAD))
+    return places, h[places], places - before[places], places + after[places] - (SPREAD - 1)
 
 
 def seeds_of(texts: list, min_words: int = MIN_WORDS):
-    """(text number, place, seed) of the seeds of many whole texts."""
+    """(text number, place, seed) of the seeds of many whole texts, and (text number, words) of the texts of ``min_words`` or more."""
     some, words, first, past, _, _ = _words(texts, min_words)
-    places, h = _seeds(words, first, past)
+    places, h, _, _ = _seeds(words, first, past)
     text = np.searchsorted(past, places, side="right")
-    return some[text], places - first[text], h.view(np.int64)
+    return some[text], places - first[text], h.view(np.int64), some, past - first
 
 
 def pieces_of(texts: list, seeds: list, bands: int, rows: int, min_words: int = MIN_WORDS):
-    """What of many whole texts is compared, given the places of their shared seeds. Two tuples: runs of ``min_words`` words that hold a
-    seed (text number, place, id), and paragraphs (text number, place, words, id, band keys, number of shingles of each, shingles one
+    """What of many whole texts is compared, given the places of their shared seeds. Two tuples: runs of ``min_words`` words whose own
+    seeds are all shared (text number, place, id), and paragraphs (text number, place, words, id, band keys, number of shingles of each, shingles one
     after another)."""
     some, words, first, past, line_first, line_past = _words(texts, min_words)
     size = len(words)
     here = np.concatenate([np.asarray(seeds[i], np.int64) + f for i, f in zip(some.tolist(), first.tolist())] or [np.zeros(0, np.int64)])
     here = np.sort(here)
-    mark = np.zeros(size + 1, np.int64)
-    np.add.at(mark, np.maximum(here + GRAM - min_words, 0), 1)
-    np.add.at(mark, here + 1, -1)
-    near = np.cumsum(mark[:-1]) > 0
-    near &= np.arange(size) + min_words <= np.repeat(past, past - first)
-    at = np.flatnonzero(near)
-    # A run may begin in the text before the one of its seed: it then holds no seed of its own.
-    upto = np.searchsorted(here, at, side="left")
-    holds = upto < len(here)
-    holds[holds] = here[upto[holds]] + GRAM <= at[holds] + min_words
-    at = at[holds]
+    # What is the smallest of SPREAD neighbours inside a run is a seed wherever the run occurs: it must be shared for all of them.
+    places, _, low, high = _seeds(words, first, past)
+    alone = ~np.isin(places, here)
+    turn = np.zeros(size + 1, np.int64)
+    np.add.at(turn, low[alone], 1)
+    np.add.at(turn, high[alone] + 1, -1)
+    lone = np.append(0, np.cumsum(np.cumsum(turn[:-1]) > 0))
+    at = np.flatnonzero(np.arange(size) + min_words <= np.repeat(past, past - first))
+    at = at[lone[at + min_words - GRAM - SPREAD + 2] == lone[at]]
     run_text = np.searchsorted(past, at, side="right")
     runs = (some[run_text], at - first[run_text], _runs_of(words, min_words)[at].view(np.int64))
 
@@ -292,46 +292,51 @@ def paragraph_links(marked: DataFrame, similarity: float = SIMILARITY, hot: int
     return links
 
 
-def _hits(docs: DataFrame, similarity: float, recall: float, min_words: int) -> DataFrame:
-    """(doc_id, row, at, n, first_doc): runs and paragraphs that occur in other documents too, with the smallest doc_id that has them.
-    ``row`` is the XXH64 of the text: other texts under one doc_id are told apart."""
-    if min_words < GRAM + SPREAD - 1:
-        raise ValueError(f"passages of fewer than {GRAM + SPREAD - 1} words may hold no seed")
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows`` for a broadcast if their counted number allows it; beyond it they are shuffled."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _hits(texts: DataFrame, similarity: float, recall: float, min_words: int) -> DataFrame:
+    """(doc_id, row, at, n, first_doc): runs and paragraphs of the distinct ``texts`` (row, doc_id, last: smallest and largest doc_id, text) that
+    occur in two documents, whole texts among them, with the smallest doc_id that has them."""
     bands, rows = tune_bands(similarity, recall) if similarity < 1 else (1, 1)
-    docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    docs = docs.where("doc_id is not null and text is not null")
+    who = ["doc_id", "last", "row"]
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _blocks(batches):
-            text, at, seed = seeds_of(texts, min_words)
-            owner = pa.array(text)
-            yield pa.RecordBatch.from_arrays([part["doc_id"].take(owner), part["row"].take(owner), pa.array(at, pa.int32()), pa.array(seed)],
-                                             ["doc_id", "row", "at", "seed"])
+        for part, some in _blocks(batches):
+            text, at, seed, whole, n = seeds_of(some, min_words)
+            copied = (part["doc_id"].to_numpy() < part["last"].to_numpy())[whole]
+            owner = pa.array(np.append(text, whole[copied]))
+            yield pa.RecordBatch.from_arrays([*(part[c].take(owner) for c in who), pa.array(np.append(at, n[copied]), pa.int32()),
+                                              pa.concat_arrays([pa.array(seed), pa.nulls(int(copied.sum()), pa.int64())])], [*who, "at", "seed"])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row", "at", "n", "id", "keys", "sh"]
-        for part, texts in _blocks(batches):
-            (rt, ra, rid), (pt, pat, n, pid, keys, count, flat) = pieces_of(texts, part["seeds"].to_pylist(), bands, rows, min_words)
-            longs = pa.list_(pa.int64())
+        longs = pa.list_(pa.int64())
+        for part, some in _blocks(batches):
+            (rt, ra, rid), (pt, pat, n, pid, keys, count, flat) = pieces_of(some, part["seeds"].to_pylist(), bands, rows, min_words)
             for t, cols in ((rt, [pa.array(ra, pa.int32()), pa.array(np.full(len(ra), min_words), pa.int32()), pa.array(rid), pa.nulls(len(ra), longs), pa.nulls(len(ra), longs)]),
                             (pt, [pa.array(pat, pa.int32()), pa.array(n, pa.int32()), pa.array(pid), _lists(np.full(len(n), bands), keys.ravel()), _lists(count, flat)])):
-                yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(t)), part["row"].take(pa.array(t)), *cols], names)
-
-    found = materialize(docs.mapInArrow(seeds, "doc_id long, row long, at int, seed long"), "passages-seeds")
-    span = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
-    common = found.groupBy("seed").agg(*span).where("lo < hi").select("seed")
-    places = found.join(common, "seed").groupBy("doc_id", "row").agg(F.collect_set("at").alias("seeds"))
-    cut = docs.join(places, ["doc_id", "row"]).select("doc_id", "row", "text", "seeds")
-    cut = materialize(cut.mapInArrow(pieces, "doc_id long, row long, at int, n int, id long, keys array<long>, sh array<long>"), "passages-pieces")
-    plain = cut.where("keys is null").select("doc_id", "row", "at", "n", "id")
+                yield pa.RecordBatch.from_arrays([*(part[c].take(pa.array(t)) for c in who), *cols], [*who, "at", "n", "id", "keys", "sh"])
+
+    found = materialize(texts.mapInArrow(seeds, "doc_id long, last long, row long, at int, seed long"), "passages-seeds")
+    span = [F.min("doc_id").alias("lo"), F.max("last").alias("hi")]
+    seeded = found.where("seed is not null")
+    # A seed that one text alone has tells nothing, even where the text has copies: those are whole passages.
+    common = (seeded.groupBy("seed").agg(*span, F.min("row").alias("r"), F.max("row").alias("s")).where("lo < hi and r <> s").select("seed"))
+    places = materialize(seeded.join(common, "seed").groupBy("row").agg(F.collect_set("at").alias("seeds")), "passages-places")
+    cut = texts.join(_few(places.select("row")), "row", "left_semi").join(places, "row").select(*who, "text", "seeds")
+    cut = materialize(cut.mapInArrow(pieces, "doc_id long, last long, row long, at int, n int, id long, keys array<long>, sh array<long>"), "passages-pieces")
+    plain = cut.where("keys is null").select(*who, "at", "n", "id")
     verbatim = plain.join(plain.groupBy("id").agg(*span).where("lo < hi").select("id", F.col("lo").alias("first_doc")), "id")
     marked = cut.where("keys is not null")
     comps = materialize(connected_components(paragraph_links(marked.select("id", "keys", "sh"), similarity)), "passages-classes")
-    near = marked.select("doc_id", "row", "at", "n", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
+    near = marked.select(*who, "at", "n", "id").join(comps.withColumnRenamed("node", "id"), "id", "left")
     near = near.withColumn("class", F.coalesce("label", "id")).drop("id", "label")
     near = near.join(near.groupBy("class").agg(*span).where("lo < hi").select("class", F.col("lo").alias("first_doc")), "class")
     names = ["doc_id", "row", "at", "n", "first_doc"]
-    return verbatim.select(*names).union(near.select(*names))
+    whole = found.where("seed is null").select("doc_id", "row", F.lit(0).alias("at"), F.col("at").alias("n"), F.col("doc_id").alias("first_doc"))
+    return verbatim.select(*names).union(near.select(*names)).union(whole)
 
 
 def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
@@ -340,7 +345,14 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
 
     A passage is a longest run of words each of which is in ``min_words`` words that occur verbatim in another doc_id, or in a paragraph
     linked to one of another doc_id."""
-    hits = _hits(docs, similarity, recall, min_words)
+    if min_words < GRAM + SPREAD - 1:
+        raise ValueError(f"passages of fewer than {GRAM + SPREAD - 1} words may hold no seed")
+    docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    docs = docs.where("doc_id is not null and text is not null")
+    copied = materialize(docs.groupBy("row").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("last")).where("lo < last"), "passages-equal")
+    texts = (docs.join(_few(copied), "row", "left").where("lo is null or doc_id = lo")
+             .select("row", "doc_id", F.coalesce("last", "doc_id").alias("last"), "text"))
+    hits = materialize(_hits(texts, similarity, recall, min_words), "passages-hits")
     hits = hits.withColumn("earlier", F.col("first_doc") < F.col("doc_id")).withColumn("end", F.col("at") + F.col("n"))
     order = Window.partitionBy("doc_id", "row").orderBy("at", "end", "first_doc")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -355,7 +367,11 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, recall: f
             F.min("at").cast("bigint").alias("start"), (F.max("end") - F.min("at")).cast("bigint").alias("n_words"), F.lit(earlier).alias("earlier"),
             F.array_distinct(F.flatten(F.collect_list("links"))).alias("links")).drop(run)
 
-    return merged(parts, "run", False).union(merged(parts.where("earlier"), "run_e", True))
+    whole = hits.where("at = 0 and doc_id = first_doc").groupBy("row").agg(F.max("n").cast("bigint").alias("n_words"))
+    copies = docs.select("doc_id", "row").join(_few(copied), "row").where("doc_id > lo").distinct().join(whole, "row")
+    copies = copies.select("doc_id", "row", F.lit(0).cast("bigint").alias("start"), "n_words", F.explode(F.array(F.lit(False), F.lit(True))).alias("earlier"),
+                           F.array("lo").alias("links"))
+    return merged(parts, "run", False).union(merged(parts.where("earlier"), "run_e", True)).union(copies)
 
 
 def passage_components(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, min_words: int = MIN_WORDS) -> DataFrame:
