@@ -36,6 +36,7 @@ GRAM = 12                 # words of a seed
 SPREAD = 20               # one of so many neighbouring seeds is taken
 BRIDGE = 2 * SPREAD - 1   # words between two seeds of a stretch: one changed word, and on either side those that may hold no seed
 HOT = 2048                # different paragraphs of one bucket that are compared at once
+PAIRS = 64                # of buckets up to this all similar pairs are links, of larger ones a spanning forest
 BROADCAST_ROWS = 1_000_000  # text hashes broadcast at most (some 16 MB)
 BLOCK_WORDS = 500_000
 
@@ -263,8 +264,8 @@ def _forest(similarity: float):
 
 def paragraph_links(marked: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
     """Pairs (u, v) of different paragraphs ``marked`` (id, keys: one per band, sh: shingles) that collide in a band and have a Jaccard
-    similarity of at least ``similarity``; of buckets with more than ``hot`` different shingle sets a spanning forest of such pairs,
-    found block by block over many tasks. Paragraphs of equal shingle sets are linked as a star, and one of them goes on."""
+    similarity of at least ``similarity``; of buckets with more than ``PAIRS`` different shingle sets a spanning forest of such pairs,
+    found in blocks of ``hot`` over many tasks. Paragraphs of equal shingle sets are linked as a star, and one of them goes on."""
     zero = F.lit(0).cast("bigint")
     each = marked.groupBy("id").agg(F.any_value("keys").alias("keys"), F.any_value("sh").alias("sh"))
     each = each.withColumn("sh", F.sort_array(F.array_distinct("sh"))).withColumn("set", F.xxhash64("sh"))
@@ -276,7 +277,7 @@ def paragraph_links(marked: DataFrame, similarity: float = SIMILARITY, hot: int
     reps = each.join(one.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "sh", parity.alias("sketch"), F.explode("keys").alias("key"))
     entries = reps.select("key", "id", "sketch", F.size("sh").cast("bigint").alias("n")).distinct()
     entries = entries.repartition("key").sortWithinPartitions("key", "id")
-    met = materialize(entries.mapInArrow(_collide(hot, similarity), "u long, v long, key long, id long"), "passages-met")
+    met = materialize(entries.mapInArrow(_collide(min(PAIRS, hot), similarity), "u long, v long, key long, id long"), "passages-met")
     sets = each.select("id", "sh", parity.alias("sketch"))
     both = (met.where("u is not null").select("u", "v").distinct().join(sets.select(F.col("id").alias("u"), F.col("sh").alias("a")), "u")
             .join(sets.select(F.col("id").alias("v"), F.col("sh").alias("b")), "v"))
