@@ -7,6 +7,8 @@ import itertools
 import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -671,3 +673,27 @@ def test_pipeline_stages_tell_rows_of_one_doc_id_apart(spark, tmp_dir):
     left = cp.decontamination(spark, docs, tmp_dir)
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted((d or 0, t or "") for d, t, *_ in rows if item not in (t or ""))
+
+
+# ---------------------------------------------------------------------------
+# disk and memory of long jobs
+
+def test_an_encoder_gives_its_blocks_memory_back():
+    code = """if True:
+        import random, re
+        import pyarrow as pa
+        from tidewater.llm import tokens
+        from tidewater.llm.common import release_memory
+        held = lambda: int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+        r = random.Random(1)
+        words = [f"word{i} " for i in range(20_000)]
+        texts = pa.array(["".join(r.choices(words, k=400)) for _ in range(5000)])
+        release_memory()
+        enc = tokens.Encoder(tokens.TOKENIZER)
+        for _ in range(2):
+            enc.encode(texts)
+        after = held()
+        release_memory()
+        print(after - held())"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(tokens.__file__)) + "/..")
+    assert float(out.stdout) < 60, out.stderr

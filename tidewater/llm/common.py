@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give the system back what Arrow's and the C library's allocators keep of freed memory. A Python worker lives on from task to
+    task and from stage to stage; else it holds the most that it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Exactly these columns; an input may carry others of any name."""
     return df.select(*[F.col(n) for n in names])

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidewater.llm.common import release_memory
+
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 CACHE = 700_000          # chunks kept per Python worker (some 150 MB)
@@ -80,13 +82,14 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each whole text (null: empty), taken in blocks; within one, each distinct chunk is looked up once
-        and the ids are gathered by chunk number."""
+        and the ids are gathered by chunk number. What a block needed for that is given back after it."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         size = np.cumsum(pc.binary_length(texts).to_numpy())
         out, at = [], 0
         while at < len(texts):
             upto = int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK_BYTES)) + 1
             out += self._block(texts.slice(at, upto - at))
+            release_memory()
             at = upto
         return out
 
