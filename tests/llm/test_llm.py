@@ -9,6 +9,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -678,6 +679,22 @@ def test_pipeline_stages_tell_rows_of_one_doc_id_apart(spark, tmp_dir):
 # ---------------------------------------------------------------------------
 # disk and memory of long jobs
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    before, clean = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    df = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    table = materialize(df, "test-shuffle")
+    assert sorted(r["count"] for r in table.collect()) == [142] * 1 + [143] * 6
+    for _ in range(50):                                              # executors are told, not waited for
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == clean
+    assert sum(r["count"] for r in df.collect()) == 1000             # what was written can still be computed
+
+
 def test_an_encoder_gives_its_blocks_memory_back():
     code = """if True:
         import random, re

@@ -18,12 +18,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+CLEAN_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: cuts the lineage, so a lost
-    executor costs a re-read and not the work before it, and gives the next plan real sizes."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor costs a re-read and not the work before it, and gives the next plan real sizes. The shuffle files of the
+    write go when it ends: what comes after reads the table, so a job of many steps holds the files of one of them at a time."""
+    spark = df.sparkSession
+    path, before = shared_dir(spark, name), spark.conf.get(CLEAN_SHUFFLE, "false")
+    spark.conf.set(CLEAN_SHUFFLE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release_memory() -> None:
